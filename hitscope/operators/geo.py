@@ -21,7 +21,7 @@ Scale design:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitscope.functions import host_suffix, ipv4_to_long, is_host_name, is_numeric_host
@@ -138,37 +138,152 @@ def suffix_country(names: DataFrame, ranges: DataFrame, typed: bool = False) ->
     )
 
 
+def _classified(df: DataFrame, host: str) -> DataFrame:
+    """Lookup keys of a host: ``_ip`` and ``_bucket`` for numeric hosts,
+    ``_suffix`` for host names (NULL otherwise)."""
+    h = F.col(host)
+    ip = F.when(is_numeric_host(h), ipv4_to_long(h))
+    return df.withColumns(
+        {
+            "_is_ip": F.coalesce(is_numeric_host(h), F.lit(False)),
+            "_is_name": F.coalesce(is_host_name(h), F.lit(False)),
+            "_ip": ip,
+            "_bucket": F.shiftright(ip, BUCKET_BITS),
+            "_suffix": F.when(is_host_name(h), host_suffix(h)),
+        }
+    )
+
+
+def range_segments(ranges: DataFrame, overlap: str = "all", typed: bool = False) -> DataFrame:
+    """Ranges cut into non-overlapping segments inside each ``2^16`` bucket,
+    one row per (segment, distinct country covering it).
+
+    An address lies in exactly one segment, so joining on the segment gives
+    each address the *distinct* countries of all ranges that contain it --
+    what the original got by de-duplicating ``(host, country)`` pairs.  All
+    work is per bucket (a window partitioned by bucket), never global."""
+    r = _range_rows(ranges, typed).where(F.col("begin_ip_int") <= F.col("end_ip_int"))
+    ex = r.withColumn(
+        "bucket",
+        F.explode(F.sequence(F.shiftright("begin_ip_int", BUCKET_BITS), F.shiftright("end_ip_int", BUCKET_BITS))),
+    )
+    lo = F.shiftleft(F.col("bucket"), BUCKET_BITS)
+    hi = lo + ((1 << BUCKET_BITS) - 1)
+    starts = ex.select("bucket", F.greatest(F.col("begin_ip_int"), lo).alias("seg_begin"))
+    ends = ex.where(F.col("end_ip_int") + 1 <= hi).select(
+        "bucket", (F.col("end_ip_int") + 1).alias("seg_begin")
+    )
+    pts = starts.unionByName(ends).distinct()
+    nxt = F.lead("seg_begin").over(Window.partitionBy("bucket").orderBy("seg_begin"))
+    segs = pts.withColumn("seg_end", F.coalesce(nxt - 1, hi))
+    cover = segs.join(
+        ex.select(
+            F.col("bucket").alias("r_bucket"), "begin_ip_int", "end_ip_int", "country"
+        ),
+        (F.col("bucket") == F.col("r_bucket"))
+        & F.col("seg_begin").between(F.col("begin_ip_int"), F.col("end_ip_int")),
+    )
+    if overlap == "smallest":
+        width = F.col("end_ip_int") - F.col("begin_ip_int")
+        return cover.groupBy("bucket", "seg_begin", "seg_end").agg(
+            F.min_by(F.col("country"), F.struct(width, F.col("country"))).alias("country")
+        )
+    return cover.select("bucket", "seg_begin", "seg_end", "country").distinct()
+
+
+def suffix_codes(ranges: DataFrame, typed: bool = False) -> DataFrame:
+    r = ranges if typed else typed_ip_ranges(ranges)
+    return r.select("country_code", "country").distinct()
+
+
 def host_country_map(
     hits: DataFrame,
     ranges: DataFrame,
-    strategy: str = "bucketed",
     overlap: str = "all",
     host: str = "host",
 ) -> DataFrame:
-    """Distinct ``(host, country)`` pairs from both lookups."""
+    """Distinct ``(host, country)`` pairs (hosts in no range, or matching
+    neither pattern, have no pair).  One pass over the distinct hosts: the
+    IP lookup (bucketed range join) and the suffix lookup are two left joins
+    on the same host rows."""
     r = typed_ip_ranges(ranges)
-    hosts = distinct_hosts(hits, host)
-    by_ip = ip_range_country(numeric_hosts(hosts), r, strategy=strategy, overlap=overlap, typed=True)
-    by_name = suffix_country(named_hosts(hosts), r, typed=True)
-    return by_ip.unionByName(by_name).distinct()
+    hosts = _classified(distinct_hosts(hits, host), "host")
+    segs = range_segments(r, overlap, typed=True)
+    codes = suffix_codes(r, typed=True)
+    j = hosts.join(
+        segs.withColumnRenamed("country", "ip_country"),
+        (F.col("_bucket") == F.col("bucket")) & F.col("_ip").between(F.col("seg_begin"), F.col("seg_end")),
+        "left",
+    ).join(
+        codes.withColumnRenamed("country", "code_country"),
+        F.col("_suffix") == F.col("country_code"),
+        "left",
+    )
+    country = F.when(F.col("_is_ip"), F.col("ip_country")).when(
+        F.col("_is_name"), F.coalesce(F.col("code_country"), F.lit(P.UNKNOWN_SUFFIX_COUNTRY))
+    )
+    return j.select("host", country.alias("country")).where(F.col("country").isNotNull()).distinct()
 
 
 def tag_country(
     hits: DataFrame,
     ranges: DataFrame,
-    strategy: str = "bucketed",
+    strategy: str = "auto",
     overlap: str = "all",
     host: str = "host",
     unknown_label: str | None = None,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_RANGES,
 ) -> DataFrame:
-    """Every hit with a ``country`` column (J3, left join on host).
+    """Every hit with a ``country`` column.
 
     Country is ``NA`` for a host name whose suffix has no country, NULL for
     an IP in no range or a host matching neither pattern; ``unknown_label``
     replaces both.  A host with several countries (overlapping ranges)
-    repeats its hits, once per country."""
-    m = host_country_map(hits, ranges, strategy, overlap, host).withColumnRenamed("host", "host_name")
-    out = hits.join(m, hits[host] == m["host_name"], "left").drop("host_name")
+    repeats its hits, once per distinct country.
+
+    ``broadcast``: each hit is looked up directly with two broadcast hash
+    joins (range segments by bucket, suffix codes) -- no shuffle of the
+    hits at all, and a hot host costs nothing extra.  Used only after both
+    lookup tables were counted and hold at most ``max_broadcast_rows`` rows.
+
+    ``shuffle``: the lookups run on the distinct hosts and the resulting
+    host map is joined back on host (J3); Spark broadcasts the map when its
+    measured size allows, else shuffles, and AQE splits a hot host's
+    partition.  ``auto`` picks ``broadcast`` when the size check passes."""
+    r = typed_ip_ranges(ranges)
+    if strategy in ("auto", "broadcast"):
+        segs = range_segments(r, overlap, typed=True).select(
+            F.col("bucket").alias("_seg_bucket"), "seg_begin", "seg_end", F.col("country").alias("_ip_country")
+        )
+        codes = suffix_codes(r, typed=True).select(
+            F.col("country_code").alias("_code"), F.col("country").alias("_code_country")
+        )
+        # The size check: both lookup tables counted in one job.
+        sizes = (
+            segs.select(F.lit("segments").alias("t"))
+            .unionByName(codes.select(F.lit("codes").alias("t")))
+            .groupBy("t")
+            .count()
+            .collect()
+        )
+        fits = all(row["count"] <= max_broadcast_rows for row in sizes)
+        strategy = "broadcast" if fits else "shuffle"
+    if strategy == "broadcast":
+        c = _classified(hits, host)
+        j = c.join(
+            F.broadcast(segs),
+            (F.col("_bucket") == F.col("_seg_bucket")) & F.col("_ip").between(F.col("seg_begin"), F.col("seg_end")),
+            "left",
+        ).join(F.broadcast(codes), F.col("_suffix") == F.col("_code"), "left")
+        country = F.when(F.col("_is_ip"), F.col("_ip_country")).when(
+            F.col("_is_name"), F.coalesce(F.col("_code_country"), F.lit(P.UNKNOWN_SUFFIX_COUNTRY))
+        )
+        out = j.select(*hits.columns, country.alias("country"))
+    elif strategy == "shuffle":
+        m = host_country_map(hits, r, overlap, host).withColumnRenamed("host", "_host_name")
+        out = hits.join(m, hits[host] == m["_host_name"], "left").drop("_host_name")
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
     if unknown_label is not None:
         out = out.withColumn(
             "country",

@@ -24,14 +24,17 @@ Two strategies produce the same rows:
     window group, so one very busy host is one task.
 
 ``chunked`` (default)
-    Skew-proof.  Each host's timeline is cut into fixed time chunks of
-    ``chunk_seconds``; the windows run per ``(host, chunk)``, so a host with
-    a third of all hits is spread over as many tasks as it has chunks.  What
-    crosses a chunk border is carried by a small per-chunk summary (one row
-    per host and chunk, built without a further shuffle of the hits): the
-    previous chunk's last epoch, the session-number offset, and the open
-    session's entry page and running count.  The summary is joined back on
-    ``(host, chunk)``, the key the hits are already partitioned by.
+    Skew-proof.  Each host's timeline is cut into fixed time chunks no
+    wider than the gap (``min(gap, chunk_seconds)``); the windows run per
+    ``(host, chunk)``, so a host with a third of all hits is spread over as
+    many tasks as it has chunks.  Because a chunk is narrower than the gap,
+    a session can only begin at a chunk's first hit, so what crosses a
+    chunk border is a per-chunk summary of order-free aggregates (first and
+    last epoch, hit count, entry page by ``min_by``), combined map-side
+    straight from the hits.  A window over these summaries (one row per host
+    and chunk) carries the previous chunk's last epoch, the session number,
+    the session's entry page and its hits so far; the result is joined back
+    on ``(host, chunk)``, the key the hits are already partitioned by.
 """
 
 from __future__ import annotations
@@ -107,103 +110,77 @@ def _sessionize_window(hits, gap, host, time, epoch, url, tie_break) -> DataFram
 
 
 def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seconds) -> DataFrame:
-    chunk = F.coalesce(F.floor(F.col(epoch) / F.lit(chunk_seconds)), F.lit(_NO_TIME_CHUNK))
-    in_chunk = Window.partitionBy(host, "_chunk").orderBy(*_order(time, tie_break))
-    running = _running(in_chunk, tie_break)
-
-    # Step 1: per (host, chunk) -- the only shuffle of the hits.
-    rows = (
-        hits.withColumn("_chunk", chunk)
-        .withColumn("_rn", F.row_number().over(in_chunk))
-        .withColumn("_inner_gap", F.when(F.col("_rn") > 1, F.col(epoch) - F.lag(epoch).over(in_chunk)))
-        .withColumn("_inner_flag", F.when(F.col("_inner_gap") >= gap, 1).otherwise(0))
-        .withColumn("_start", (F.col("_rn") == 1) | (F.col("_inner_flag") == 1))
-        .withColumn("_seg", F.sum("_inner_flag").over(running))
-        .withColumn("_cnt", F.count(F.lit(1)).over(running))
-        .withColumn(
-            "_seg_base",
-            F.last(F.when(F.col("_start"), F.col("_rn") - 1), ignorenulls=True).over(running),
-        )
-        .withColumn(
-            "_seg_first",
-            F.last(F.when(F.col("_start"), F.struct(F.col(url).alias("u"))), ignorenulls=True)
-            .over(running)
-            .getField("u"),
-        )
-        .withColumn("_last_url", F.last(url).over(running))
-    )
-
-    # Step 2: one summary row per (host, chunk); the hits are already
-    # partitioned by that key, so this aggregate adds no exchange.
-    summary = rows.groupBy(host, "_chunk").agg(
+    if gap < 1:
+        raise ValueError("gap must be at least 1 second")
+    # Chunks are never wider than the gap: two hits of one chunk are less
+    # than ``gap`` apart, so a session can only start at a chunk's first hit
+    # and the per-chunk summary needs no ordering inside the chunk.
+    width = min(int(gap), int(chunk_seconds))
+    chunk = F.coalesce(F.floor(F.col(epoch) / F.lit(width)), F.lit(_NO_TIME_CHUNK))
+    keyed = hits.withColumn("_chunk", chunk)
+    order = F.struct(F.col(time), F.col(tie_break)) if tie_break else F.struct(F.col(time))
+
+    # Summary: one row per (host, chunk), combined map-side straight from the
+    # hits (no sort, and only partial aggregates cross the network).
+    summary = keyed.groupBy(host, "_chunk").agg(
         F.min(epoch).alias("_head_e"),
         F.max(epoch).alias("_tail_e"),
         F.count(F.lit(1)).alias("_n"),
-        F.sum("_inner_flag").alias("_n_inner"),
-        F.max(F.when(F.col("_start"), F.struct(F.col("_rn").alias("rn"), F.col(url).alias("u")))).alias(
-            "_last_start"
-        ),
+        F.min_by(F.struct(F.col(url).alias("u")), order).alias("_head"),
     )
 
-    # Step 3: carry across chunks, per host in chunk order (at most one row
-    # per chunk, so even the busiest host is a small group here).
+    # Carry across chunks, per host in chunk order: at most one row per
+    # chunk, so even the busiest host is a small group here.
     by_chunk = Window.partitionBy(host).orderBy("_chunk")
-    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     upto = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    head_gap = F.col("_head_e") - F.lag("_tail_e").over(by_chunk)
     carry = (
-        summary.withColumn("_head_gap", head_gap)
+        summary.withColumn("_head_gap", F.col("_head_e") - F.lag("_tail_e").over(by_chunk))
         .withColumn("_head_flag", F.when(F.col("_head_gap") >= gap, 1).otherwise(0))
-        .withColumn(
-            "_head_resets", (F.row_number().over(by_chunk) == 1) | (F.col("_head_flag") == 1)
-        )
-        .withColumn("_resets", F.col("_head_resets") | (F.col("_n_inner") > 0))
-        .withColumn("_tail_rows", F.col("_n") - F.col("_last_start.rn") + 1)
-        .withColumn("_cum_rows", F.sum("_n").over(upto))
-        .withColumn(
-            "_sess_head",
-            F.coalesce(F.sum(F.col("_head_flag") + F.col("_n_inner")).over(before), F.lit(0))
-            + F.col("_head_flag"),
-        )
-        .withColumn(
-            "_in_url",
-            F.last(
-                F.when(F.col("_resets"), F.struct(F.col("_last_start.u").alias("u"))), ignorenulls=True
-            )
-            .over(before)
-            .getField("u"),
+        .withColumn("_resets", (F.row_number().over(by_chunk) == 1) | (F.col("_head_flag") == 1))
+        .withColumn("_cum", F.sum("_n").over(upto))
+        .withColumns(
+            {
+                "_sess_no": F.sum("_head_flag").over(upto),
+                "_entry": F.last(F.when(F.col("_resets"), F.col("_head")), ignorenulls=True)
+                .over(upto)
+                .getField("u"),
+                "_start": F.last(F.when(F.col("_resets"), F.col("_cum") - F.col("_n")), ignorenulls=True).over(
+                    upto
+                ),
+            }
         )
-        .withColumn(
-            "_in_base",
-            F.last(
-                F.when(F.col("_resets"), F.col("_tail_rows") - F.col("_cum_rows")), ignorenulls=True
-            ).over(before),
+        .select(
+            host,
+            "_chunk",
+            "_head_gap",
+            "_sess_no",
+            "_entry",
+            (F.col("_cum") - F.col("_n") - F.col("_start")).alias("_before"),
         )
-        .withColumn("_in_count", F.col("_in_base") + F.col("_cum_rows") - F.col("_n"))
-        .select(host, "_chunk", "_head_gap", "_head_resets", "_sess_head", "_in_url", "_in_count")
     )
 
-    # Step 4: join the carry back on the hits' own partitioning key.
+    # Hits: running values inside each (host, chunk) -- the only shuffle of
+    # the hits -- then the carry joined on that same key.
+    in_chunk = Window.partitionBy(host, "_chunk").orderBy(*_order(time, tie_break))
+    running = _running(in_chunk, tie_break)
+    rows = keyed.withColumns(
+        {
+            "_rn": F.row_number().over(in_chunk),
+            "_lag_gap": F.col(epoch) - F.lag(epoch).over(in_chunk),
+            "_cnt": F.count(F.lit(1)).over(running),
+            "_last_url": F.last(url).over(running),
+        }
+    )
     j = rows.join(carry, [host, "_chunk"], "left")
-    td = F.when(F.col("_rn") == 1, F.col("_head_gap")).otherwise(F.col("_inner_gap"))
-    inherited = (F.col("_seg") == 0) & ~F.col("_head_resets")
-    local_count = F.col("_cnt") - F.col("_seg_base")
-    out = (
-        j.withColumn("session_time_difference", td)
-        .withColumn(
-            "is_new_session",
-            F.when(F.col("session_time_difference") >= gap, 1).otherwise(0),
-        )
-        .withColumn("session_id", session_key(host, F.col("_sess_head") + F.col("_seg")))
-        .withColumn(
-            "first_visited_page",
-            F.when(inherited, F.col("_in_url")).otherwise(F.col("_seg_first")),
-        )
-        .withColumn("last_visited_page", F.col("_last_url"))
-        .withColumn(
-            "page_count",
-            F.when(inherited, F.col("_in_count") + local_count).otherwise(local_count),
-        )
+    td = F.when(F.col("_rn") == 1, F.col("_head_gap")).otherwise(F.col("_lag_gap"))
+    out = j.withColumn("session_time_difference", td).withColumns(
+        {
+            "is_new_session": F.when(F.col("session_time_difference") >= gap, 1).otherwise(0),
+            "session_id": session_key(host, "_sess_no"),
+            "first_visited_page": F.col("_entry"),
+            "last_visited_page": F.col("_last_url"),
+            "page_count": F.col("_before") + F.col("_cnt"),
+        }
     )
     return out.select(*hits.columns, *SESSION_COLUMNS)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.config import apply_runtime_conf
+from hitscope.config import apply_runtime_conf, scratch_root
 from hitscope.functions import patterns as P
 from hitscope.operators.geo import tag_country
 from hitscope.operators.routing import route_logs
@@ -21,7 +21,7 @@ def preprocess(
     raw: DataFrame,
     ranges: DataFrame,
     pseudonym_key: str | None = None,
-    strategy: str = "bucketed",
+    strategy: str = "auto",
     overlap: str = "all",
     keep: list[str] | None = None,
     use_offset: bool = False,
@@ -45,6 +45,14 @@ def build_sessions(
     return sessionize(enriched, gap=gap, tie_break=tie_break, strategy=strategy)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate that several outputs read: a
+    reliable checkpoint in the session's shared checkpoint folder (it
+    survives lost executors, unlike a local checkpoint)."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 # --- the shared test tables --------------------------------------------------
 
 TIE_BREAK = "event_id"
@@ -59,13 +67,13 @@ def test_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.ip_ranges(spark, sf_dir)
 
 
-def test_routes(spark: SparkSession, sf_dir: str, strategy: str = "bucketed") -> dict[str, DataFrame]:
+def test_routes(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> dict[str, DataFrame]:
     return preprocess(
         test_raw(spark, sf_dir), test_ranges(spark, sf_dir), strategy=strategy, keep=[TIE_BREAK]
     )
 
 
-def test_enriched(spark: SparkSession, sf_dir: str, strategy: str = "bucketed") -> DataFrame:
+def test_enriched(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     return test_routes(spark, sf_dir, strategy)["enriched"]
 
 
