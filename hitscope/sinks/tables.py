@@ -122,8 +122,11 @@ def publish_insights(
     publish(countries, f"{root}/country_insights", ds)
 
 
-def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
+def read_published(spark: SparkSession, root: str, table: str, key: str = "insight_date") -> DataFrame:
+    """A published table; the day key is read back as the text it was
+    written as (partition discovery would otherwise type it as a date)."""
+    df = spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
+    return df.withColumn(key, F.col(key).cast("string"))
 
 
 # S11 / C12 -----------------------------------------------------------------------------
