@@ -258,7 +258,9 @@ def tag_country(
         codes = suffix_codes(r, typed=True).select(
             F.col("country_code").alias("_code"), F.col("country").alias("_code_country")
         )
-        # The size check: both lookup tables counted in one job.
+        # The size check: both lookup tables counted in one job, which also
+        # fills their cache, so the broadcast below does not compute them again.
+        segs, codes = segs.cache(), codes.cache()
         sizes = (
             segs.select(F.lit("segments").alias("t"))
             .unionByName(codes.select(F.lit("codes").alias("t")))

@@ -53,7 +53,7 @@ SESSION_COLUMNS = [
     "last_visited_page",
     "page_count",
 ]
-DEFAULT_CHUNK_SECONDS = 3600
+DEFAULT_CHUNK_SECONDS = 600
 # Sort key for hits without a time: before every real chunk, as NULL times
 # sort first in an ascending window order.
 _NO_TIME_CHUNK = -(2**63)

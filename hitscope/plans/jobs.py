@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.config import apply_runtime_conf, scratch_root
+from hitscope.config import apply_runtime_conf, scratch_path
 from hitscope.functions import patterns as P
 from hitscope.operators.geo import tag_country
 from hitscope.operators.routing import route_logs
@@ -45,12 +45,15 @@ def build_sessions(
     return sessionize(enriched, gap=gap, tie_break=tie_break, strategy=strategy)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an intermediate that several outputs read: a
-    reliable checkpoint in the session's shared checkpoint folder (it
-    survives lost executors, unlike a local checkpoint)."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Hand an intermediate to the next stage through a table, as the
+    original jobs did: Parquet in a new folder under the session's shared
+    checkpoint folder, read back.  Lineage is cut (a lost executor never
+    recomputes the upstream), and every later reader gets column pruning
+    and filter pushdown instead of recomputing the upstream plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 # --- the shared test tables --------------------------------------------------
@@ -78,6 +81,15 @@ def test_enriched(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> D
 
 
 def test_sessions(
-    spark: SparkSession, sf_dir: str, gap: int = P.SESSION_GAP_SECONDS, strategy: str = "chunked"
+    spark: SparkSession,
+    sf_dir: str,
+    gap: int = P.SESSION_GAP_SECONDS,
+    strategy: str = "chunked",
+    stored: bool = False,
 ) -> DataFrame:
-    return build_sessions(test_enriched(spark, sf_dir), gap=gap, tie_break=TIE_BREAK, strategy=strategy)
+    """Sessions over the enriched log, which is first stored as a table (the
+    sessioniser reads it twice: hits and per-chunk summary).  ``stored``
+    also stores the sessions, for outputs that read them several times."""
+    enriched = materialize(test_enriched(spark, sf_dir), "enriched")
+    s = build_sessions(enriched, gap=gap, tie_break=TIE_BREAK, strategy=strategy)
+    return materialize(s, "sessions") if stored else s

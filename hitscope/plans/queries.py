@@ -43,8 +43,8 @@ def _hosts(spark: SparkSession, sf: str) -> DataFrame:
     return geo.distinct_hosts(_routes(spark, sf)["page"]).select("host")
 
 
-def _sessions(spark: SparkSession, sf: str, gap: int) -> DataFrame:
-    return jobs.test_sessions(spark, sf, gap)
+def _sessions(spark: SparkSession, sf: str, gap: int, stored: bool = False) -> DataFrame:
+    return jobs.test_sessions(spark, sf, gap, stored=stored)
 
 
 # --- C1 ----------------------------------------------------------------------------
@@ -192,7 +192,7 @@ def last_page_per_session(spark, sf):
 
 
 def exit_rates(spark, sf):
-    e = insights.exit_rates_by_day(_sessions(spark, sf, GAP_6H), tie_break=TB)
+    e = insights.exit_rates_by_day(_sessions(spark, sf, GAP_6H, stored=True), tie_break=TB)
     return e.select(
         F.date_format("insight_date", "yyyy-MM-dd").alias("insight_date"),
         "request_url",
@@ -203,25 +203,25 @@ def exit_rates(spark, sf):
 
 
 def page_insights(spark, sf):
-    return insights.page_insights_by_day(_sessions(spark, sf, GAP_30M), TOP_K, TOP_K, tie_break=TB)
+    return insights.page_insights_by_day(_sessions(spark, sf, GAP_30M, stored=True), TOP_K, TOP_K, tie_break=TB)
 
 
 def page_insights_6h(spark, sf):
-    return insights.page_insights_by_day(_sessions(spark, sf, GAP_6H), TOP_K, TOP_K, tie_break=TB)
+    return insights.page_insights_by_day(_sessions(spark, sf, GAP_6H, stored=True), TOP_K, TOP_K, tie_break=TB)
 
 
 def new_visitors(spark, sf):
-    s = _sessions(spark, sf, GAP_30M)
+    s = _sessions(spark, sf, GAP_30M, stored=True)
     nv = insights.new_visitors_by_day(s, s, LOOKBACK_DAYS)
     return nv.select(F.date_format("insight_date", "yyyy-MM-dd").alias("insight_date"), "new_users_count")
 
 
 def daily_insights(spark, sf):
-    return insights.daily_insights_all_days(_sessions(spark, sf, GAP_30M), lookback_days=LOOKBACK_DAYS, tie_break=TB)
+    return insights.daily_insights_all_days(_sessions(spark, sf, GAP_30M, stored=True), lookback_days=LOOKBACK_DAYS, tie_break=TB)
 
 
 def daily_insights_6h(spark, sf):
-    return insights.daily_insights_all_days(_sessions(spark, sf, GAP_6H), lookback_days=LOOKBACK_DAYS, tie_break=TB)
+    return insights.daily_insights_all_days(_sessions(spark, sf, GAP_6H, stored=True), lookback_days=LOOKBACK_DAYS, tie_break=TB)
 
 
 def country_insights(spark, sf):
@@ -237,7 +237,7 @@ def site_top_pages(spark, sf):
 
 
 def site_top_exits(spark, sf):
-    return insights.site_top_exits(_sessions(spark, sf, GAP_6H), TOP_K, tie_break=TB)
+    return insights.site_top_exits(_sessions(spark, sf, GAP_6H, stored=True), TOP_K, tie_break=TB)
 
 
 # --- C11 / C12 -----------------------------------------------------------------------------
@@ -245,7 +245,7 @@ def publish_rerun(spark, sf):
     """C11: publish the three tables for every day, rerun the first day
     (replaces that day only), read the daily table back."""
     root = scratch_path(spark, "published")
-    s = _sessions(spark, sf, GAP_30M)
+    s = _sessions(spark, sf, GAP_30M, stored=True)
     daily = insights.daily_insights_all_days(s, lookback_days=LOOKBACK_DAYS, tie_break=TB)
     pages = insights.page_insights_by_day(s, TOP_K, TOP_K, tie_break=TB)
     countries = insights.country_insights_by_day(s)
