@@ -22,8 +22,10 @@ from hitscope.plans.queries import queries  # noqa: E402
 
 HEADLINE = [
     "route_counts",  # C1
-    "country_tagged_hits",  # C2, bucketed range join
-    "ip_range_country",  # C2, size-checked broadcast range join
+    "country_tagged_hits",  # C2, size-checked broadcast lookups per hit
+    "country_tagged_hits_shuffle",  # C2, distinct hosts + bucketed range join + host map
+    "ip_range_country",  # J1, size-checked broadcast nested-loop range join
+    "ip_range_country_bucketed",  # J1, bucketed equi-join range join
     "session_hits_30m",  # C5, gap 1,800 s
     "session_hits_6h",  # C5, gap 21,600 s
     "daily_insights",  # C6 (+ C9), all days

@@ -261,6 +261,7 @@ FROM hosts"""
     q["ip_range_country_bucketed"] = q["ip_range_country"]
     q["host_suffix_country"] = base + "SELECT host, country FROM name_country"
     q["country_tagged_hits"] = base + "SELECT event_id, encrypted_host, request_url, country FROM tagged"
+    q["country_tagged_hits_shuffle"] = q["country_tagged_hits"]
     q["time_columns"] = base + """
 SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
        year, month, day, event_id FROM enriched"""
@@ -347,6 +348,10 @@ ORDER BY count_page_visit DESC, request_url ASC LIMIT {TOP_K}""",
     )
     q["partitioned_rewrite"] = q["time_columns"]
     q["publish_rerun"] = q["daily_insights"]
+    q["session_hits_sql"] = q["session_hits_30m"]
+    q["streamed_enriched_log"] = base + """
+SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
+       year, month, day FROM enriched"""
     q["land_new_days"] = base + """
 SELECT strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS lines FROM raw GROUP BY 1"""
     return q

@@ -110,8 +110,17 @@ def host_suffix_country(spark, sf):
 
 
 def country_tagged_hits(spark, sf):
+    """C2 with the size-checked broadcast lookups (no shuffle of the hits)."""
     page = _routes(spark, sf)["page"]
-    tagged = geo.tag_country(page, jobs.test_ranges(spark, sf))
+    tagged = geo.tag_country(page, jobs.test_ranges(spark, sf), strategy="auto")
+    return tagged.select(TB, "encrypted_host", "request_url", "country")
+
+
+def country_tagged_hits_shuffle(spark, sf):
+    """C2 through the distinct hosts, the bucketed range join and the host map
+    (the form used when the lookup tables are too large to broadcast)."""
+    page = _routes(spark, sf)["page"]
+    tagged = geo.tag_country(page, jobs.test_ranges(spark, sf), strategy="shuffle")
     return tagged.select(TB, "encrypted_host", "request_url", "country")
 
 
@@ -297,6 +306,7 @@ _QUERIES: dict[str, Query] = {
     "ip_range_country_bucketed": ip_range_country_bucketed,
     "host_suffix_country": host_suffix_country,
     "country_tagged_hits": country_tagged_hits,
+    "country_tagged_hits_shuffle": country_tagged_hits_shuffle,
     "time_columns": time_columns,
     "gaps_and_flags": gaps_and_flags,
     "session_hits_30m": session_hits_30m,
@@ -338,3 +348,36 @@ def _wrap(fn: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     return {k: _wrap(v) for k, v in _QUERIES.items()}
+
+
+# --- S5 and the file-stream form --------------------------------------------------------
+def session_hits_sql(spark, sf):
+    """The same sessions through a temp view and SQL text."""
+    from hitscope.plans.sql import sessionize_sql
+
+    enriched = jobs.materialize(jobs.test_enriched(spark, sf), "enriched")
+    return sessionize_sql(spark, enriched, GAP_30M, tie_break=TB).select(*schemas.SESSION_FIELDS, TB)
+
+
+def streamed_enriched_log(spark, sf):
+    """The enriched log built incrementally from raw log files: the first
+    run processes the first half of the month, the second run only the files
+    that arrived after it, a third run nothing."""
+    from hitscope.streaming.incremental import run_incremental
+
+    src = scratch_path(spark, "stream-src")
+    out = scratch_path(spark, "stream-out")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    lines = testdata.access_log_lines(jobs.test_raw(spark, sf))
+    day = F.substring(F.col("value"), F.instr("value", "[") + 1, 2).cast("int")
+    ranges = jobs.test_ranges(spark, sf)
+    lines.where(day <= 15).select("value").write.text(f"{src}/part-1")
+    run_incremental(spark, f"{src}/*", ranges, out, ckpt)
+    lines.where(day > 15).select("value").write.text(f"{src}/part-2")
+    run_incremental(spark, f"{src}/*", ranges, out, ckpt)
+    run_incremental(spark, f"{src}/*", ranges, out, ckpt)
+    return spark.read.parquet(out).select(*schemas.ENRICHED_FIELDS)
+
+
+_QUERIES["session_hits_sql"] = session_hits_sql
+_QUERIES["streamed_enriched_log"] = streamed_enriched_log
