@@ -65,11 +65,12 @@ def session_day_rollup(
     """One row per ``(insight_date, session_id)``: host, hits, duration and
     exit page (W6 as ``max_by`` over the time order)."""
     td = F.col("session_time_difference")
+    # The host is fixed per session, so it is a grouping key rather than a
+    # string aggregate buffer: the metrics then aggregate by hash, not by sort.
     return (
         with_day(sessions)
-        .groupBy("insight_date", "session_id")
+        .groupBy("insight_date", "session_id", HOST)
         .agg(
-            F.first(HOST).alias(HOST),
             F.count(F.lit(1)).alias("hits"),
             F.sum(F.when(td <= duration_gap, td)).alias("duration"),
             F.max_by("last_visited_page", _order_key(tie_break)).alias("exit_page"),
@@ -253,8 +254,7 @@ def country_insights_by_day(sessions: DataFrame) -> DataFrame:
 def site_insights(sessions: DataFrame, duration_gap: int = P.DURATION_GAP_SECONDS, tie_break: str | None = None) -> DataFrame:
     """One row for the whole input (no day slice)."""
     td = F.col("session_time_difference")
-    r = sessions.groupBy("session_id").agg(
-        F.first(HOST).alias(HOST),
+    r = sessions.groupBy("session_id", HOST).agg(
         F.count(F.lit(1)).alias("hits"),
         F.sum(F.when(td <= duration_gap, td)).alias("duration"),
     )

@@ -200,8 +200,7 @@ def session_rollup(
     rather than a per-session window."""
     order = F.struct(F.col(time), F.col(tie_break)) if tie_break else F.col(time)
     td = F.col("session_time_difference")
-    return sessions.groupBy("session_id").agg(
-        F.first(host).alias(host),
+    return sessions.groupBy("session_id", host).agg(
         F.min(time).alias("session_start"),
         F.max(time).alias("session_end"),
         F.count(F.lit(1)).alias("hits"),

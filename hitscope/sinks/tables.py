@@ -45,10 +45,12 @@ def write_partitioned(
     sort_cols: list[str] | None = None,
 ) -> None:
     """Dynamic-partition overwrite: only the partitions present in ``df``
-    are replaced.  Rows are clustered by partition before writing (one
-    shuffle, so each task writes few files) and, instead of a global sort,
-    sorted within each task by ``sort_cols``."""
-    out = df.repartition(*partition_cols)
+    are replaced.  Rows are clustered by partition before writing with a
+    ``rebalance`` hint: AQE splits a partition that is too large (one busy
+    day is spread over many tasks) and merges small ones, so tasks write
+    few, reasonably sized files.  Instead of a global sort, rows are sorted
+    within each task by ``sort_cols``."""
+    out = df.hint("rebalance", *partition_cols)
     if sort_cols:
         out = out.sortWithinPartitions(*partition_cols, *sort_cols)
     (
@@ -100,7 +102,7 @@ def publish(df: DataFrame, path: str, dates: Iterable[str] | None = None, key: s
     if dates is not None:
         drop_partitions(df.sparkSession, path, key, dates)
     (
-        df.repartition(key)
+        df.hint("rebalance", key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
