@@ -54,15 +54,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session (``spark.checkpoint.dir``);
     set to a fresh local folder only when the session has none."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local JVM context
+        sc = None
+    if sc is not None:
+        if sc.getCheckpointDir():
+            return sc.getCheckpointDir()
+        d = d or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="hitscope-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    spark.conf.set("spark.checkpoint.dir", d)
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
