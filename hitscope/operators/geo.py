@@ -29,7 +29,11 @@ from hitscope.functions import patterns as P
 from hitscope.sources.access_log import typed_ip_ranges
 
 BUCKET_BITS = 16
-DEFAULT_MAX_BROADCAST_RANGES = 100_000
+# Size bounds checked before anything is broadcast.  The per-hit lookups are
+# hash joins (about 40 bytes per segment row, so 2M rows is ~80 MB); the
+# nested-loop range join costs hosts x ranges, so its bound is far lower.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_NESTED_LOOP_RANGES = 10_000
 
 
 def distinct_hosts(hits: DataFrame, host: str = "host") -> DataFrame:
@@ -99,7 +103,7 @@ def ip_range_country(
     ips: DataFrame,
     ranges: DataFrame,
     strategy: str = "bucketed",
-    max_broadcast_ranges: int = DEFAULT_MAX_BROADCAST_RANGES,
+    max_broadcast_ranges: int = DEFAULT_MAX_NESTED_LOOP_RANGES,
     overlap: str = "all",
     typed: bool = False,
 ) -> DataFrame:
@@ -232,7 +236,7 @@ def tag_country(
     overlap: str = "all",
     host: str = "host",
     unknown_label: str | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_RANGES,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Every hit with a ``country`` column.
 

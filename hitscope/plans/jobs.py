@@ -17,6 +17,18 @@ from hitscope.operators.timecols import enriched_hits
 from hitscope.sources import testdata
 
 
+def spread_input(raw: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure the CPU-heavy parsing runs on all cores.  A compressed log
+    file (gzip is not splittable) or a file with a single row group is read
+    by one task; when the scan yields fewer splits than the cluster's default
+    parallelism, the lines are dealt round-robin over that many partitions.
+    Opt-in (``min_partitions``): with many input splits (the normal
+    large-scale case) or small inputs the extra shuffle does not pay."""
+    if raw.isStreaming or not min_partitions:
+        return raw
+    return raw.repartition(min_partitions) if raw.rdd.getNumPartitions() < min_partitions else raw
+
+
 def preprocess(
     raw: DataFrame,
     ranges: DataFrame,
@@ -25,11 +37,12 @@ def preprocess(
     overlap: str = "all",
     keep: list[str] | None = None,
     use_offset: bool = False,
+    min_partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     """C1 + C2 + C3: routed hit streams and the enriched (country-tagged,
     timed) page hits.  ``keep`` lists extra input columns to carry along,
     such as an ordering tie-break."""
-    routes = route_logs(raw, pseudonym_key)
+    routes = route_logs(spread_input(raw, min_partitions), pseudonym_key)
     tagged = tag_country(routes["page"], ranges, strategy=strategy, overlap=overlap)
     routes["enriched"] = enriched_hits(tagged, keep=keep, use_offset=use_offset)
     return routes

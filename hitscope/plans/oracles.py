@@ -265,6 +265,7 @@ FROM hosts"""
     q["time_columns"] = base + """
 SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
        year, month, day, event_id FROM enriched"""
+    q["time_columns_with_offset"] = q["time_columns"]
     q["gaps_and_flags"] = _sess_query(
         GAP_30M, "SELECT event_id, encrypted_host, session_time_difference, is_new_session FROM sess"
     )

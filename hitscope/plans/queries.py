@@ -129,6 +129,15 @@ def time_columns(spark, sf):
     return jobs.test_enriched(spark, sf).select(*schemas.ENRICHED_FIELDS, TB)
 
 
+def time_columns_with_offset(spark, sf):
+    """F8 reading the logged offset instead of the session zone (the test
+    log is written in UTC, so the instants equal ``time_columns``)."""
+    routes = jobs.preprocess(
+        jobs.test_raw(spark, sf), jobs.test_ranges(spark, sf), keep=[TB], use_offset=True
+    )
+    return routes["enriched"].select(*schemas.ENRICHED_FIELDS, TB)
+
+
 def partitioned_rewrite(spark, sf):
     """C4: write the enriched log partitioned by year/month/day, rerun one
     day (dynamic overwrite replaces just that day), read everything back."""
@@ -308,6 +317,7 @@ _QUERIES: dict[str, Query] = {
     "country_tagged_hits": country_tagged_hits,
     "country_tagged_hits_shuffle": country_tagged_hits_shuffle,
     "time_columns": time_columns,
+    "time_columns_with_offset": time_columns_with_offset,
     "gaps_and_flags": gaps_and_flags,
     "session_hits_30m": session_hits_30m,
     "session_hits_6h": session_hits_6h,
