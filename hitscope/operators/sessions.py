@@ -41,6 +41,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitscope.functions import patterns as P
 from hitscope.functions import session_key
@@ -57,6 +58,8 @@ DEFAULT_CHUNK_SECONDS = 600
 # Sort key for hits without a time: before every real chunk, as NULL times
 # sort first in an ascending window order.
 _NO_TIME_CHUNK = -(2**63)
+_NO_TIME_ROWS_PER_CHUNK = 1 << 16
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _order(time: str, tie_break: str | None) -> list[Column]:
@@ -116,7 +119,15 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
     # than ``gap`` apart, so a session can only start at a chunk's first hit
     # and the per-chunk summary needs no ordering inside the chunk.
     width = min(int(gap), int(chunk_seconds))
-    chunk = F.coalesce(F.floor(F.col(epoch) / F.lit(width)), F.lit(_NO_TIME_CHUNK))
+    no_time = F.lit(_NO_TIME_CHUNK)
+    if tie_break and isinstance(hits.schema[tie_break].dataType, _INTEGRAL):
+        # Hits without a time sort first, in tie-break order; spread them over
+        # chunks of tie-break ranges below every real chunk, so a host whose
+        # times do not parse is not one task either.
+        no_time = no_time + F.coalesce(
+            F.floor(F.greatest(F.col(tie_break), F.lit(0)) / F.lit(_NO_TIME_ROWS_PER_CHUNK)), F.lit(0)
+        )
+    chunk = F.coalesce(F.floor(F.col(epoch) / F.lit(width)), no_time)
     keyed = hits.withColumn("_chunk", chunk)
     order = F.struct(F.col(time), F.col(tie_break)) if tie_break else F.struct(F.col(time))
 

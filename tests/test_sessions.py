@@ -99,3 +99,12 @@ def test_plans_have_no_python_and_bounded_shuffles(spark):
     assert _plan(w).count("Exchange hashpartitioning") == 1
     # hits once by (host, chunk); summaries: partial aggregate, carry window, join
     assert _plan(c).count("Exchange hashpartitioning") <= 4
+
+
+def test_hits_without_time_spread_over_chunks(spark):
+    # one host whose times do not parse for many hits, plus timed hits: same
+    # rows as the brute force, with the untimed hits split into several chunks
+    rows = [("hot", None, f"/n{i % 3}", i * 40000) for i in range(12)]
+    rows += [("hot", 100 + 50 * i, f"/t{i}", 10**7 + i) for i in range(5)] + [("x", 5, "/x", 1)]
+    df = sessionize(hits(spark, rows), 1800, tie_break="event_id", strategy="chunked")
+    assert rows_of(df, COLS) == brute_force(rows, 1800)
