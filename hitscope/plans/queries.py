@@ -161,6 +161,12 @@ def session_hits_30m(spark, sf):
     return _sessions(spark, sf, GAP_30M).select(*schemas.SESSION_FIELDS, TB)
 
 
+def session_hits_30m_window(spark, sf):
+    """C5 with the direct window plan (one shuffle on host), for comparison
+    with the default skew-proof chunked plan."""
+    return jobs.test_sessions(spark, sf, GAP_30M, strategy="window").select(*schemas.SESSION_FIELDS, TB)
+
+
 def session_hits_6h(spark, sf):
     return _sessions(spark, sf, GAP_6H).select(*schemas.SESSION_FIELDS, TB)
 
@@ -320,6 +326,7 @@ _QUERIES: dict[str, Query] = {
     "time_columns_with_offset": time_columns_with_offset,
     "gaps_and_flags": gaps_and_flags,
     "session_hits_30m": session_hits_30m,
+    "session_hits_30m_window": session_hits_30m_window,
     "session_hits_6h": session_hits_6h,
     "session_rollup": session_rollup_q,
     "unique_visitors": unique_visitors,

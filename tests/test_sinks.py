@@ -79,3 +79,25 @@ def test_routed_and_table_sinks(spark, tmp_out):
     assert t.count() == 4
     spark.sql("DROP TABLE IF EXISTS hits_partitioned")
     spark.sql("DROP TABLE IF EXISTS hits_external")
+
+
+def test_routed_sink_and_session_csv_scan(spark, tmp_out):
+    from hitscope import schemas
+    from hitscope.operators.routing import route_logs
+    from hitscope.sources.access_log import read_session_hits
+
+    from .helpers import raw_log
+
+    good = ("h.a.com", "-", "-", "[01/Jul/1995:00:00:01", "-0400]", "GET /a.html HTTP/1.0", "200", "10")
+    routes = route_logs(raw_log(spark, [good, good[:5] + ("GET /x?a=1 HTTP/1.0",) + good[6:], ("x",) + (None,) * 7]))
+    routes = {k: v for k, v in routes.items() if k in ("null", "rejected", "page", "non_page")}
+    out = os.path.join(tmp_out, "routed")
+    tables.write_routed(routes, out)
+    counts = {k: spark.read.parquet(f"{out}/{k}").count() for k in routes}
+    assert counts == {"null": 1, "rejected": 1, "page": 1, "non_page": 0}
+    assert spark.read.parquet(f"{out}/page").columns == schemas.ROUTED_FIELDS
+    csv = os.path.join(tmp_out, "sessions.csv")
+    with open(csv, "w") as f:
+        f.write("h,1995-07-01 00:00:01,804556801,GET / HTTP/1.0,200,10,/,NA,1995,7,1,,0,h_0,/,/,1\n")
+    s = read_session_hits(spark, csv, fmt="csv").first()
+    assert s["session_id"] == "h_0" and s["epoch"] == 804556801 and s["session_time_difference"] is None
