@@ -15,7 +15,8 @@ Semantics (kept from the original jobs):
   and frames are ROWS.  Without one, equal times are peers (RANGE frames),
   which is what an un-framed SQL window does.
 
-Two strategies produce the same rows:
+Two strategies produce the same rows (``auto``, the default, measures the
+busiest host and picks ``window`` when it fits one task, else ``chunked``):
 
 ``window``
     The direct form: one hash shuffle on host, LAG + running SUM, then the
@@ -55,6 +56,8 @@ SESSION_COLUMNS = [
     "page_count",
 ]
 DEFAULT_CHUNK_SECONDS = 600
+# A host with more hits than this is not sessionised in a single task.
+DEFAULT_MAX_HOST_ROWS = 5_000_000
 # Sort key for hits without a time: before every real chunk, as NULL times
 # sort first in an ascending window order.
 _NO_TIME_CHUNK = -(2**63)
@@ -72,6 +75,13 @@ def _running(w: Window, tie_break: str | None) -> Window:
     return w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def largest_host(hits: DataFrame, host: str = "encrypted_host") -> int:
+    """Hits of the busiest host (a map-side combined count; one number
+    reaches the driver)."""
+    n = hits.groupBy(host).count().agg(F.max("count").alias("n")).first()["n"]
+    return int(n or 0)
+
+
 def sessionize(
     hits: DataFrame,
     gap: int = P.SESSION_GAP_SECONDS,
@@ -80,10 +90,17 @@ def sessionize(
     epoch: str = "epoch",
     url: str = "request_url",
     tie_break: str | None = None,
-    strategy: str = "chunked",
+    strategy: str = "auto",
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+    max_host_rows: int = DEFAULT_MAX_HOST_ROWS,
 ) -> DataFrame:
-    """Add the six session columns to every hit (row count unchanged)."""
+    """Add the six session columns to every hit (row count unchanged).
+
+    ``auto`` measures the busiest host first: when it has at most
+    ``max_host_rows`` hits, every host fits one task and the single-shuffle
+    ``window`` plan is used; otherwise the skew-proof ``chunked`` plan."""
+    if strategy == "auto":
+        strategy = "window" if largest_host(hits, host) <= max_host_rows else "chunked"
     if strategy == "window":
         return _sessionize_window(hits, gap, host, time, epoch, url, tie_break)
     if strategy == "chunked":

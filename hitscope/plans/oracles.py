@@ -271,6 +271,8 @@ SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, requ
     )
     q["session_hits_30m"] = _sess_query(GAP_30M, f"SELECT {SESSION_COLS} FROM sess")
     q["session_hits_30m_window"] = q["session_hits_30m"]
+    q["session_hits_30m_chunked"] = q["session_hits_30m"]
+    q["session_hits_6h_chunked"] = _sess_query(GAP_6H, f"SELECT {SESSION_COLS} FROM sess")
     q["session_hits_6h"] = _sess_query(GAP_6H, f"SELECT {SESSION_COLS} FROM sess")
     q["session_rollup"] = _sess_query(
         GAP_6H,

@@ -167,6 +167,16 @@ def session_hits_30m_window(spark, sf):
     return jobs.test_sessions(spark, sf, GAP_30M, strategy="window").select(*schemas.SESSION_FIELDS, TB)
 
 
+def session_hits_30m_chunked(spark, sf):
+    """C5 with the skew-proof chunked plan (what ``auto`` picks when one host
+    is too large for a task)."""
+    return jobs.test_sessions(spark, sf, GAP_30M, strategy="chunked").select(*schemas.SESSION_FIELDS, TB)
+
+
+def session_hits_6h_chunked(spark, sf):
+    return jobs.test_sessions(spark, sf, GAP_6H, strategy="chunked").select(*schemas.SESSION_FIELDS, TB)
+
+
 def session_hits_6h(spark, sf):
     return _sessions(spark, sf, GAP_6H).select(*schemas.SESSION_FIELDS, TB)
 
@@ -327,6 +337,8 @@ _QUERIES: dict[str, Query] = {
     "gaps_and_flags": gaps_and_flags,
     "session_hits_30m": session_hits_30m,
     "session_hits_30m_window": session_hits_30m_window,
+    "session_hits_30m_chunked": session_hits_30m_chunked,
+    "session_hits_6h_chunked": session_hits_6h_chunked,
     "session_hits_6h": session_hits_6h,
     "session_rollup": session_rollup_q,
     "unique_visitors": unique_visitors,

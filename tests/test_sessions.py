@@ -108,3 +108,15 @@ def test_hits_without_time_spread_over_chunks(spark):
     rows += [("hot", 100 + 50 * i, f"/t{i}", 10**7 + i) for i in range(5)] + [("x", 5, "/x", 1)]
     df = sessionize(hits(spark, rows), 1800, tie_break="event_id", strategy="chunked")
     assert rows_of(df, COLS) == brute_force(rows, 1800)
+
+
+def test_auto_picks_plan_by_busiest_host(spark):
+    from hitscope.operators.sessions import largest_host
+
+    rows = [("hot", i * 100, "/x", i) for i in range(30)] + [("b", 7, "/y", 100)]
+    h = hits(spark, rows)
+    assert largest_host(h) == 30
+    small = sessionize(h, 1800, tie_break="event_id", strategy="auto", max_host_rows=29)
+    big = sessionize(h, 1800, tie_break="event_id", strategy="auto", max_host_rows=30)
+    assert "_chunk" in _plan(small) and "_chunk" not in _plan(big)
+    assert rows_of(small, COLS) == rows_of(big, COLS) == brute_force(rows, 1800)
