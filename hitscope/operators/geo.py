@@ -12,11 +12,10 @@ Scale design:
   65,536 plus the number of ranges when ranges do not overlap.
 * A broadcast nested-loop form is kept for small range tables; it is only
   chosen after the range table's row count has been checked.
-* The final join back to the hits (J3) is an equi join on host.  Spark
-  broadcasts the host map when its measured size allows and otherwise
-  shuffles; a hot host's partition is split at run time by AQE's skew-join
-  handling (``spark.sql.adaptive.skewJoin.enabled``, set by
-  ``hitscope.config``).
+* The final join back to the hits (J3), when the lookups are too large to
+  broadcast, is an equi join on ``(host, salt)``: hosts with more than
+  ``hot_host_rows`` hits get one salt per ``hot_host_rows`` hits and their
+  map rows are repeated per salt, so a hot host is split over many tasks.
 """
 
 from __future__ import annotations
@@ -34,6 +33,9 @@ BUCKET_BITS = 16
 # nested-loop range join costs hosts x ranges, so its bound is far lower.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_NESTED_LOOP_RANGES = 10_000
+# A host with more hits than this is split over several tasks in the
+# shuffle form of the host-map join.
+DEFAULT_HOT_HOST_ROWS = 1_000_000
 
 
 def distinct_hosts(hits: DataFrame, host: str = "host") -> DataFrame:
@@ -200,21 +202,11 @@ def suffix_codes(ranges: DataFrame, typed: bool = False) -> DataFrame:
     return r.select("country_code", "country").distinct()
 
 
-def host_country_map(
-    hits: DataFrame,
-    ranges: DataFrame,
-    overlap: str = "all",
-    host: str = "host",
-) -> DataFrame:
-    """Distinct ``(host, country)`` pairs (hosts in no range, or matching
-    neither pattern, have no pair).  One pass over the distinct hosts: the
-    IP lookup (bucketed range join) and the suffix lookup are two left joins
-    on the same host rows."""
-    r = typed_ip_ranges(ranges)
-    hosts = _classified(distinct_hosts(hits, host), "host")
+def _map_hosts(hosts: DataFrame, r: DataFrame, overlap: str) -> DataFrame:
     segs = range_segments(r, overlap, typed=True)
     codes = suffix_codes(r, typed=True)
-    j = hosts.join(
+    c = _classified(hosts, "host")
+    j = c.join(
         segs.withColumnRenamed("country", "ip_country"),
         (F.col("_bucket") == F.col("bucket")) & F.col("_ip").between(F.col("seg_begin"), F.col("seg_end")),
         "left",
@@ -229,6 +221,50 @@ def host_country_map(
     return j.select("host", country.alias("country")).where(F.col("country").isNotNull()).distinct()
 
 
+def host_country_map(
+    hits: DataFrame,
+    ranges: DataFrame,
+    overlap: str = "all",
+    host: str = "host",
+) -> DataFrame:
+    """Distinct ``(host, country)`` pairs (hosts in no range, or matching
+    neither pattern, have no pair).  One pass over the distinct hosts: the
+    IP lookup (bucketed range join) and the suffix lookup are two left joins
+    on the same host rows."""
+    return _map_hosts(distinct_hosts(hits, host).select("host"), typed_ip_ranges(ranges), overlap)
+
+
+def _salted_map_join(hits: DataFrame, r: DataFrame, overlap: str, host: str, hot_host_rows: int) -> DataFrame:
+    """J3 as a shuffle join that splits hot hosts.
+
+    A host with more than ``hot_host_rows`` hits is hot; there are at most
+    (all hits / ``hot_host_rows``) of them, so their list is broadcast with a
+    bound that holds by construction.  A hot host's hits get a salt in
+    ``[0, ceil(hits / hot_host_rows))`` from a hash of the row (stable on
+    retries) and its map rows are repeated once per salt, so the join spreads
+    the host over that many tasks; every other host keeps salt 0."""
+    dims = distinct_hosts(hits, host)
+    hot = dims.where(F.col("hits") > hot_host_rows).select(
+        F.col("host").alias("_hot_host"), F.ceil(F.col("hits") / F.lit(hot_host_rows)).alias("_salts")
+    )
+    salted = hits.join(F.broadcast(hot), hits[host] == F.col("_hot_host"), "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*[hits[c] for c in hits.columns]), F.col("_salts")), F.lit(0))
+    ).drop("_hot_host", "_salts")
+    m = _map_hosts(dims.select("host"), r, overlap)
+    m = (
+        m.join(F.broadcast(hot), m["host"] == F.col("_hot_host"), "left")
+        .select(
+            F.col("host").alias("_host_name"),
+            "country",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_salts"), F.lit(1)).cast("bigint") - 1)).alias(
+                "_map_salt"
+            ),
+        )
+    )
+    cond = (salted[host] == m["_host_name"]) & (salted["_salt"] == m["_map_salt"])
+    return salted.join(m, cond, "left").select(*hits.columns, "country")
+
+
 def tag_country(
     hits: DataFrame,
     ranges: DataFrame,
@@ -237,6 +273,7 @@ def tag_country(
     host: str = "host",
     unknown_label: str | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    hot_host_rows: int = DEFAULT_HOT_HOST_ROWS,
 ) -> DataFrame:
     """Every hit with a ``country`` column.
 
@@ -251,9 +288,8 @@ def tag_country(
     lookup tables were counted and hold at most ``max_broadcast_rows`` rows.
 
     ``shuffle``: the lookups run on the distinct hosts and the resulting
-    host map is joined back on host (J3); Spark broadcasts the map when its
-    measured size allows, else shuffles, and AQE splits a hot host's
-    partition.  ``auto`` picks ``broadcast`` when the size check passes."""
+    host map is joined back on host (J3) with hot hosts salted: a host with
+    more than ``hot_host_rows`` hits is spread over several tasks.  ``auto`` picks ``broadcast`` when the size check passes."""
     r = typed_ip_ranges(ranges)
     if strategy in ("auto", "broadcast"):
         segs = range_segments(r, overlap, typed=True).select(
@@ -286,8 +322,7 @@ def tag_country(
         )
         out = j.select(*hits.columns, country.alias("country"))
     elif strategy == "shuffle":
-        m = host_country_map(hits, r, overlap, host).withColumnRenamed("host", "_host_name")
-        out = hits.join(m, hits[host] == m["_host_name"], "left").drop("_host_name")
+        out = _salted_map_join(hits, r, overlap, host, hot_host_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     if unknown_label is not None:

@@ -121,3 +121,11 @@ def test_ambiguous_hosts(spark):
     amb = {r["host"] for r in geo.ambiguous_hosts(m).collect()}
     assert amb == {"1.2.3.4"}
     assert m.where(F.col("host") == "9.9.9.9").count() == 0
+
+
+def test_shuffle_path_salts_hot_hosts(spark):
+    hosts = ["1.2.3.4"] * 40 + ["a.b.au"] * 25 + HOSTS
+    rng = ranges(spark, RANGES)
+    salted = _tag(spark, hosts, rng, "shuffle", hot_host_rows=7)
+    assert salted == _tag(spark, hosts, rng, "broadcast")
+    assert salted == _tag(spark, hosts, rng, "shuffle")
