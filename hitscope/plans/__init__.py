@@ -1,0 +1 @@
+"""Composite jobs, the registered queries, their DuckDB oracles and the SQL surface."""

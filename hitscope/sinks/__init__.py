@@ -1,0 +1 @@
+"""Sinks: routed outputs, partitioned log, tables, idempotent publish, landing."""

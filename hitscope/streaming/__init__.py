@@ -1,0 +1 @@
+"""Structured Streaming form of landing + preprocessing (only new log files)."""
