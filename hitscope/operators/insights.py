@@ -45,16 +45,33 @@ def with_day(sessions: DataFrame) -> DataFrame:
     return sessions.withColumn("insight_date", F.col("datetime").cast("date"))
 
 
+def _stored_day(df: DataFrame) -> Column | None:
+    """The day as given by ``year``/``month``/``day`` columns, when present.
+    These are derived from ``datetime``, so filtering on them selects the same
+    rows; on a table partitioned by them it becomes a partition filter and
+    other days are never read."""
+    if {"year", "month", "day"} <= set(df.columns):
+        return F.make_date("year", "month", "day")
+    return None
+
+
 def day_slice(sessions: DataFrame, date: str | _dt.date) -> DataFrame:
     """Hits of one day."""
-    return sessions.where(F.col("datetime").cast("date") == F.lit(date).cast("date"))
+    d = F.lit(date).cast("date")
+    cond = F.col("datetime").cast("date") == d
+    stored = _stored_day(sessions)
+    return sessions.where(cond if stored is None else cond & (stored == d))
 
 
 def lookback_slice(sessions: DataFrame, date: str | _dt.date, days: int) -> DataFrame:
     """P15 + F14: hits in ``[date - days, date)``."""
     d = F.lit(date).cast("date")
     day = F.col("datetime").cast("date")
-    return sessions.where((day >= F.date_sub(d, days)) & (day < d))
+    cond = (day >= F.date_sub(d, days)) & (day < d)
+    stored = _stored_day(sessions)
+    if stored is not None:
+        cond = cond & (stored >= F.date_sub(d, days)) & (stored < d)
+    return sessions.where(cond)
 
 
 def session_day_rollup(

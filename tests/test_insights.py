@@ -94,3 +94,21 @@ def test_country_and_site(spark):
     assert site["avg_session_duration_sec"] == 1500  # (1200 + 1800) / 2
     top = insights.site_top_pages(s, 2).collect()
     assert [(r["request_url"], r["count_page_visit"]) for r in top] == [("/x", 3), ("/y", 2)]
+
+
+def test_day_slice_prunes_partitions(spark, tmp_out):
+    from hitscope.sinks.tables import write_partitioned
+
+    s = _sessions(spark, ROWS).withColumns(
+        {"year": F.year("datetime"), "month": F.month("datetime"), "day": F.dayofmonth("datetime")}
+    )
+    path = f"{tmp_out}/sessions"
+    write_partitioned(s, path)
+    stored = spark.read.parquet(path)
+    one = insights.day_slice(stored, "2024-01-02")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "make_date" in plan
+    assert one.count() == 3  # a at 00:10 and 05:33, c at 00:00:50
+    assert insights.lookback_slice(stored, "2024-01-02", 1).count() == 3
+    d = insights.daily_insights(stored, stored, "2024-01-02", 7, tie_break="event_id").first()
+    assert d["user_session_count"] == 3 and d["new_users_count"] == 1
