@@ -123,27 +123,39 @@ def new_visitors_by_day(
     lookback_days: int,
 ) -> DataFrame:
     """C9 for every day of ``today``: hosts seen that day and not in
-    ``history`` during ``[day - lookback_days, day)`` (J5 as a left anti
-    join on host, after reducing both sides to distinct ``(host, day)``).
-    Days without new hosts report 0.  A NULL host is never new; an empty
-    history makes every host new."""
-    t = with_day(today).select(HOST, "insight_date").where(F.col(HOST).isNotNull()).distinct()
-    h = (
-        history.select(F.col(HOST).alias("h_host"), F.col("datetime").cast("date").alias("h_date"))
-        .where(F.col("h_host").isNotNull())
+    ``history`` during ``[day - lookback_days, day)``.  Days without new hosts
+    report 0.  A NULL host is never new; an empty history makes every host
+    new.
+
+    Both sides are first reduced to distinct ``(host, day)`` rows.  Instead
+    of comparing every day of a host with every earlier day (a range join),
+    one window per host in day order carries the latest history day before
+    each day: the host is new when that day is missing or older than the
+    lookback.  Work per host grows with its number of days, never with the
+    square of it.  (The single-day form is a plain left anti join on host.)"""
+    t = (
+        with_day(today)
+        .where(F.col(HOST).isNotNull())
+        .select(HOST, "insight_date", F.lit(0).alias("_hist"))
         .distinct()
     )
-    cond = (
-        (F.col(HOST) == F.col("h_host"))
-        & (F.col("h_date") >= F.date_sub(F.col("insight_date"), lookback_days))
-        & (F.col("h_date") < F.col("insight_date"))
+    h = (
+        with_day(history)
+        .where(F.col(HOST).isNotNull())
+        .select(HOST, "insight_date", F.lit(1).alias("_hist"))
+        .distinct()
     )
-    new = t.join(h, cond, "left_anti")
-    days = t.select("insight_date").distinct()
-    counts = new.groupBy("insight_date").agg(F.count(F.lit(1)).alias("new_users_count"))
-    return days.join(counts, "insight_date", "left").select(
-        "insight_date", F.coalesce("new_users_count", F.lit(0)).cast("bigint").alias("new_users_count")
+    # today rows sort before history rows of the same day, so the frame of a
+    # today row holds only history days strictly before it
+    w = (
+        Window.partitionBy(HOST)
+        .orderBy("insight_date", "_hist")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    prev = F.last(F.when(F.col("_hist") == 1, F.col("insight_date")), ignorenulls=True).over(w)
+    marked = t.unionByName(h).withColumn("_prev_seen", prev).where(F.col("_hist") == 0)
+    is_new = F.col("_prev_seen").isNull() | (F.col("_prev_seen") < F.date_sub(F.col("insight_date"), lookback_days))
+    return marked.groupBy("insight_date").agg(F.count_if(is_new).cast("bigint").alias("new_users_count"))
 
 
 def _date_parts(date: Column) -> list[Column]:
