@@ -112,3 +112,15 @@ def test_day_slice_prunes_partitions(spark, tmp_out):
     assert insights.lookback_slice(stored, "2024-01-02", 1).count() == 3
     d = insights.daily_insights(stored, stored, "2024-01-02", 7, tie_break="event_id").first()
     assert d["user_session_count"] == 3 and d["new_users_count"] == 1
+
+
+def test_plan_shapes(spark):
+    s = _sessions(spark, ROWS)
+    top = insights.top_k_by(insights.page_hits_by_day(s), ["insight_date"], "page_request_count", 2)
+    top.collect()
+    p = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in p and "Partial" in p  # top-K cut before the shuffle
+    daily = insights.daily_metrics(s, tie_break="event_id")
+    daily.collect()
+    q = daily._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in q and "Python" not in q
