@@ -278,7 +278,7 @@ SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, requ
         GAP_6H,
         f"""SELECT s.session_id, any_value(s.encrypted_host) AS encrypted_host, MIN(s.datetime) AS session_start,
        MAX(s.datetime) AS session_end, COUNT(*) AS hits,
-       SUM(CASE WHEN s.session_time_difference <= {P.DURATION_GAP_SECONDS} THEN s.session_time_difference END) AS duration,
+       CAST(SUM(CASE WHEN s.session_time_difference <= {P.DURATION_GAP_SECONDS} THEN s.session_time_difference END) AS BIGINT) AS duration,
        any_value(s.first_visited_page) AS entry_page, any_value(l.last_visited_page) AS exit_page
 FROM sess s JOIN (SELECT session_id, last_visited_page FROM (
     SELECT session_id, last_visited_page,

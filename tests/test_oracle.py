@@ -49,9 +49,17 @@ def test_every_query_has_sql_or_is_declared_rows_only():
     assert set(E.queries()) - set(E.oracle_sql()) == {"pseudonymised_hosts"}
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+          "timestamp": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF).toPandas()
+    df = E.queries()[name](spark, SF)
+    types = {f.name: _TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
+    want_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert types == want_types
+    got = df.toPandas()
     want = duck.execute(E.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
