@@ -24,7 +24,7 @@ busiest host and picks ``window`` when it fits one task, else ``chunked``):
     host partitioning, so there is no second shuffle).  Every host is one
     window group, so one very busy host is one task.
 
-``chunked`` (default)
+``chunked``
     Skew-proof.  Each host's timeline is cut into fixed time chunks no
     wider than the gap (``min(gap, chunk_seconds)``); the windows run per
     ``(host, chunk)``, so a host with a third of all hits is spread over as
