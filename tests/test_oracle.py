@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from hitscope.plans import oracles, queries
 
 SF = os.environ.get("HITSCOPE_TEST_SF", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -46,14 +47,14 @@ def _norm(df):
 
 
 def test_every_query_has_sql_or_is_declared_rows_only():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"pseudonymised_hosts"}
+    assert set(queries.queries()) - set(E.oracle_sql()) == {"pseudonymised_hosts"}
 
 
 _TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
           "timestamp": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     types = {f.name: _TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
