@@ -5,7 +5,85 @@ _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 _PLAIN = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SPACED = rf"regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+')"
 
+_BAD = "'^(utm_[^=]*|ref|fbclid|gclid|msclkid)(=.*)?$'"
+
 SQL = {
+    "op1_url_filter": f"""
+WITH p AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+q AS (
+  SELECT page_id, url, regexp_extract(rest, '^[^/?#]*') AS h0, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1), '&'),
+                               lambda x : x <> '' AND NOT regexp_matches(x, {_BAD}))) AS args
+  FROM p
+),
+h AS (SELECT *, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM q),
+c AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN
+    regexp_replace(regexp_replace(host, '[.]?(:80|:443)?$', ''), '^www[.]', '') || rtrim(path, '/')
+    || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS canon
+  FROM h
+),
+listed AS (SELECT DISTINCT canon FROM c WHERE page_id % 50 = 0 AND canon IS NOT NULL),
+j AS (
+  SELECT page_id, host, path, canon,
+    CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+         WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+         WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+         WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM c
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+       WHEN canon IN (SELECT canon FROM listed) THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NULL THEN coalesce(canon IN (SELECT canon FROM listed), false) END AS listed
+FROM j""",
+    "op2_line_dedup": """
+WITH a AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS raw FROM documents),
+d AS (SELECT *, list_transform(raw, lambda x : trim(x, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))) AS ls FROM a),
+l AS (SELECT r, source, i, raw[i] AS raw_line, ls[i] AS line, CASE WHEN i > 1 THEN ls[i - 1] END AS p, CASE WHEN i < len(ls) THEN ls[i + 1] END AS nx
+      FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+b AS (
+  SELECT line FROM l WHERE line <> '' GROUP BY line
+  HAVING count(DISTINCT source) >= 10 AND count(DISTINCT {'p': p, 'n': nx}) >= greatest(10, count(*) / 2.0)
+),
+k AS (
+  SELECT r, string_agg(raw_line, chr(10) ORDER BY i) FILTER (WHERE b.line IS NULL) AS text, count(b.line) AS gone
+  FROM l LEFT JOIN b USING (line) GROUP BY r
+)
+SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(len(raw), 0) AS n_lines, coalesce(gone, 0) AS n_removed
+FROM d LEFT JOIN k USING (r)""",
+    "op4_license_scan": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_PLAIN} AS w FROM documents),
+ph(phrase, label) AS (VALUES ('cc by', 'cc-by'), ('general public license', 'gpl'), ('all rights reserved', 'reserved')),
+places AS (
+  SELECT r, j - 1 AS j, label
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS j FROM d) x JOIN ph
+    ON array_to_string(w[j : j + len(string_split(phrase, ' ')) - 1], ' ') = phrase
+),
+base AS (SELECT r, count(*) AS n, min(j) AS lo, max(j) AS hi, list(DISTINCT label) AS labels FROM places GROUP BY r),
+tp(label, sentence) AS (VALUES
+  ('apache-2.0', 'licensed under the apache license version 2 0'),
+  ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted'),
+  ('cc-by-4.0', 'licensed under a creative commons attribution 4 0 international license'),
+  ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
+  ('gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
+  ('mit', 'released under the mit license'),
+  ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
+  ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0')),
+t AS (SELECT label, list_distinct(string_split(sentence, ' ')) AS ws FROM tp),
+bl AS (SELECT r, {_PLAIN} AS bw FROM (SELECT r, unnest(string_split(text, chr(10))) AS text FROM d)),
+met AS (
+  SELECT r, label, len(list_intersect(ws, bw)) / len(ws) AS share FROM bl, t
+  WHERE list_has_any(bw, ws) AND len(list_intersect(ws, bw)) >= ceil(0.8 * len(ws) - 1e-9)
+),
+m AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS best FROM met GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
+  coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
+  CASE WHEN n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN m USING (r)""",
     "op9_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_PLAIN} AS w FROM benchmark),

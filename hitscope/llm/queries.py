@@ -8,10 +8,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitscope.llm import decontaminate, near_dup, oracles
+from hitscope.llm import decontaminate, license_scan, line_dedup, near_dup, oracles, url_filter
 from hitscope.llm.runtime import table
 
 
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every page's url.  The list holds the urls of the pages
+    whose id is divisible by 50, so every page with one of their canonical
+    forms is blocked unless a rule allows it."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge_urls(pages, pages.where("page_id % 50 = 0"), URL_RULES)
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that recur on ten sources or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.clean_lines(docs).select("row.doc_id", "text", "n_lines", "n_removed")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    starts = F.flatten(F.array("places.p0", "places.p1", "places.p2"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base_labels", "found_labels")), ",").alias("labels"),
+        "score",
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a benchmark window."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,7 +71,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_decontaminate, op10_near_duplicates)}
+    return {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op4_license_scan, op9_decontaminate, op10_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
