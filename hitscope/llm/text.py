@@ -27,9 +27,10 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(p, dtype=np.uint64)
 
 
-#: One 64-bit value for each byte, A-Z as a-z.
-_VALUE = _mix(np.arange(1, 257, dtype=np.uint64) * _B)
-_VALUE[65:91] = _VALUE[97:123]
+#: One 64-bit value for each byte; the second table takes A-Z as a-z.
+EXACT = _mix(np.arange(1, 257, dtype=np.uint64) * _B)
+FOLDED = EXACT.copy()
+FOLDED[65:91] = FOLDED[97:123]
 
 #: Words between ASCII white space: [^\x20\x09-\x0D]+
 SPACED = np.ones(256, dtype=bool)
@@ -95,13 +96,9 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, values: np.ndarray = FOLDED) -> np.ndarray:
         """A hash for each word, of its lower-cased bytes."""
-        n = len(self.data)
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUE[self.data] * _powers(_B, n), dtype=np.uint64, out=prefix[1:])
-        back = _powers(_B_INV, n + 1)
-        return _mix((prefix[self.end] - prefix[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64))
+        return span_hashes(self.data, values, (self.start, self.end))[0]
 
     def windows(self, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(start word, hash) of every run of k consecutive words of a row."""
@@ -112,6 +109,15 @@ class Words:
         return at, sequence_hash([h[at + i] for i in range(k)])
 
 
+def span_hashes(data: np.ndarray, values: np.ndarray, *spans: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """For each pair of arrays of starts and ends, a hash of every span."""
+    n = len(data)
+    prefix = np.zeros(n + 1, np.uint64)
+    np.cumsum(values[data] * _powers(_B, n), dtype=np.uint64, out=prefix[1:])
+    back = _powers(_B_INV, n + 1)
+    return [_mix((prefix[e] - prefix[s]) * back[s] + (e - s).astype(np.uint64)) for s, e in spans]
+
+
 def sequence_hash(parts: list[np.ndarray]) -> np.ndarray:
     """A hash of a sequence of word hashes, taken element by element."""
     total = np.full(len(parts[0]), np.uint64(len(parts)), np.uint64)
