@@ -84,6 +84,14 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, lo A
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
   CASE WHEN n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
 FROM d LEFT JOIN base USING (r) LEFT JOIN m USING (r)""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS b FROM pages),
+q AS (SELECT page_id, url, CAST(octet_length(b) AS BIGINT) AS n, sha1(b) AS d FROM p),
+g AS (SELECT d, max(page_id) AS head FROM q WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN head IS NULL OR head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to, url AS target_uri
+FROM q LEFT JOIN g USING (d)""",
     "op9_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_PLAIN} AS w FROM benchmark),

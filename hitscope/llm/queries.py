@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitscope.llm import decontaminate, license_scan, line_dedup, near_dup, oracles, url_filter
+import corpus_pipeline
+from hitscope.llm import (
+    decontaminate,
+    html_extract,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dup,
+    oracles,
+    quality,
+    token_count,
+    url_filter,
+    warc,
+)
 from hitscope.llm.runtime import table
 
 
@@ -29,6 +42,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.clean_lines(docs).select("row.doc_id", "text", "n_lines", "n_removed")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every document."""
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
@@ -45,6 +64,42 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot in the mix; targets are the square roots of the
+    sources' sizes."""
+    placed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return placed.select("row.doc_id", "row.source", "block", "slot", "place", "release", "due")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")), with_text=False)
+    return found.select("row.doc_id", *quality.COUNTS, "base_failed", "content_share", "kept")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after personal data is
+    masked."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs, with_text=False).select(
+        "row.doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_encoded"
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC archives and back."""
+    captures = warc.round_trip(table(spark, sf_dir, "pages"), with_payload=False)
+    return captures.select(
+        warc.page_id_of("metadata").alias("page_id"),
+        F.coalesce("original.payload_bytes", "response.payload_bytes").alias("payload_bytes"),
+        F.coalesce("original.payload_digest", "response.payload_digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        warc.page_id_of("original_metadata").alias("refers_to"),
+        "target_uri",
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a benchmark window."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -70,8 +125,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_QUERIES = (
+    op1_url_filter,
+    op2_line_dedup,
+    op3_html_extract,
+    op4_license_scan,
+    op5_mix_sources,
+    op6_quality_rules,
+    op7_token_counts,
+    op8_warc,
+    op9_decontaminate,
+    op10_near_duplicates,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_line_dedup, op4_license_scan, op9_decontaminate, op10_near_duplicates)}
+    return {f.__name__: f for f in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
