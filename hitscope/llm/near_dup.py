@@ -319,5 +319,5 @@ def near_duplicates(
     )
     return (
         signed.drop("sig").join(component, ["k1", "k2"], "left")
-        .select("id", "n", F.coalesce("component", "id").alias("component"))
+        .select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
     )

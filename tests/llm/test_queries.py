@@ -1,0 +1,108 @@
+"""The registered queries on the shared tables: against their SQL, or against
+brute force where SQL cannot say them."""
+
+import collections
+import os
+import re
+
+import pytest
+
+import corpus_pipeline
+from hitscope.llm import mixing, oracles, quality, queries, token_count
+from tests.llm.test_small_cases import counts_brute, near_brute
+from tests.test_oracle import SF, TABLES, _norm
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared test tables not present")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES.split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").collect()
+
+
+@pytest.mark.parametrize("name", sorted(oracles.SQL))
+def test_query_matches_sql(spark, duck, name):
+    got = queries.queries()[name](spark, SF).toPandas()
+    want = duck.execute(oracles.SQL[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert _norm(got) == _norm(want)
+
+
+def test_one_query_for_each_operator():
+    names = list(queries.queries())
+    assert [n.split("_")[0] for n in names[:10]] == [f"op{i}" for i in range(1, 11)] and names[10:] == ["pipeline"]
+
+
+def test_html_text_is_the_article(spark):
+    from html import unescape
+
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = queries.op3_html_extract(spark, SF).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        inner = re.search(r"<article>(.*?)(?:</article>|$)", pages[r["page_id"]]["html"], re.S)[1]
+        parts = [" ".join(unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
+        want = "\n".join(x for x in parts if x)
+        assert (r["text"], r["n_chars"]) == (want, len(want))
+
+
+def test_mix_covers_all_documents(spark, documents):
+    got = queries.op5_mix_sources(spark, SF).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in documents)
+    sizes = collections.Counter(r["source"] for r in documents)
+    frame = max(mixing.FRAME, 4 * len(sizes))
+    slots = mixing.shares({s: n**0.5 for s, n in sizes.items()}, frame)
+    for s, n in sizes.items():
+        mine = sorted({r["slot"] for r in got if r["source"] == s})
+        assert len(mine) == -(-n // mixing.BLOCK_ROWS)
+        assert all(abs(i + 1 - slots[s] * (t + 1) / frame) < 1 for i, t in enumerate(mine))
+
+
+def test_quality_counts_and_held_out_accuracy(spark, documents):
+    got = {r["doc_id"]: r for r in queries.op6_quality_rules(spark, SF).collect()}
+    for d in documents:
+        r = got[d["doc_id"]]
+        assert tuple(r[c] for c in quality.COUNTS) == counts_brute(d["text"])
+    # fit on half of the labels, judge the other half
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    field = quality.fit(docs, labels.where("doc_id % 2 = 0"))
+    judged = quality.judge(docs.where("doc_id % 2 = 1"), field, with_text=False).select("row.doc_id", "base_failed", "kept")
+    rest = judged.join(labels, "doc_id").where("not base_failed").collect()
+    assert sum(r["kept"] == bool(r["quality"]) for r in rest) >= 0.95 * len(rest) > 0
+
+
+def test_token_counts_are_exact(spark, documents):
+    with open(token_count.VOCABULARY, "rb") as f:
+        code = token_count.encoder(f.read())
+    got = {r["doc_id"]: r for r in queries.op7_token_counts(spark, SF).collect()}
+    for d in documents:
+        text, r = d["text"] or "", got[d["doc_id"]]
+        edited = text
+        for a, b, new in reversed(token_count.mask_personal(text)):
+            edited = edited[:a] + new + edited[b:]
+        assert (r["n_tokens"], r["n_tokens_edited"]) == (len(code.encode_ordinary(text)), len(code.encode_ordinary(edited)))
+    assert any(r["n_edits"] for r in got.values())
+
+
+def test_pipeline(spark, documents):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), "test")
+        kept.append({r["doc_id"]: r["text"] for r in docs.collect()})
+    quality_kept, lines_kept, near_kept, clean, last = kept
+    assert all(len(re.findall(r"[^\x20\x09-\x0D]+", t)) >= 50 for t in quality_kept.values())
+    roots = near_brute([(i, t, "") for i, t in lines_kept.items()], 80, 100)
+    assert set(near_kept) == {i for i, root in roots.items() if i == root}
+    assert set(clean) <= set(near_kept) and last == clean
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()} == set(last)
