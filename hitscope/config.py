@@ -52,24 +52,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session (``spark.checkpoint.dir``);
-    set to a fresh local folder only when the session has none."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a session without a local JVM context
-        sc = None
-    if sc is not None:
-        if sc.getCheckpointDir():
-            return sc.getCheckpointDir()
-        d = d or sc.getConf().get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder of the session (``spark.checkpoint.dir``).
+    Only a local session without one gets a fresh local folder; on a cluster
+    that would be a different folder on each machine, so it is an error."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hitscope-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(d)
-        return sc.getCheckpointDir() or d
-    spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,21 +1,22 @@
 """Tag hits with a country, by IP range (numeric hosts) or by the last
 label of the host name (named hosts).
 
-Scale design:
+One plan at every size:
 
 * Hosts are reduced to their distinct set (a map-side combined aggregate)
   before any lookup, so a host with a third of all hits costs one row here.
-* The IP range join (J1) has no equality key.  The scalable form explodes
-  each range into the ``ip div 2^16`` buckets it covers and equi-joins on
-  the bucket, then checks ``BETWEEN``: work per host is the handful of ranges
-  in its bucket instead of every range.  The number of buckets is bounded by
-  65,536 plus the number of ranges when ranges do not overlap.
-* A broadcast nested-loop form is kept for small range tables; it is only
-  chosen after the range table's row count has been checked.
-* The final join back to the hits (J3), when the lookups are too large to
-  broadcast, is an equi join on ``(host, salt)``: hosts with more than
-  ``hot_host_rows`` hits get one salt per ``hot_host_rows`` hits and their
-  map rows are repeated per salt, so a hot host is split over many tasks.
+* The IP range join (J1) has no equality key.  Ranges are clipped to the IPv4
+  space, cut at ``/16`` borders and merged, per country, into disjoint spans
+  (one window per bucket and country, linear in its ranges).  A bucket with
+  more than ``DENSE`` spans is cut again at ``/24`` borders, where a country
+  can have 128 spans at most.  Hosts meet spans by an equality join on the
+  bucket plus ``BETWEEN``.
+* The host map joins back to the hits on host (J3).  Whether a side is
+  broadcast, and whether a hot host's partition is split, is left to the
+  adaptive plan, which measures sizes; neither changes a row.
+
+A stream cannot be reduced to distinct hosts without state, so the hits of a
+stream meet the same spans and codes directly (static joins).
 """
 
 from __future__ import annotations
@@ -28,14 +29,9 @@ from hitscope.functions import patterns as P
 from hitscope.sources.access_log import typed_ip_ranges
 
 BUCKET_BITS = 16
-# Size bounds checked before anything is broadcast.  The per-hit lookups are
-# hash joins (about 40 bytes per segment row, so 2M rows is ~80 MB); the
-# nested-loop range join costs hosts x ranges, so its bound is far lower.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_MAX_NESTED_LOOP_RANGES = 10_000
-# A host with more hits than this is split over several tasks in the
-# shuffle form of the host-map join.
-DEFAULT_HOT_HOST_ROWS = 1_000_000
+DENSE = 256
+MAX_IP = (1 << 32) - 1
+_WHOLE = -1  # second key of a bucket that is not cut again
 
 
 def distinct_hosts(hits: DataFrame, host: str = "host") -> DataFrame:
@@ -68,271 +64,163 @@ def _range_rows(ranges: DataFrame, typed: bool) -> DataFrame:
     return r.where(F.col("begin_ip_int").isNotNull() & F.col("end_ip_int").isNotNull())
 
 
-def ip_range_country_broadcast(ips: DataFrame, ranges: DataFrame, typed: bool = False) -> DataFrame:
-    """J1 + P18 as a broadcast nested-loop join.  Callers must have checked
-    the range table's size (see :func:`ip_range_country`)."""
-    r = _range_rows(ranges, typed)
-    cond = F.col("ip_int").between(F.col("begin_ip_int"), F.col("end_ip_int"))
-    return ips.join(F.broadcast(r), cond, "inner").select(
-        "host", "country", "begin_ip_int", "end_ip_int"
+def _clipped(r: DataFrame) -> DataFrame:
+    """Ranges within the IPv4 space, so that a bad bound cannot explode."""
+    return (
+        r.withColumn("begin_ip_int", F.greatest("begin_ip_int", F.lit(0).cast("bigint")))
+        .withColumn("end_ip_int", F.least("end_ip_int", F.lit(MAX_IP).cast("bigint")))
+        .where("begin_ip_int <= end_ip_int")
+    )
+
+
+def range_spans(ranges: DataFrame, typed: bool = False) -> DataFrame:
+    """Disjoint spans of each country: ``(bucket, sub, span_begin, span_end,
+    country)``.  An address lies in at most one span of a country, so joining
+    on spans gives each address the distinct countries of all ranges that
+    contain it, a NULL country included.  ``sub`` is -1, or the ``/24`` in a
+    dense bucket."""
+    r = _clipped(_range_rows(ranges, typed)).select("begin_ip_int", "end_ip_int", "country").distinct()
+    buckets = F.sequence(F.shiftright("begin_ip_int", BUCKET_BITS), F.shiftright("end_ip_int", BUCKET_BITS))
+    lo = F.shiftleft(F.col("bucket"), BUCKET_BITS)
+    cut = r.withColumn("bucket", F.explode(buckets)).select(
+        "bucket", "country",
+        F.greatest("begin_ip_int", lo).alias("b"), F.least(F.col("end_ip_int"), lo + ((1 << BUCKET_BITS) - 1)).alias("e"),
+    ).distinct()
+    w = Window.partitionBy("bucket", "country").orderBy("b", "e")
+    before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    spans = (
+        cut.withColumn("_new", F.when(before.isNull() | (F.col("b") > before + 1), 1).otherwise(0))
+        .withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy("bucket", "country", "_island")
+        .agg(F.min("b").alias("b"), F.max("e").alias("e"))
+    )
+    full = spans.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > DENSE)
+    keyed = spans.join(full, "bucket", "left")
+    subs = F.when(F.col("_n").isNull(), F.array(F.lit(_WHOLE).cast("bigint"))).otherwise(F.sequence(F.shiftright("b", 8), F.shiftright("e", 8)))
+    return keyed.select(
+        "bucket", F.explode(subs).alias("sub"), F.col("b").alias("span_begin"), F.col("e").alias("span_end"), "country"
     )
 
 
 def ip_range_country_bucketed(ips: DataFrame, ranges: DataFrame, typed: bool = False) -> DataFrame:
-    """J1 + P18 as an equi join on ``ip >> 16`` buckets plus ``BETWEEN``;
-    same rows as the nested-loop form, no nested loop."""
-    r = _range_rows(ranges, typed).where(F.col("begin_ip_int") <= F.col("end_ip_int"))
+    """J1 + P18 on the ranges themselves: one row per host and range that
+    contains it, by an equality join on ``ip >> 16`` plus ``BETWEEN``."""
+    r = _clipped(_range_rows(ranges, typed))
     exploded = r.withColumn(
         "bucket",
-        F.explode(
-            F.sequence(
-                F.shiftright("begin_ip_int", BUCKET_BITS), F.shiftright("end_ip_int", BUCKET_BITS)
-            )
-        ),
-    )
-    keyed = ips.where(F.col("ip_int").isNotNull()).withColumn(
-        "bucket", F.shiftright("ip_int", BUCKET_BITS)
-    )
-    cond = (keyed["bucket"] == exploded["bucket"]) & keyed["ip_int"].between(
-        exploded["begin_ip_int"], exploded["end_ip_int"]
+        F.explode(F.sequence(F.shiftright("begin_ip_int", BUCKET_BITS), F.shiftright("end_ip_int", BUCKET_BITS))),
     )
+    keyed = ips.where(F.col("ip_int").isNotNull()).withColumn("bucket", F.shiftright("ip_int", BUCKET_BITS))
+    cond = (keyed["bucket"] == exploded["bucket"]) & keyed["ip_int"].between(exploded["begin_ip_int"], exploded["end_ip_int"])
     return keyed.join(exploded, cond, "inner").select(
         keyed["host"], exploded["country"], exploded["begin_ip_int"], exploded["end_ip_int"]
     )
 
 
-def ip_range_country(
-    ips: DataFrame,
-    ranges: DataFrame,
-    strategy: str = "bucketed",
-    max_broadcast_ranges: int = DEFAULT_MAX_NESTED_LOOP_RANGES,
-    overlap: str = "all",
-    typed: bool = False,
-) -> DataFrame:
-    """Numeric hosts to countries (inner: hosts in no range are absent).
-
-    ``strategy='broadcast'`` counts the range rows first and only broadcasts
-    when there are at most ``max_broadcast_ranges`` of them, else falls back
-    to the bucketed join.  ``overlap='smallest'`` keeps, per host, the
-    narrowest matching range instead of every overlapping one."""
-    if strategy == "broadcast":
-        n = _range_rows(ranges, typed).count()
-        strategy = "broadcast" if n <= max_broadcast_ranges else "bucketed"
-    if strategy == "broadcast":
-        hit = ip_range_country_broadcast(ips, ranges, typed)
-    elif strategy == "bucketed":
-        hit = ip_range_country_bucketed(ips, ranges, typed)
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+def _in_spans(ips: DataFrame, spans: DataFrame) -> DataFrame:
+    """Inner join of ``(host, ip_int)`` with spans: a bucket is either whole
+    or cut, so each address asks under both keys and meets one of them."""
+    keys = F.array(F.lit(_WHOLE).cast("bigint"), F.shiftright("ip_int", 8))
+    asked = ips.where(F.col("ip_int").between(0, MAX_IP)).select(
+        "host", "ip_int", F.shiftright("ip_int", BUCKET_BITS).alias("bucket"), F.explode(keys).alias("sub")
+    )
+    return asked.join(spans, ["bucket", "sub"]).where(F.col("ip_int").between(F.col("span_begin"), F.col("span_end"))).select("host", "country")
+
+
+def ip_range_country(ips: DataFrame, ranges: DataFrame, overlap: str = "all", typed: bool = False) -> DataFrame:
+    """Numeric hosts to the distinct countries of the ranges that contain
+    them (hosts in no range are absent).  ``overlap='smallest'`` keeps, per
+    host, the narrowest range's country instead."""
     if overlap == "smallest":
         width = F.col("end_ip_int") - F.col("begin_ip_int")
-        return hit.groupBy("host").agg(
-            F.min_by(F.col("country"), F.struct(width, F.col("country"))).alias("country")
-        )
-    return hit.select("host", "country")
+        hit = ip_range_country_bucketed(ips, ranges, typed)
+        # a struct, so that a NULL country of the narrowest range is kept
+        best = F.min(F.struct(width.alias("w"), F.col("country").alias("c")))
+        return hit.groupBy("host").agg(best.alias("m")).select("host", F.col("m.c").alias("country"))
+    return _in_spans(ips, range_spans(ranges, typed))
+
+
+def suffix_codes(ranges: DataFrame, typed: bool = False) -> DataFrame:
+    """Distinct names of each code; a missing name is ``NA``."""
+    r = ranges if typed else typed_ip_ranges(ranges)
+    return r.where("country_code is not null").select("country_code", F.coalesce("country", F.lit(P.UNKNOWN_SUFFIX_COUNTRY)).alias("country")).distinct()
 
 
 def suffix_country(names: DataFrame, ranges: DataFrame, typed: bool = False) -> DataFrame:
     """J2 + F11 + F15: host-name suffix to country; no match gives ``NA``.
     A code listed with two names yields two rows (kept, as in the original)."""
-    r = ranges if typed else typed_ip_ranges(ranges)
-    codes = r.select("country_code", "country").distinct()
-    return (
-        names.join(codes, "country_code", "left")
-        .select("host", "country")
-        .fillna({"country": P.UNKNOWN_SUFFIX_COUNTRY})
+    return names.join(suffix_codes(ranges, typed), "country_code", "left").select(
+        "host", F.coalesce("country", F.lit(P.UNKNOWN_SUFFIX_COUNTRY)).alias("country")
     )
 
 
-def _classified(df: DataFrame, host: str) -> DataFrame:
-    """Lookup keys of a host: ``_ip`` and ``_bucket`` for numeric hosts,
-    ``_suffix`` for host names (NULL otherwise)."""
+def host_country_map(hits: DataFrame, ranges: DataFrame, overlap: str = "all", host: str = "host") -> DataFrame:
+    """Distinct ``(host, country)`` pairs; a range without a country name
+    gives a pair with NULL.  Hosts in no range, or matching neither pattern,
+    have no pair."""
+    r = typed_ip_ranges(ranges)
+    hosts = distinct_hosts(hits, host).select("host")
+    by_ip = ip_range_country(numeric_hosts(hosts), r, overlap, typed=True)
+    by_name = suffix_country(named_hosts(hosts), r, typed=True)
+    return by_ip.unionByName(by_name).distinct()
+
+
+def tag_country_direct(hits: DataFrame, ranges: DataFrame, host: str = "host") -> DataFrame:
+    """C2 without a host map: every hit meets the spans and codes itself.
+    Same rows as :func:`tag_country`; the form that a stream can run."""
+    r = typed_ip_ranges(ranges)
     h = F.col(host)
-    ip = F.when(is_numeric_host(h), ipv4_to_long(h))
-    return df.withColumns(
+    spans = range_spans(r, typed=True)
+    out = hits.withColumns(
         {
-            "_is_ip": F.coalesce(is_numeric_host(h), F.lit(False)),
-            "_is_name": F.coalesce(is_host_name(h), F.lit(False)),
-            "_ip": ip,
-            "_bucket": F.shiftright(ip, BUCKET_BITS),
+            "_ip": F.when(is_numeric_host(h), ipv4_to_long(h)),
+            "_name": F.coalesce(is_host_name(h), F.lit(False)),
             "_suffix": F.when(is_host_name(h), host_suffix(h)),
         }
     )
-
-
-def range_segments(ranges: DataFrame, overlap: str = "all", typed: bool = False) -> DataFrame:
-    """Ranges cut into non-overlapping segments inside each ``2^16`` bucket,
-    one row per (segment, distinct country covering it).
-
-    An address lies in exactly one segment, so joining on the segment gives
-    each address the *distinct* countries of all ranges that contain it --
-    what the original got by de-duplicating ``(host, country)`` pairs.  All
-    work is per bucket (a window partitioned by bucket), never global."""
-    r = _range_rows(ranges, typed).where(F.col("begin_ip_int") <= F.col("end_ip_int"))
-    ex = r.withColumn(
-        "bucket",
-        F.explode(F.sequence(F.shiftright("begin_ip_int", BUCKET_BITS), F.shiftright("end_ip_int", BUCKET_BITS))),
-    )
-    lo = F.shiftleft(F.col("bucket"), BUCKET_BITS)
-    hi = lo + ((1 << BUCKET_BITS) - 1)
-    starts = ex.select("bucket", F.greatest(F.col("begin_ip_int"), lo).alias("seg_begin"))
-    ends = ex.where(F.col("end_ip_int") + 1 <= hi).select(
-        "bucket", (F.col("end_ip_int") + 1).alias("seg_begin")
-    )
-    pts = starts.unionByName(ends).distinct()
-    nxt = F.lead("seg_begin").over(Window.partitionBy("bucket").orderBy("seg_begin"))
-    segs = pts.withColumn("seg_end", F.coalesce(nxt - 1, hi))
-    cover = segs.join(
-        ex.select(
-            F.col("bucket").alias("r_bucket"), "begin_ip_int", "end_ip_int", "country"
-        ),
-        (F.col("bucket") == F.col("r_bucket"))
-        & F.col("seg_begin").between(F.col("begin_ip_int"), F.col("end_ip_int")),
-    )
-    if overlap == "smallest":
-        width = F.col("end_ip_int") - F.col("begin_ip_int")
-        return cover.groupBy("bucket", "seg_begin", "seg_end").agg(
-            F.min_by(F.col("country"), F.struct(width, F.col("country"))).alias("country")
+    for name, sub in (("whole", F.lit(_WHOLE).cast("bigint")), ("cut", F.shiftright("_ip", 8))):
+        side = spans.select(
+            F.col("bucket").alias(f"_{name}_bucket"), F.col("sub").alias(f"_{name}_sub"),
+            F.col("span_begin").alias(f"_{name}_b"), F.col("span_end").alias(f"_{name}_e"), F.col("country").alias(f"_{name}_country"),
         )
-    return cover.select("bucket", "seg_begin", "seg_end", "country").distinct()
-
-
-def suffix_codes(ranges: DataFrame, typed: bool = False) -> DataFrame:
-    r = ranges if typed else typed_ip_ranges(ranges)
-    return r.select("country_code", "country").distinct()
-
-
-def _map_hosts(hosts: DataFrame, r: DataFrame, overlap: str) -> DataFrame:
-    segs = range_segments(r, overlap, typed=True)
-    codes = suffix_codes(r, typed=True)
-    c = _classified(hosts, "host")
-    j = c.join(
-        segs.withColumnRenamed("country", "ip_country"),
-        (F.col("_bucket") == F.col("bucket")) & F.col("_ip").between(F.col("seg_begin"), F.col("seg_end")),
-        "left",
-    ).join(
-        codes.withColumnRenamed("country", "code_country"),
-        F.col("_suffix") == F.col("country_code"),
-        "left",
-    )
-    country = F.when(F.col("_is_ip"), F.col("ip_country")).when(
-        F.col("_is_name"), F.coalesce(F.col("code_country"), F.lit(P.UNKNOWN_SUFFIX_COUNTRY))
-    )
-    return j.select("host", country.alias("country")).where(F.col("country").isNotNull()).distinct()
-
-
-def host_country_map(
-    hits: DataFrame,
-    ranges: DataFrame,
-    overlap: str = "all",
-    host: str = "host",
-) -> DataFrame:
-    """Distinct ``(host, country)`` pairs (hosts in no range, or matching
-    neither pattern, have no pair).  One pass over the distinct hosts: the
-    IP lookup (bucketed range join) and the suffix lookup are two left joins
-    on the same host rows."""
-    return _map_hosts(distinct_hosts(hits, host).select("host"), typed_ip_ranges(ranges), overlap)
-
-
-def _salted_map_join(hits: DataFrame, r: DataFrame, overlap: str, host: str, hot_host_rows: int) -> DataFrame:
-    """J3 as a shuffle join that splits hot hosts.
-
-    A host with more than ``hot_host_rows`` hits is hot; there are at most
-    (all hits / ``hot_host_rows``) of them, so their list is broadcast with a
-    bound that holds by construction.  A hot host's hits get a salt in
-    ``[0, ceil(hits / hot_host_rows))`` from a hash of the row (stable on
-    retries) and its map rows are repeated once per salt, so the join spreads
-    the host over that many tasks; every other host keeps salt 0."""
-    dims = distinct_hosts(hits, host)
-    hot = dims.where(F.col("hits") > hot_host_rows).select(
-        F.col("host").alias("_hot_host"), F.ceil(F.col("hits") / F.lit(hot_host_rows)).alias("_salts")
-    )
-    salted = hits.join(F.broadcast(hot), hits[host] == F.col("_hot_host"), "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*[hits[c] for c in hits.columns]), F.col("_salts")), F.lit(0))
-    ).drop("_hot_host", "_salts")
-    m = _map_hosts(dims.select("host"), r, overlap)
-    m = (
-        m.join(F.broadcast(hot), m["host"] == F.col("_hot_host"), "left")
-        .select(
-            F.col("host").alias("_host_name"),
-            "country",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_salts"), F.lit(1)).cast("bigint") - 1)).alias(
-                "_map_salt"
-            ),
+        out = out.join(
+            side,
+            (F.shiftright("_ip", BUCKET_BITS) == F.col(f"_{name}_bucket"))
+            & (sub == F.col(f"_{name}_sub"))
+            & F.col("_ip").between(F.col(f"_{name}_b"), F.col(f"_{name}_e")),
+            "left",
         )
+    codes = suffix_codes(r, typed=True).select(F.col("country_code").alias("_code"), F.col("country").alias("_code_country"))
+    out = out.join(codes, F.col("_suffix") == F.col("_code"), "left")
+    country = F.when(F.col("_name"), F.coalesce("_code_country", F.lit(P.UNKNOWN_SUFFIX_COUNTRY))).otherwise(
+        F.coalesce("_whole_country", "_cut_country")
     )
-    cond = (salted[host] == m["_host_name"]) & (salted["_salt"] == m["_map_salt"])
-    return salted.join(m, cond, "left").select(*hits.columns, "country")
+    return out.select(*hits.columns, country.alias("country"))
 
 
 def tag_country(
     hits: DataFrame,
     ranges: DataFrame,
-    strategy: str = "auto",
     overlap: str = "all",
     host: str = "host",
     unknown_label: str | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    hot_host_rows: int = DEFAULT_HOT_HOST_ROWS,
 ) -> DataFrame:
     """Every hit with a ``country`` column.
 
     Country is ``NA`` for a host name whose suffix has no country, NULL for
     an IP in no range or a host matching neither pattern; ``unknown_label``
-    replaces both.  A host with several countries (overlapping ranges)
-    repeats its hits, once per distinct country.
-
-    ``broadcast``: each hit is looked up directly with two broadcast hash
-    joins (range segments by bucket, suffix codes) -- no shuffle of the
-    hits at all, and a hot host costs nothing extra.  Used only after both
-    lookup tables were counted and hold at most ``max_broadcast_rows`` rows.
-
-    ``shuffle``: the lookups run on the distinct hosts and the resulting
-    host map is joined back on host (J3) with hot hosts salted: a host with
-    more than ``hot_host_rows`` hits is spread over several tasks.  ``auto`` picks ``broadcast`` when the size check passes."""
-    r = typed_ip_ranges(ranges)
-    if strategy in ("auto", "broadcast"):
-        segs = range_segments(r, overlap, typed=True).select(
-            F.col("bucket").alias("_seg_bucket"), "seg_begin", "seg_end", F.col("country").alias("_ip_country")
-        )
-        codes = suffix_codes(r, typed=True).select(
-            F.col("country_code").alias("_code"), F.col("country").alias("_code_country")
-        )
-        # The size check: both lookup tables counted in one job, which also
-        # fills their cache, so the broadcast below does not compute them again.
-        segs, codes = segs.cache(), codes.cache()
-        sizes = (
-            segs.select(F.lit("segments").alias("t"))
-            .unionByName(codes.select(F.lit("codes").alias("t")))
-            .groupBy("t")
-            .count()
-            .collect()
-        )
-        fits = all(row["count"] <= max_broadcast_rows for row in sizes)
-        strategy = "broadcast" if fits else "shuffle"
-    if strategy == "broadcast":
-        c = _classified(hits, host)
-        j = c.join(
-            F.broadcast(segs),
-            (F.col("_bucket") == F.col("_seg_bucket")) & F.col("_ip").between(F.col("seg_begin"), F.col("seg_end")),
-            "left",
-        ).join(F.broadcast(codes), F.col("_suffix") == F.col("_code"), "left")
-        country = F.when(F.col("_is_ip"), F.col("_ip_country")).when(
-            F.col("_is_name"), F.coalesce(F.col("_code_country"), F.lit(P.UNKNOWN_SUFFIX_COUNTRY))
-        )
-        out = j.select(*hits.columns, country.alias("country"))
-    elif strategy == "shuffle":
-        out = _salted_map_join(hits, r, overlap, host, hot_host_rows)
+    replaces both.  A host with several countries (overlapping ranges, or a
+    code with several names) repeats its hits, once per distinct country."""
+    if hits.isStreaming:
+        if overlap != "all":
+            raise ValueError("a stream takes every overlapping range")
+        out = tag_country_direct(hits, ranges, host)
     else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+        m = host_country_map(hits, ranges, overlap, host).withColumnRenamed("host", "_map_host")
+        out = hits.join(m, F.col(host) == F.col("_map_host"), "left").select(*hits.columns, "country")
     if unknown_label is not None:
-        out = out.withColumn(
-            "country",
-            F.when(
-                F.col("country").isNull() | (F.col("country") == P.UNKNOWN_SUFFIX_COUNTRY),
-                F.lit(unknown_label),
-            ).otherwise(F.col("country")),
-        )
+        known = F.col("country").isNotNull() & (F.col("country") != P.UNKNOWN_SUFFIX_COUNTRY)
+        out = out.withColumn("country", F.when(known, F.col("country")).otherwise(F.lit(unknown_label)))
     return out
 
 

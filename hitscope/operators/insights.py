@@ -16,6 +16,8 @@ Semantics kept from the original:
   sessions without such a gap are left out of the average.
 * Average duration in minutes at 2 decimals (HALF_UP) and, as the
   whole-file job reported it, in whole seconds.
+* A hit whose time does not parse belongs to no day, so it is in no daily
+  table (the original's day filter leaves it out as well).
 * Unique visitors and sessions count a NULL key once, as ``SELECT
   DISTINCT`` does.
 * Top-K ties are broken by URL ascending; the exit page of a session-day is
@@ -41,8 +43,9 @@ def _order_key(tie_break: str | None) -> Column:
 
 
 def with_day(sessions: DataFrame) -> DataFrame:
-    """F16: the hit's calendar day (session time zone)."""
-    return sessions.withColumn("insight_date", F.col("datetime").cast("date"))
+    """F16: the hit's calendar day (session time zone); hits without a time
+    have no day and are left out."""
+    return sessions.where(F.col("datetime").isNotNull()).withColumn("insight_date", F.col("datetime").cast("date"))
 
 
 def _stored_day(df: DataFrame) -> Column | None:
@@ -78,9 +81,11 @@ def session_day_rollup(
     sessions: DataFrame,
     duration_gap: int = P.DURATION_GAP_SECONDS,
     tie_break: str | None = None,
+    exits: bool = True,
 ) -> DataFrame:
-    """One row per ``(insight_date, session_id)``: host, hits, duration and
-    exit page (W6 as ``max_by`` over the time order)."""
+    """One row per ``(insight_date, session_id)``: host, hits, duration and,
+    if asked for, the exit page (W6 as ``max_by`` over the time order; its text
+    buffer makes Spark sort, so metrics that do not need it leave it out)."""
     td = F.col("session_time_difference")
     # The host is fixed per session, so it is a grouping key rather than a
     # string aggregate buffer: the metrics then aggregate by hash, not by sort.
@@ -90,7 +95,7 @@ def session_day_rollup(
         .agg(
             F.count(F.lit(1)).alias("hits"),
             F.sum(F.when(td <= duration_gap, td)).alias("duration"),
-            F.max_by("last_visited_page", _order_key(tie_break)).alias("exit_page"),
+            *([F.max_by("last_visited_page", _order_key(tie_break)).alias("exit_page")] if exits else []),
         )
     )
 
@@ -113,7 +118,7 @@ def _site_metrics(rollup: DataFrame) -> list[Column]:
 
 def daily_metrics(sessions: DataFrame, duration_gap: int = P.DURATION_GAP_SECONDS, tie_break: str | None = None) -> DataFrame:
     """Per day: the site metrics of the daily table except new users."""
-    r = session_day_rollup(sessions, duration_gap, tie_break)
+    r = session_day_rollup(sessions, duration_gap, tie_break, exits=False)
     return r.groupBy("insight_date").agg(*_site_metrics(r))
 
 
@@ -133,18 +138,8 @@ def new_visitors_by_day(
     each day: the host is new when that day is missing or older than the
     lookback.  Work per host grows with its number of days, never with the
     square of it.  (The single-day form is a plain left anti join on host.)"""
-    t = (
-        with_day(today)
-        .where(F.col(HOST).isNotNull())
-        .select(HOST, "insight_date", F.lit(0).alias("_hist"))
-        .distinct()
-    )
-    h = (
-        with_day(history)
-        .where(F.col(HOST).isNotNull())
-        .select(HOST, "insight_date", F.lit(1).alias("_hist"))
-        .distinct()
-    )
+    t = _host_days(with_day(today)).withColumn("_hist", F.lit(0))
+    h = _host_days(with_day(history)).withColumn("_hist", F.lit(1))
     # today rows sort before history rows of the same day, so the frame of a
     # today row holds only history days strictly before it
     w = (
@@ -154,10 +149,26 @@ def new_visitors_by_day(
     )
     prev = F.last(F.when(F.col("_hist") == 1, F.col("insight_date")), ignorenulls=True).over(w)
     marked = t.unionByName(h).withColumn("_prev_seen", prev).where(F.col("_hist") == 0)
-    is_new = F.col("_prev_seen").isNull() | (F.col("_prev_seen") < F.date_sub(F.col("insight_date"), lookback_days))
+    return _count_new(marked, lookback_days)
+
+
+def _host_days(days: DataFrame) -> DataFrame:
+    return days.where(F.col(HOST).isNotNull()).select(HOST, "insight_date").distinct()
+
+
+def _count_new(marked: DataFrame, lookback_days: int) -> DataFrame:
+    seen = F.col("_prev_seen")
+    is_new = seen.isNull() | (seen < F.date_sub(F.col("insight_date"), lookback_days))
     return marked.groupBy("insight_date").agg(F.count_if(is_new).cast("bigint").alias("new_users_count"))
 
 
+def own_new_visitors_by_day(rollup: DataFrame, lookback_days: int) -> DataFrame:
+    """C9 where the history is the same table: the host-days of the session-day
+    rollup, each with the host's day before (one LAG)."""
+    prev = F.lag("insight_date").over(Window.partitionBy(HOST).orderBy("insight_date"))
+    return _count_new(_host_days(rollup).withColumn("_prev_seen", prev), lookback_days)
+
+
 def _date_parts(date: Column) -> list[Column]:
     return [
         F.year(date).alias("insight_year"),
@@ -176,8 +187,9 @@ def daily_insights_all_days(
 ) -> DataFrame:
     """C6 for every day present in ``sessions`` (history defaults to the
     sessions themselves)."""
-    m = daily_metrics(sessions, duration_gap, tie_break)
-    nv = new_visitors_by_day(sessions, sessions if history is None else history, lookback_days)
+    r = session_day_rollup(sessions, duration_gap, tie_break, exits=False)
+    m = r.groupBy("insight_date").agg(*_site_metrics(r))
+    nv = own_new_visitors_by_day(r, lookback_days) if history is None else new_visitors_by_day(sessions, history, lookback_days)
     j = m.join(nv, "insight_date", "left")
     d = F.col("insight_date")
     return j.select(
@@ -198,7 +210,7 @@ def daily_insights(
     """C6 for one day: always exactly one row; an empty day gives zero
     counts and NULL averages and rates (D17)."""
     today = day_slice(sessions, date)
-    r = session_day_rollup(today, duration_gap, tie_break)
+    r = session_day_rollup(today, duration_gap, tie_break, exits=False)
     one = r.agg(*_site_metrics(r))
     t = today.select(HOST).where(F.col(HOST).isNotNull()).distinct()
     h = lookback_slice(history, date, lookback_days).select(F.col(HOST).alias("h_host")).distinct()
@@ -223,15 +235,39 @@ def page_hits_by_day(sessions: DataFrame) -> DataFrame:
     )
 
 
+def page_days(sessions: DataFrame, tie_break: str | None = None) -> DataFrame:
+    """A4 and A6 in one pass: per day and page, its hits and the session-days
+    that end on it.  The hits shuffle once, grouped by (day, session, page);
+    that grouping's rows then give both sums."""
+    # time and tie-break as one number: a buffer that hash aggregation can hold
+    micros = F.unix_micros("datetime").cast("decimal(38,0)")
+    shift = F.lit("100000000000000000000").cast("decimal(21,0)")  # 10^20, over twice the range of a bigint
+    key = micros * shift + F.coalesce(F.col(tie_break).cast("decimal(20,0)"), F.lit(-(2**63)).cast("decimal(20,0)")) if tie_break else micros
+    per_page = (
+        with_day(sessions)
+        .groupBy("insight_date", "session_id", "request_url")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last"))
+    )
+    # the page of a session-day's latest hit; equal times without a tie-break go to the larger page
+    latest = F.max(F.struct("last", "request_url")).over(Window.partitionBy("insight_date", "session_id"))
+    ends = (F.col("latest.last") == F.col("last")) & F.col("latest.request_url").eqNullSafe(F.col("request_url"))
+    return (
+        per_page.withColumn("latest", latest)
+        .groupBy("insight_date", "request_url")
+        .agg(F.sum("n").alias("page_request_count"), F.count_if(ends).alias("count_last_visit"))
+    )
+
+
 def exit_rates_by_day(sessions: DataFrame, tie_break: str | None = None) -> DataFrame:
     """A6 + J4 + A13 per day: sessions whose latest hit of the day is on the
     page, over the page's hits that day, in percent (2 decimals)."""
-    r = session_day_rollup(sessions, tie_break=tie_break)
-    exits = r.groupBy("insight_date", F.col("exit_page").alias("request_url")).agg(
-        F.count(F.lit(1)).alias("count_last_visit")
-    )
-    return exits.join(page_hits_by_day(sessions), ["insight_date", "request_url"], "inner").withColumn(
-        "exit_rate", percent("count_last_visit", "page_request_count")
+    return _exit_rates(page_days(sessions, tie_break))
+
+
+def _exit_rates(pages: DataFrame) -> DataFrame:
+    return (
+        pages.where((F.col("count_last_visit") > 0) & F.col("request_url").isNotNull())
+        .withColumn("exit_rate", percent("count_last_visit", "page_request_count"))
     )
 
 
@@ -245,13 +281,14 @@ def top_k_by(df: DataFrame, part: list[str], measure: str, k: int, tie: str = "r
 
 def page_insights_by_day(sessions: DataFrame, k_hits: int, k_exit: int, tie_break: str | None = None) -> DataFrame:
     """C7 + U2 + P12: Page_Hits and Exit_Rate top-K per day in one table."""
-    hits = top_k_by(page_hits_by_day(sessions), ["insight_date"], "page_request_count", k_hits).select(
+    pages = page_days(sessions, tie_break)
+    hits = top_k_by(pages, ["insight_date"], "page_request_count", k_hits).select(
         "insight_date",
         F.lit(P.PAGE_HITS_LABEL).alias("query_type"),
         "request_url",
         F.col("page_request_count").cast("double").alias("measure_value"),
     )
-    exits = top_k_by(exit_rates_by_day(sessions, tie_break), ["insight_date"], "exit_rate", k_exit).select(
+    exits = top_k_by(_exit_rates(pages), ["insight_date"], "exit_rate", k_exit).select(
         "insight_date",
         F.lit(P.EXIT_RATE_LABEL).alias("query_type"),
         "request_url",
@@ -277,6 +314,13 @@ def country_insights_by_day(sessions: DataFrame) -> DataFrame:
     )
 
 
+def ranked_countries_by_day(sessions: DataFrame) -> DataFrame:
+    """C8 with O1: the busiest country of a day has rank 1; ties by name, the
+    NULL country last."""
+    w = Window.partitionBy("insight_date").orderBy(F.col("page_request_count").desc(), F.col("country_name").asc_nulls_last())
+    return country_insights_by_day(sessions).withColumn("country_rank", F.row_number().over(w))
+
+
 # --- whole-file insights (C10) -----------------------------------------------------------
 
 

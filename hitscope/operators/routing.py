@@ -24,6 +24,11 @@ from hitscope.functions import (
 )
 
 
+#: Given in place of a key: hosts stay readable (tests, logs that hold no
+#: personal data).  Nothing does this by default.
+PLAIN_HOSTS = "plain hosts"
+
+
 def null_predicate(fields: list[str] = schemas.ACCESS_LOG_FIELDS) -> Column:
     """Any field missing."""
     return reduce(lambda a, b: a | b, [F.col(f).isNull() for f in fields])
@@ -38,13 +43,15 @@ def null_hits(raw: DataFrame) -> DataFrame:
     return raw.where(null_predicate())
 
 
-def kept_hits(raw: DataFrame, pseudonym_key: str | None = None, strict: bool = False) -> DataFrame:
+def kept_hits(raw: DataFrame, pseudonym_key: str, strict: bool = False) -> DataFrame:
     """Required fields present, host pseudonym added, ``[`` removed
     from the time text (now ``raw_timestamp``).  Extra input columns (for
-    example a tie-break id) are carried along.  Without a key the host is
-    carried as its own pseudonym (for oracle runs and tests)."""
+    example a tie-break id) are carried along.  The key is required; only the
+    constant :data:`PLAIN_HOSTS` leaves hosts as they are."""
+    if not pseudonym_key:
+        raise ValueError("a pseudonym key is required")
     keep = ~null_predicate() if strict else required_predicate()
-    enc = pseudonymize("host", pseudonym_key) if pseudonym_key else F.col("host")
+    enc = F.col("host") if pseudonym_key == PLAIN_HOSTS else pseudonymize("host", pseudonym_key)
     extras = [c for c in raw.columns if c not in schemas.ACCESS_LOG_FIELDS]
     return raw.where(keep).select(
         "host",
@@ -80,7 +87,7 @@ def non_page_hits(valid: DataFrame) -> DataFrame:
     return valid.where(~is_page_url("request_url"))
 
 
-def route_logs(raw: DataFrame, pseudonym_key: str | None = None, strict: bool = False) -> dict[str, DataFrame]:
+def route_logs(raw: DataFrame, pseudonym_key: str, strict: bool = False) -> dict[str, DataFrame]:
     """The routed streams as lazy DataFrames over one input."""
     kept = kept_hits(raw, pseudonym_key, strict)
     valid = valid_hits(kept)

@@ -15,8 +15,8 @@ Semantics (kept from the original jobs):
   and frames are ROWS.  Without one, equal times are peers (RANGE frames),
   which is what an un-framed SQL window does.
 
-Two strategies produce the same rows (``auto``, the default, measures the
-busiest host and picks ``window`` when it fits one task, else ``chunked``):
+``chunked`` is the plan at every size; ``window`` is the direct form of the
+same rows, for reading and comparison:
 
 ``window``
     The direct form: one hash shuffle on host, LAG + running SUM, then the
@@ -56,8 +56,6 @@ SESSION_COLUMNS = [
     "page_count",
 ]
 DEFAULT_CHUNK_SECONDS = 600
-# A host with more hits than this is not sessionised in a single task.
-DEFAULT_MAX_HOST_ROWS = 5_000_000
 # Sort key for hits without a time: before every real chunk, as NULL times
 # sort first in an ascending window order.
 _NO_TIME_CHUNK = -(2**63)
@@ -75,13 +73,6 @@ def _running(w: Window, tie_break: str | None) -> Window:
     return w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def largest_host(hits: DataFrame, host: str = "encrypted_host") -> int:
-    """Hits of the busiest host (a map-side combined count; one number
-    reaches the driver)."""
-    n = hits.groupBy(host).count().agg(F.max("count").alias("n")).first()["n"]
-    return int(n or 0)
-
-
 def sessionize(
     hits: DataFrame,
     gap: int = P.SESSION_GAP_SECONDS,
@@ -90,17 +81,11 @@ def sessionize(
     epoch: str = "epoch",
     url: str = "request_url",
     tie_break: str | None = None,
-    strategy: str = "auto",
+    strategy: str = "chunked",
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-    max_host_rows: int = DEFAULT_MAX_HOST_ROWS,
 ) -> DataFrame:
-    """Add the six session columns to every hit (row count unchanged).
-
-    ``auto`` measures the busiest host first: when it has at most
-    ``max_host_rows`` hits, every host fits one task and the single-shuffle
-    ``window`` plan is used; otherwise the skew-proof ``chunked`` plan."""
-    if strategy == "auto":
-        strategy = "window" if largest_host(hits, host) <= max_host_rows else "chunked"
+    """Add the six session columns to every hit (row count unchanged).  Hits
+    without a host form one group, as in a window."""
     if strategy == "window":
         return _sessionize_window(hits, gap, host, time, epoch, url, tie_break)
     if strategy == "chunked":
@@ -145,21 +130,24 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
             F.floor(F.greatest(F.col(tie_break), F.lit(0)) / F.lit(_NO_TIME_ROWS_PER_CHUNK)), F.lit(0)
         )
     chunk = F.coalesce(F.floor(F.col(epoch) / F.lit(width)), no_time)
-    keyed = hits.withColumn("_chunk", chunk)
+    # A key that is never NULL: hits without a host are a group like any other,
+    # and the carry meets them by plain equality on the hits' own partitioning.
+    key = F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit(""))
+    keyed = hits.withColumn("_chunk", chunk).withColumn("_key", key)
     order = F.struct(F.col(time), F.col(tie_break)) if tie_break else F.struct(F.col(time))
 
     # Summary: one row per (host, chunk), combined map-side straight from the
-    # hits (no sort, and only partial aggregates cross the network).
-    summary = keyed.groupBy(host, "_chunk").agg(
+    # hits (only partial aggregates cross the network).
+    summary = keyed.groupBy("_key", "_chunk").agg(
         F.min(epoch).alias("_head_e"),
         F.max(epoch).alias("_tail_e"),
-        F.count(F.lit(1)).alias("_n"),
+        F.count(url).alias("_n"),
         F.min_by(F.struct(F.col(url).alias("u")), order).alias("_head"),
     )
 
     # Carry across chunks, per host in chunk order: at most one row per
     # chunk, so even the busiest host is a small group here.
-    by_chunk = Window.partitionBy(host).orderBy("_chunk")
+    by_chunk = Window.partitionBy("_key").orderBy("_chunk")
     upto = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carry = (
         summary.withColumn("_head_gap", F.col("_head_e") - F.lag("_tail_e").over(by_chunk))
@@ -178,7 +166,7 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
             }
         )
         .select(
-            host,
+            "_key",
             "_chunk",
             "_head_gap",
             "_sess_no",
@@ -187,19 +175,19 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
         )
     )
 
-    # Hits: running values inside each (host, chunk) -- the only shuffle of
+    # Hits: running values inside each (key, chunk) -- the only shuffle of
     # the hits -- then the carry joined on that same key.
-    in_chunk = Window.partitionBy(host, "_chunk").orderBy(*_order(time, tie_break))
+    in_chunk = Window.partitionBy("_key", "_chunk").orderBy(*_order(time, tie_break))
     running = _running(in_chunk, tie_break)
     rows = keyed.withColumns(
         {
             "_rn": F.row_number().over(in_chunk),
             "_lag_gap": F.col(epoch) - F.lag(epoch).over(in_chunk),
-            "_cnt": F.count(F.lit(1)).over(running),
+            "_cnt": F.count(url).over(running),
             "_last_url": F.last(url).over(running),
         }
     )
-    j = rows.join(carry, [host, "_chunk"], "left")
+    j = rows.join(carry, ["_key", "_chunk"], "left")
     td = F.when(F.col("_rn") == 1, F.col("_head_gap")).otherwise(F.col("_lag_gap"))
     out = j.withColumn("session_time_difference", td).withColumns(
         {

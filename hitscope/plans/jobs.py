@@ -6,44 +6,30 @@ user-level entry points that replace the three original batch programs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from hitscope.config import apply_runtime_conf, scratch_path
+from hitscope.config import scratch_path
 from hitscope.functions import patterns as P
 from hitscope.operators.geo import tag_country
 from hitscope.operators.routing import route_logs
 from hitscope.operators.sessions import sessionize
 from hitscope.operators.timecols import enriched_hits
-from hitscope.sources import testdata
-
-
-def spread_input(raw: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Make sure the CPU-heavy parsing runs on all cores.  A compressed log
-    file (gzip is not splittable) or a file with a single row group is read
-    by one task; when the scan yields fewer splits than the cluster's default
-    parallelism, the lines are dealt round-robin over that many partitions.
-    Opt-in (``min_partitions``): with many input splits (the normal
-    large-scale case) or small inputs the extra shuffle does not pay."""
-    if raw.isStreaming or not min_partitions:
-        return raw
-    return raw.repartition(min_partitions) if raw.rdd.getNumPartitions() < min_partitions else raw
 
 
 def preprocess(
     raw: DataFrame,
     ranges: DataFrame,
-    pseudonym_key: str | None = None,
-    strategy: str = "auto",
+    pseudonym_key: str,
     overlap: str = "all",
     keep: list[str] | None = None,
     use_offset: bool = False,
-    min_partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     """C1 + C2 + C3: routed hit streams and the enriched (country-tagged,
     timed) page hits.  ``keep`` lists extra input columns to carry along,
-    such as an ordering tie-break."""
-    routes = route_logs(spread_input(raw, min_partitions), pseudonym_key)
-    tagged = tag_country(routes["page"], ranges, strategy=strategy, overlap=overlap)
+    such as an ordering tie-break.  ``pseudonym_key`` is required (see
+    :data:`hitscope.operators.routing.PLAIN_HOSTS`)."""
+    routes = route_logs(raw, pseudonym_key)
+    tagged = tag_country(routes["page"], ranges, overlap=overlap)
     routes["enriched"] = enriched_hits(tagged, keep=keep, use_offset=use_offset)
     return routes
 
@@ -52,7 +38,7 @@ def build_sessions(
     enriched: DataFrame,
     gap: int = P.SESSION_GAP_SECONDS,
     tie_break: str | None = None,
-    strategy: str = "auto",
+    strategy: str = "chunked",
 ) -> DataFrame:
     """C5 over the enriched log."""
     return sessionize(enriched, gap=gap, tie_break=tie_break, strategy=strategy)
@@ -67,42 +53,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-# --- the shared test tables --------------------------------------------------
-
-TIE_BREAK = "event_id"
-
-
-def test_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_runtime_conf(spark)
-    return testdata.access_log(spark, sf_dir)
-
-
-def test_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.ip_ranges(spark, sf_dir)
-
-
-def test_routes(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> dict[str, DataFrame]:
-    return preprocess(
-        test_raw(spark, sf_dir), test_ranges(spark, sf_dir), strategy=strategy, keep=[TIE_BREAK]
-    )
-
-
-def test_enriched(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
-    return test_routes(spark, sf_dir, strategy)["enriched"]
-
-
-def test_sessions(
-    spark: SparkSession,
-    sf_dir: str,
-    gap: int = P.SESSION_GAP_SECONDS,
-    strategy: str = "auto",
-    stored: bool = False,
-) -> DataFrame:
-    """Sessions over the enriched log, which is first stored as a table (the
-    sessioniser reads it twice: hits and per-chunk summary).  ``stored``
-    also stores the sessions, for outputs that read them several times."""
-    enriched = materialize(test_enriched(spark, sf_dir), "enriched")
-    s = build_sessions(enriched, gap=gap, tie_break=TIE_BREAK, strategy=strategy)
-    return materialize(s, "sessions") if stored else s

@@ -1,15 +1,21 @@
 """DuckDB SQL for every registered query: the independent check.
 
-The SQL rebuilds the web log from ``events`` and ``nation`` with the same
-integer/string rules as ``hitscope.sources.testdata`` and then follows the
-original jobs literally (plain LAG / SUM / first_value / last_value windows
-over the host, ROW_NUMBER for the latest hit, NOT EXISTS for new hosts), so it
-shares no plan shape with the Spark side.
+The SQL rebuilds the web log from ``events`` and ``nation`` by the integer and
+string rules of ``hitscope.sources.testdata`` and has its own constants.
+Sessions are derived from their starts: the hits that open a session are found
+first, and every hit then belongs to the latest start at or before it.
 """
 
 from __future__ import annotations
 
-from hitscope.functions import patterns as P
+# The request and page patterns of the original jobs, and their
+# host patterns, gap and labels.
+REQUEST = r"^([A-Z])* (\/([a-zA-Z0-9\-\.\_\?\/\+\%\~\:]+)?)*(\.{1}([a-z0-9]+)*)?( [A-Z0-9]+\/[0-9|a-z|A-Z]+\.[0-9|a-z|A-Z])?$"
+PAGE = r"^\/([a-z|A-Z]|\/|\-|[0-9]|\_)*.?(html|htm|\?|[0-9]*\,[0-9]*)?$"
+NUMERIC_HOST = r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"
+HOST_NAME = r"^[a-z0-9\-_.]*\.[a-z]*$"
+DURATION_GAP = 1800
+
 
 # Spark rounds a double HALF_UP on its shortest decimal form; going through
 # DECIMAL gives DuckDB the same reading.
@@ -28,37 +34,41 @@ def _ip_to_long(h: str) -> str:
 
 
 RAW = f"""
+ev AS (SELECT *, CASE WHEN user_id % 10 < 3 THEN 0 ELSE user_id END AS u FROM events),
 raw AS (
   SELECT
-    CASE user_id % 4
-      WHEN 0 THEN {_ipv4("CAST(16777216 + user_id * 65537 AS BIGINT)")}
-      WHEN 1 THEN 'u' || CAST(user_id AS VARCHAR) || '.example.' || repeat(chr(CAST(97 + user_id % 25 AS INTEGER)), 2)
-      WHEN 2 THEN 'u' || CAST(user_id AS VARCHAR) || '.example.com'
-      ELSE 'U' || CAST(user_id AS VARCHAR) || '.LOCAL'
-    END AS host,
+    CASE WHEN event_id % 227 <> 0 THEN CASE u % 4
+      WHEN 0 THEN {_ipv4("CAST(16777216 + u * 65537 AS BIGINT)")}
+      WHEN 1 THEN 'u' || CAST(u AS VARCHAR) || '.example.' || repeat(chr(CAST(97 + u % 26 AS INTEGER)), 2)
+      WHEN 2 THEN 'u' || CAST(u AS VARCHAR) || '.example.com'
+      ELSE 'U' || CAST(u AS VARCHAR) || '.LOCAL'
+    END END AS host,
     '-' AS hyphen_string1,
     '-' AS hyphen_string2,
-    '[' || strftime(ts, '%d/%b/%Y:%H:%M:%S') AS "timestamp",
-    '+0000]' AS timezone,
-    CASE event_type
+    CASE WHEN event_id % 229 = 0 THEN '[99/Foo/2024:00:00:00' ELSE '[' || strftime(ts, '%d/%b/%Y:%H:%M:%S') END AS "timestamp",
+    CASE WHEN event_id % 223 = 0 THEN NULL WHEN event_id % 7 = 3 THEN '-0400]' ELSE '+0000]' END AS timezone,
+    CASE WHEN event_id % 211 <> 0 THEN CASE event_type
       WHEN 'view' THEN 'GET /view/' || CAST(event_id % 10 AS VARCHAR) || '.html HTTP/1.0'
       WHEN 'click' THEN 'GET /click/' || CAST(event_id % 10 AS VARCHAR) || ' HTTP/1.0'
       WHEN 'signup' THEN 'POST /signup/ HTTP/1.0'
       WHEN 'purchase' THEN 'GET /img/' || CAST(event_id % 10 AS VARCHAR) || '.gif HTTP/1.0'
       ELSE 'GET /cgi/x?k=' || CAST(event_id % 10 AS VARCHAR) || ' HTTP/1.0'
-    END AS request,
+    END END AS request,
     CASE WHEN event_id % 50 = 0 THEN '404' ELSE '200' END AS http_response_code,
     CASE WHEN event_id % 50 = 0 THEN '-' ELSE CAST(event_id % 5000 AS VARCHAR) END AS bytes,
-    event_id,
-    ts
-  FROM events
+    event_id
+  FROM ev
+),
+nat AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS n, 16777216 + CAST(n_nationkey AS BIGINT) * 4000000 AS b,
+         repeat(chr(CAST(97 + n_nationkey AS INTEGER)), 2) AS cc, n_name
+  FROM nation
 ),
 ranges AS (
-  SELECT CAST(16777216 + CAST(n_nationkey AS BIGINT) * 4000000 AS BIGINT) AS begin_ip_int,
-         CAST(16777216 + CAST(n_nationkey AS BIGINT) * 4000000 + 3999999 AS BIGINT) AS end_ip_int,
-         lower(repeat(chr(CAST(97 + n_nationkey AS INTEGER)), 2)) AS country_code,
-         n_name AS country
-  FROM nation WHERE n_nationkey < 20
+  SELECT CAST(b AS BIGINT) AS begin_ip_int, CAST(b + 2999999 AS BIGINT) AS end_ip_int, cc AS country_code, n_name AS country FROM nat
+  UNION ALL SELECT b + 200000, b + 1999999, cc, 'OVER, ' || n_name FROM nat WHERE n % 5 = 0
+  UNION ALL SELECT b + 100000, b + 699999, NULL, NULL FROM nat WHERE n % 5 = 1
+  UNION ALL SELECT NULL, NULL, cc, NULL FROM nat WHERE n = 2
 ),
 kept AS (
   SELECT host, host AS encrypted_host, replace("timestamp", '[', '') AS raw_timestamp, timezone,
@@ -69,24 +79,24 @@ kept AS (
 ),
 valid AS (
   SELECT *, string_split(request, ' ')[2] AS request_url FROM kept
-  WHERE regexp_matches(request, '{P.REQUEST_PATTERN}')
+  WHERE regexp_matches(request, '{REQUEST}')
 ),
-rejected AS (SELECT * FROM kept WHERE NOT regexp_matches(request, '{P.REQUEST_PATTERN}')),
-page AS (SELECT * FROM valid WHERE regexp_matches(request_url, '{P.PAGE_PATTERN}')),
-non_page AS (SELECT * FROM valid WHERE NOT regexp_matches(request_url, '{P.PAGE_PATTERN}')),
+rejected AS (SELECT * FROM kept WHERE NOT regexp_matches(request, '{REQUEST}')),
+page AS (SELECT * FROM valid WHERE regexp_matches(request_url, '{PAGE}')),
+non_page AS (SELECT * FROM valid WHERE NOT regexp_matches(request_url, '{PAGE}')),
 hosts AS (SELECT DISTINCT host FROM page),
 ip_hosts AS (
   SELECT host, {_ip_to_long("host")} AS ip_int FROM hosts
-  WHERE regexp_matches(host, '{P.NUMERIC_HOST_PATTERN}')
+  WHERE regexp_matches(host, '{NUMERIC_HOST}')
 ),
 ip_country AS (
   SELECT h.host, r.country FROM ip_hosts h JOIN ranges r ON h.ip_int BETWEEN r.begin_ip_int AND r.end_ip_int
 ),
 name_hosts AS (
   SELECT host, nullif(string_split(rtrim(host, '.'), '.')[-1], '') AS country_code FROM hosts
-  WHERE regexp_matches(host, '{P.HOST_NAME_PATTERN}')
+  WHERE regexp_matches(host, '{HOST_NAME}')
 ),
-codes AS (SELECT DISTINCT country_code, country FROM ranges),
+codes AS (SELECT DISTINCT country_code, coalesce(country, 'NA') AS country FROM ranges WHERE country_code IS NOT NULL),
 name_country AS (
   SELECT n.host, coalesce(c.country, 'NA') AS country
   FROM name_hosts n LEFT JOIN codes c ON n.country_code = c.country_code
@@ -106,40 +116,36 @@ enriched AS (
 
 
 def _sessions(gap: int, name: str = "sess") -> str:
-    order = "ORDER BY datetime, event_id"
-    frame = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    # hits of a host, numbered in time order; a hit without a time comes first
     return f"""
-{name}_s1 AS (
-  SELECT *, epoch - LAG(epoch) OVER (PARTITION BY encrypted_host {order}) AS session_time_difference
-  FROM enriched
-),
-{name}_s2 AS (
-  SELECT *, CAST(CASE WHEN session_time_difference >= {gap} THEN 1 ELSE 0 END AS INTEGER) AS is_new_session
-  FROM {name}_s1
+{name}_n AS (
+  SELECT *, row_number() OVER (PARTITION BY encrypted_host ORDER BY datetime NULLS FIRST, event_id,
+    country IS NULL OR country = 'NA' OR country LIKE 'OVER,%') AS i FROM enriched
 ),
-{name}_s3 AS (
-  SELECT *, encrypted_host || '_' || CAST(SUM(is_new_session) OVER (PARTITION BY encrypted_host {frame}) AS VARCHAR) AS session_id
-  FROM {name}_s2
+{name}_g AS (
+  SELECT a.*, a.epoch - b.epoch AS session_time_difference
+  FROM {name}_n a LEFT JOIN {name}_n b ON a.encrypted_host = b.encrypted_host AND b.i = a.i - 1
 ),
-{name}_s4 AS (
-  SELECT *, first_value(request_url) OVER (PARTITION BY session_id {frame}) AS first_visited_page,
-            last_value(request_url) OVER (PARTITION BY session_id {frame}) AS last_visited_page
-  FROM {name}_s3
+{name}_starts AS (
+  SELECT encrypted_host, i AS start, row_number() OVER (PARTITION BY encrypted_host ORDER BY i) - 1 AS no, request_url AS first_visited_page
+  FROM {name}_g WHERE i = 1 OR session_time_difference >= {gap}
 ),
 {name} AS (
-  SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
-         year, month, day, session_time_difference, is_new_session, session_id,
-         first_visited_page, last_visited_page,
-         CAST(COUNT(last_visited_page) OVER (PARTITION BY session_id {frame}) AS BIGINT) AS page_count,
+  SELECT h.encrypted_host, datetime, epoch, request, http_response_code, bytes, h.request_url, country,
+         year, month, day, session_time_difference,
+         CAST(CASE WHEN session_time_difference >= {gap} THEN 1 ELSE 0 END AS INTEGER) AS is_new_session,
+         h.encrypted_host || '_' || CAST(s.no AS VARCHAR) AS session_id,
+         s.first_visited_page, h.request_url AS last_visited_page,
+         CAST(count(h.request_url) OVER (PARTITION BY h.encrypted_host, s.no ORDER BY i) AS BIGINT) AS page_count,
          event_id
-  FROM {name}_s4
+  FROM {name}_g h ASOF JOIN {name}_starts s ON h.encrypted_host = s.encrypted_host AND h.i >= s.start
 ),
 {name}_day AS (
-  SELECT *, CAST(datetime AS DATE) AS d FROM {name}
+  SELECT *, CAST(datetime AS DATE) AS d FROM {name} WHERE datetime IS NOT NULL
 ),
 {name}_sd AS (
   SELECT d, session_id, any_value(encrypted_host) AS encrypted_host, COUNT(*) AS hits,
-         SUM(CASE WHEN session_time_difference <= {P.DURATION_GAP_SECONDS} THEN session_time_difference END) AS duration
+         SUM(CASE WHEN session_time_difference <= {DURATION_GAP} THEN session_time_difference END) AS duration
   FROM {name}_day GROUP BY d, session_id
 ),
 {name}_last AS (
@@ -223,6 +229,7 @@ FROM ({_top_k("sess_exits", "exit_rate", k_exit)})""",
 
 
 GAP_30M = 1800
+RERUN_DAY = "2024-01-15"
 GAP_6H = 21600
 LOOKBACK_DAYS = 7
 TOP_K = 10
@@ -246,26 +253,50 @@ UNION ALL SELECT 'non_page', (SELECT COUNT(*) FROM non_page)"""
     q["rejected_hits"] = base + f"SELECT {routed} FROM rejected"
     q["page_hits"] = base + f"SELECT {routed} FROM page"
     q["non_page_hits"] = base + f"SELECT {routed} FROM non_page"
+    q["null_hits"] = base + f"""
+SELECT host, hyphen_string1, hyphen_string2, "timestamp", timezone, request, http_response_code, bytes, event_id
+FROM raw WHERE {any_null}"""
     q["raw_log_roundtrip"] = base + """
-SELECT host, replace("timestamp", '[', '') AS raw_timestamp, timezone, request, http_response_code, bytes,
-       try_strptime(replace("timestamp", '[', ''), '%d/%b/%Y:%H:%M:%S') AS datetime
-FROM raw"""
+SELECT host, raw_timestamp, timezone, request, http_response_code, bytes,
+       try_strptime(raw_timestamp, '%d/%b/%Y:%H:%M:%S') AS datetime
+FROM kept"""
     q["host_kind"] = base + f"""
-SELECT host, regexp_matches(host, '{P.NUMERIC_HOST_PATTERN}') AS is_ip,
-       regexp_matches(host, '{P.HOST_NAME_PATTERN}') AS is_name,
-       CASE WHEN regexp_matches(host, '{P.HOST_NAME_PATTERN}')
+SELECT host, regexp_matches(host, '{NUMERIC_HOST}') AS is_ip,
+       regexp_matches(host, '{HOST_NAME}') AS is_name,
+       CASE WHEN regexp_matches(host, '{HOST_NAME}')
             THEN nullif(string_split(rtrim(host, '.'), '.')[-1], '') END AS suffix
 FROM hosts"""
     q["ip_to_int"] = base + "SELECT host, ip_int FROM ip_hosts"
-    q["ip_range_country"] = base + "SELECT host, country FROM ip_country"
-    q["ip_range_country_bucketed"] = q["ip_range_country"]
+    q["ip_range_country"] = base + "SELECT DISTINCT host, country FROM ip_country"
+    q["ip_range_country_bucketed"] = base + "SELECT host, country FROM ip_country"
+    q["smallest_range_country"] = base + """
+SELECT host, country FROM (
+  SELECT h.host, r.country, row_number() OVER (PARTITION BY h.host ORDER BY end_ip_int - begin_ip_int, r.country NULLS FIRST) AS k
+  FROM ip_hosts h JOIN ranges r ON h.ip_int BETWEEN r.begin_ip_int AND r.end_ip_int)
+WHERE k = 1"""
+    q["ambiguous_hosts"] = base + "SELECT host, COUNT(*) AS countries FROM host_map GROUP BY host HAVING COUNT(*) > 1"
+    q["labelled_countries"] = base + """
+SELECT event_id, CASE WHEN country IS NULL OR country = 'NA' THEN 'unknown' ELSE country END AS country FROM tagged"""
+    q["ip_ranges_csv"] = base + "SELECT begin_ip_int, end_ip_int, country_code, country FROM ranges"
+    q["pseudonymised_hosts"] = base + """
+SELECT host, host AS back, CAST((16 * (octet_length(encode(host)) // 16 + 1) + 2) // 3 * 4 AS INTEGER) AS token_length, true AS same_token
+FROM hosts"""
     q["host_suffix_country"] = base + "SELECT host, country FROM name_country"
     q["country_tagged_hits"] = base + "SELECT event_id, encrypted_host, request_url, country FROM tagged"
+    q["country_tagged_hits_direct"] = q["country_tagged_hits"]
     q["country_tagged_hits_shuffle"] = q["country_tagged_hits"]
     q["time_columns"] = base + """
 SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
        year, month, day, event_id FROM enriched"""
-    q["time_columns_with_offset"] = q["time_columns"]
+    q["time_columns_with_offset"] = base + """
+SELECT encrypted_host, datetime, CAST(epoch(datetime) AS BIGINT) AS epoch, request,
+       TRY_CAST(http_response_code AS INTEGER) AS http_response_code, TRY_CAST(bytes AS BIGINT) AS bytes, request_url, country,
+       CAST(year(datetime) AS INTEGER) AS year, CAST(month(datetime) AS INTEGER) AS month, CAST(day(datetime) AS INTEGER) AS day, event_id
+FROM (
+  SELECT *, try_strptime(raw_timestamp, '%d/%b/%Y:%H:%M:%S')
+            + CASE timezone WHEN '+0000]' THEN INTERVAL 0 HOUR WHEN '-0400]' THEN INTERVAL 4 HOUR END AS datetime
+  FROM tagged)"""
+    q["date_prefix"] = base + "SELECT event_id, strftime(datetime, '%Y-%m-%d') AS date_text FROM enriched"
     q["gaps_and_flags"] = _sess_query(
         GAP_30M, "SELECT event_id, encrypted_host, session_time_difference, is_new_session FROM sess"
     )
@@ -278,7 +309,7 @@ SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, requ
         GAP_6H,
         f"""SELECT s.session_id, any_value(s.encrypted_host) AS encrypted_host, MIN(s.datetime) AS session_start,
        MAX(s.datetime) AS session_end, COUNT(*) AS hits,
-       CAST(SUM(CASE WHEN s.session_time_difference <= {P.DURATION_GAP_SECONDS} THEN s.session_time_difference END) AS BIGINT) AS duration,
+       CAST(SUM(CASE WHEN s.session_time_difference <= {DURATION_GAP} THEN s.session_time_difference END) AS BIGINT) AS duration,
        any_value(s.first_visited_page) AS entry_page, any_value(l.last_visited_page) AS exit_page
 FROM sess s JOIN (SELECT session_id, last_visited_page FROM (
     SELECT session_id, last_visited_page,
@@ -324,6 +355,12 @@ WHERE rn = 1""",
     q["daily_insights"] = _daily(GAP_30M, LOOKBACK_DAYS)
     q["daily_insights_6h"] = _daily(GAP_6H, LOOKBACK_DAYS)
     q["country_insights"] = q["country_traffic"]
+    q["country_rank"] = _sess_query(
+        GAP_30M,
+        f"""SELECT {DAY} AS insight_date, country AS country_name, n AS page_request_count,
+       CAST(row_number() OVER (PARTITION BY d ORDER BY n DESC, country NULLS LAST) AS INTEGER) AS country_rank
+FROM (SELECT d, country, COUNT(*) AS n FROM sess_day GROUP BY d, country)""",
+    )
     q["site_insights"] = _sess_query(
         GAP_30M,
         f"""SELECT COUNT(DISTINCT encrypted_host) AS unique_visitor_count, COUNT(*) AS user_session_count,
@@ -331,7 +368,7 @@ WHERE rn = 1""",
        CAST(round(avg(duration)) AS BIGINT) AS avg_session_duration_sec,
        CAST(SUM(hits) AS BIGINT) AS page_views_count
 FROM (SELECT session_id, any_value(encrypted_host) AS encrypted_host, COUNT(*) AS hits,
-             SUM(CASE WHEN session_time_difference <= {P.DURATION_GAP_SECONDS} THEN session_time_difference END) AS duration
+             SUM(CASE WHEN session_time_difference <= {DURATION_GAP} THEN session_time_difference END) AS duration
       FROM sess GROUP BY session_id)""",
     )
     site_exits = f"""
@@ -352,10 +389,26 @@ ORDER BY count_page_visit DESC, request_url ASC LIMIT {TOP_K}""",
     )
     q["partitioned_rewrite"] = q["time_columns"]
     q["publish_rerun"] = q["daily_insights"]
+    q["published_tables"] = _sess_query(
+        GAP_30M,
+        f"""SELECT 'daily_insights' AS table_name, {DAY} AS insight_date, 'new_users_count' AS key, CAST(new_users_count AS DOUBLE) AS measure FROM sess_new
+UNION ALL SELECT 'page_insights', {DAY}, 'Page_Hits ' || request_url, CAST(page_request_count AS DOUBLE)
+FROM ({_top_k("sess_page_hits", "page_request_count", TOP_K)})
+UNION ALL SELECT 'page_insights', {DAY}, 'Exit_Rate ' || request_url, exit_rate FROM ({_top_k("sess_exits", "exit_rate", TOP_K)})
+UNION ALL SELECT 'country_insights', {DAY}, country, CAST(COUNT(*) AS DOUBLE) FROM sess_day GROUP BY d, country""",
+        LOOKBACK_DAYS,
+    )
+    q["session_history"] = q["daily_insights"]
+    q["session_csv_scan"] = _sess_query(GAP_30M, f"SELECT {SESSION_COLS.removesuffix(', event_id')} FROM sess")
+    q["managed_table"] = q["time_columns"]
+    q["external_tables"] = base + """
+SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
+       year, month, day FROM enriched"""
     q["session_hits_sql"] = q["session_hits_30m"]
     q["streamed_enriched_log"] = base + """
 SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
        year, month, day FROM enriched"""
     q["land_new_days"] = base + """
-SELECT strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS lines FROM raw GROUP BY 1"""
+SELECT coalesce(strftime(try_strptime(replace("timestamp", '[', ''), '%d/%b/%Y:%H:%M:%S'), '%Y-%m-%d'), 'unknown') AS day,
+       COUNT(*) AS lines FROM raw GROUP BY 1"""
     return q

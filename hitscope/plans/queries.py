@@ -9,9 +9,8 @@ folder (``spark.checkpoint.dir``) and return a read of what was written.
 
 from __future__ import annotations
 
-import base64
 import os
-import secrets
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,37 +18,67 @@ from pyspark.sql import functions as F
 
 from hitscope import schemas
 from hitscope.config import apply_runtime_conf, scratch_path
-from hitscope.functions import pseudonymize
+from hitscope.functions import depseudonymize, pseudonymize, timestamp_date_prefix
+from hitscope.functions import patterns as P
 from hitscope.operators import geo, insights, routing
 from hitscope.operators.sessions import session_rollup
 from hitscope.operators.timecols import add_time_columns
 from hitscope.plans import jobs
-from hitscope.plans.oracles import GAP_6H, GAP_30M, LOOKBACK_DAYS, TOP_K
+from hitscope.plans.oracles import GAP_6H, GAP_30M, LOOKBACK_DAYS, RERUN_DAY, TOP_K
 from hitscope.sinks import tables
 from hitscope.sources import testdata
-from hitscope.sources.access_log import read_access_log
+from hitscope.sources.access_log import read_access_log, read_ip_ranges, read_session_hits, read_table, typed_ip_ranges
 
-TB = jobs.TIE_BREAK
-PSEUDONYM_KEY_CONF = "spark.hitscope.pseudonymKey"
+TB = "event_id"
+HIT = "hit_no"  # orders the copies of a hit whose host has two countries, too
+#: A key for the test log only, made for this repository.
+DEMO_KEY = "aGl0c2NvcGUtZGVtby0wMQ=="
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# --- the shared tables as inputs ---------------------------------------------------
+def _raw(spark: SparkSession, sf: str) -> DataFrame:
+    apply_runtime_conf(spark)
+    return testdata.access_log(spark, sf)
+
+
+def _ranges(spark: SparkSession, sf: str) -> DataFrame:
+    return testdata.ip_ranges(spark, sf)
+
+
 def _routes(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return jobs.test_routes(spark, sf)
+    return routing.route_logs(_raw(spark, sf), routing.PLAIN_HOSTS)
 
 
 def _hosts(spark: SparkSession, sf: str) -> DataFrame:
     return geo.distinct_hosts(_routes(spark, sf)["page"]).select("host")
 
 
-def _sessions(spark: SparkSession, sf: str, gap: int, stored: bool = False) -> DataFrame:
-    return jobs.test_sessions(spark, sf, gap, stored=stored)
+def _enriched(spark: SparkSession, sf: str, use_offset: bool = False) -> DataFrame:
+    return jobs.preprocess(_raw(spark, sf), _ranges(spark, sf), routing.PLAIN_HOSTS, keep=[TB], use_offset=use_offset)["enriched"]
+
+
+def _ordered_hits(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col("country")
+    second = c.isNull() | (c == P.UNKNOWN_SUFFIX_COUNTRY) | c.startswith("OVER,")
+    return _enriched(spark, sf).withColumn(HIT, F.col(TB) * 2 + second.cast("int"))
+
+
+def _sessions(spark: SparkSession, sf: str, gap: int, stored: bool = False, strategy: str = "chunked") -> DataFrame:
+    """Sessions over the enriched log.  The chunked plan reads its input twice
+    (hits and per-chunk summary), so the log is stored first; ``stored`` also
+    stores the sessions, for outputs that read them several times."""
+    enriched = _ordered_hits(spark, sf)
+    if strategy == "chunked":
+        enriched = jobs.materialize(enriched, "enriched")
+    s = jobs.build_sessions(enriched, gap=gap, tie_break=HIT, strategy=strategy)
+    return jobs.materialize(s, "sessions") if stored else s
 
 
 # --- C1 ----------------------------------------------------------------------------
 def route_counts(spark, sf):
-    return routing.route_counts(jobs.test_raw(spark, sf))
+    return routing.route_counts(_raw(spark, sf))
 
 
 def rejected_hits(spark, sf):
@@ -64,13 +93,18 @@ def non_page_hits(spark, sf):
     return routing.routed_output(_routes(spark, sf)["non_page"])
 
 
+def null_hits(spark, sf):
+    """Lines with a missing field."""
+    return _routes(spark, sf)["null"]
+
+
 def raw_log_roundtrip(spark, sf):
     """Write the hits as raw log text, scan it back with the log reader,
     quarantine and parse it."""
     path = scratch_path(spark, "raw-log")
-    testdata.access_log_lines(jobs.test_raw(spark, sf)).select("value").write.text(path)
+    testdata.access_log_lines(_raw(spark, sf)).select("value").write.text(path)
     raw = read_access_log(spark, path)
-    kept = routing.kept_hits(raw)
+    kept = routing.kept_hits(raw, routing.PLAIN_HOSTS)
     return add_time_columns(kept).select(
         "host", "raw_timestamp", "timezone", "request", "http_response_code", "bytes", "datetime"
     )
@@ -86,63 +120,87 @@ def ip_to_int(spark, sf):
 
 
 def pseudonymised_hosts(spark, sf):
-    """F1 (rows only: DuckDB has no AES).  The key comes from the session
-    setting ``spark.hitscope.pseudonymKey``; without it a fresh random key is
-    drawn, so the pseudonyms are only stable within one run."""
-    key_b64 = spark.conf.get(PSEUDONYM_KEY_CONF, None) or base64.b64encode(secrets.token_bytes(16)).decode()
-    h = _hosts(spark, sf)
-    return h.select("host", pseudonymize("host", key_b64).alias("encrypted_host"))
+    """F1 and its inverse: the host back from its pseudonym, the pseudonym's
+    length, and whether the hits of a host share one pseudonym."""
+    hits = _routes(spark, sf)["page"].select("host", pseudonymize("host", DEMO_KEY).alias("token"))
+    return hits.groupBy("host").agg(
+        F.min(depseudonymize("token", DEMO_KEY)).alias("back"),
+        F.max(F.length("token")).alias("token_length"),
+        (F.min("token") == F.max("token")).alias("same_token"),
+    )
 
 
 def ip_range_country(spark, sf):
-    ips = geo.numeric_hosts(_hosts(spark, sf))
-    return geo.ip_range_country(ips, jobs.test_ranges(spark, sf), strategy="broadcast")
+    return geo.ip_range_country(geo.numeric_hosts(_hosts(spark, sf)), _ranges(spark, sf))
 
 
 def ip_range_country_bucketed(spark, sf):
     ips = geo.numeric_hosts(_hosts(spark, sf))
-    return geo.ip_range_country(ips, jobs.test_ranges(spark, sf), strategy="bucketed")
+    return geo.ip_range_country_bucketed(ips, _ranges(spark, sf)).select("host", "country")
+
+
+def smallest_range_country(spark, sf):
+    return geo.ip_range_country(geo.numeric_hosts(_hosts(spark, sf)), _ranges(spark, sf), overlap="smallest")
+
+
+def ambiguous_hosts(spark, sf):
+    return geo.ambiguous_hosts(geo.host_country_map(_routes(spark, sf)["page"], _ranges(spark, sf)))
+
+
+def labelled_countries(spark, sf):
+    tagged = geo.tag_country(_routes(spark, sf)["page"], _ranges(spark, sf), unknown_label="unknown")
+    return tagged.select(TB, "country")
+
+
+def ip_ranges_csv(spark, sf):
+    """The dimension as a comma file and back (one name holds a comma)."""
+    path = scratch_path(spark, "ip-ranges")
+    _ranges(spark, sf).write.csv(path)
+    return typed_ip_ranges(read_ip_ranges(spark, path))
 
 
 def host_suffix_country(spark, sf):
     names = geo.named_hosts(_hosts(spark, sf))
-    return geo.suffix_country(names, jobs.test_ranges(spark, sf))
+    return geo.suffix_country(names, _ranges(spark, sf))
 
 
 def country_tagged_hits(spark, sf):
-    """C2 with the size-checked broadcast lookups (no shuffle of the hits)."""
-    page = _routes(spark, sf)["page"]
-    tagged = geo.tag_country(page, jobs.test_ranges(spark, sf), strategy="auto")
+    """C2 through the distinct hosts and their map."""
+    tagged = geo.tag_country(_routes(spark, sf)["page"], _ranges(spark, sf))
     return tagged.select(TB, "encrypted_host", "request_url", "country")
 
 
-def country_tagged_hits_shuffle(spark, sf):
-    """C2 through the distinct hosts, the bucketed range join and the host map
-    (the form used when the lookup tables are too large to broadcast)."""
-    page = _routes(spark, sf)["page"]
-    tagged = geo.tag_country(page, jobs.test_ranges(spark, sf), strategy="shuffle")
+def country_tagged_hits_direct(spark, sf):
+    """C2 in the form that a stream runs: every hit meets the lookups."""
+    tagged = geo.tag_country_direct(_routes(spark, sf)["page"], _ranges(spark, sf))
     return tagged.select(TB, "encrypted_host", "request_url", "country")
 
 
+def country_tagged_hits_shuffle(spark, sf):
+    """C2 on the enriched log's own columns, after the map join."""
+    return _enriched(spark, sf).select(TB, "encrypted_host", "request_url", "country")
+
+
 # --- C3 / C4 -----------------------------------------------------------------------------
 def time_columns(spark, sf):
-    return jobs.test_enriched(spark, sf).select(*schemas.ENRICHED_FIELDS, TB)
+    return _enriched(spark, sf).select(*schemas.ENRICHED_FIELDS, TB)
 
 
 def time_columns_with_offset(spark, sf):
-    """F8 reading the logged offset instead of the session zone (the test
-    log is written in UTC, so the instants equal ``time_columns``)."""
-    routes = jobs.preprocess(
-        jobs.test_raw(spark, sf), jobs.test_ranges(spark, sf), keep=[TB], use_offset=True
-    )
-    return routes["enriched"].select(*schemas.ENRICHED_FIELDS, TB)
+    """F8 reading the logged offset instead of the session zone."""
+    return _enriched(spark, sf, use_offset=True).select(*schemas.ENRICHED_FIELDS, TB)
+
+
+def date_prefix(spark, sf):
+    """the date part of the stored time text."""
+    return _enriched(spark, sf).select(TB, timestamp_date_prefix(F.col("datetime").cast("string")).alias("date_text"))
 
 
 def partitioned_rewrite(spark, sf):
     """C4: write the enriched log partitioned by year/month/day, rerun one
     day (dynamic overwrite replaces just that day), read everything back."""
     path = scratch_path(spark, "partitioned-log")
-    enriched = jobs.test_enriched(spark, sf)
+    enriched = _enriched(spark, sf)
     tables.write_partitioned(enriched, path, sort_cols=["encrypted_host", "datetime"])
     rerun = enriched.where(
         (F.col("year") == 2024) & (F.col("month") == 1) & (F.col("day") == 1)
@@ -164,17 +222,17 @@ def session_hits_30m(spark, sf):
 def session_hits_30m_window(spark, sf):
     """C5 with the direct window plan (one shuffle on host), for comparison
     with the default skew-proof chunked plan."""
-    return jobs.test_sessions(spark, sf, GAP_30M, strategy="window").select(*schemas.SESSION_FIELDS, TB)
+    return _sessions(spark, sf, GAP_30M, strategy="window").select(*schemas.SESSION_FIELDS, TB)
 
 
 def session_hits_30m_chunked(spark, sf):
     """C5 with the skew-proof chunked plan (what ``auto`` picks when one host
     is too large for a task)."""
-    return jobs.test_sessions(spark, sf, GAP_30M, strategy="chunked").select(*schemas.SESSION_FIELDS, TB)
+    return _sessions(spark, sf, GAP_30M, strategy="chunked").select(*schemas.SESSION_FIELDS, TB)
 
 
 def session_hits_6h_chunked(spark, sf):
-    return jobs.test_sessions(spark, sf, GAP_6H, strategy="chunked").select(*schemas.SESSION_FIELDS, TB)
+    return _sessions(spark, sf, GAP_6H, strategy="chunked").select(*schemas.SESSION_FIELDS, TB)
 
 
 def session_hits_6h(spark, sf):
@@ -262,6 +320,11 @@ def country_insights(spark, sf):
     return insights.country_insights_by_day(_sessions(spark, sf, GAP_30M))
 
 
+def country_rank(spark, sf):
+    """O1: the countries of each day in order."""
+    return insights.ranked_countries_by_day(_sessions(spark, sf, GAP_30M))
+
+
 def site_insights(spark, sf):
     return insights.site_insights(_sessions(spark, sf, GAP_30M), tie_break=TB)
 
@@ -275,45 +338,100 @@ def site_top_exits(spark, sf):
 
 
 # --- C11 / C12 -----------------------------------------------------------------------------
-def publish_rerun(spark, sf):
-    """C11: publish the three tables for every day, rerun the first day
-    (replaces that day only), read the daily table back."""
-    root = scratch_path(spark, "published")
-    s = _sessions(spark, sf, GAP_30M, stored=True)
+def _published(spark, sf) -> str:
+    """C11: publish the three tables for every day from stored sessions, then
+    run a day in the middle again as the daily job does: its own slice, with
+    the sessions of the days before as history."""
+    root, store = scratch_path(spark, "published"), scratch_path(spark, "session-history")
+    tables.write_sessions(_sessions(spark, sf, GAP_30M), store, keep=[TB])
+    s = spark.read.parquet(store)
     daily = insights.daily_insights_all_days(s, lookback_days=LOOKBACK_DAYS, tie_break=TB)
     pages = insights.page_insights_by_day(s, TOP_K, TOP_K, tie_break=TB)
     countries = insights.country_insights_by_day(s)
     tables.publish_insights(daily, pages, countries, root)
-    day = "2024-01-01"
+    today = insights.day_slice(s, RERUN_DAY)
     tables.publish_insights(
-        insights.daily_insights(s, s, day, LOOKBACK_DAYS, tie_break=TB),
-        pages.where(F.col("insight_date") == day),
-        countries.where(F.col("insight_date") == day),
+        insights.daily_insights(s, s, RERUN_DAY, LOOKBACK_DAYS, tie_break=TB),
+        insights.page_insights_by_day(today, TOP_K, TOP_K, tie_break=TB),
+        insights.country_insights_by_day(today),
         root,
-        dates=[day],
+        dates=[RERUN_DAY],
+    )
+    return root
+
+
+def publish_rerun(spark, sf):
+    """C11: the daily table after the rerun."""
+    return tables.read_published(spark, _published(spark, sf), "daily_insights").select(*schemas.DAILY_INSIGHTS_FIELDS)
+
+
+def published_tables(spark, sf):
+    """C11: all three tables after the rerun, as (table, day, key, measure)."""
+    root = _published(spark, sf)
+    read = lambda t: tables.read_published(spark, root, t)
+    shape = lambda t, df, key, value: df.select(F.lit(t).alias("table_name"), "insight_date", key.alias("key"), value.cast("double").alias("measure"))
+    daily = shape("daily_insights", read("daily_insights"), F.lit("new_users_count"), F.col("new_users_count"))
+    pages = shape("page_insights", read("page_insights"), F.concat_ws(" ", "query_type", "request_url"), F.col("measure_value"))
+    return daily.unionByName(pages).unionByName(
+        shape("country_insights", read("country_insights"), F.col("country_name"), F.col("page_request_count"))
     )
-    back = tables.read_published(spark, root, "daily_insights")
-    return back.select(*schemas.DAILY_INSIGHTS_FIELDS)
+
+
+def session_history(spark, sf):
+    """Sessions stored by day, read back with their declared schema as
+    the input and the history of the daily table."""
+    store = scratch_path(spark, "session-history")
+    tables.write_sessions(_sessions(spark, sf, GAP_30M), store)
+    s = read_session_hits(spark, store)
+    return insights.daily_insights_all_days(s, s, lookback_days=LOOKBACK_DAYS)
+
+
+def session_csv_scan(spark, sf):
+    """S3: session hits as a comma file and back."""
+    path = scratch_path(spark, "session-csv")
+    tables.write_routed({"session": _sessions(spark, sf, GAP_30M)}, path)
+    spark.read.parquet(f"{path}/session").write.csv(f"{path}/csv")
+    return read_session_hits(spark, f"{path}/csv", fmt="csv")
+
+
+def managed_table(spark, sf):
+    """The enriched log as a managed, partitioned catalog table, one
+    day of it written again, scanned by name."""
+    db = f"hitscope_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    enriched = _enriched(spark, sf).select(*schemas.ENRICHED_FIELDS[:8], TB, *tables.LOG_PARTITIONS)
+    tables.save_partitioned_table(enriched, f"{db}.log")
+    tables.save_partitioned_table(insights.day_slice(enriched, RERUN_DAY), f"{db}.log")
+    return read_table(spark, f"{db}.log").select(*schemas.ENRICHED_FIELDS, TB)
+
+
+def external_tables(spark, sf):
+    """A table with a declared schema over the partitioned log folder."""
+    path, db = scratch_path(spark, "external"), f"hitscope_{uuid.uuid4().hex[:10]}"
+    tables.write_partitioned(_enriched(spark, sf).select(*schemas.ENRICHED_FIELDS), path, sort_cols=["encrypted_host", "datetime"])
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    t = tables.create_external_table(spark, f"{db}.log", path, schemas.ENRICHED_LOG, tables.LOG_PARTITIONS)
+    return t.select(*schemas.ENRICHED_FIELDS)
 
 
 def land_new_days(spark, sf):
-    """Raw log text per day; the first run lands the first week, the
-    second run lands only the remaining days; read back per day."""
-    src = scratch_path(spark, "log-src")
-    dst = scratch_path(spark, "log-landed")
-    raw = jobs.test_raw(spark, sf)
-    lines = testdata.access_log_lines(raw).withColumn(
-        "day",
-        F.date_format(F.try_to_timestamp(F.substring(F.col("value"), F.instr("value", "[") + 1, 20),
-                                         F.lit("dd/MMM/yyyy:HH:mm:ss")), "yyyy-MM-dd"),
+    """Raw log text per day; the first run lands the first week, a run
+    that failed leaves half a day, the next one lands that day and the rest,
+    a rerun lands nothing; read back per day."""
+    src, dst = scratch_path(spark, "log-src"), scratch_path(spark, "log-landed")
+    time = F.try_to_timestamp(F.substring(F.col("value"), F.instr("value", "[") + 1, 20), F.lit(P.TIMESTAMP_FORMAT))
+    lines = (
+        testdata.access_log_lines(_raw(spark, sf))
+        .select("value", F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit("unknown")).alias("day"))
     )
-    lines.select("value", "day").write.partitionBy("day").text(src)
-    first_week = [f"2024-01-0{i}" for i in range(1, 8)]
-    spark.read.schema("value string, day string").text(src).where(F.col("day").isin(first_week)).write.partitionBy(
-        "day"
-    ).text(dst)
+    first_week = F.col("day") <= "2024-01-07"
+    lines.where(first_week).write.partitionBy("day").text(src)
+    tables.land_new_days(spark, src, dst)
+    lines.where(~first_week).write.mode("append").partitionBy("day").text(src)
+    lines.where("day = '2024-01-08' and length(value) % 2 = 0").write.mode("append").partitionBy("day").text(dst)
     tables.land_new_days(spark, src, dst)
-    tables.land_new_days(spark, src, dst)  # a rerun lands nothing
+    if tables.land_new_days(spark, src, dst):
+        raise AssertionError("a rerun landed a day again")
     back = spark.read.schema("value string, day string").text(dst)
     return back.groupBy("day").agg(F.count(F.lit(1)).alias("lines"))
 
@@ -323,17 +441,24 @@ _QUERIES: dict[str, Query] = {
     "rejected_hits": rejected_hits,
     "page_hits": page_hits,
     "non_page_hits": non_page_hits,
+    "null_hits": null_hits,
     "raw_log_roundtrip": raw_log_roundtrip,
     "host_kind": host_kind,
     "ip_to_int": ip_to_int,
     "pseudonymised_hosts": pseudonymised_hosts,
     "ip_range_country": ip_range_country,
     "ip_range_country_bucketed": ip_range_country_bucketed,
+    "smallest_range_country": smallest_range_country,
+    "ambiguous_hosts": ambiguous_hosts,
+    "labelled_countries": labelled_countries,
+    "ip_ranges_csv": ip_ranges_csv,
     "host_suffix_country": host_suffix_country,
     "country_tagged_hits": country_tagged_hits,
+    "country_tagged_hits_direct": country_tagged_hits_direct,
     "country_tagged_hits_shuffle": country_tagged_hits_shuffle,
     "time_columns": time_columns,
     "time_columns_with_offset": time_columns_with_offset,
+    "date_prefix": date_prefix,
     "gaps_and_flags": gaps_and_flags,
     "session_hits_30m": session_hits_30m,
     "session_hits_30m_window": session_hits_30m_window,
@@ -356,11 +481,17 @@ _QUERIES: dict[str, Query] = {
     "daily_insights": daily_insights,
     "daily_insights_6h": daily_insights_6h,
     "country_insights": country_insights,
+    "country_rank": country_rank,
     "site_insights": site_insights,
     "site_top_pages": site_top_pages,
     "site_top_exits": site_top_exits,
     "partitioned_rewrite": partitioned_rewrite,
     "publish_rerun": publish_rerun,
+    "published_tables": published_tables,
+    "session_history": session_history,
+    "session_csv_scan": session_csv_scan,
+    "managed_table": managed_table,
+    "external_tables": external_tables,
     "land_new_days": land_new_days,
 }
 
@@ -384,8 +515,7 @@ def session_hits_sql(spark, sf):
     """The same sessions through a temp view and SQL text."""
     from hitscope.plans.sql import sessionize_sql
 
-    enriched = jobs.materialize(jobs.test_enriched(spark, sf), "enriched")
-    return sessionize_sql(spark, enriched, GAP_30M, tie_break=TB).select(*schemas.SESSION_FIELDS, TB)
+    return sessionize_sql(spark, _ordered_hits(spark, sf), GAP_30M, tie_break=HIT).select(*schemas.SESSION_FIELDS, TB)
 
 
 def streamed_enriched_log(spark, sf):
@@ -397,14 +527,14 @@ def streamed_enriched_log(spark, sf):
     src = scratch_path(spark, "stream-src")
     out = scratch_path(spark, "stream-out")
     ckpt = scratch_path(spark, "stream-ckpt")
-    lines = testdata.access_log_lines(jobs.test_raw(spark, sf))
+    lines = testdata.access_log_lines(_raw(spark, sf))
     day = F.substring(F.col("value"), F.instr("value", "[") + 1, 2).cast("int")
-    ranges = jobs.test_ranges(spark, sf)
+    ranges = _ranges(spark, sf)
     lines.where(day <= 15).select("value").write.text(f"{src}/part-1")
-    run_incremental(spark, f"{src}/*", ranges, out, ckpt)
-    lines.where(day > 15).select("value").write.text(f"{src}/part-2")
-    run_incremental(spark, f"{src}/*", ranges, out, ckpt)
-    run_incremental(spark, f"{src}/*", ranges, out, ckpt)
+    run_incremental(spark, f"{src}/*", ranges, out, ckpt, routing.PLAIN_HOSTS)
+    lines.where(day > 15).select("value").write.text(f"{src}/part-2")  # and the times that do not parse
+    run_incremental(spark, f"{src}/*", ranges, out, ckpt, routing.PLAIN_HOSTS)
+    run_incremental(spark, f"{src}/*", ranges, out, ckpt, routing.PLAIN_HOSTS)
     return spark.read.parquet(out).select(*schemas.ENRICHED_FIELDS)
 
 

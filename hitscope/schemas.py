@@ -72,6 +72,8 @@ SESSION_HITS = T.StructType(
 )
 SESSION_FIELDS = [f.name for f in SESSION_HITS.fields]
 
+ENRICHED_LOG = T.StructType([f for f in SESSION_HITS.fields if f.name in ENRICHED_FIELDS])
+
 # Routed hit tables (null, rejected, page, non-page) as written.
 ROUTED_FIELDS = ["encrypted_host", "raw_timestamp", "request", "http_response_code", "bytes"]
 

@@ -14,6 +14,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitscope import schemas
 
@@ -24,13 +25,14 @@ LOG_PARTITIONS = ["year", "month", "day"]
 def write_routed(routes: dict[str, DataFrame], out_dir: str) -> None:
     """One overwritten folder per routed stream: the raw 8 fields for null
     hits, the 5 routed fields for rejected / page / non-page, the enriched
-    11 fields for the tagged log."""
+    11 fields for the tagged log, the 17 session fields for session hits."""
     shapes = {
         "null": schemas.ACCESS_LOG_FIELDS,
         "rejected": schemas.ROUTED_FIELDS,
         "page": schemas.ROUTED_FIELDS,
         "non_page": schemas.ROUTED_FIELDS,
         "enriched": schemas.ENRICHED_FIELDS,
+        "session": schemas.SESSION_FIELDS,
     }
     for name, cols in shapes.items():
         if name in routes:
@@ -49,7 +51,11 @@ def write_partitioned(
     ``rebalance`` hint: AQE splits a partition that is too large (one busy
     day is spread over many tasks) and merges small ones, so tasks write
     few, reasonably sized files.  Instead of a global sort, rows are sorted
-    within each task by ``sort_cols``."""
+    within each task by ``sort_cols``.  A folder that a stream writes is
+    refused: its readers list only the stream's own files."""
+    fs, root, jvm = _hadoop_fs(df.sparkSession, path)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(root, "_spark_metadata")):
+        raise ValueError(f"{path} belongs to a stream")
     out = df.hint("rebalance", *partition_cols)
     if sort_cols:
         out = out.sortWithinPartitions(*partition_cols, *sort_cols)
@@ -61,6 +67,14 @@ def write_partitioned(
     )
 
 
+def write_sessions(sessions: DataFrame, path: str, keep: list[str] | None = None) -> None:
+    """Session hits by day, in (host, time) order within each file: what a
+    later run reads back as its history."""
+    write_partitioned(
+        sessions.select(*schemas.SESSION_FIELDS, *(keep or [])), path, sort_cols=["encrypted_host", "datetime", *(keep or [])]
+    )
+
+
 def save_partitioned_table(df: DataFrame, name: str, partition_cols: list[str] = LOG_PARTITIONS) -> None:
     """A managed, partitioned catalog table (dynamic overwrite)."""
     spark = df.sparkSession
@@ -72,9 +86,16 @@ def save_partitioned_table(df: DataFrame, name: str, partition_cols: list[str] =
         df.write.partitionBy(*partition_cols).format("parquet").saveAsTable(name)
 
 
-def create_external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A catalog table over an output folder (schema from the files)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+def create_external_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, partition_cols: list[str] | None = None
+) -> DataFrame:
+    """A catalog table over an output folder, with a declared schema; the
+    partitions present in the folder are registered."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{by} LOCATION '{path}'")
+    if partition_cols:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
 
 
@@ -95,19 +116,29 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
             fs.delete(p, True)
 
 
-def publish(df: DataFrame, path: str, dates: Iterable[str] | None = None, key: str = "insight_date") -> None:
+def publish(
+    df: DataFrame, path: str, dates: Iterable[str] | None = None, key: str = "insight_date", sort_cols: Iterable[str] = ()
+) -> None:
     """Idempotent publish keyed by day: the days in ``dates`` (or in ``df``)
     are replaced as a whole; other days stay.  Rows keep their full natural
-    key (no collapsing of rows that share a measure)."""
-    if dates is not None:
-        drop_partitions(df.sparkSession, path, key, dates)
+    key (no collapsing of rows that share a measure) and are sorted by
+    ``sort_cols`` within each file.
+
+    The new rows are written first, by a dynamic overwrite that commits at its
+    end, so a job that fails leaves the published days as they were.  Only
+    then are those of ``dates`` cleared that the new data has no rows for."""
+    out = df if dates is None else df.where(F.col(key).isin(list(dates)))
     (
-        df.hint("rebalance", key)
+        out.hint("rebalance", key)
+        .sortWithinPartitions(key, *(F.col(c).desc() if c.endswith("count") or c == "measure_value" else F.col(c) for c in sort_cols))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
         .parquet(path)
     )
+    if dates is not None:
+        written = {r[key] for r in out.select(key).distinct().collect()}  # days, a few
+        drop_partitions(df.sparkSession, path, key, [d for d in dates if d not in written])
 
 
 def publish_insights(
@@ -120,8 +151,8 @@ def publish_insights(
     """C11: the three insight tables under ``root``."""
     ds = list(dates) if dates is not None else None
     publish(daily, f"{root}/daily_insights", ds)
-    publish(pages, f"{root}/page_insights", ds)
-    publish(countries, f"{root}/country_insights", ds)
+    publish(pages, f"{root}/page_insights", ds, sort_cols=["query_type", "measure_value", "request_url"])
+    publish(countries, f"{root}/country_insights", ds, sort_cols=["page_request_count", "country_name"])
 
 
 def read_published(spark: SparkSession, root: str, table: str, key: str = "insight_date") -> DataFrame:
@@ -132,30 +163,42 @@ def read_published(spark: SparkSession, root: str, table: str, key: str = "insig
 
 
 # S11 / C12 -----------------------------------------------------------------------------
-def landed_days(spark: SparkSession, root: str, column: str = "day") -> list[str]:
-    """Days already present under ``root`` (one folder listing; days, not
-    rows, come to the driver)."""
+LANDED = "_landed"  # one empty file for each landed day, written after its rows
+
+
+def source_days(spark: SparkSession, root: str, column: str = "day") -> list[str]:
+    """Days that have a folder under ``root`` (one listing; days, not rows,
+    come to the driver)."""
     fs, p, _ = _hadoop_fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{column}="):
-            out.append(name.split("=", 1)[1])
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def landed_days(spark: SparkSession, root: str, column: str = "day") -> list[str]:
+    """Days whose landing was committed: those with a marker.  A folder alone
+    may be half a day."""
+    fs, p, jvm = _hadoop_fs(spark, f"{root}/{LANDED}")
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
 def land_new_days(spark: SparkSession, src_root: str, dst_root: str, column: str = "day") -> list[str]:
     """Copy raw log days from ``src_root`` to ``dst_root`` unless the day is
-    already landed; a rerun lands nothing twice.  The already-landed days
-    become a partition filter, so the scan never reads them.  Returns the
-    newly landed days."""
-    done = landed_days(spark, dst_root, column)
-    src = spark.read.schema(f"value string, {column} string").text(src_root)
-    new = src.where(~F.col(column).isin(done)) if done else src
-    todo = landed_days(spark, src_root, column)
-    fresh = [d for d in todo if d not in set(done)]
+    already landed; a rerun lands nothing twice.  The days to land become a
+    partition filter, so no other day is read.  A dynamic overwrite replaces
+    what an earlier, failed run may have left of them, and the markers are set
+    after its commit.  Returns the newly landed days."""
+    done = set(landed_days(spark, dst_root, column))
+    fresh = [d for d in source_days(spark, src_root, column) if d not in done]
     if fresh:
-        new.write.mode("append").partitionBy(column).text(dst_root)
+        src = spark.read.schema(f"value string, {column} string").text(src_root)
+        (
+            src.where(F.col(column).isin(fresh))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column)
+            .text(dst_root)
+        )
+        fs, p, jvm = _hadoop_fs(spark, f"{dst_root}/{LANDED}")
+        for d in fresh:
+            fs.create(jvm.org.apache.hadoop.fs.Path(p, d), True).close()
     return fresh

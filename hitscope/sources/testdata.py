@@ -4,12 +4,19 @@
 IP-range dimension.  Only integer and string expressions are used, so the
 oracle SQL in ``hitscope.plans.oracles`` builds the very same rows in DuckDB.
 
-Host by ``user_id % 4``: 0 a dotted IPv4 address, 1 ``u<id>.example.<cc>``
-(a two-letter suffix, some without a country), 2 ``u<id>.example.com`` (no
-suffix country, so ``NA``), 3 ``U<id>.LOCAL`` (upper case: no country).
-Requests by ``event_type``: view/click/signup are pages, purchase is an
-image, error carries ``=`` and is rejected.  Every 50th event is a 404 with
-``-`` bytes.  ``event_id`` travels along as the ordering tie-break.
+Three of ten users share the host of user 0, so one host holds about a third
+of all hits.  Host by ``user % 4``: 0 a dotted IPv4 address, 1
+``u<id>.example.<cc>`` (a two-letter suffix, some without a country), 2
+``u<id>.example.com`` (no suffix country, so ``NA``), 3 ``U<id>.LOCAL`` (upper
+case: no country).  Requests by ``event_type``: view/click/signup are pages,
+purchase is an image, error carries ``=`` and is rejected.  Every 50th event
+is a 404 with ``-`` bytes.  Some lines lack the host, the zone or the request,
+some times do not parse, some zones are not UTC.  ``event_id`` travels along
+as the ordering tie-break.
+
+Each nation has a range; some have a second one inside it under another name
+(so a code has two names, one with a comma), some one without code and name,
+and one code is also listed without a name.
 """
 
 from __future__ import annotations
@@ -23,8 +30,8 @@ from hitscope.functions import long_to_ipv4
 
 FIRST_IP = 16777216
 IP_STRIDE_PER_USER = 65537
-RANGE_WIDTH = 4000000
-RANGED_NATIONS = 20
+RANGE_STRIDE = 4000000
+RANGE_WIDTH = 3000000  # the rest of a stride is in no range
 
 
 # Declared schemas of the shared tables this adapter reads (only the
@@ -48,12 +55,13 @@ def _two_letters(n: Column) -> Column:
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 8 raw text fields of S1 plus ``event_id``."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    uid, eid, et = F.col("user_id"), F.col("event_id"), F.col("event_type")
+    uid = F.when(F.col("user_id") % 10 < 3, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
+    eid, et = F.col("event_id"), F.col("event_type")
     kind = uid % 4
     ids = uid.cast("string")
     host = (
         F.when(kind == 0, long_to_ipv4(F.lit(FIRST_IP) + uid * IP_STRIDE_PER_USER))
-        .when(kind == 1, F.concat(F.lit("u"), ids, F.lit(".example."), _two_letters(uid % 25)))
+        .when(kind == 1, F.concat(F.lit("u"), ids, F.lit(".example."), _two_letters(uid % 26)))
         .when(kind == 2, F.concat(F.lit("u"), ids, F.lit(".example.com")))
         .otherwise(F.concat(F.lit("U"), ids, F.lit(".LOCAL")))
     )
@@ -67,12 +75,14 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     missing = eid % 50 == 0
     fields = F.struct(
-        host.alias("host"),
+        F.when(eid % 227 != 0, host).alias("host"),
         F.lit("-").alias("hyphen_string1"),
         F.lit("-").alias("hyphen_string2"),
-        F.concat(F.lit("["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")).alias("timestamp"),
-        F.lit("+0000]").alias("timezone"),
-        request.alias("request"),
+        F.when(eid % 229 == 0, "[99/Foo/2024:00:00:00")
+        .otherwise(F.concat(F.lit("["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")))
+        .alias("timestamp"),
+        F.when(eid % 223 != 0, F.when(eid % 7 == 3, "-0400]").otherwise("+0000]")).alias("timezone"),
+        F.when(eid % 211 != 0, request).alias("request"),
         F.when(missing, F.lit("404")).otherwise(F.lit("200")).alias("http_response_code"),
         F.when(missing, F.lit("-")).otherwise((eid % 5000).cast("string")).alias("bytes"),
         eid.alias("event_id"),
@@ -86,36 +96,44 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def access_log_lines(log: DataFrame) -> DataFrame:
     """The same hits as raw log text (``host - - [time zone] "request" code
-    bytes``), one line per hit, in column ``value``."""
+    bytes``), one line per hit, in column ``value``; a missing field is ``""``."""
+    text = lambda c: F.coalesce(c, F.lit('""'))
     line = F.concat_ws(
         " ",
-        "host",
-        "hyphen_string1",
-        "hyphen_string2",
-        "timestamp",
-        "timezone",
-        F.concat(F.lit('"'), F.col("request"), F.lit('"')),
-        "http_response_code",
-        "bytes",
+        *(text(F.col(c)) for c in ("host", "hyphen_string1", "hyphen_string2", "timestamp", "timezone")),
+        text(F.concat(F.lit('"'), F.col("request"), F.lit('"'))),
+        *(text(F.col(c)) for c in ("http_response_code", "bytes")),
     )
     return log.select(line.alias("value"), "event_id")
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2-shaped rows from ``nation``: 20 disjoint ranges of 4,000,000
-    addresses; nations 20-24 get no range."""
+    """S2-shaped rows from ``nation``."""
     n = F.col("n_nationkey").cast("bigint")
-    begin = F.lit(FIRST_IP) + n * RANGE_WIDTH
-    end = begin + (RANGE_WIDTH - 1)
-    return (
-        table(spark, sf_dir, "nation")
-        .where(F.col("n_nationkey") < RANGED_NATIONS)
-        .select(
+    first = F.lit(FIRST_IP) + n * RANGE_STRIDE
+    code, name = _two_letters(n), F.col("n_name")
+
+    def row(begin, width: int, code, name):
+        end = begin + (width - 1)
+        return F.struct(
             long_to_ipv4(begin).alias("begin_ip"),
             long_to_ipv4(end).alias("end_ip"),
             begin.cast("string").alias("begin_ip_int"),
             end.cast("string").alias("end_ip_int"),
-            _two_letters(n).alias("country_code"),
-            F.col("n_name").alias("country"),
+            code.alias("country_code"),
+            name.alias("country"),
         )
+
+    text = F.lit(None).cast("string")
+    over = F.when(n % 5 == 0, row(first + 200000, 1800000, F.upper(code), F.concat(F.lit("OVER, "), name)))
+    blank = F.when(n % 5 == 1, row(first + 100000, 600000, text, text))
+    bad = F.lit("x")
+    nameless = F.when(
+        n == 2,
+        F.struct(
+            bad.alias("begin_ip"), bad.alias("end_ip"), bad.alias("begin_ip_int"), bad.alias("end_ip_int"),
+            code.alias("country_code"), text.alias("country"),
+        ),
     )
+    rows = F.array_compact(F.array(row(first, RANGE_WIDTH, code, name), over, blank, nameless))
+    return table(spark, sf_dir, "nation").select(F.inline(rows))

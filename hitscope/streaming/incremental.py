@@ -6,7 +6,9 @@ behaviour from the file source: the stream's checkpoint records which log
 files were already processed, so each run (``availableNow``: process all
 new files, then stop) reads only files that arrived since the last run, and
 the file sink commits each batch exactly once.  The lookups are static
-DataFrames (a stream-static join); no streaming state is kept.
+DataFrames (a stream-static join); no streaming state is kept.  The output
+folder belongs to the stream: its readers see the files that the stream
+committed, and batch writers refuse it.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ def enriched_stream(
     spark: SparkSession,
     log_dir: str,
     ranges: DataFrame,
-    pseudonym_key: str | None = None,
+    pseudonym_key: str,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Raw log files appearing under ``log_dir`` as a stream of enriched hits."""
@@ -42,13 +44,14 @@ def run_incremental(
     ranges: DataFrame,
     out_dir: str,
     checkpoint_dir: str,
-    pseudonym_key: str | None = None,
+    pseudonym_key: str,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Process every log file not processed before into the partitioned
     enriched log at ``out_dir``, then stop.  ``checkpoint_dir`` must be on
     shared storage; it is what makes reruns skip processed files."""
     q = (
-        enriched_stream(spark, log_dir, ranges, pseudonym_key)
+        enriched_stream(spark, log_dir, ranges, pseudonym_key, max_files_per_trigger)
         .writeStream.format("parquet")
         .option("path", out_dir)
         .option("checkpointLocation", checkpoint_dir)

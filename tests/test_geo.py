@@ -13,9 +13,12 @@ def _hits(spark, hosts):
     return spark.createDataFrame([(h, i) for i, h in enumerate(hosts)], "host string, event_id long")
 
 
-def _tag(spark, hosts, rng, strategy, **kw):
-    out = geo.tag_country(_hits(spark, hosts), rng, strategy=strategy, **kw)
-    return sorted((r["event_id"], r["host"], r["country"]) for r in out.collect())
+TAG = {"map": geo.tag_country, "direct": geo.tag_country_direct}
+
+
+def _tag(spark, hosts, rng, form):
+    out = TAG[form](_hits(spark, hosts), rng)
+    return sorted(((r["event_id"], r["host"], r["country"]) for r in out.collect()), key=str)
 
 
 RANGES = [
@@ -29,9 +32,9 @@ HOSTS = ["1.2.3.4", "1.2.3.20", "1.2.3.4", "9.9.9.9", "0.1.0.1", "a.b.au", "A.co
          "x.example.com", "a.b.", "999.1.1.1", None, "host.xx"]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_tag_country_semantics(spark, strategy):
-    got = _tag(spark, HOSTS, ranges(spark, RANGES), strategy)
+@pytest.mark.parametrize("form", sorted(TAG))
+def test_tag_country_semantics(spark, form):
+    got = _tag(spark, HOSTS, ranges(spark, RANGES), form)
     by_id = {}
     for i, h, c in got:
         by_id.setdefault(i, []).append(c)
@@ -52,7 +55,7 @@ def test_tag_country_semantics(spark, strategy):
     assert len(got) == len(HOSTS) + 2  # 1.2.3.4 is listed twice, two countries each
 
 
-def test_strategies_agree_on_random_ranges(spark):
+def test_forms_agree_on_random_ranges(spark):
     rnd = random.Random(5)
     rs = []
     for k in range(150):
@@ -65,8 +68,8 @@ def test_strategies_agree_on_random_ranges(spark):
         hosts.append(".".join(str((n >> s) & 255) for s in (24, 16, 8, 0)))
     hosts += [f"h{k}.example.c" + chr(97 + k % 26) for k in range(100)]
     rng = ranges(spark, rs)
-    a = _tag(spark, hosts, rng, "broadcast")
-    b = _tag(spark, hosts, rng, "shuffle")
+    a = _tag(spark, hosts, rng, "map")
+    b = _tag(spark, hosts, rng, "direct")
     assert a == b
     # brute force
     expect = []
@@ -81,39 +84,54 @@ def test_strategies_agree_on_random_ranges(spark):
     assert sorted(a, key=str) == sorted(expect, key=str)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "bucketed"])
-def test_ip_range_join_forms(spark, strategy):
+def test_ip_range_join_forms(spark):
     rng = typed_ip_ranges(ranges(spark, RANGES))
     ips = geo.numeric_hosts(geo.distinct_hosts(_hits(spark, HOSTS)))
-    got = sorted((r["host"], r["country"]) for r in geo.ip_range_country(ips, rng, strategy=strategy, typed=True).collect())
-    assert ("1.2.3.4", "Australia") in got and ("1.2.3.4", "Korea, Republic of") in got
-    assert got.count(("1.2.3.4", "Australia")) == 2  # the raw range join: one row per range
-    smallest = geo.ip_range_country(ips, rng, strategy=strategy, overlap="smallest", typed=True)
-    s = {r["host"]: r["country"] for r in smallest.collect()}
+    rows = lambda df: sorted((r["host"], r["country"]) for r in df.collect())
+    raw = rows(geo.ip_range_country_bucketed(ips, rng, typed=True))
+    assert raw.count(("1.2.3.4", "Australia")) == 2  # the raw range join: one row per range
+    assert rows(geo.ip_range_country(ips, rng, typed=True)) == sorted(set(raw))
+    s = {r["host"]: r["country"] for r in geo.ip_range_country(ips, rng, overlap="smallest", typed=True).collect()}
     assert s["1.2.3.4"] == "Australia"  # the single-address range is narrowest
 
 
-def test_size_check_falls_back_to_shuffle(spark):
-    rng = ranges(spark, RANGES)
-    out = geo.tag_country(_hits(spark, HOSTS), rng, strategy="auto", max_broadcast_rows=2)
-    p = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in p
-    assert out.count() == len(HOSTS) + 2
+@pytest.mark.parametrize("form", sorted(TAG))
+def test_missing_names(spark, form):
+    rng = ranges(spark, [(16909060, 16909061, None, None), (16909060, 16909060, "au", "Australia"), (1, 2, "qq", None), (3, 4, "qq", "NA")])
+    got = _tag(spark, ["1.2.3.4", "1.2.3.5", "a.qq", "a.au"], rng, form)
+    assert sorted(got, key=str) == sorted(
+        [(0, "1.2.3.4", None), (0, "1.2.3.4", "Australia"), (1, "1.2.3.5", None), (2, "a.qq", "NA"), (3, "a.au", "Australia")], key=str
+    )
+
+
+@pytest.mark.parametrize("form", sorted(TAG))
+def test_bounds_outside_the_address_space(spark, form):
+    rng = ranges(spark, [(0, 2**62, "aa", "All"), (-5, 10, "bb", "Low"), (2**40, 2**41, "cc", "Beyond"), (9, 3, "dd", "Turned")])
+    got = _tag(spark, ["0.0.0.4", "255.255.255.255", "999.999.999.999"], rng, form)
+    assert sorted(got, key=str) == sorted(
+        [(0, "0.0.0.4", "All"), (0, "0.0.0.4", "Low"), (1, "255.255.255.255", "All"), (2, "999.999.999.999", None)], key=str
+    )
 
 
-def test_broadcast_tagging_does_not_shuffle_hits(spark):
-    out = geo.tag_country(_hits(spark, HOSTS * 10), ranges(spark, RANGES), strategy="broadcast")
-    p = out._jdf.queryExecution().executedPlan()
-    if p.nodeName() == "AdaptiveSparkPlan":
-        p = p.inputPlan()
-    names = []
-    while True:  # the streamed (left) path from the root down to the hits scan
-        names.append(p.nodeName())
-        if p.children().size() == 0:
-            break
-        p = p.children().apply(0)
-    assert names.count("BroadcastHashJoin") == 2
-    assert not any("Exchange" in n or "SortMergeJoin" in n for n in names)
+def test_dense_bucket_is_cut_again(spark):
+    rng = spark.range(50_000).selectExpr(
+        "'' begin_ip", "'' end_ip", "string(16777216 + id) begin_ip_int", "string(16777216 + id) end_ip_int", "'aa' country_code", "concat('C', id % 7) country"
+    )
+    spans = geo.range_spans(rng)
+    assert spans.groupBy("bucket", "sub").count().agg(F.max("count")).first()[0] <= 256
+    hosts = [f"1.0.{i // 256}.{i % 256}" for i in (0, 1, 4000, 49_999, 50_000)]
+    got = {h: c for _, h, c in _tag(spark, hosts, rng, "map")}
+    assert got == {h: (f"C{i % 7}" if i < 50_000 else None) for h, i in zip(hosts, (0, 1, 4000, 49_999, 50_000))}
+    assert _tag(spark, hosts, rng, "direct") == _tag(spark, hosts, rng, "map")
+
+
+def test_no_jobs_and_no_broadcast_hints_before_the_action(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-geo", "")
+    out = geo.tag_country(_hits(spark, HOSTS), ranges(spark, RANGES))
+    assert not tracker.getJobIdsForGroup("lazy-geo")
+    assert "ResolvedHint" not in out._jdf.queryExecution().optimizedPlan().toString()
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_ambiguous_hosts(spark):
@@ -121,11 +139,3 @@ def test_ambiguous_hosts(spark):
     amb = {r["host"] for r in geo.ambiguous_hosts(m).collect()}
     assert amb == {"1.2.3.4"}
     assert m.where(F.col("host") == "9.9.9.9").count() == 0
-
-
-def test_shuffle_path_salts_hot_hosts(spark):
-    hosts = ["1.2.3.4"] * 40 + ["a.b.au"] * 25 + HOSTS
-    rng = ranges(spark, RANGES)
-    salted = _tag(spark, hosts, rng, "shuffle", hot_host_rows=7)
-    assert salted == _tag(spark, hosts, rng, "broadcast")
-    assert salted == _tag(spark, hosts, rng, "shuffle")

@@ -114,6 +114,23 @@ def test_day_slice_prunes_partitions(spark, tmp_out):
     assert d["user_session_count"] == 3 and d["new_users_count"] == 1
 
 
+def test_hits_without_a_time_are_in_no_day(spark):
+    s = _sessions(spark, ROWS + [("a", None, "/x", 7)])
+    assert {r["insight_date"] for r in insights.country_insights_by_day(s).collect()} == {"2024-01-01", "2024-01-02"}
+    assert all(r["insight_date"] for r in insights.daily_insights_all_days(s, tie_break="event_id").collect())
+    assert all(r["insight_date"] for r in insights.page_insights_by_day(s, 9, 9, "event_id").collect())
+    assert insights.site_insights(s).first()["page_views_count"] == 7
+
+
+def test_own_history_equals_given_history(spark):
+    rows = [(f"h{i % 5}", (i * 7919) % 40 * DAY + i, "/x", i) for i in range(120)]
+    s = _sessions(spark, rows)
+    for days in (0, 1, 7):
+        a = insights.daily_insights_all_days(s, lookback_days=days, tie_break="event_id").collect()
+        b = insights.daily_insights_all_days(s, s, lookback_days=days, tie_break="event_id").collect()
+        assert sorted(map(str, a)) == sorted(map(str, b))
+
+
 def test_plan_shapes(spark):
     s = _sessions(spark, ROWS)
     top = insights.top_k_by(insights.page_hits_by_day(s), ["insight_date"], "page_request_count", 2)
@@ -124,3 +141,6 @@ def test_plan_shapes(spark):
     daily.collect()
     q = daily._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in q and "Python" not in q
+    pages = insights.page_insights_by_day(s, 3, 3, tie_break="event_id")
+    pages.collect()
+    assert "SortAggregate" not in pages._jdf.queryExecution().executedPlan().toString()

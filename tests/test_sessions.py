@@ -28,8 +28,8 @@ def brute_force(rows, gap):
             n += flag
             if k == 0 or flag:
                 first, count = url, 0
-            count += 1
-            out.append((i, td, flag, f"{h}_{n}", first, url, count))
+            count += url is not None
+            out.append((i, td, flag, None if h is None else f"{h}_{n}", first, url, count))
             prev = sec
     return sorted(out)
 
@@ -97,7 +97,7 @@ def test_plans_have_no_python_and_bounded_shuffles(spark):
         p = _plan(df)
         assert "Python" not in p and "ArrowEval" not in p
     assert _plan(w).count("Exchange hashpartitioning") == 1
-    # hits once by (host, chunk); summaries: partial aggregate, carry window, join
+    # hits once by (key, chunk); summaries: partial aggregate, carry window, join
     assert _plan(c).count("Exchange hashpartitioning") <= 4
 
 
@@ -110,13 +110,8 @@ def test_hits_without_time_spread_over_chunks(spark):
     assert rows_of(df, COLS) == brute_force(rows, 1800)
 
 
-def test_auto_picks_plan_by_busiest_host(spark):
-    from hitscope.operators.sessions import largest_host
-
-    rows = [("hot", i * 100, "/x", i) for i in range(30)] + [("b", 7, "/y", 100)]
-    h = hits(spark, rows)
-    assert largest_host(h) == 30
-    small = sessionize(h, 1800, tie_break="event_id", strategy="auto", max_host_rows=29)
-    big = sessionize(h, 1800, tie_break="event_id", strategy="auto", max_host_rows=30)
-    assert "_chunk" in _plan(small) and "_chunk" not in _plan(big)
-    assert rows_of(small, COLS) == rows_of(big, COLS) == brute_force(rows, 1800)
+@pytest.mark.parametrize("strategy", ["window", "chunked"])
+def test_missing_hosts_and_urls(spark, strategy):
+    rows = [("a", 0, "/1", 1), ("a", 700, None, 2), ("a", 1400, "/3", 3), (None, 0, "/n", 4), (None, 700, "/m", 5), (None, 5000, None, 6), ("", 3, "/e", 7)]
+    df = sessionize(hits(spark, rows), 1800, tie_break="event_id", strategy=strategy)
+    assert rows_of(df, COLS) == brute_force(rows, 1800)

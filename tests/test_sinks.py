@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from hitscope.operators import insights
@@ -53,6 +54,25 @@ def test_publish_rerun_is_idempotent(spark, tmp_out):
     assert day not in left and "2024-01-01" in left
 
 
+def test_failed_publish_keeps_the_old_day(spark, tmp_out):
+    path, day = os.path.join(tmp_out, "t"), "2024-01-02"
+    old = spark.createDataFrame([(day, "x", 1), ("2024-01-01", "y", 2)], "insight_date string, country_name string, page_request_count long")
+    tables.publish(old, path, sort_cols=["page_request_count"])
+    broken = old.withColumn("country_name", F.when(F.col("country_name") == "x", F.raise_error(F.lit("broken"))).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        tables.publish(broken, path, dates=[day])
+    assert {r["country_name"] for r in spark.read.parquet(path).collect()} == {"x", "y"}
+
+
+def test_published_files_are_sorted(spark, tmp_out):
+    s = sessionize(hits(spark, [("a", i * 10, f"/{i % 4}", i) for i in range(30)]), 1800, tie_break="event_id")
+    tables.publish_insights(
+        insights.daily_insights_all_days(s), insights.page_insights_by_day(s, 5, 5), insights.country_insights_by_day(s), tmp_out
+    )
+    rows = [r["measure_value"] for r in spark.read.parquet(f"{tmp_out}/page_insights").where("query_type = 'Page_Hits'").collect()]
+    assert rows == sorted(rows, reverse=True) and len(rows) == 4
+
+
 def test_land_new_days(spark, tmp_out):
     src, dst = os.path.join(tmp_out, "src"), os.path.join(tmp_out, "dst")
     lines = spark.createDataFrame(
@@ -60,7 +80,8 @@ def test_land_new_days(spark, tmp_out):
     )
     lines.write.partitionBy("day").text(src)
     lines.where(F.col("day") == "2024-01-01").write.partitionBy("day").text(dst)
-    assert tables.land_new_days(spark, src, dst) == ["2024-01-02", "2024-01-03"]
+    os.makedirs(os.path.join(dst, "day=2024-01-02"))  # folders of a run that failed: no marker, so not landed
+    assert tables.land_new_days(spark, src, dst) == ["2024-01-01", "2024-01-02", "2024-01-03"]
     assert tables.land_new_days(spark, src, dst) == []
     back = spark.read.schema("value string, day string").text(dst)
     assert sorted((r["day"], r["value"]) for r in back.collect()) == [
@@ -74,22 +95,23 @@ def test_routed_and_table_sinks(spark, tmp_out):
     tables.save_partitioned_table(e, "hits_partitioned")
     assert spark.table("hits_partitioned").count() == 4
     path = os.path.join(tmp_out, "ext")
-    e.write.parquet(path)
-    t = tables.create_external_table(spark, "hits_external", path)
-    assert t.count() == 4
+    tables.write_partitioned(e, path)
+    schema = e.schema
+    t = tables.create_external_table(spark, "hits_external", path, schema, ["year", "month", "day"])
+    assert t.count() == 4 and t.where("day = 2").count() == 2
     spark.sql("DROP TABLE IF EXISTS hits_partitioned")
     spark.sql("DROP TABLE IF EXISTS hits_external")
 
 
 def test_routed_sink_and_session_csv_scan(spark, tmp_out):
     from hitscope import schemas
-    from hitscope.operators.routing import route_logs
+    from hitscope.operators.routing import PLAIN_HOSTS, route_logs
     from hitscope.sources.access_log import read_session_hits
 
     from .helpers import raw_log
 
     good = ("h.a.com", "-", "-", "[01/Jul/1995:00:00:01", "-0400]", "GET /a.html HTTP/1.0", "200", "10")
-    routes = route_logs(raw_log(spark, [good, good[:5] + ("GET /x?a=1 HTTP/1.0",) + good[6:], ("x",) + (None,) * 7]))
+    routes = route_logs(raw_log(spark, [good, good[:5] + ("GET /x?a=1 HTTP/1.0",) + good[6:], ("x",) + (None,) * 7]), PLAIN_HOSTS)
     routes = {k: v for k, v in routes.items() if k in ("null", "rejected", "page", "non_page")}
     out = os.path.join(tmp_out, "routed")
     tables.write_routed(routes, out)
