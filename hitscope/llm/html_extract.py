@@ -60,6 +60,8 @@ DROPPED_WORDS = frozenset(
     "share sharing social comment comments commentlist disqus reply replies respond related recommended widget toolbar "
     "pagination pager login signup search masthead topbar skip".split()
 )
+#: Long enough to be told within a longer name (cookiebar, leftsidebar).
+_DROPPED_PARTS = re.compile("sidebar|cookie|newsletter|advert|sponsor|breadcrumb|popup|disqus|subscri|navigation")
 KEPT_TAGS = frozenset("html body main".split())
 #: An open p ends where one of these begins.
 _ENDS_P = BLOCK - {"html", "body", "td", "th", "tr", "caption", "thead", "tbody", "tfoot"} | {"nav", "aside", "footer", "form"}
@@ -140,7 +142,7 @@ class _Page(HTMLParser):
             or a.get("role", "").lower() in DROPPED_ROLES
             or "hidden" in a
             or a.get("aria-hidden", "").lower() == "true"
-            or (bool(words) and tag not in KEPT_TAGS and not DROPPED_WORDS.isdisjoint(words))
+            or (bool(words) and tag not in KEPT_TAGS and (not DROPPED_WORDS.isdisjoint(words) or any(map(_DROPPED_PARTS.search, words))))
             or ("header" in words and not inside and tag not in KEPT_TAGS)
         )
         key = f"{tag}|{a.get('class', '')}|{a.get('role', '')}".encode("utf-8", "replace") if tag in CONTAINERS and not cut else None

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from hitscope.llm.runtime import prepare, stored
 
-SITES = 10
+SITES = 5
 LG_K = 12  # standard error 1.6 % after merging
 MARGIN = 0.1
 

@@ -46,7 +46,7 @@ l AS (SELECT r, source, i, raw[i] AS raw_line, ls[i] AS line, CASE WHEN i > 1 TH
       FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
 b AS (
   SELECT line FROM l WHERE line <> '' GROUP BY line
-  HAVING count(DISTINCT source) >= 10 AND count(DISTINCT {'p': p, 'n': nx}) >= greatest(10, count(*) / 2.0)
+  HAVING count(DISTINCT source) >= 5 AND count(DISTINCT {'p': p, 'n': nx}) >= greatest(5, count(*) / 2.0)
 ),
 k AS (
   SELECT r, string_agg(raw_line, chr(10) ORDER BY i) FILTER (WHERE b.line IS NULL) AS text, count(b.line) AS gone
