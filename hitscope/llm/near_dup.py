@@ -15,9 +15,10 @@ Documents are linked when their sets of distinct word shingles have
    Each member's most promising survivor is verified exactly on the full
    shingle sets, and the verified links give provisional components.
 3. Bands that still join several components are searched in full, in blocks
-   of bounded size, for pairs across components.  Again the sequential test
-   prunes and the survivors are verified exactly.  Pairs within a component
-   are never formed, so a hot group of near copies does not square.
+   of bounded size, for links across components.  Again the sequential test
+   prunes and the survivors are verified exactly, inside the block: a block
+   gives the links that span its components, never a pair list.  Pairs within
+   a component are not tested, so a hot group of near copies does not square.
 4. Components of all verified links.
 
 A link at the threshold is missed with probability
@@ -48,7 +49,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 BATCH = 32  # signature positions compared between two tests
 MISS = 1e-6
-BLOCK = 256  # members of a band compared at once in the full search
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000  # members of a band, and their shingles, compared at once in the full search
 
 _SIZE = BANDS * ROWS
 _MULT = X._mix(np.arange(1, _SIZE + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -90,7 +91,7 @@ def signature(s: np.ndarray, size: int) -> bytes:
     return (low >> np.uint64(32)).astype("<u4").tobytes()
 
 
-def _signed(k: int, size: int):
+def _signed(k: int, size: int, with_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in X.pieces(whole, "text"):
@@ -100,10 +101,11 @@ def _signed(k: int, size: int):
                     k1.append(int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else None)
                     k2.append(int(X._mix(s ^ X._MIX1).sum(dtype=np.uint64).view(np.int64)) if len(s) else None)
                     sig.append(signature(s, size) if len(s) else None)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sig, pa.binary())],
-                    names=["id", "n", "k1", "k2", "sig"],
-                )
+                cols = [b.column("id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sig, pa.binary())]
+                names = ["id", "n", "k1", "k2", "sig"]
+                if with_text:
+                    cols, names = [*cols, b.column("text")], [*names, "text"]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
 
@@ -159,20 +161,23 @@ def _test_pairs(size: int, least: list[int], num: int, den: int):
     return run
 
 
-def _search_blocks(size: int, rows: int, least: list[int], num: int, den: int):
+def _search_blocks(size: int, rows: int, least: list[int], num: int, den: int, shingle: int):
     """Rows sorted by (key, ci, cj): the members of two blocks of a band.
-    Compares those of different components and gives the promising pairs,
-    each in the first band that the pair shares."""
+    Tests pairs of different components, each in the first band that the pair
+    shares: sequential test, then the full sets.  Gives links that span what
+    the block joins, not every link."""
 
-    def group(ids, comp, n, side, band, sig, same):
+    def group(t: pa.Table, ids, comp, n, side, band, sig, same):
         if comp.min() == comp.max():
             return
         # a pair of blocks: side 0 against side 1; a block with itself: all against all, once
         left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-        values, counts = np.unique(comp, return_counts=True)
-        major = values[counts.argmax()]
+        values, comp = np.unique(comp, return_inverse=True)
+        major = np.bincount(comp).argmax()
+        now = np.arange(len(values))  # what the block's links have joined so far
+        places = None
         for i in left if not same else left[comp[left] != major]:
-            j = right[comp[right] != comp[i]]
+            j = right[now[comp[right]] != now[comp[i]]]
             if same:  # both outside the largest component: from the smaller id only
                 j = j[(comp[j] == major) | (ids[j] > ids[i])]
             j = j[np.minimum(n[j], n[i]) * den >= np.maximum(n[j], n[i]) * num]
@@ -181,9 +186,23 @@ def _search_blocks(size: int, rows: int, least: list[int], num: int, den: int):
             keep, _ = _promising(np.broadcast_to(sig[i], (len(j), size)), sig[j], least, BATCH)
             j = j[keep]
             if len(j):
-                first = (sig[j].reshape(len(j), -1, rows) == sig[i].reshape(-1, rows)).all(axis=2).argmax(axis=1)
-                for x in ids[j[first == band]]:
-                    yield (min(ids[i], x), max(ids[i], x))
+                j = j[(sig[j].reshape(len(j), -1, rows) == sig[i].reshape(-1, rows)).all(axis=2).argmax(axis=1) == band]
+            if not len(j):
+                continue
+            if places is None:  # the sets of the block, as places in a common list of shingles
+                sets = shingle_sets(t.column("text").combine_chunks(), shingle)
+                first = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+                vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
+                mark = np.zeros(len(vocabulary), bool)
+            mine = places[first[i] : first[i + 1]]
+            mark[mine] = True
+            for x in j:
+                if now[comp[x]] != now[comp[i]]:
+                    both = int(mark[places[first[x] : first[x + 1]]].sum())
+                    if den * both >= num * (int(n[i]) + int(n[x]) - both):
+                        now[now == now[comp[x]]] = now[comp[i]]
+                        yield (min(ids[i], ids[x]), max(ids[i], ids[x]))
+            mark[mine] = False
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -197,7 +216,7 @@ def _search_blocks(size: int, rows: int, least: list[int], num: int, den: int):
             bounds = [0, *cuts.tolist(), t.num_rows]
             a, b = [], []
             for s, e in zip(bounds, bounds[1:]):
-                for x, y in group(*(cols[c][s:e] for c in ("id", "comp", "n", "side")), cols["band"][s], sig[s:e], cols["ci"][s] == cols["cj"][s]):
+                for x, y in group(t.slice(s, e - s), *(cols[c][s:e] for c in ("id", "comp", "n", "side")), cols["band"][s], sig[s:e], cols["ci"][s] == cols["cj"][s]):
                     a.append(x)
                     b.append(y)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -283,33 +302,39 @@ def near_duplicates(
     # texts that a verification may need: those of documents that share a band
     involved = stored(source.join(members.select("id").distinct(), "id", "left_semi"), "involved")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        text = lambda x: involved.select(F.col("id").alias(x), F.col("text").alias(f"t{x}"))
-        return stored(
-            pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
-            .mapInArrow(_verify(shingle, num, den), "a long, b long"),
-            name,
-        )
-
-    first = verified(stored(best, "best"), "links")
+    text = lambda x: involved.select(F.col("id").alias(x), F.col("text").alias(f"t{x}"))
+    first = stored(
+        stored(best, "best").join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
+        .mapInArrow(_verify(shingle, num, den), "a long, b long"),
+        "links",
+    )
     roots = connected_components(first)
     labelled = members.join(roots, "id", "left").withColumn("comp", F.coalesce("root", "id")).select("id", "key", "band", "comp")
     open_keys = (
-        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-        .where("lo < hi").select("key", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("blocks"))
+        labelled.join(heads.select("id", "n"), "id").groupBy("key")
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("all_n"))
+        .where("lo < hi")
+        .select("key", F.ceil(F.greatest(F.col("m") / F.lit(BLOCK), F.col("all_n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
     )
-    spread = (
+    spread = stored(
         labelled.join(open_keys, "key")
         .withColumn("c", F.pmod(F.hash("id"), F.col("blocks")))
         .select("id", "key", "band", "comp", "c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-        .select("id", "key", "band", "comp", F.least("c", "o").alias("ci"), F.greatest("c", "o").alias("cj"), (F.col("c") > F.col("o")).cast("int").alias("side"))
-        .join(heads, "id")
+        .select("id", "key", "band", "comp", F.least("c", "o").alias("ci"), F.greatest("c", "o").alias("cj"), (F.col("c") > F.col("o")).cast("int").alias("side")),
+        "spread",
+    )
+    # signature and text of a member from one row, whatever its id repeats
+    searched = involved.join(spread.select("id").distinct(), "id", "left_semi").mapInArrow(
+        _signed(shingle, size, True), T.StructType([*SIGNED.fields, T.StructField("text", T.StringType())])
+    )
+    second = stored(
+        spread.join(searched.where("n > 0"), "id")
         .repartition("key", "ci", "cj")
         .sortWithinPartitions("key", "ci", "cj", "id")
-        .select("key", "ci", "cj", "id", "comp", "n", "side", "band", "sig")
+        .select("key", "ci", "cj", "id", "comp", "n", "side", "band", "sig", "text")
+        .mapInArrow(_search_blocks(size, rows, least, num, den, shingle), "a long, b long").distinct(),
+        "links",
     )
-    across = stored(spread.mapInArrow(_search_blocks(size, rows, least, num, den), "a long, b long").distinct(), "across")
-    second = verified(across, "links")
     roots = connected_components(
         roots.select(F.col("root").alias("a"), F.col("id").alias("b")).unionByName(second)
     )
