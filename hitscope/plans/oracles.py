@@ -13,7 +13,7 @@ from __future__ import annotations
 REQUEST = r"^([A-Z])* (\/([a-zA-Z0-9\-\.\_\?\/\+\%\~\:]+)?)*(\.{1}([a-z0-9]+)*)?( [A-Z0-9]+\/[0-9|a-z|A-Z]+\.[0-9|a-z|A-Z])?$"
 PAGE = r"^\/([a-z|A-Z]|\/|\-|[0-9]|\_)*.?(html|htm|\?|[0-9]*\,[0-9]*)?$"
 NUMERIC_HOST = r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"
-HOST_NAME = r"^[a-z0-9\-_.]*\.[a-z]*$"
+HOST_NAME = r"^([a-z]|[0-9]|\-|\_|\.)*\.([a-z])*$"
 DURATION_GAP = 1800
 
 
@@ -389,6 +389,9 @@ ORDER BY count_page_visit DESC, request_url ASC LIMIT {TOP_K}""",
     )
     q["partitioned_rewrite"] = q["time_columns"]
     q["publish_rerun"] = q["daily_insights"]
+    q["session_view_sql"] = _sess_query(
+        GAP_30M, "SELECT session_id, max(page_count) AS pages, count(*) AS hits FROM sess GROUP BY session_id"
+    )
     q["published_tables"] = _sess_query(
         GAP_30M,
         f"""SELECT 'daily_insights' AS table_name, {DAY} AS insight_date, 'new_users_count' AS key, CAST(new_users_count AS DOUBLE) AS measure FROM sess_new

@@ -518,6 +518,15 @@ def session_hits_sql(spark, sf):
     return sessionize_sql(spark, _ordered_hits(spark, sf), GAP_30M, tie_break=HIT).select(*schemas.SESSION_FIELDS, TB)
 
 
+def session_view_sql(spark, sf):
+    """SQL over the chunked sessions' view: the last hit of each session."""
+    from hitscope.plans.sql import register_sessions
+
+    view = f"sessions_{uuid.uuid4().hex[:10]}"
+    register_sessions(jobs.materialize(_ordered_hits(spark, sf), "enriched"), view, GAP_30M, tie_break=HIT)
+    return spark.sql(f"SELECT session_id, max(page_count) AS pages, count(*) AS hits FROM {view} GROUP BY session_id")
+
+
 def streamed_enriched_log(spark, sf):
     """The enriched log built incrementally from raw log files: the first
     run processes the first half of the month, the second run only the files
@@ -539,4 +548,5 @@ def streamed_enriched_log(spark, sf):
 
 
 _QUERIES["session_hits_sql"] = session_hits_sql
+_QUERIES["session_view_sql"] = session_view_sql
 _QUERIES["streamed_enriched_log"] = streamed_enriched_log

@@ -1,9 +1,9 @@
 """SQL surface (S5): the pipeline's DataFrames as temp views, and
 sessionising as SQL text for users who work in ``spark.sql``.
 
-The SQL form is the direct window plan (one shuffle on host); for inputs
-where one host can hold a large share of all hits use
-``hitscope.operators.sessions.sessionize`` (the chunked plan) instead.
+The SQL text is the direct window plan (one shuffle on host).  For inputs where
+one host can hold a large share of all hits, :func:`register_sessions` gives
+the skew-proof plan's result as a view.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from hitscope.functions import patterns as P
+from hitscope.operators.sessions import sessionize
 
 
 def register_views(routes: dict[str, DataFrame], prefix: str = "hits") -> dict[str, str]:
@@ -38,27 +39,32 @@ def session_sql(
 ) -> str:
     """Sessionising SQL over ``view`` (same output as ``sessionize``)."""
     order = f"{time}, {tie_break}" if tie_break else time
-    frame = "ROWS" if tie_break else "RANGE"
-    run = f"ORDER BY {order} {frame} BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    frame = f"{'ROWS' if tie_break else 'RANGE'} BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     keep = ", ".join(columns)
     return f"""
-WITH gaps AS (
-  SELECT {keep}, {epoch} - LAG({epoch}) OVER (PARTITION BY {host} ORDER BY {order}) AS session_time_difference
+WITH timed AS (
+  SELECT {keep}, {epoch} - lag({epoch}) OVER (PARTITION BY {host} ORDER BY {order}) AS session_time_difference
   FROM {view}
-), flagged AS (
-  SELECT *, CASE WHEN session_time_difference >= {gap} THEN 1 ELSE 0 END AS is_new_session FROM gaps
-), numbered AS (
-  SELECT *, SUM(is_new_session) OVER (PARTITION BY {host} {run}) AS session_no FROM flagged
-), paged AS (
-  SELECT *,
-         concat({host}, '{P.SESSION_ID_SEPARATOR}', CAST(session_no AS STRING)) AS session_id,
-         first_value({url}) OVER (PARTITION BY {host}, session_no {run}) AS first_visited_page,
-         last_value({url}) OVER (PARTITION BY {host}, session_no {run}) AS last_visited_page
-  FROM numbered
+), counted AS (
+  SELECT *, count_if(session_time_difference >= {gap}) OVER (PARTITION BY {host} ORDER BY {order} {frame}) AS session_no
+  FROM timed
 )
-SELECT {keep}, session_time_difference, is_new_session, session_id, first_visited_page, last_visited_page,
-       COUNT(last_visited_page) OVER (PARTITION BY {host}, session_no {run}) AS page_count
-FROM paged"""
+SELECT {keep}, session_time_difference,
+       if(session_time_difference >= {gap}, 1, 0) AS is_new_session,
+       {host} || '{P.SESSION_ID_SEPARATOR}' || session_no AS session_id,
+       first_value({url}) OVER so_far AS first_visited_page,
+       last_value({url}) OVER so_far AS last_visited_page,
+       count({url}) OVER so_far AS page_count
+FROM counted
+WINDOW so_far AS (PARTITION BY {host}, session_no ORDER BY {order} {frame})"""
+
+
+def register_sessions(
+    hits: DataFrame, name: str, gap: int = P.SESSION_GAP_SECONDS, tie_break: str | None = None
+) -> None:
+    """The chunked sessioniser's result as a temp view, for SQL over inputs in
+    which one host can hold a large share of all hits."""
+    sessionize(hits, gap=gap, tie_break=tie_break).createOrReplaceTempView(name)
 
 
 def sessionize_sql(
