@@ -82,9 +82,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after personal data is
     masked."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_count.count_tokens(docs, with_text=False).select(
-        "row.doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_encoded"
-    )
+    counted = token_count.apply_edits(token_count.build_trees(docs), token_count.mask_personal, with_text=False)
+    return counted.select("row.doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_encoded")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,12 +5,14 @@ continues from a character into white space.  So a text can be cut before
 white space that follows another character, and counts of the pieces add up.
 Each document keeps a segment tree: leaves are runs of pre-tokens (about
 ``LEAF`` characters, cut at such places) with their token counts, inner nodes
-are sums.  An edit replaces text in the leaves that it touches; if an end of
-the touched run is no longer a safe cut, the neighbouring leaf joins it as
-boundary context.  Only these leaves are encoded again, and the sums on their
-paths to the root are updated.
-
-Texts go through the Python workers once, in small batches, without a shuffle.
+are sums.  ``build_trees`` encodes every text once and gives the leaves as two
+array columns, which can be stored beside the text.  ``apply_edits`` takes such
+a table: an edit replaces text in the leaves that it touches; if an end of the
+touched run is no longer a safe cut, the neighbouring leaf joins it as boundary
+context.  Only these leaves are encoded again, and the sums on their paths to
+the root are updated; the leaves that come out serve the next edits.
+
+Both are one pass in small batches, without a shuffle.
 The vocabulary file is a parameter; its bytes are broadcast (at most
 ``MAX_VOCABULARY`` bytes, checked).
 
@@ -77,19 +79,33 @@ def _safe(left: str, right: str) -> bool:
 
 
 class SegmentTree:
-    """Token counts of a text under edits."""
+    """Token counts of a text under edits, from its leaves' starts and counts."""
 
-    def __init__(self, text: str, count: Callable[[str], int], leaf: int = LEAF):
-        self.count = count
-        self.start = cuts(text, leaf)
-        self.leaf = [text[a:b] for a, b in zip(self.start, [*self.start[1:], len(text)])]
-        self.size = 1 << max(0, len(self.leaf) - 1).bit_length()
+    def __init__(self, text: str, start: list[int], counts: list[int], count: Callable[[str], int]):
+        self.count, self.start = count, start
+        self.leaf = [text[a:b] for a, b in zip(start, [*start[1:], len(text)])]
+        self.size = 1 << max(0, len(start) - 1).bit_length()
         self.sum = [0] * (2 * self.size)
-        for i, x in enumerate(self.leaf):
-            self.sum[self.size + i] = count(x) if x else 0
+        self.sum[self.size : self.size + len(counts)] = counts
         for i in range(self.size - 1, 0, -1):
             self.sum[i] = self.sum[2 * i] + self.sum[2 * i + 1]
-        self.encoded = 0  # characters encoded again by edits
+        self.encoded = 0  # characters encoded by edits
+
+    @classmethod
+    def build(cls, text: str, count: Callable[[str], int], leaf: int = LEAF) -> SegmentTree:
+        start = cuts(text, leaf)
+        parts = (text[a:b] for a, b in zip(start, [*start[1:], len(text)]))
+        return cls(text, start, [count(x) if x else 0 for x in parts], count)
+
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Starts and counts of the leaves as they are now."""
+        start, counts, at = [], [], 0
+        for i, x in enumerate(self.leaf):
+            if x or (not start and i + 1 == len(self.leaf)):
+                start.append(at)
+                counts.append(self.sum[self.size + i])
+                at += len(x)
+        return start, counts
 
     @property
     def total(self) -> int:
@@ -150,45 +166,81 @@ class SegmentTree:
         return next((x for x in range(i - 1, -1, -1) if self.leaf[x]), None)
 
 
-def _count(vocabulary, edits_of: Callable[[str], list[Edit]], leaf: int, with_text: bool):
+_INT_LIST = pa.list_(pa.int32())
+
+
+def _build(vocabulary, leaf: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary.value)
         count = lambda s: len(code.encode_ordinary(s))
         for whole in batches:
             for b in X.pieces(whole, "text"):
-                out = {c: [] for c in ("n_tokens", "n_edits", "n_tokens_edited", "n_chars_encoded", "text")}
-                for text in b.column("text").to_pylist():
-                    tree = SegmentTree(text or "", count, leaf)
-                    out["n_tokens"].append(tree.total)
-                    edits = edits_of(text) if text else []
+                leaves = [SegmentTree.build(text or "", count, leaf).leaves() for text in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.array([x for x, _ in leaves], _INT_LIST), pa.array([x for _, x in leaves], _INT_LIST)],
+                    names=[*b.schema.names, "leaf_starts", "leaf_tokens"],
+                )
+
+    return run
+
+
+def _apply(vocabulary, edits_of: Callable[[str], list[Edit]] | None, with_text: bool):
+    counts = ("n_tokens", "n_edits", "n_tokens_edited", "n_chars_encoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = encoder(vocabulary.value)
+        count = lambda s: len(code.encode_ordinary(s))
+        for whole in batches:
+            for b in X.pieces(whole, "text"):
+                out = {c: [] for c in (*counts, "text", "leaf_starts", "leaf_tokens")}
+                given = b.column("edits").to_pylist() if edits_of is None else [None] * b.num_rows
+                for text, start, tokens, mine in zip(*(b.column(c).to_pylist() for c in ("text", "leaf_starts", "leaf_tokens")), given):
+                    edits = edits_of(text or "") if edits_of else [(e["start"], e["stop"], e["text"] or "") for e in mine or ()]
+                    out["n_tokens"].append(sum(tokens))
+                    out["n_edits"].append(len(edits))
                     if edits:
+                        tree = SegmentTree(text or "", start, tokens, count)
                         tree.edit(edits)
-                    out["n_edits"].append(len(edits))
-                    out["n_tokens_edited"].append(tree.total)
-                    out["n_chars_encoded"].append(tree.encoded)
-                    out["text"].append(text if not edits else tree.text())
-                kinds = {c: pa.string() if c == "text" else pa.int64() for c in out}
-                names = [c for c in out if with_text or c != "text"]
-                yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(out[c], kinds[c]) for c in names)], names=["row", *names])
+                        text, (start, tokens) = tree.text(), tree.leaves()
+                    out["n_tokens_edited"].append(sum(tokens))
+                    out["n_chars_encoded"].append(tree.encoded if edits else 0)
+                    for c, x in (("text", text), ("leaf_starts", start), ("leaf_tokens", tokens)):
+                        out[c].append(x)
+                kinds = {"text": pa.string(), "leaf_starts": _INT_LIST, "leaf_tokens": _INT_LIST}
+                names = list(out) if with_text else list(counts)
+                yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(out[c], kinds.get(c, pa.int64())) for c in names)], names=["row", *names])
 
     return run
 
 
-def count_tokens(
-    docs: DataFrame, edits_of: Callable[[str], list[Edit]] = mask_personal, text_col: str = "text",
-    vocabulary: str = VOCABULARY, leaf: int = LEAF, with_text: bool = True,
-) -> DataFrame:
-    """Every row as (row: struct of the other columns, n_tokens, n_edits,
-    n_tokens_edited, n_chars_encoded, text after the edits if asked for)."""
-    spark = prepare(docs.sparkSession)
-    with open(vocabulary, "rb") as f:
+def _vocabulary(df: DataFrame, path: str):
+    with open(path, "rb") as f:
         ranks = f.read(MAX_VOCABULARY + 1)
     if len(ranks) > MAX_VOCABULARY:
         raise ValueError("vocabulary too large to broadcast")
+    return prepare(df.sparkSession).sparkContext.broadcast(ranks)
+
+
+def build_trees(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, leaf: int = LEAF) -> DataFrame:
+    """Every row as (row: struct of the other columns, text, leaf_starts,
+    leaf_tokens); the token count is the sum of leaf_tokens."""
     rest = [c for c in docs.columns if c != text_col]
     row = F.struct(*(F.col(f"`{c}`") for c in rest)) if rest else F.struct(F.lit(0).alias("_"))
     given = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
-    out = f"row {given.schema['row'].dataType.simpleString()}, n_tokens long, n_edits long, n_tokens_edited long, n_chars_encoded long"
+    kind = given.schema["row"].dataType.simpleString()
     return given.mapInArrow(
-        _count(spark.sparkContext.broadcast(ranks), edits_of, leaf, with_text), out + (", text string" if with_text else "")
+        _build(_vocabulary(docs, vocabulary), leaf), f"row {kind}, text string, leaf_starts array<int>, leaf_tokens array<int>"
     )
+
+
+def apply_edits(
+    trees: DataFrame, edits_of: Callable[[str], list[Edit]] | None = None, vocabulary: str = VOCABULARY, with_text: bool = True
+) -> DataFrame:
+    """(row, n_tokens, n_edits, n_tokens_edited, n_chars_encoded) and, if asked
+    for, the text and leaves after the edits.  The edits come from a function
+    of the text, or from a column ``edits`` of structs (start, stop, text)."""
+    cols = ["row", "text", "leaf_starts", "leaf_tokens", *(["edits"] if edits_of is None else [])]
+    out = f"row {trees.schema['row'].dataType.simpleString()}, n_tokens long, n_edits long, n_tokens_edited long, n_chars_encoded long"
+    if with_text:
+        out += ", text string, leaf_starts array<int>, leaf_tokens array<int>"
+    return trees.select(*cols).mapInArrow(_apply(_vocabulary(trees, vocabulary), edits_of, with_text), out)

@@ -359,7 +359,7 @@ def test_counts_under_edits_are_those_of_the_whole_text(code):
         places = sorted(r.randint(0, len(text)) for _ in range(2 * r.randint(0, 5)))
         edits = [(a, b, "".join(r.choice(letters) for _ in range(r.randint(0, 12)))) for a, b in zip(places[::2], places[1::2])]
         edits = [e for i, e in enumerate(edits) if not i or e[0] > edits[i - 1][1]]
-        tree = token_count.SegmentTree(text, count, leaf=r.choice([1, 4, 16, 64]))
+        tree = token_count.SegmentTree.build(text, count, leaf=r.choice([1, 4, 16, 64]))
         assert tree.total == count(text) and tree.text() == text
         tree.edit(edits)
         want = text
@@ -367,27 +367,35 @@ def test_counts_under_edits_are_those_of_the_whole_text(code):
             want = want[:a] + new + want[b:]
         assert tree.text() == want
         assert tree.total == count(want), (text, edits)
+        again = token_count.SegmentTree(want, *tree.leaves(), count)  # the leaves serve further edits
+        again.edit([(len(want) // 2, len(want), " x")])
+        assert again.total == count(want[: len(want) // 2] + " x")
 
 
 def test_edits_touch_few_leaves(code):
     text = prose(4, 20_000)
-    tree = token_count.SegmentTree(text, lambda s: len(code.encode_ordinary(s)))
+    tree = token_count.SegmentTree.build(text, lambda s: len(code.encode_ordinary(s)))
     tree.edit([(50_000, 50_010, "changed"), (90_000, 90_000, " new words ")])
     assert 0 < tree.encoded < 4 * token_count.LEAF
     with pytest.raises(ValueError):
-        token_count.SegmentTree("abc", len).edit([(0, 2, ""), (1, 3, "")])
+        token_count.SegmentTree.build("abc", len).edit([(0, 2, ""), (1, 3, "")])
 
 
 def test_token_counts(spark, code):
     rows = [(1, "mail a.b@c.example now or 10.1.2.3, call +1 555 123 4567.", "s"), (2, None, "s"), (3, "", "s"), (None, "x" * 30_000, "s"), (4, prose(8, 4000) + " me@x.org", "s"), (4, "again", "s"), (4, "again", "s")]
-    got = token_count.count_tokens(clashing(documents(spark, rows))).collect()
+    trees = token_count.build_trees(clashing(documents(spark, rows)))
+    got = token_count.apply_edits(trees, token_count.mask_personal).collect()
     assert len(got) == len(rows)
     for r in got:
         before = dict(((i, len(t or "")), t) for i, t, _ in rows)[r["row"]["doc_id"], r["row"]["n_chars"]] or ""
         assert r["n_tokens"] == len(code.encode_ordinary(before))
         assert r["n_tokens_edited"] == len(code.encode_ordinary(r["text"] or ""))
     assert {(r["row"]["doc_id"], r["n_edits"]) for r in got} == {(1, 3), (2, 0), (3, 0), (None, 0), (4, 1), (4, 0)}
-    assert token_count.count_tokens(documents(spark, [])).count() == 0
+    given = trees.withColumn("edits", F.expr("if(row.doc_id = 1, array(struct(0 as start, 4 as stop, 'post' as text)), null)"))
+    by_column = token_count.apply_edits(given).where("n_edits > 0").collect()
+    assert [r["text"] for r in by_column] == ["post" + rows[0][1][4:]]
+    assert by_column[0]["n_tokens_edited"] == sum(by_column[0]["leaf_tokens"]) == len(code.encode_ordinary(by_column[0]["text"]))
+    assert token_count.apply_edits(token_count.build_trees(documents(spark, [])), token_count.mask_personal).count() == 0
 
 
 # --- op 8 ---
