@@ -276,7 +276,9 @@ def near_duplicates(
 
     signed = stored(source.mapInArrow(_signed(shingle, size), SIGNED), "signed")
     full = signed.where("n > 0 and id is not null")
-    classes = full.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
+    # Grouped tables that meet hot keys again are written first: the adaptive
+    # plan can split a hot key only where both sides of a join are plain shuffles.
+    classes = stored(full.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "classes")
     heads = stored(
         full.join(classes, ["k1", "k2"]).where("id = rep").select("id", "n", "sig"), "heads"
     )
@@ -287,7 +289,7 @@ def near_duplicates(
     )
     banded = heads.select("id", F.inline(key))
     shared = banded.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
-    members = stored(banded.join(shared.select("key", "lead"), "key"), "members")
+    members = stored(banded.join(stored(shared.select("key", "lead"), "shared"), "key"), "members")
 
     side = lambda x: heads.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
     star = members.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
@@ -310,11 +312,12 @@ def near_duplicates(
     )
     roots = connected_components(first)
     labelled = members.join(roots, "id", "left").withColumn("comp", F.coalesce("root", "id")).select("id", "key", "band", "comp")
-    open_keys = (
+    open_keys = stored(
         labelled.join(heads.select("id", "n"), "id").groupBy("key")
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("all_n"))
         .where("lo < hi")
-        .select("key", F.ceil(F.greatest(F.col("m") / F.lit(BLOCK), F.col("all_n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
+        .select("key", F.ceil(F.greatest(F.col("m") / F.lit(BLOCK), F.col("all_n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")),
+        "open",
     )
     spread = stored(
         labelled.join(open_keys, "key")
@@ -338,9 +341,10 @@ def near_duplicates(
     roots = connected_components(
         roots.select(F.col("root").alias("a"), F.col("id").alias("b")).unionByName(second)
     )
-    component = (
+    component = stored(
         classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("k1", "k2", F.coalesce("root", "rep").alias("component"))
+        .select("k1", "k2", F.coalesce("root", "rep").alias("component")),
+        "components",
     )
     return (
         signed.drop("sig").join(component, ["k1", "k2"], "left")
