@@ -22,14 +22,14 @@ from hitscope.plans.queries import queries  # noqa: E402
 
 HEADLINE = [
     "route_counts",  # C1
-    "country_tagged_hits",  # C2, size-checked broadcast lookups per hit
-    "country_tagged_hits_shuffle",  # C2, distinct hosts + bucketed range join + host map
-    "ip_range_country",  # J1, size-checked broadcast nested-loop range join
-    "ip_range_country_bucketed",  # J1, bucketed equi-join range join
-    "session_hits_30m",  # C5, gap 1,800 s (auto: busiest host measured first)
+    "country_tagged_hits",  # C2, distinct hosts, spans, host map
+    "country_tagged_hits_shuffle",  # C2 and C3, the enriched log
+    "ip_range_country",  # J1, spans
+    "ip_range_country_bucketed",  # J1, a row per range
+    "session_hits_30m",  # C5, gap 1,800 s
     "session_hits_30m_window",  # C5, gap 1,800 s, direct window plan
-    "session_hits_30m_chunked",  # C5, gap 1,800 s, skew-proof chunked plan
-    "session_hits_6h",  # C5, gap 21,600 s (auto)
+    "session_hits_30m_chunked",  # C5, gap 1,800 s, the same plan by name
+    "session_hits_6h",  # C5, gap 21,600 s
     "daily_insights",  # C6 (+ C9), all days
     "page_insights",  # C7
     "country_insights",  # C8
