@@ -70,11 +70,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"),
         F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("payload"),
     ).withColumns({"bytes": F.octet_length("payload").cast("long"), "digest": F.sha1("payload")})
-    # only groups of equal large payloads meet the pages again
-    groups = (
+    # only groups of equal large payloads meet the pages again; as a written
+    # table, so that the adaptive plan can split a hot payload's partition
+    groups = stored(
         page.where(F.col("bytes") >= min_bytes).groupBy("digest", "bytes")
         .agg(F.max(F.struct("id", "url")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select(F.col("digest").alias("g_digest"), F.col("bytes").alias("g_bytes"), "head")
+        .select(F.col("digest").alias("g_digest"), F.col("bytes").alias("g_bytes"), "head"),
+        "groups",
     )
     joined = page.join(groups, (F.col("digest") == F.col("g_digest")) & (F.col("bytes") == F.col("g_bytes")), "left")
     own = _urn(F.col("id"), F.col("url"), F.col("digest"))
@@ -181,9 +183,9 @@ def assemble(records: DataFrame) -> DataFrame:
     beside = lambda kind, name: nest(records.where(F.col("type") == kind).dropDuplicates(["concurrent_to"]), name)
     captures = nest(records.where(F.col("type").isin("response", "revisit")).select(*names), "response")
     needed = records.where("type = 'revisit'").select(F.col("refers_to").alias("record_id")).distinct()
-    originals = nest(
+    originals = stored(nest(
         records.where("type = 'response'").drop("payload").dropDuplicates(["record_id"]).join(needed, "record_id"), "original"
-    ).join(beside("metadata", "original_metadata"), F.col("original.record_id") == F.col("original_metadata.concurrent_to"), "left")
+    ).join(beside("metadata", "original_metadata"), F.col("original.record_id") == F.col("original_metadata.concurrent_to"), "left"), "originals")
     return (
         captures.join(beside("request", "request"), F.col("response.record_id") == F.col("request.concurrent_to"), "left")
         .join(beside("metadata", "metadata"), F.col("response.record_id") == F.col("metadata.concurrent_to"), "left")
