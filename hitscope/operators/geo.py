@@ -79,13 +79,13 @@ def range_spans(ranges: DataFrame, typed: bool = False) -> DataFrame:
     on spans gives each address the distinct countries of all ranges that
     contain it, a NULL country included.  ``sub`` is -1, or the ``/24`` in a
     dense bucket."""
-    r = _clipped(_range_rows(ranges, typed)).select("begin_ip_int", "end_ip_int", "country").distinct()
+    r = _clipped(_range_rows(ranges, typed)).select("begin_ip_int", "end_ip_int", "country")
     buckets = F.sequence(F.shiftright("begin_ip_int", BUCKET_BITS), F.shiftright("end_ip_int", BUCKET_BITS))
     lo = F.shiftleft(F.col("bucket"), BUCKET_BITS)
     cut = r.withColumn("bucket", F.explode(buckets)).select(
         "bucket", "country",
         F.greatest("begin_ip_int", lo).alias("b"), F.least(F.col("end_ip_int"), lo + ((1 << BUCKET_BITS) - 1)).alias("e"),
-    ).distinct()
+    )
     w = Window.partitionBy("bucket", "country").orderBy("b", "e")
     before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
     spans = (
@@ -94,9 +94,8 @@ def range_spans(ranges: DataFrame, typed: bool = False) -> DataFrame:
         .groupBy("bucket", "country", "_island")
         .agg(F.min("b").alias("b"), F.max("e").alias("e"))
     )
-    full = spans.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > DENSE)
-    keyed = spans.join(full, "bucket", "left")
-    subs = F.when(F.col("_n").isNull(), F.array(F.lit(_WHOLE).cast("bigint"))).otherwise(F.sequence(F.shiftright("b", 8), F.shiftright("e", 8)))
+    keyed = spans.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("bucket")))
+    subs = F.when(F.col("_n") <= DENSE, F.array(F.lit(_WHOLE).cast("bigint"))).otherwise(F.sequence(F.shiftright("b", 8), F.shiftright("e", 8)))
     return keyed.select(
         "bucket", F.explode(subs).alias("sub"), F.col("b").alias("span_begin"), F.col("e").alias("span_end"), "country"
     )
@@ -158,20 +157,22 @@ def host_country_map(hits: DataFrame, ranges: DataFrame, overlap: str = "all", h
     """Distinct ``(host, country)`` pairs; a range without a country name
     gives a pair with NULL.  Hosts in no range, or matching neither pattern,
     have no pair."""
-    r = typed_ip_ranges(ranges)
     hosts = distinct_hosts(hits, host).select("host")
+    if overlap == "all":
+        return _looked_up(hosts, ranges, "host").where("_matched").select("host", F.col("_country").alias("country")).distinct()
+    r = typed_ip_ranges(ranges)
     by_ip = ip_range_country(numeric_hosts(hosts), r, overlap, typed=True)
-    by_name = suffix_country(named_hosts(hosts), r, typed=True)
-    return by_ip.unionByName(by_name).distinct()
+    return by_ip.unionByName(suffix_country(named_hosts(hosts), r, typed=True)).distinct()
 
 
-def tag_country_direct(hits: DataFrame, ranges: DataFrame, host: str = "host") -> DataFrame:
-    """C2 without a host map: every hit meets the spans and codes itself.
-    Same rows as :func:`tag_country`; the form that a stream can run."""
+def _looked_up(df: DataFrame, ranges: DataFrame, host: str) -> DataFrame:
+    """``df`` with ``_country`` and ``_matched``: a row for each distinct
+    country of its host, or one row where nothing matches.  A bucket is either
+    whole or cut, so an address meets spans in one of the two joins only."""
     r = typed_ip_ranges(ranges)
     h = F.col(host)
     spans = range_spans(r, typed=True)
-    out = hits.withColumns(
+    out = df.withColumns(
         {
             "_ip": F.when(is_numeric_host(h), ipv4_to_long(h)),
             "_name": F.coalesce(is_host_name(h), F.lit(False)),
@@ -195,7 +196,14 @@ def tag_country_direct(hits: DataFrame, ranges: DataFrame, host: str = "host") -
     country = F.when(F.col("_name"), F.coalesce("_code_country", F.lit(P.UNKNOWN_SUFFIX_COUNTRY))).otherwise(
         F.coalesce("_whole_country", "_cut_country")
     )
-    return out.select(*hits.columns, country.alias("country"))
+    matched = F.col("_name") | F.col("_whole_bucket").isNotNull() | F.col("_cut_bucket").isNotNull()
+    return out.select(*df.columns, country.alias("_country"), matched.alias("_matched"))
+
+
+def tag_country_direct(hits: DataFrame, ranges: DataFrame, host: str = "host") -> DataFrame:
+    """C2 without a host map: every hit meets the spans and codes itself.
+    Same rows as :func:`tag_country`; the form that a stream can run."""
+    return _looked_up(hits, ranges, host).select(*hits.columns, F.col("_country").alias("country"))
 
 
 def tag_country(
