@@ -227,9 +227,10 @@ def extract_text(
     marked = parsed.where(F.size("marks") > 0)
     on = marked.select("host", "key", F.explode("marks").alias("mark"))
     hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    template = (
+    template = stored(
         on.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-        .join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "mark")
+        .join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "mark"),
+        "template",
     )
     gone = on.join(template, ["host", "mark"]).groupBy("key").agg(F.collect_set("mark").alias("gone"))
     cleaned = marked.join(gone, "key", "left").withColumn(

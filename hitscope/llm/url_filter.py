@@ -28,7 +28,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitscope.llm.runtime import lower_ascii, prepare
+from hitscope.llm.runtime import lower_ascii, prepare, stored
 
 BITS_PER_KEY = 16
 MAX_BLOCKS = 1 << 17  # 4 MB of filter words
@@ -121,7 +121,7 @@ def judge_urls(
     looked at only where no rule decides, and is null elsewhere."""
     prepare(pages.sparkSession)
     url = F.col(f"`{url_col}`")
-    keys = listed.select(canonical_url(F.col(f"`{listed_col}`")).alias("key")).where("key is not null").distinct()
+    keys = stored(listed.select(canonical_url(F.col(f"`{listed_col}`")).alias("key")).where("key is not null").distinct(), "listed")
     blocks = bloom_blocks(keys.count(), bits_per_key, max_blocks)
     page = pages.select(
         F.col(f"`{id_col}`").alias("id"), url_host(url).alias("host"), url_path(url).alias("path"), canonical_url(url).alias("canon")
