@@ -28,9 +28,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate lines; a document of which nothing
-    is left goes.  n_chars follows the text where it changed."""
-    found = line_dedup.clean_lines(docs).where("n_removed = 0 or trim(text) != ''")
+    """Texts without the boilerplate lines that unlike documents of many sites
+    share, of fixed footers too; a document of which nothing is left goes.
+    n_chars follows the text where it changed."""
+    found = line_dedup.clean_lines(docs, by="bodies").where("n_removed = 0 or trim(text) != ''")
     out = found.select(*_columns(docs), "n_removed")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

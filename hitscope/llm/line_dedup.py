@@ -14,6 +14,16 @@ standard errors of the sketch) get exact distinct counts.  Sketches and
 distinct counts are combined map-side, so a line that a third of all documents
 hold costs each task one row.
 
+That rule (``by="contexts"``, the one that the SQL of ``op2_line_dedup`` says)
+keeps the later lines of a fixed footer, whose neighbours never change, and
+lets one large group of copies shield a line.  ``by="bodies"``, the rule of
+the pipeline, has neither fault: a line on ``sites`` sites is spread; a
+document's body is what is left of it without its spread lines; a document
+has a say if its body is at least ``OWN`` of its text, which copies of a
+document, exact or near, do not have, as nearly all of their lines are spread.
+A spread line is boilerplate if the documents with a say that hold it are on
+``sites`` sites and have ``sites`` different bodies.  The counts are exact.
+
 Defined cases: null text stays null and has no lines; blank lines are never
 boilerplate; a null site counts as no site; a line that repeats within a
 document counts each time as an occurrence; documents whose lines all go have
@@ -30,6 +40,7 @@ from hitscope.llm.runtime import prepare, stored
 SITES = 5
 LG_K = 12  # standard error 1.6 % after merging
 MARGIN = 0.1
+OWN = 0.2  # near copies at 0.8 have less text of their own
 
 
 def _trimmed(c: Column) -> Column:
@@ -78,6 +89,51 @@ def boilerplate_lines(docs: DataFrame, text: Column, site: Column, sites: int =
     return sure.unionByName(exact)
 
 
+def _spread_lines(lines: DataFrame, sites: int, lg_k: int, margin: float) -> DataFrame:
+    """Keys of the lines on ``sites`` sites or more."""
+    estimated = stored(
+        lines.groupBy("k1", "k2").agg(F.hll_sketch_agg("site", lg_k).alias("s"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= sites).select("k1", "k2", F.hll_sketch_estimate("s").alias("s")),
+        "spread",
+    )
+    sure = F.col("s") >= sites * (1 + margin) + 1
+    near = estimated.where(~sure & (F.col("s") > sites * (1 - margin) - 1)).select("k1", "k2")
+    exact = (
+        lines.where("site is not null").select("k1", "k2", "site").join(near, ["k1", "k2"], "left_semi").distinct()
+        .groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("s")).where(F.col("s") >= sites)
+    )
+    return estimated.where(sure).select("k1", "k2").unionByName(exact.select("k1", "k2"))
+
+
+def body_boilerplate(docs: DataFrame, text: Column, site: Column, ident: Column, sites: int = SITES, lg_k: int = LG_K, margin: float = MARGIN) -> DataFrame:
+    """Keys (k1, k2) of the spread lines that unlike documents share."""
+    spread = stored(_spread_lines(_lines(docs, text, site), sites, lg_k, margin), "spread-keys")
+    held = (
+        _lines(docs, text, site, ident.alias("id")).select("id", "k1", "k2").distinct()
+        .join(spread, ["k1", "k2"], "left_semi")
+        .groupBy("id").agg(F.collect_set(F.struct("k1", "k2")).alias("held"))
+        .withColumnRenamed("id", "held_id")
+    )
+    length = lambda ls: F.aggregate(ls, F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    full = F.filter(F.transform(F.split("text", "\n"), _trimmed), lambda x: x != "")
+    keyed = F.transform(full, lambda x: F.struct(*_keys(x), F.length(x).alias("n")))
+    spread_in = lambda x: F.array_contains(F.col("held.k1"), x["k1"])
+    voters = (
+        docs.select(ident.alias("id"), site.cast("string").alias("site"), text.alias("text")).where("text is not null")
+        .join(held, F.col("id").eqNullSafe(F.col("held_id")))
+        .select("site", "held", keyed.alias("lines"))
+        # rows that repeat an id share ``held``: each row has its own lines only
+        .select("site", "lines", F.filter("lines", lambda x: ~spread_in(x)).alias("own"), F.filter("lines", spread_in).alias("held"))
+        .where(length(F.col("own")) >= OWN * length(F.col("lines")))
+        .select("site", F.xxhash64("own").alias("body"), "held")
+    )
+    return (
+        voters.select("site", "body", F.inline("held"))
+        .groupBy("k1", "k2").agg(F.count_distinct("site").alias("s"), F.count_distinct("body").alias("b"))
+        .where((F.col("s") >= sites) & (F.col("b") >= sites)).select("k1", "k2")
+    )
+
+
 def clean_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -86,12 +142,16 @@ def clean_lines(
     sites: int = SITES,
     lg_k: int = LG_K,
     margin: float = MARGIN,
+    by: str = "contexts",
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, as (row: struct
     of the other columns, text, n_lines, n_removed)."""
+    if by not in ("contexts", "bodies"):
+        raise ValueError(f"unknown rule {by!r}")
     prepare(docs.sparkSession)
     text, site, ident = F.col(f"`{text_col}`"), F.col(f"`{site_col}`"), F.col(f"`{id_col}`")
-    common = stored(boilerplate_lines(docs, text, site, sites, lg_k, margin), "boilerplate")
+    keys = boilerplate_lines(docs, text, site, sites, lg_k, margin) if by == "contexts" else body_boilerplate(docs, text, site, ident, sites, lg_k, margin)
+    common = stored(keys, "boilerplate")
     # which documents lose which lines; the texts themselves meet only this list
     lost = (
         _lines(docs, text, site, ident.alias("id")).select("id", "k1", "k2").distinct()

@@ -159,6 +159,27 @@ def test_lines(spark, sites):
     assert line_dedup.clean_lines(documents(spark, [])).count() == 0
 
 
+FOOTER = "About us\nContact\nAll pages of this site"
+
+
+def _pipeline_texts(spark, rows):
+    return {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, documents(spark, rows), "").collect()}
+
+
+def test_pipeline_takes_out_all_lines_of_a_fixed_footer(spark):
+    rows = [(i, f"{prose(i, 6)}\n{prose(100 + i, 6)}\n{FOOTER}", f"s{i}") for i in range(12)]
+    rows += [(50 + i, "copied one\ncopied two\ncopied three", f"s{i}") for i in range(12)]
+    for i in range(12):  # near copies: a line of each is its own
+        lines = [prose(200 + j, 6) for j in range(10)]
+        lines[i % 10] = f"edited {i}"
+        rows.append((80 + i, "\n".join(lines), f"s{i}"))
+    rows += [(99, f"four {FOOTER}\nsites", "s1")]
+    got = _pipeline_texts(spark, rows)
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        assert got[i] == ("\n".join(t.split("\n")[:2]) if i < 12 else t.replace("\nContact\nAll pages of this site", "\nAll pages of this site").replace("\nAll pages of this site", "") if i == 99 else t)
+
+
 # --- op 3 ---
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="home ad-free-not">
