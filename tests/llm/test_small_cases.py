@@ -180,6 +180,14 @@ def test_pipeline_takes_out_all_lines_of_a_fixed_footer(spark):
         assert got[i] == ("\n".join(t.split("\n")[:2]) if i < 12 else t.replace("\nContact\nAll pages of this site", "\nAll pages of this site").replace("\nAll pages of this site", "") if i == 99 else t)
 
 
+def test_copies_do_not_shield_a_line(spark):
+    rows = [(i, f"{prose(i, 6)}\n{FOOTER}\n{prose(300 + i, 4)}", f"s{i % 10}") for i in range(40)]
+    rows += [(1000 + i, f"one text\n{FOOTER}\nin many copies", f"s{i % 4}") for i in range(100)]
+    rows += [(2000 + i, f"local\nline\n{prose(600 + i % 2, 5)}", f"s{i % 9}") for i in range(18)]  # two documents, copied
+    got = _pipeline_texts(spark, rows)
+    assert all(got[i] == t.replace(FOOTER + "\n", "") for i, t, _ in rows)
+
+
 # --- op 3 ---
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="home ad-free-not">
