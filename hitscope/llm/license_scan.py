@@ -13,6 +13,13 @@ Then, as in prefix-filtered joins:
 * position: at a common word in place i of the template and place j of the
   block's template words, ``1 + min(what is left of either) >= need``.
 
+Notices that are wrapped over lines are found with ``wrapped=True``: around
+each end of a line stands one more block, of the words that a span as long as
+the longest template can reach over it (ends of lines next to each other, and
+prefixes of comments, are no words).  It passes the same filters; then some
+span of as many words as the template has must hold ``need`` of its words.
+The words of a line that is one block are not held to a span.
+
 What passes is verified on the full sets.  The index and the templates are a
 parameter of bounded size (``MAX_WORDS``), so they are broadcast; blocks are
 never compared with each other, and nothing is grouped by a frequent word.
@@ -38,6 +45,7 @@ from hitscope.llm.runtime import lower_ascii, prepare
 THRESHOLD = 0.8
 MAX_WORDS = 100_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SEPARATORS_BUT_LINES = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
@@ -72,9 +80,26 @@ def _places(words: Column, phrase: str) -> Column:
     )
 
 
-def _template_words(sentence: str) -> list[str]:
+def _line_ends(text: Column) -> Column:
+    """For each end of a line between words, the number of words before it."""
+    marked = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(lower_ascii(text), SEPARATORS_BUT_LINES, " "), r" *\n[ \n]*", " \n "), r"^ \n | \n $", ""))
+    ends = F.filter(F.transform(F.split(marked, " "), lambda w, i: F.when(w == "\n", i)), lambda i: i.isNotNull())
+    return F.transform(ends, lambda p, j: p - j)
+
+
+def _span_share(words: Column, sentence: Column, n: Column) -> Column:
+    """The most of ``sentence``'s distinct words that ``n`` words in a row hold."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
+    return F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(F.slice(words, i + 1, n), sentence))))
+
+
+def _sentence_words(sentence: str) -> list[str]:
     low = sentence.translate({c: c + 32 for c in range(65, 91)})
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def _template_words(sentence: str) -> list[str]:
+    return sorted(set(_sentence_words(sentence)))
 
 
 def scan_licenses(
@@ -84,11 +109,13 @@ def scan_licenses(
     phrases: Sequence[tuple[str, str]] = PHRASES,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = THRESHOLD,
+    wrapped: bool = False,
 ) -> DataFrame:
     """(id, n_words, places: struct per phrase, base_labels, found_labels,
     score) for every row."""
     spark = prepare(docs.sparkSession)
     sets = [(label, _template_words(s)) for label, s in templates]
+    spans = [len(_sentence_words(s)) for _, s in templates]
     vocabulary = sorted({w for _, ws in sets for w in ws})
     if len(vocabulary) > MAX_WORDS:
         raise ValueError("too many template words to broadcast")
@@ -109,31 +136,43 @@ def scan_licenses(
     for t, (label, words) in enumerate(sets):
         words = sorted(words, key=rank.get)
         need = max(1, ceil(threshold * len(words) - 1e-9))
-        rows.append((t, label, words, need))
+        rows.append((t, label, words, need, spans[t]))
         index += [(w, t, i, len(words), need) for i, w in enumerate(words[: len(words) - need + 1])]
     prefixes = spark.createDataFrame(index, "word string, template int, i int, size int, need int")
-    full = spark.createDataFrame(rows, "template int, label string, words array<string>, need int")
+    full = spark.createDataFrame(rows, "template int, label string, words array<string>, need int, span int")
     rare = sorted({w for w, *_ in index})
 
     # 3. blocks of the texts that hold an indexed word
     spaced = text.select("id", F.xxhash64("text").alias("key"), "text", _spaced(F.col("text")).alias("spaced"))
     order = F.array(*map(F.lit, ordered)) if ordered else F.array().cast("array<string>")
+    rare = F.array(*map(F.lit, rare)) if rare else F.array().cast("array<string>")
+    near = spaced.where(F.arrays_overlap(_words(F.col("spaced")), rare))
+    none = F.array().cast("array<string>")
     blocks = (
-        spaced.where(F.arrays_overlap(_words(F.col("spaced")), F.array(*map(F.lit, rare)) if rare else F.array().cast("array<string>")))
-        .select("id", "key", F.posexplode(F.split("text", "\n")).alias("block", "line"))
-        .select("id", "key", "block", F.array_distinct(_words(_spaced(F.col("line")))).alias("set"))
-        .select("id", "key", "block", F.size("set").alias("length"), F.array_intersect(order, F.col("set")).alias("own"))
+        near.select("id", "key", F.explode(F.split("text", "\n")).alias("line"))
+        .select("id", "key", F.array_distinct(_words(_spaced(F.col("line")))).alias("set"), none.alias("run"))
     )
+    if wrapped and spans:
+        reach = max(spans) - 1
+        around = lambda e: F.slice("ws", F.greatest(e - reach, F.lit(0)) + 1, F.least(e, F.lit(reach)) + reach)
+        blocks = blocks.unionByName(
+            near.select("id", "key", _words(F.col("spaced")).alias("ws"), _line_ends(F.col("text")).alias("ends"))
+            .select("id", "key", F.explode(F.transform("ends", around)).alias("run"))
+            .where(F.arrays_overlap("run", rare))
+            .select("id", "key", F.array_distinct("run").alias("set"), "run")
+        )
+    blocks = blocks.select("id", "key", "run", F.size("set").alias("length"), F.array_intersect(order, F.col("set")).alias("own"))
     candidates = (
-        blocks.select("id", "key", "block", "length", "own", F.posexplode("own").alias("j", "word"))
+        blocks.select("id", "key", "run", "length", "own", F.posexplode("own").alias("j", "word"))
         .join(F.broadcast(prefixes), "word")
         .where("length >= need and 1 + least(size - 1 - i, size(own) - 1 - j) >= need")
-        .select("id", "key", "block", "own", "template").distinct()
+        .select("id", "key", "run", "own", "template").distinct()
     )
     # 4. full sets; only template words can be in both
+    both = F.when(F.size("run") > 0, _span_share(F.col("run"), F.col("words"), F.col("span"))).otherwise(F.size(F.array_intersect("own", "words")))
     met = (
         candidates.join(F.broadcast(full), "template")
-        .select("id", "key", "label", "need", F.size("words").alias("size"), F.size(F.array_intersect("own", "words")).alias("both"))
+        .select("id", "key", "label", "need", F.size("words").alias("size"), both.alias("both"))
         .where("both >= need")
         .groupBy("id", "key").agg(F.sort_array(F.collect_set("label")).alias("found"), F.max(F.col("both") / F.col("size")).alias("best"))
         .select(F.col("id").alias("met_id"), F.col("key").alias("met_key"), "found", "best")
@@ -150,7 +189,6 @@ def scan_licenses(
         (F.trim("spaced") == "").alias("blank"),
     )
     own = F.array_compact(F.array(*(F.when(F.size(f"places.p{i}") > 0, label) for i, (_, label) in enumerate(phrases)))) if phrases else F.array().cast("array<string>")
-    none = F.array().cast("array<string>")
     return (
         base.join(met, F.col("id").eqNullSafe(F.col("met_id")) & (F.col("key") == F.col("met_key")), "left")
         .select(

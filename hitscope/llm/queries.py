@@ -49,8 +49,8 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases and templates in every document."""
-    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    """License phrases and templates, also wrapped ones, in every document."""
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"), wrapped=True)
     starts = F.flatten(F.array("places.p0", "places.p1", "places.p2"))
     return found.select(
         "doc_id",

@@ -253,6 +253,32 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(documents(spark, [])).count() == 0
 
 
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"
+MIT = "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated"
+APACHE = "Copyright 2020 Somebody Else.  Licensed under the Apache\nLicense, Version 2.0 (the notice);"
+
+
+def _commented(text, mark):
+    return "\n".join(f"{mark} {x}" for x in ("", *text.split("\n"), ""))
+
+
+def test_wrapped_licenses(spark):
+    texts = [("bsd", BSD), ("mpl-2.0", MPL), ("mit", MIT), ("apache-2.0", APACHE)]
+    rows = []
+    for label, t in texts:
+        words = t.split()
+        forms = (t, t.replace("\n", "\n\n"), t.replace("\n", "\r\n"), "\n".join(words), prose(1, 40) + "\n" + t + "\n" + prose(2, 40))
+        forms += (_commented(t, "#"), _commented(t, " *"), _commented(t, "//"))
+        rows += [(len(rows) + i, f, label) for i, f in enumerate(forms)]
+    # the words of the MIT line spread over two lines, farther apart than the line is long
+    rows += [(90, "released " + prose(3, 9) + " under the\nword word word " + "license", ""), (91, "released under\nthe mit license", "mit"), (92, None, ""), (93, "\n\n", "")]
+    got = {r["doc_id"]: (r["found_labels"], r["score"]) for r in license_scan.scan_licenses(documents(spark, rows), wrapped=True).collect()}
+    assert len(got) == len(rows)
+    for i, _, label in rows:
+        assert got[i] == (([label], 1.0) if label else ([], 0.0)), rows[i]
+
+
 # --- op 5 ---
 
 
