@@ -7,10 +7,12 @@
    rest of the page goes too.  What stays is a list of text blocks; each keeps
    the hashes of the container elements that it stands in, a hash covering a
    container's tag, class and whole content.
-2. Spark counts, for each host, on how many pages a container's hash occurs.
-   One that is on ``min_pages`` pages and on ``min_share`` of the host's pages,
-   or more, is site template.
-3. Blocks inside template containers are deleted.  Paragraphs, headings and
+2. Spark counts, for each host, on how many different pages a container's hash
+   occurs; pages with the same text are one.  A container that is on
+   ``min_pages`` of them and on ``min_share`` of the host's different pages, or
+   more, is site template.
+3. Blocks inside template containers are deleted, but for containers that hold
+   the whole text of the page.  Paragraphs, headings and
    list items of an article count as text, not as containers: a sentence that
    several articles share stays.
 
@@ -223,12 +225,17 @@ def extract_text(
     )
     kinds = dict(page.dtypes)
     out = f"id {kinds['id']}, url string, host string, key {kinds['key']}, blocks array<struct<text:string,marks:array<bigint>>>"
-    parsed = stored(page.mapInArrow(_parse, out), "blocks").withColumn("marks", F.array_distinct(F.flatten("blocks.marks")))
+    whole = F.aggregate(  # containers round all blocks of the page
+        F.slice("blocks.marks", 2, F.greatest(F.size("blocks"), F.lit(1))), F.coalesce(F.get("blocks.marks", F.lit(0)), F.array().cast("array<bigint>")), F.array_intersect
+    )
+    parsed = stored(page.mapInArrow(_parse, out), "blocks").select(
+        "*", F.array_except(F.array_distinct(F.flatten("blocks.marks")), whole).alias("marks"), F.xxhash64("blocks.text").alias("content")
+    )
     marked = parsed.where(F.size("marks") > 0)
-    on = marked.select("host", "key", F.explode("marks").alias("mark"))
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    on = marked.select("host", "key", "content", F.explode("marks").alias("mark"))
+    hosts = parsed.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     template = stored(
-        on.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+        on.select("host", "mark", "content").distinct().groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
         .join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "mark"),
         "template",
     )

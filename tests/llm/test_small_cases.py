@@ -222,6 +222,22 @@ def test_site_templates_go(spark):
     assert html_extract.extract_text(df.limit(0)).count() == 0
 
 
+def _html_texts(spark, rows):
+    got = html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in got}
+
+
+def test_copies_on_a_host_keep_their_text(spark):
+    page = "<body><div id=page><div class=t><p>Whole</p></div><div class=u><p>article</p></div></div></body>"
+    rows = [(i, f"https://h.org/{i}", page) for i in range(4)]  # a host of copies
+    mixed = [(10 + i, f"https://m.org/{i}", f"<body><div class=w><p>Story {i // 3}</p></div><p>tail</p></body>") for i in range(6)]
+    wrapped = [(20 + i, f"https://w.org/{i}", f"<body><div class=v><p>Same words</p></div><!-- {i} --></body>") for i in range(5)]
+    got = _html_texts(spark, rows + mixed + wrapped)
+    assert all(got[i] == "Whole\narticle" for i in range(4))
+    assert all(got[10 + i] == f"Story {i // 3}\ntail" for i in range(6))
+    assert all(got[20 + i] == "Same words" for i in range(5))
+
+
 # --- op 4 ---
 
 
