@@ -10,7 +10,7 @@
 2. Spark counts, for each host, on how many different pages a container's hash
    occurs; pages with the same text are one.  A container that is on
    ``min_pages`` of them and on ``min_share`` of the host's different pages, or
-   more, is site template.
+   more, is site template; ``many_pages`` are enough on a host of any size.
 3. Blocks inside template containers are deleted, but for containers that hold
    the whole text of the page.  Paragraphs, headings and
    list items of an article count as text, not as containers: a sentence that
@@ -43,6 +43,7 @@ from hitscope.llm.url_filter import url_host
 
 MIN_PAGES = 3
 MIN_SHARE = 0.3
+MANY_PAGES = 30
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
@@ -214,7 +215,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
+    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES,
 ) -> DataFrame:
     """(id, url, text) for every page."""
     prepare(pages.sparkSession)
@@ -236,7 +237,7 @@ def extract_text(
     hosts = parsed.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     template = stored(
         on.select("host", "mark", "content").distinct().groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-        .join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "mark"),
+        .join(hosts, "host").where((F.col("n") >= F.col("pages") * min_share) | (F.col("n") >= many_pages)).select("host", "mark"),
         "template",
     )
     gone = on.join(template, ["host", "mark"]).groupBy("key").agg(F.collect_set("mark").alias("gone"))

@@ -238,6 +238,13 @@ def test_copies_on_a_host_keep_their_text(spark):
     assert all(got[20 + i] == "Same words" for i in range(5))
 
 
+def test_templates_of_a_section_of_a_large_host_go(spark):
+    box = "<div><p>Related</p><p>links</p></div>"
+    rows = [(i, f"https://big.org/{i}", f"<body><p>Text {i}</p>{box if i < 60 else '<div>alone ' + str(i // 2) + '</div>'}</body>") for i in range(400)]
+    got = _html_texts(spark, rows)
+    assert all(got[i] == (f"Text {i}" if i < 60 else f"Text {i}\nalone {i // 2}") for i in range(400))
+
+
 # --- op 4 ---
 
 
