@@ -106,3 +106,64 @@ def test_pipeline(spark, documents):
     assert set(near_kept) == {i for i, root in roots.items() if i == root}
     assert set(clean) <= set(near_kept) and last == clean
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()} == set(last)
+
+
+def _passes_quality(text, field):
+    """Base rule and exhaustive two-state decoding, one document at a time."""
+    import pyarrow as pa
+
+    n, _, _, _, repeated = counts_brute(text)
+    if n < 50 or 100 * repeated > 50 * n:
+        return False
+    lines = quality.Lines(pa.array([text]))
+    w, step = field["w"], field["step"]
+    paths = [(0.0, ())]
+    for x in lines.x:
+        s = (0.0, sum(float(a) * b for a, b in zip(x, w)))
+        paths = [max(((v + (step[p[-1]][y] if p else 0) + s[y], (*p, y)) for v, p in paths), key=lambda c: c[0]) for y in (0, 1)]
+    best = max(paths, key=lambda c: c[0])[1]
+    sizes = [float(v) for v in lines.weight]
+    return sum(a * b for a, b in zip(sizes, best)) >= 0.5 * max(sum(sizes), 1)
+
+
+def _without_boilerplate(rows):
+    """Line rule of the pipeline: (id, source, text) to texts by id."""
+    lines = [(i, s, [x.strip(" \t\r\x0b\x0c") for x in t.split("\n")], t) for i, s, t in rows]
+    sites = collections.defaultdict(set)
+    for _, s, ls, _ in lines:
+        for x in ls:
+            sites[x] |= {s} - {None}
+    spread = {x for x, s in sites.items() if x and len(s) >= 5}
+    says, bodies = collections.defaultdict(set), collections.defaultdict(set)
+    for _, s, ls, _ in lines:
+        own = tuple(x for x in ls if x and x not in spread)
+        if sum(map(len, own)) >= 0.2 * sum(map(len, ls)):
+            for x in spread.intersection(ls):
+                says[x] |= {s} - {None}
+                bodies[x].add(own)
+    gone = {x for x in spread if len(says[x]) >= 5 and len(bodies[x]) >= 5}
+    kept = {i: "\n".join(r for r, x in zip(t.split("\n"), ls) if x not in gone) for i, _, ls, t in lines}
+    return {i: kept[i] for i, _, ls, _ in lines if kept[i].strip(" ") or not gone.intersection(ls)}, gone
+
+
+def _windows(texts):
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)})) for t in texts]
+    return words, {tuple(w[i : i + min(10, len(w))]) for w in words if w for i in range(len(w) - min(10, len(w)) + 1)}
+
+
+def test_rows_of_each_pipeline_stage(spark):
+    start = docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = []
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        rows.append([(r["doc_id"], r["source"], r["text"]) for r in docs.collect()])
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), "test")
+    rows.append([(r["doc_id"], r["source"], r["text"]) for r in docs.collect()])
+    field = quality.fit(start, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert sorted(rows[1]) == sorted(r for r in rows[0] if _passes_quality(r[2], field)) and 0 < len(rows[1]) < len(rows[0])
+    want, gone = _without_boilerplate(rows[1])
+    assert {i: t for i, _, t in rows[2]} == want and len(rows[2]) == len(want) and gone
+    _, grams = _windows(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect())
+    sizes = {len(g) for g in grams}
+    words, _ = _windows(t for _, _, t in rows[3])
+    clean = [r for r, w in zip(rows[3], words) if not any(tuple(w[i : i + k]) in grams for k in sizes for i in range(len(w) - k + 1))]
+    assert sorted(rows[4]) == sorted(clean) and 0 < len(clean) < len(rows[3])
