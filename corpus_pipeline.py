@@ -41,10 +41,28 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, 0.8): the one
-    with the smallest id.  Rows that repeat an id are one document."""
-    found = near_dup.near_duplicates(docs)
-    keep = found.where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    with the smallest id.  Rows that repeat an id and a text are one document,
+    of which the row with the smallest hash stays; texts that share an id are
+    documents for themselves."""
+    given = docs.where("doc_id is not null")
+    mark = F.xxhash64("text")
+    several = stored(
+        given.groupBy(F.col("doc_id").alias("shared_id")).agg(F.min(mark).alias("lo"), F.max(mark).alias("hi")).where("lo < hi").select("shared_id"), "shared-ids"
+    )
+    rest = [c for c, kind in docs.dtypes if "map<" not in kind]
+    one = given.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64(*(F.col(f"`{c}`") for c in rest)).alias("order"))
+    nodes = one.join(several, F.col("row.doc_id") == F.col("shared_id"), "left").select(
+        # a number of its own for each text of a shared id
+        F.when(F.col("shared_id").isNull(), F.col("row.doc_id").cast("long")).otherwise(F.xxhash64("row.doc_id", "row.text")).alias("node"),
+        "shared_id", "row", "order",
+    )
+    found = near_dup.near_duplicates(nodes.select("node", F.col("row.text").alias("text")), id_col="node")
+    named = nodes.where("shared_id is not null").select(F.col("node").alias("id"), F.col("shared_id").cast("long").alias("named")).distinct()
+    member = found.select("id", "component").distinct().join(named, "id", "left")
+    first = member.groupBy("component").agg(F.min(F.struct(F.coalesce("named", "id").alias("doc"), "id")).alias("first"))
+    keep = first.select(F.col("first.id").alias("node"))
+    kept = nodes.join(keep, "node", "left_semi").groupBy("node").agg(F.min_by("row", "order").alias("row"))
+    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,11 @@ no document is repeated or dropped.
 
 Weights are rounded to multiples of 1 / ``frame`` (each source at least one),
 so the schedule repeats every ``frame`` slots, and only one frame is computed
-(on the driver; at most ``MAX_SOURCES`` sources, checked).  Placing a block is
+(on the driver, up to ``MAX_SOURCES`` sources).  More sources are dealt into
+``GROUPS`` groups: the clock schedules the groups by the sums of their weights,
+and each group, in a task, the slots that it gets among its own sources.  Then
+a source is less than two blocks from its target (less than one from its share
+of the group's slots), and its windows run between slots of its group.  Placing a block is
 then arithmetic on a broadcast table of ``frame`` rows.  Documents are numbered
 in small hashed buckets with bucket offsets, so a source with a third of all
 documents is spread over many tasks.
@@ -27,14 +31,15 @@ import heapq
 from collections.abc import Mapping
 from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitscope.llm.runtime import prepare
+from hitscope.llm.runtime import prepare, stored
 
 BLOCK_ROWS = 16
 FRAME = 4096
 MAX_SOURCES = 20_000
+GROUPS = 1024
 BUCKET_ROWS = 2048  # documents numbered together
 
 
@@ -66,6 +71,69 @@ def schedule(slots: Mapping[str, int], frame: int) -> list[tuple[str, int, int,
     return out
 
 
+def _numbered(docs: DataFrame, sources: DataFrame, ident: Column, name: Column, id_col: str) -> DataFrame:
+    """(row, name, columns of ``sources``, at): numbers from 0 within each
+    source: place in the bucket plus the buckets before."""
+    order = F.xxhash64(ident, *(F.col(f"`{c}`") for c, t in docs.dtypes if c != id_col and not t.startswith("map")))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), name.alias("name"), order.alias("h"))
+    keyed = keyed.join(sources, "name").withColumn("bucket", F.pmod(F.shiftright("h", 16), F.col("buckets")).cast("int"))
+    full = keyed.groupBy("name", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = full.select(
+        F.col("name"), "bucket", (F.sum("n").over(Window.partitionBy("name").orderBy("bucket")) - F.col("n")).alias("before")
+    )
+    at = F.row_number().over(Window.partitionBy("name", "bucket").orderBy("h", f"row.`{id_col}`")) - 1
+    return keyed.withColumn("at", at).join(before, ["name", "bucket"]).withColumn("at", F.col("at") + F.col("before"))
+
+
+def _mix_groups(docs, weights, temperature, ident, name, id_col, block_rows, frame) -> DataFrame:
+    """``mix`` of any number of sources, of which no list reaches the driver."""
+    spark = docs.sparkSession
+    sizes = docs.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    if weights is None:
+        sizes = sizes.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(float(temperature))))
+    else:
+        given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "name string, w double")
+        sizes = sizes.join(given, "name", "left").withColumn("w", F.coalesce("w", F.lit(float(min(weights.values())))))
+    sizes = stored(sizes.withColumn("g", F.pmod(F.xxhash64("name"), F.lit(GROUPS)).cast("int")), "sources")
+    total = {r["g"]: r["w"] for r in sizes.groupBy("g").agg(F.sum("w").alias("w")).collect()}  # GROUPS rows at most
+    outer = max(frame, 4 * len(total))
+    turns = shares(total, outer)
+    clock = spark.createDataFrame([(g, turns[g], k, t) for g, k, t, _, _ in schedule(turns, outer)], "g int, per_group int, k int, t int")
+
+    def within(group):
+        target = dict(zip(group["name"], group["w"]))
+        inner = max(frame, 4 * len(target))
+        slots = shares(target, inner)
+        plan = [(s, slots[s], inner, *x) for s, *x in schedule(slots, inner)]
+        return type(group)(plan, columns=["name", "per_frame", "inner", "k", "t", "release_t", "due_t"])
+
+    kinds = "name string, per_frame int, inner int, k int, t int, release_t int, due_t int"
+    one = stored(sizes.groupBy("g").applyInPandas(within, kinds), "frames")
+    sources = stored(
+        sizes.join(one.groupBy("name").agg(F.first("per_frame").alias("per_frame"), F.first("inner").alias("inner")), "name")
+        .select("name", "g", "per_frame", "inner", F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("buckets")),
+        "sources",
+    )
+    numbered = _numbered(docs, sources, ident, name, id_col)
+    turn = F.floor(F.col("block") / F.col("per_frame")) * F.col("inner")
+    placed = (
+        numbered.withColumn("block", F.floor(F.col("at") / block_rows))
+        .withColumn("place", (F.col("at") % block_rows).cast("int"))
+        .withColumn("k", (F.col("block") % F.col("per_frame")).cast("int"))
+        .join(one.drop("per_frame", "inner"), ["name", "k"])
+        .select("row", "g", "block", "place", *((turn + F.col(c) - less).alias(c) for c, less in (("t", 0), ("release_t", 0), ("due_t", 1))))
+    )
+    per = clock.select("g", F.col("per_group").alias("per")).distinct()
+    for c in ("t", "release_t", "due_t"):  # places among the group's slots to slots of the clock
+        at = clock.select("g", F.col("k").alias("gk"), F.col("t").alias("gt"))
+        placed = (
+            placed.join(F.broadcast(per), "g").withColumn("gk", (F.col(c) % F.col("per")).cast("int"))
+            .join(F.broadcast(at), ["g", "gk"])
+            .withColumn(c, (F.floor(F.col(c) / F.col("per")) * outer + F.col("gt")).cast("long")).drop("per", "gk", "gt")
+        )
+    return placed.select("row", "block", F.col("t").alias("slot"), "place", F.col("release_t").alias("release"), (F.col("due_t") + 1).alias("due"))
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
@@ -82,14 +150,14 @@ def mix(
     spark = prepare(docs.sparkSession)
     ident, name = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))
     counts = docs.groupBy(name.alias("name")).count().limit(MAX_SOURCES + 1).collect()
+    if weights is not None and (not weights or min(weights.values()) <= 0):
+        raise ValueError("weights must be positive")
     if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+        return _mix_groups(docs, weights, temperature, ident, name, id_col, block_rows, frame)
     size = {r["name"]: r["count"] for r in counts}
     if weights is None:
         target = {s: n**temperature for s, n in size.items()}
     else:
-        if not weights or min(weights.values()) <= 0:
-            raise ValueError("weights must be positive")
         target = {s: weights.get(s, min(weights.values())) for s in size}
     frame = max(frame, 4 * len(size))
     slots = shares(target, frame) if size else {}
@@ -99,16 +167,7 @@ def mix(
     )
     one_frame = spark.createDataFrame(plan, "name string, k int, t int, release_t int, due_t int")
 
-    # numbers from 0 within each source: place in the bucket plus the buckets before
-    order = F.xxhash64(ident, *(F.col(f"`{c}`") for c, t in docs.dtypes if c != id_col and not t.startswith("map")))
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), name.alias("name"), order.alias("h"))
-    keyed = keyed.join(F.broadcast(sources), "name").withColumn("bucket", F.pmod(F.shiftright("h", 16), F.col("buckets")).cast("int"))
-    full = keyed.groupBy("name", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = full.select(
-        F.col("name"), "bucket", (F.sum("n").over(Window.partitionBy("name").orderBy("bucket")) - F.col("n")).alias("before")
-    )
-    at = F.row_number().over(Window.partitionBy("name", "bucket").orderBy("h", f"row.`{id_col}`")) - 1
-    numbered = keyed.withColumn("at", at).join(before, ["name", "bucket"]).withColumn("at", F.col("at") + F.col("before"))
+    numbered = _numbered(docs, F.broadcast(sources), ident, name, id_col)
     turn = F.floor(F.col("block") / F.col("per_frame"))
     placed = (
         numbered.withColumn("block", F.floor(F.col("at") / block_rows))

@@ -330,6 +330,25 @@ def test_mix_keeps_the_shares(spark):
         mixing.mix(docs, {"hot": 0.0})
 
 
+@pytest.mark.parametrize("weights", [None, {"hot": 5.0, "s1": 1.0}])
+def test_mix_of_more_sources_than_the_driver_schedules(spark, monkeypatch, weights):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 20)
+    monkeypatch.setattr(mixing, "GROUPS", 7)
+    rows = [(i, "t", "hot") for i in range(400)] + [(1000 + i, "t", f"s{i % 60}") for i in range(700)] + [(None, None, None), (5, "t", "s1"), (5, "t", "s1")]
+    placed = mixing.mix(clashing(documents(spark, rows)), weights, block_rows=4, frame=256).select("row.doc_id", "row.source", "block", "slot", "place", "release", "due").collect()
+    assert sorted(str((p["doc_id"], p["source"])) for p in placed) == sorted(str((i, s)) for i, _, s in rows)
+    assert len({(p["slot"], p["place"]) for p in placed}) == len(rows)
+    assert all(p["release"] <= p["slot"] < p["due"] for p in placed)
+    names = {}
+    for p in placed:
+        assert names.setdefault(p["slot"], p["source"]) == p["source"]
+    size = {s: sum(x == s for _, _, x in rows) for _, _, s in rows}
+    target = {s: n**0.5 if weights is None else weights.get(s or "", 1.0) for s, n in size.items()}
+    share = target["hot"] / sum(target.values())
+    mine = sorted(t for t, s in names.items() if s == "hot")
+    assert len(mine) == 100 and all(abs(i + 1 - share * (t + 1)) < 2 + 0.05 * (t + 1) for i, t in enumerate(mine))  # weights are rounded to the frames
+
+
 def test_schedule_meets_every_deadline():
     r = random.Random(3)
     for _ in range(30):
@@ -636,3 +655,12 @@ def test_pipeline_stages_take_any_columns(spark, tmp_path):
     empty = documents(spark, [])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_texts_that_share_an_id_stay(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a, "s1"), (5, a + " tail", "s2"), (5, b, "s3"), (5, b, "s3"), (6, b + " tail", "s1"), (7, c, "s2"), (7, c, "s1"), (None, a, "s1"), (8, None, "s1"), (8, "", "s1"), (9, c + " end", "s1")]
+    got = [sorted(map(str, map(tuple, corpus_pipeline.dedup_documents(spark, documents(spark, rows).repartition(n), "").collect()))) for n in (1, 7)]
+    texts = sorted(str(x[:2]) for x in map(eval, got[0]))
+    assert texts == sorted(str(x) for x in [(1, a), (5, b), (7, c), (None, a), (8, None), (8, "")])
+    assert got[0] == got[1]
