@@ -18,6 +18,7 @@ from hitscope.llm import (
     near_dup,
     oracles,
     quality,
+    runs,
     token_count,
     url_filter,
     warc,
@@ -124,6 +125,38 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _periodic(docs: DataFrame) -> DataFrame:
+    """The contract's input for op12: in one of ten documents, by the crc of the
+    id, the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    w = docs.withColumns({"_w": words, "_g": F.floor(h / 10)})
+    n = F.size("_w")
+    w = w.withColumns({"_a": F.when(n > 0, F.col("_g") % n)})
+    w = w.withColumn("_p", F.lit(1) + F.floor((n - F.col("_a")) / (F.lit(3) + F.col("_g") % 8)))
+    word = lambda i: F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))
+    again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("_w", word(i).cast("int")))
+    return w.select("doc_id", F.when(n > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the text without the
+    repeats."""
+    found = runs.detect_runs(_periodic(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 _QUERIES = (
     op1_url_filter,
     op2_line_dedup,
@@ -135,6 +168,7 @@ _QUERIES = (
     op8_warc,
     op9_decontaminate,
     op10_near_duplicates,
+    op12_periodic_runs,
 )
 
 
