@@ -127,4 +127,26 @@ root AS (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
        least(d.doc_id, coalesce(m, d.doc_id)) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN root USING (doc_id)""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x : CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z : z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+),
+pos AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS k FROM s WHERE same) WHERE k <= 5
+),
+neg AS (
+  SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank
+  FROM pos p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3""",
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from hitscope.llm import (
     decontaminate,
+    hard_negatives,
     html_extract,
     license_scan,
     line_dedup,
@@ -157,6 +158,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three negatives for each of up to five positives of every anchor
+    (ids divisible by 50).  As the contract says, every seventh id first takes
+    the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, "vec_id", "label", "embedding")
+
+
 _QUERIES = (
     op1_url_filter,
     op2_line_dedup,
@@ -169,6 +179,7 @@ _QUERIES = (
     op9_decontaminate,
     op10_near_duplicates,
     op12_periodic_runs,
+    op13_hard_negatives,
 )
 
 
