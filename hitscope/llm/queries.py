@@ -18,6 +18,7 @@ from hitscope.llm import (
     mixing,
     near_dup,
     oracles,
+    packing,
     quality,
     runs,
     token_count,
@@ -126,6 +127,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, mixed as the sources' tokens
+    are in every window."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = packing.pack(docs, vocabulary=str(public_tokenizers.path("byte_bpe_50k.json")))
+    return found.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source", "round"
+    )
+
+
 def _periodic(docs: DataFrame) -> DataFrame:
     """The contract's input for op12: in one of ten documents, by the crc of the
     id, the words from a place on repeat with a period."""
@@ -178,6 +191,7 @@ _QUERIES = (
     op8_warc,
     op9_decontaminate,
     op10_near_duplicates,
+    op11_packing,
     op12_periodic_runs,
     op13_hard_negatives,
 )
