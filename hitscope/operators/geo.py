@@ -11,6 +11,10 @@ One plan at every size:
   more than ``DENSE`` spans is cut again at ``/24`` borders, where a country
   can have 128 spans at most.  Hosts meet spans by an equality join on the
   bucket plus ``BETWEEN``.
+* Where the narrowest range wins, a sweep over the ranges' ends cuts each
+  bucket into disjoint pieces, and each piece gets its owner from a segment
+  tree over the pieces (:func:`narrowest_spans`): k ranges of a bucket cost
+  k log k rows, however deep they overlap, and a host meets one piece.
 * The host map joins back to the hits on host (J3).  Whether a side is
   broadcast, and whether a hot host's partition is split, is left to the
   adaptive plan, which measures sizes; neither changes a row.
@@ -31,6 +35,7 @@ from hitscope.sources.access_log import typed_ip_ranges
 BUCKET_BITS = 16
 DENSE = 256
 MAX_IP = (1 << 32) - 1
+_LEVELS = BUCKET_BITS + 1  # of a tree over the pieces of a bucket
 _WHOLE = -1  # second key of a bucket that is not cut again
 
 
@@ -94,6 +99,11 @@ def range_spans(ranges: DataFrame, typed: bool = False) -> DataFrame:
         .groupBy("bucket", "country", "_island")
         .agg(F.min("b").alias("b"), F.max("e").alias("e"))
     )
+    return _keyed(spans)
+
+
+def _keyed(spans: DataFrame) -> DataFrame:
+    """Spans of a bucket under one key, or under their ``/24`` where many."""
     keyed = spans.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("bucket")))
     subs = F.when(F.col("_n") <= DENSE, F.array(F.lit(_WHOLE).cast("bigint"))).otherwise(F.sequence(F.shiftright("b", 8), F.shiftright("e", 8)))
     return keyed.select(
@@ -101,6 +111,71 @@ def range_spans(ranges: DataFrame, typed: bool = False) -> DataFrame:
     )
 
 
+def _tree_nodes(lo: str, hi: str):
+    """The nodes (level, place) of a binary tree over the numbers from 0 that
+    together cover ``lo`` to ``hi``: two on a level at most."""
+    node = lambda level, at: F.struct(level.alias("level"), at.alias("at"))
+
+    def climb(acc, level):
+        left, right = acc["left"], acc["right"]
+        odd_l, odd_r = (left < right) & (left % 2 == 1), (left < right) & (right % 2 == 1)
+        taken = F.concat(
+            acc["nodes"],
+            F.when(odd_l, F.array(node(level, left))).otherwise(F.array().cast("array<struct<level:int,at:bigint>>")),
+            F.when(odd_r, F.array(node(level, right - 1))).otherwise(F.array().cast("array<struct<level:int,at:bigint>>")),
+        )
+        up = lambda x: F.shiftright(x, 1)
+        return F.struct(
+            up(left + odd_l.cast("bigint")).alias("left"), up(right - odd_r.cast("bigint")).alias("right"), taken.alias("nodes")
+        )
+
+    start = F.struct(
+        F.col(lo).cast("bigint").alias("left"),
+        (F.col(hi).cast("bigint") + 1).alias("right"),
+        F.array().cast("array<struct<level:int,at:bigint>>").alias("nodes"),
+    )
+    return F.aggregate(F.sequence(F.lit(0), F.lit(_LEVELS)), start, climb, lambda acc: acc["nodes"])
+
+
+def narrowest_spans(ranges: DataFrame, typed: bool = False) -> DataFrame:
+    """Disjoint spans, each with the country of the narrowest range that covers
+    it (equal widths: the first country, NULL before all): ``(bucket, sub,
+    span_begin, span_end, country)`` as in :func:`range_spans`.
+
+    The ends of a bucket's ranges, in order, bound its pieces.  A range covers a
+    row of pieces; it is noted at the nodes of a binary tree over the pieces
+    that make up that row, each node keeps its narrowest range, and a piece's
+    owner is the narrowest on its way to the root."""
+    r = _clipped(_range_rows(ranges, typed)).select("begin_ip_int", "end_ip_int", "country")
+    buckets = F.sequence(F.shiftright("begin_ip_int", BUCKET_BITS), F.shiftright("end_ip_int", BUCKET_BITS))
+    lo = F.shiftleft(F.col("bucket"), BUCKET_BITS)
+    rank = F.struct((F.col("end_ip_int") - F.col("begin_ip_int")).alias("w"), F.col("country").alias("c"))
+    cut = r.withColumns({"bucket": F.explode(buckets), "rank": rank}).select(
+        "bucket", "rank", F.greatest("begin_ip_int", lo).alias("b"), F.least(F.col("end_ip_int"), lo + ((1 << BUCKET_BITS) - 1)).alias("e")
+    )
+    # of ranges with the same ends in the bucket only the narrowest counts
+    cut = cut.groupBy("bucket", "b", "e").agg(F.min("rank").alias("rank"))
+    ends = cut.select("*", F.explode(F.array(F.col("b"), F.col("e") + 1)).alias("p")).withColumn(
+        "k", F.dense_rank().over(Window.partitionBy("bucket").orderBy("p")) - 1
+    )
+    pieces = (
+        ends.groupBy("bucket", "k").agg(F.min("p").alias("b"))
+        .withColumn("e", F.lead("b").over(Window.partitionBy("bucket").orderBy("k")) - 1)
+        .where("e is not null")
+    )
+    covered = ends.groupBy("bucket", "b", "e", "rank").agg(F.min("k").alias("first"), (F.max("k") - 1).alias("last"))
+    nodes = (
+        covered.select("bucket", "rank", F.explode(_tree_nodes("first", "last")).alias("node"))
+        .groupBy("bucket", "node").agg(F.min("rank").alias("rank"))
+    )
+    way = F.array(*(F.struct(F.lit(x).alias("level"), F.shiftright(F.col("k").cast("bigint"), x).alias("at")) for x in range(_LEVELS + 1)))
+    owned = (
+        pieces.withColumn("node", F.explode(way)).join(nodes, ["bucket", "node"])
+        .groupBy("bucket", "k", "b", "e").agg(F.min("rank").alias("rank"))
+    )
+    return _keyed(owned.select("bucket", "b", "e", F.col("rank.c").alias("country")))
+
+
 def ip_range_country_bucketed(ips: DataFrame, ranges: DataFrame, typed: bool = False) -> DataFrame:
     """J1 + P18 on the ranges themselves: one row per host and range that
     contains it, by an equality join on ``ip >> 16`` plus ``BETWEEN``."""
@@ -131,11 +206,7 @@ def ip_range_country(ips: DataFrame, ranges: DataFrame, overlap: str = "all", ty
     them (hosts in no range are absent).  ``overlap='smallest'`` keeps, per
     host, the narrowest range's country instead."""
     if overlap == "smallest":
-        width = F.col("end_ip_int") - F.col("begin_ip_int")
-        hit = ip_range_country_bucketed(ips, ranges, typed)
-        # a struct, so that a NULL country of the narrowest range is kept
-        best = F.min(F.struct(width.alias("w"), F.col("country").alias("c")))
-        return hit.groupBy("host").agg(best.alias("m")).select("host", F.col("m.c").alias("country"))
+        return _in_spans(ips, narrowest_spans(ranges, typed))
     return _in_spans(ips, range_spans(ranges, typed))
 
 
@@ -159,7 +230,27 @@ def host_country_map(hits: DataFrame, ranges: DataFrame, overlap: str = "all", h
     have no pair."""
     hosts = distinct_hosts(hits, host).select("host")
     if overlap == "all":
-        return _looked_up(hosts, ranges, "host").where("_matched").select("host", F.col("_country").alias("country")).distinct()
+        r = typed_ip_ranges(ranges)
+        h = F.col("host")
+        ip = F.when(is_numeric_host(h), ipv4_to_long(h))
+        name = F.coalesce(is_host_name(h), F.lit(False))
+        none = F.lit(None).cast("bigint")
+        asked = hosts.select(  # an address asks under both keys of a bucket and meets spans under one
+            "host",
+            F.when(name, host_suffix(h)).alias("_suffix"),
+            name.alias("_name"),
+            ip.alias("_ip"),
+            F.explode(F.when(ip.isNotNull(), F.array(F.lit(_WHOLE).cast("bigint"), F.shiftright(ip, 8))).otherwise(F.array(none))).alias("sub"),
+        ).withColumn("bucket", F.shiftright("_ip", BUCKET_BITS))
+        spans = range_spans(r, typed=True)
+        met = (
+            (asked["bucket"] == spans["bucket"]) & (asked["sub"] == spans["sub"])
+            & F.col("_ip").between(F.col("span_begin"), F.col("span_end"))
+        )
+        codes = suffix_codes(r, typed=True).select(F.col("country_code").alias("_code"), F.col("country").alias("_code_country"))
+        found = asked.join(spans, met, "left").join(codes, F.col("_suffix") == F.col("_code"), "left")
+        country = F.when(F.col("_name"), F.coalesce("_code_country", F.lit(P.UNKNOWN_SUFFIX_COUNTRY))).otherwise(F.col("country"))
+        return found.where(F.col("_name") | F.col("span_begin").isNotNull()).select("host", country.alias("country")).distinct()
     r = typed_ip_ranges(ranges)
     by_ip = ip_range_country(numeric_hosts(hosts), r, overlap, typed=True)
     return by_ip.unionByName(suffix_country(named_hosts(hosts), r, typed=True)).distinct()

@@ -36,6 +36,11 @@ same rows, for reading and comparison:
     and chunk) carries the previous chunk's last epoch, the session number,
     the session's entry page and its hits so far; the result is joined back
     on ``(host, chunk)``, the key the hits are already partitioned by.
+
+:func:`sessionize_from` goes on from a *state*, one row per host seen so far
+(its last epoch, session number, entry page and hits of its open session).  A
+host's state takes part in the carry as one more chunk, before all others, so
+a new day is sessionised from its own hits and the state alone.
 """
 
 from __future__ import annotations
@@ -114,7 +119,79 @@ def _sessionize_window(hits, gap, host, time, epoch, url, tie_break) -> DataFram
     return s.drop("_sess_no")
 
 
-def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seconds) -> DataFrame:
+#: One row per host: ``host_key`` ("=" and the host; empty for hits without
+#: one), then what the carry needs to go on.
+STATE_SCHEMA = "host_key string, last_epoch bigint, session_no bigint, entry_page string, session_hits bigint"
+
+
+def sessionize_from(
+    hits: DataFrame,
+    state: DataFrame | None,
+    gap: int = P.SESSION_GAP_SECONDS,
+    host: str = "encrypted_host",
+    time: str = "datetime",
+    epoch: str = "epoch",
+    url: str = "request_url",
+    tie_break: str | None = None,
+    chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+) -> tuple[DataFrame, DataFrame]:
+    """The session columns of ``hits``, which all come after those that
+    ``state`` (:data:`STATE_SCHEMA`; none at the start) has seen, and the state
+    after them.  Hosts without new hits keep their state row.  Rows are those of
+    :func:`sessionize` over all hits at once."""
+    if state is None:
+        state = hits.sparkSession.createDataFrame([], STATE_SCHEMA)
+    args = (gap, host, time, epoch, url, tie_break, chunk_seconds)
+    return _sessionize_chunked(hits, *args, state=state), _next_state(hits, state, *args)
+
+
+def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state=None) -> DataFrame:
+    keyed, carry = _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state)
+    carry = carry.select("_key", "_chunk", "_head_gap", "_sess_no", "_entry", (F.col("_cum") - F.col("_n") - F.col("_start")).alias("_before"))
+
+    # Hits: running values inside each (key, chunk) -- the only shuffle of
+    # the hits -- then the carry joined on that same key.
+    in_chunk = Window.partitionBy("_key", "_chunk").orderBy(*_order(time, tie_break))
+    running = _running(in_chunk, tie_break)
+    rows = keyed.withColumns(
+        {
+            "_rn": F.row_number().over(in_chunk),
+            "_lag_gap": F.col(epoch) - F.lag(epoch).over(in_chunk),
+            "_cnt": F.count(url).over(running),
+            "_last_url": F.last(url).over(running),
+        }
+    )
+    j = rows.join(carry, ["_key", "_chunk"], "left")
+    td = F.when(F.col("_rn") == 1, F.col("_head_gap")).otherwise(F.col("_lag_gap"))
+    out = j.withColumn("session_time_difference", td).withColumns(
+        {
+            "is_new_session": F.when(F.col("session_time_difference") >= gap, 1).otherwise(0),
+            "session_id": session_key(host, "_sess_no"),
+            "first_visited_page": F.col("_entry"),
+            "last_visited_page": F.col("_last_url"),
+            "page_count": F.col("_before") + F.col("_cnt"),
+        }
+    )
+    return out.select(*hits.columns, *SESSION_COLUMNS)
+
+
+def _next_state(hits, state, gap, host, time, epoch, url, tie_break, chunk_seconds) -> DataFrame:
+    """The last row of the carry of each host: its state from now on."""
+    _, carry = _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state)
+    after = Window.partitionBy("_key").orderBy("_later", "_chunk")
+    last = carry.withColumn("_next", F.lead("_key").over(after)).where("_next is null")
+    return last.select(
+        F.col("_key").alias("host_key"),
+        F.col("_tail_e").alias("last_epoch"),
+        F.col("_sess_no").cast("bigint").alias("session_no"),
+        F.col("_entry").alias("entry_page"),
+        (F.col("_cum") - F.col("_start")).alias("session_hits"),
+    )
+
+
+def _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state) -> tuple[DataFrame, DataFrame]:
+    """The hits with their key and chunk, and one row per key and chunk (and per
+    row of ``state``) with what comes before it."""
     if gap < 1:
         raise ValueError("gap must be at least 1 second")
     # Chunks are never wider than the gap: two hits of one chunk are less
@@ -145,9 +222,24 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
         F.min_by(F.struct(F.col(url).alias("u")), order).alias("_head"),
     )
 
+    summary = summary.withColumns({"_later": F.lit(1), "_no": F.lit(0).cast("bigint")})
+    if state is not None:  # as a chunk before all others, which ends its open session's hits so far
+        summary = summary.unionByName(
+            state.select(
+                F.col("host_key").alias("_key"),
+                F.lit(_NO_TIME_CHUNK).alias("_chunk"),
+                F.col("last_epoch").alias("_head_e"),
+                F.col("last_epoch").alias("_tail_e"),
+                F.col("session_hits").alias("_n"),
+                F.struct(F.col("entry_page").alias("u")).alias("_head"),
+                F.lit(0).alias("_later"),
+                F.col("session_no").alias("_no"),
+            )
+        )
+
     # Carry across chunks, per host in chunk order: at most one row per
     # chunk, so even the busiest host is a small group here.
-    by_chunk = Window.partitionBy("_key").orderBy("_chunk")
+    by_chunk = Window.partitionBy("_key").orderBy("_later", "_chunk")
     upto = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carry = (
         summary.withColumn("_head_gap", F.col("_head_e") - F.lag("_tail_e").over(by_chunk))
@@ -156,7 +248,7 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
         .withColumn("_cum", F.sum("_n").over(upto))
         .withColumns(
             {
-                "_sess_no": F.sum("_head_flag").over(upto),
+                "_sess_no": F.sum(F.col("_head_flag") + F.col("_no")).over(upto),
                 "_entry": F.last(F.when(F.col("_resets"), F.col("_head")), ignorenulls=True)
                 .over(upto)
                 .getField("u"),
@@ -165,40 +257,8 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
                 ),
             }
         )
-        .select(
-            "_key",
-            "_chunk",
-            "_head_gap",
-            "_sess_no",
-            "_entry",
-            (F.col("_cum") - F.col("_n") - F.col("_start")).alias("_before"),
-        )
     )
-
-    # Hits: running values inside each (key, chunk) -- the only shuffle of
-    # the hits -- then the carry joined on that same key.
-    in_chunk = Window.partitionBy("_key", "_chunk").orderBy(*_order(time, tie_break))
-    running = _running(in_chunk, tie_break)
-    rows = keyed.withColumns(
-        {
-            "_rn": F.row_number().over(in_chunk),
-            "_lag_gap": F.col(epoch) - F.lag(epoch).over(in_chunk),
-            "_cnt": F.count(url).over(running),
-            "_last_url": F.last(url).over(running),
-        }
-    )
-    j = rows.join(carry, ["_key", "_chunk"], "left")
-    td = F.when(F.col("_rn") == 1, F.col("_head_gap")).otherwise(F.col("_lag_gap"))
-    out = j.withColumn("session_time_difference", td).withColumns(
-        {
-            "is_new_session": F.when(F.col("session_time_difference") >= gap, 1).otherwise(0),
-            "session_id": session_key(host, "_sess_no"),
-            "first_visited_page": F.col("_entry"),
-            "last_visited_page": F.col("_last_url"),
-            "page_count": F.col("_before") + F.col("_cnt"),
-        }
-    )
-    return out.select(*hits.columns, *SESSION_COLUMNS)
+    return keyed, carry
 
 
 def session_rollup(

@@ -139,3 +139,39 @@ def test_ambiguous_hosts(spark):
     amb = {r["host"] for r in geo.ambiguous_hosts(m).collect()}
     assert amb == {"1.2.3.4"}
     assert m.where(F.col("host") == "9.9.9.9").count() == 0
+
+
+def _brute_narrowest(rs, n):
+    """The country of the narrowest range that holds ``n``; None first among equals."""
+    best = min(((e - b, c is not None, c or "") for b, e, _, c in rs if b <= n <= e), default=None)
+    return "none" if best is None else best[2] if best[1] else None
+
+
+def test_narrowest_range_by_the_sweep(spark):
+    """Nested, crossing, touching, equal and bucket-crossing ranges, NULL names."""
+    rnd = random.Random(8)
+    base = 5 << 24
+    rs = [(base, base + 300_000, "aa", "Wide"), (base + 10, base + 10, "bb", None), (base + 10, base + 10, "cc", "Point")]
+    for k in range(700):  # one dense bucket with deep overlaps
+        b = base + rnd.randrange(0, 60_000)
+        rs.append((b, b + rnd.choice([0, 1, 7, 200, 3000, 5000]), "cd", rnd.choice([None, *(f"C{k % 13}" for _ in range(5))])))
+    for k in range(60):
+        b = base + rnd.randrange(0, 2**20)
+        rs.append((b, b + rnd.choice([65535, 65536, 200_000]), "ef", f"D{k % 7}"))
+    ips = sorted({base + rnd.randrange(0, 2**20) for _ in range(500)} | {x for r in rs[:40] for x in (r[0], r[1], r[1] + 1)})
+    hosts = [".".join(str((n >> s) & 255) for s in (24, 16, 8, 0)) for n in ips]
+    frame = geo.numeric_hosts(spark.createDataFrame([(h,) for h in hosts], "host string"))
+    out = geo.ip_range_country(frame, ranges(spark, rs), overlap="smallest")
+    got = {r["host"]: r["country"] for r in out.collect()}
+    assert out.count() == len(got)
+    assert {h: got.get(h, "none") for h in hosts} == {h: _brute_narrowest(rs, n) for h, n in zip(hosts, ips)}
+    spans = geo.narrowest_spans(ranges(spark, rs)).where("sub = -1 or span_begin >> 8 = sub").select("span_begin", "span_end").distinct().collect()
+    spans = sorted(map(tuple, spans))
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # disjoint
+
+
+def test_spans_are_computed_once(spark):
+    """The host map asks the spans in one join, the narrowest owner in another."""
+    hits = _hits(spark, HOSTS)
+    plan = geo.tag_country(hits, ranges(spark, RANGES))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("shiftright(begin_ip_int") == geo.range_spans(ranges(spark, RANGES))._jdf.queryExecution().optimizedPlan().toString().count("shiftright(begin_ip_int")
