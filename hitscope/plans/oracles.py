@@ -233,6 +233,7 @@ RERUN_DAY = "2024-01-15"
 GAP_6H = 21600
 LOOKBACK_DAYS = 7
 TOP_K = 10
+WINDOW_DAYS = 7
 
 
 def oracle_sql() -> dict[str, str]:
@@ -411,6 +412,47 @@ SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, requ
     q["streamed_enriched_log"] = base + """
 SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
        year, month, day FROM enriched"""
+    q["session_hits_incremental"] = q["session_hits_30m"]
+    q["new_visitors_incremental"] = _sess_query(
+        GAP_30M, f"SELECT {DAY} AS insight_date, new_users_count FROM sess_new WHERE new_users_count > 0", LOOKBACK_DAYS
+    )
+    q["window_visitors"] = _sess_query(
+        GAP_30M,
+        f"""SELECT strftime(e.d, '%Y-%m-%d') AS window_end, COUNT(DISTINCT h.encrypted_host) AS exact_visitors, true AS within_3_percent
+FROM (SELECT DISTINCT d FROM sess_hd) e JOIN sess_hd h ON h.d BETWEEN e.d - {WINDOW_DAYS - 1} AND e.d GROUP BY e.d""",
+    )
+    q["country_upsert"] = _sess_query(
+        GAP_30M,
+        f"""SELECT {DAY} AS insight_date, country AS country_name,
+       COUNT(*) + CASE WHEN {DAY} = '{RERUN_DAY}' AND length(coalesce(country, '')) % 2 = 0 THEN 1000 ELSE 0 END AS page_request_count
+FROM sess_day GROUP BY d, country UNION ALL SELECT '{RERUN_DAY}', 'Nowhere', 1""",
+    )
+    q["ordered_sessions"] = _sess_query(
+        GAP_30M,
+        """SELECT row_number() OVER (ORDER BY h.encrypted_host NULLS FIRST, h.datetime NULLS FIRST, h.i) AS position,
+       h.encrypted_host, h.datetime, h.event_id, h.encrypted_host || '_' || CAST(s.no AS VARCHAR) AS session_id, h.request_url
+FROM sess_n h ASOF JOIN sess_starts s ON h.encrypted_host = s.encrypted_host AND h.i >= s.start""",
+    )
+    q["routed_tables"] = _sess_query(
+        GAP_30M,
+        f"""SELECT 'null' AS route, COUNT(*) AS hits, COUNT(DISTINCT host) AS hosts FROM raw WHERE {any_null}
+UNION ALL SELECT 'rejected', COUNT(*), COUNT(DISTINCT encrypted_host) FROM rejected
+UNION ALL SELECT 'page', COUNT(*), COUNT(DISTINCT encrypted_host) FROM page
+UNION ALL SELECT 'non_page', COUNT(*), COUNT(DISTINCT encrypted_host) FROM non_page
+UNION ALL SELECT 'enriched', COUNT(*), COUNT(DISTINCT encrypted_host) FROM enriched
+UNION ALL SELECT 'session', COUNT(*), COUNT(DISTINCT encrypted_host) FROM sess""",
+    )
+    q["sql_functions"] = _sess_query(
+        GAP_30M,
+        f"""SELECT event_id, session_id, page_count, encrypted_host AS host_back, request_url AS resource,
+       CASE WHEN regexp_matches(encrypted_host, '{NUMERIC_HOST}') THEN {_ip_to_long("encrypted_host")} END AS ip_int,
+       nullif(string_split(rtrim(encrypted_host, '.'), '.')[-1], '') AS suffix,
+       strftime(datetime, '%Y-%m-%d') AS date_text
+FROM sess""",
+    )
+    q["land_late_files"] = base + """
+SELECT coalesce(strftime(try_strptime(replace("timestamp", '[', ''), '%d/%b/%Y:%H:%M:%S'), '%Y-%m-%d'), 'unknown') AS day,
+       COUNT(*) AS lines FROM raw GROUP BY 1"""
     q["land_new_days"] = base + """
 SELECT coalesce(strftime(try_strptime(replace("timestamp", '[', ''), '%d/%b/%Y:%H:%M:%S'), '%Y-%m-%d'), 'unknown') AS day,
        COUNT(*) AS lines FROM raw GROUP BY 1"""

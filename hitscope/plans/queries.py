@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitscope import schemas
 from hitscope.config import apply_runtime_conf, scratch_path
@@ -23,8 +24,8 @@ from hitscope.functions import patterns as P
 from hitscope.operators import geo, insights, routing
 from hitscope.operators.sessions import session_rollup
 from hitscope.operators.timecols import add_time_columns
-from hitscope.plans import jobs
-from hitscope.plans.oracles import GAP_6H, GAP_30M, LOOKBACK_DAYS, RERUN_DAY, TOP_K
+from hitscope.plans import daily, jobs
+from hitscope.plans.oracles import GAP_6H, GAP_30M, LOOKBACK_DAYS, RERUN_DAY, TOP_K, WINDOW_DAYS
 from hitscope.sinks import tables
 from hitscope.sources import testdata
 from hitscope.sources.access_log import read_access_log, read_ip_ranges, read_session_hits, read_table, typed_ip_ranges
@@ -226,8 +227,7 @@ def session_hits_30m_window(spark, sf):
 
 
 def session_hits_30m_chunked(spark, sf):
-    """C5 with the skew-proof chunked plan (what ``auto`` picks when one host
-    is too large for a task)."""
+    """C5 with the skew-proof chunked plan."""
     return _sessions(spark, sf, GAP_30M, strategy="chunked").select(*schemas.SESSION_FIELDS, TB)
 
 
@@ -436,6 +436,138 @@ def land_new_days(spark, sf):
     return back.groupBy("day").agg(F.count(F.lit(1)).alias("lines"))
 
 
+# --- a new day from carried state --------------------------------------------------------
+#: The month up to here is one run; each day after it is a run of its own.
+FIRST_RUN = ("2024-01-01", "2024-01-23")
+DAILY_RUNS = [f"2024-01-{d}" for d in range(24, 32)]
+
+
+def _daily_log(spark, sf) -> DataFrame:
+    path = scratch_path(spark, "daily-log")
+    tables.write_partitioned(_ordered_hits(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+def session_hits_incremental(spark, sf):
+    """C5 day by day: each run reads one day of the log and the state."""
+    log, store = _daily_log(spark, sf), scratch_path(spark, "daily-store")
+    for first, last in ((daily.NO_DAY, daily.NO_DAY), FIRST_RUN, *((d, d) for d in DAILY_RUNS)):
+        daily.run_days(spark, log, store, first, last, gap=GAP_30M, tie_break=HIT, keep=[TB])
+    return spark.read.parquet(f"{store}/sessions").select(*schemas.SESSION_FIELDS, TB)
+
+
+def new_visitors_incremental(spark, sf):
+    """C9 day by day: each run reads one day and the last-seen table."""
+    log, store = _daily_log(spark, sf), scratch_path(spark, "daily-store")
+    daily.start_new_visitors(spark, log, store, *FIRST_RUN, LOOKBACK_DAYS)
+    for d in DAILY_RUNS:
+        daily.count_new_visitors(spark, log, store, d, LOOKBACK_DAYS)
+    return tables.read_published(spark, store, "new_visitors").where("new_users_count > 0").select("insight_date", "new_users_count")
+
+
+def window_visitors(spark, sf):
+    """A1 from published sketches: the visitors of every 7 days, and whether
+    the estimate lies within 3 % of their exact number."""
+    s = _sessions(spark, sf, GAP_30M, stored=True)
+    root = scratch_path(spark, "sketches")
+    tables.publish(insights.visitor_sketches_by_day(s), f"{root}/visitor_sketches")
+    estimate = insights.window_visitors(tables.read_published(spark, root, "visitor_sketches"), WINDOW_DAYS)
+    host_days = insights.with_day(s).select(insights.HOST, "insight_date").distinct()
+    ends = F.explode(F.sequence("insight_date", F.date_add("insight_date", WINDOW_DAYS - 1)))
+    exact = (
+        host_days.select(insights.HOST, ends.alias("end"))
+        .groupBy(F.date_format("end", "yyyy-MM-dd").alias("window_end")).agg(F.count_distinct(insights.HOST).alias("exact_visitors"))
+    )
+    near = F.abs(F.col("visitors") - F.col("exact_visitors")) <= 0.03 * F.col("exact_visitors")
+    return estimate.join(exact, "window_end").select("window_end", "exact_visitors", near.alias("within_3_percent"))
+
+
+def country_upsert(spark, sf):
+    """S10 by key: half of one day's countries get new numbers, and one country
+    is new; the rest of that day and all other days stay."""
+    root = scratch_path(spark, "upsert")
+    path = f"{root}/country_insights"
+    tables.publish(insights.country_insights_by_day(_sessions(spark, sf, GAP_30M)), path)
+    day = tables.read_published(spark, root, "country_insights").where(F.col("insight_date") == RERUN_DAY)
+    half = day.where("length(coalesce(country_name, '')) % 2 = 0").withColumn("page_request_count", F.col("page_request_count") + 1000)
+    new = spark.range(1).select(
+        F.lit(RERUN_DAY).alias("insight_date"), F.lit("Nowhere").alias("country_name"), F.lit(1).cast("bigint").alias("page_request_count")
+    )
+    tables.upsert(half.unionByName(new), path, ["country_name"])
+    return tables.read_published(spark, root, "country_insights").select(*schemas.COUNTRY_INSIGHTS_FIELDS)
+
+
+def ordered_sessions(spark, sf):
+    """Sessions in one total order over all files, read back by place."""
+    path = scratch_path(spark, "ordered")
+    s = _sessions(spark, sf, GAP_30M).select(*schemas.SESSION_FIELDS, TB, HIT)
+    tables.write_ordered(s, path, ["encrypted_host", "datetime", HIT], files=16)
+    return tables.read_ordered(spark, path).select("position", "encrypted_host", "datetime", TB, "session_id", "request_url")
+
+
+def routed_tables(spark, sf):
+    """All six routes through the sink, a catalog table over each, and
+    the rows and distinct first columns of each table."""
+    path, db = scratch_path(spark, "routed"), f"hitscope_{uuid.uuid4().hex[:10]}"
+    routes = _routes(spark, sf)
+    enriched = jobs.materialize(_ordered_hits(spark, sf), "enriched")
+    routes |= {"enriched": enriched, "session": jobs.build_sessions(enriched, gap=GAP_30M, tie_break=HIT)}
+    tables.write_routed(routes, path)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    routed = T.StructType([T.StructField(c, T.StringType()) for c in schemas.ROUTED_FIELDS])
+    shapes = {
+        "null": schemas.ACCESS_LOG, "rejected": routed, "page": routed, "non_page": routed,
+        "enriched": schemas.ENRICHED_LOG, "session": schemas.SESSION_HITS,
+    }
+    counts = []
+    for route, shape in shapes.items():
+        t = tables.create_external_table(spark, f"{db}.{route}_hits", f"{path}/{route}", shape)
+        first = shape.fields[0].name
+        counts.append(t.agg(F.lit(route).alias("route"), F.count(F.lit(1)).alias("hits"), F.count_distinct(first).alias("hosts")))
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def sql_functions(spark, sf):
+    """F1-F5 and sessions as SQL text only: scalar functions and a table
+    function over the enriched log's view."""
+    from hitscope.plans.sql import register_functions, register_session_function
+
+    tag = uuid.uuid4().hex[:8]
+    register_functions(spark, f"f{tag}_")
+    jobs.materialize(_ordered_hits(spark, sf), "enriched").createOrReplaceTempView(f"hits_{tag}")
+    register_session_function(spark, f"sessions_{tag}", f"hits_{tag}", tie_break=HIT)
+    return spark.sql(f"""
+        SELECT {TB}, session_id, page_count,
+               f{tag}_pseudonym_host(f{tag}_pseudonym(encrypted_host, '{DEMO_KEY}'), '{DEMO_KEY}') AS host_back,
+               f{tag}_request_resource(request) AS resource,
+               CASE WHEN encrypted_host RLIKE '^[0-9.]+$' THEN f{tag}_ipv4_to_long(encrypted_host) END AS ip_int,
+               f{tag}_host_suffix(encrypted_host) AS suffix,
+               f{tag}_date_prefix(cast(datetime AS STRING)) AS date_text
+        FROM sessions_{tag}({GAP_30M})""")
+
+
+def land_late_files(spark, sf):
+    """C12 by file: a week lands, then the rest of the month together with late
+    files of landed days, then nothing; lines per day."""
+    src, dst = scratch_path(spark, "log-src"), scratch_path(spark, "log-landed")
+    time = F.try_to_timestamp(F.substring(F.col("value"), F.instr("value", "[") + 1, 20), F.lit(P.TIMESTAMP_FORMAT))
+    lines = (
+        testdata.access_log_lines(_raw(spark, sf))
+        .select("value", F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit("unknown")).alias("day"))
+    )
+    early = (F.col("day") <= "2024-01-07") & (F.length("value") % 4 != 0)
+    lines.where(early).write.partitionBy("day").text(src)
+    first = tables.land_new_files(spark, src, dst)
+    lines.where(~early).write.mode("append").partitionBy("day").text(src)
+    second = tables.land_new_files(spark, src, dst)
+    if set(first) & set(second) or tables.land_new_files(spark, src, dst):
+        raise AssertionError("a file landed twice")
+    return tables.read_landed_files(spark, dst).groupBy("day").agg(F.count(F.lit(1)).alias("lines"))
+
+
 _QUERIES: dict[str, Query] = {
     "route_counts": route_counts,
     "rejected_hits": rejected_hits,
@@ -493,6 +625,14 @@ _QUERIES: dict[str, Query] = {
     "managed_table": managed_table,
     "external_tables": external_tables,
     "land_new_days": land_new_days,
+    "land_late_files": land_late_files,
+    "session_hits_incremental": session_hits_incremental,
+    "new_visitors_incremental": new_visitors_incremental,
+    "window_visitors": window_visitors,
+    "country_upsert": country_upsert,
+    "ordered_sessions": ordered_sessions,
+    "routed_tables": routed_tables,
+    "sql_functions": sql_functions,
 }
 
 

@@ -10,13 +10,15 @@ partition overwrites: writing a day replaces that day and nothing else.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitscope import schemas
+from hitscope.config import scratch_path
 
 LOG_PARTITIONS = ["year", "month", "day"]
 
@@ -91,14 +93,38 @@ def create_external_table(
 ) -> DataFrame:
     """A catalog table over an output folder, with a declared schema; the
     partitions present in the folder are registered."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    by = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{by} LOCATION '{path}'")
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    cols = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    by = f" PARTITIONED BY ({', '.join(map(quoted, partition_cols))})" if partition_cols else ""
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{by} LOCATION '{place}'")
     if partition_cols:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
 
 
+# O4 --------------------------------------------------------------------------------
+def write_ordered(df: DataFrame, path: str, cols: list[str], files: int | None = None) -> None:
+    """One total order over all files: the rows of a file come after those
+    of all files with smaller numbers, and each file is in order.  Rows are
+    range partitioned on all of ``cols``, so a host that holds a third of them
+    spans files if a time follows it in ``cols``."""
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_ordered` wrote, each row with its ``position`` from 1 in
+    the order of all files (file number, then place in the file)."""
+    rows = spark.read.parquet(path).withColumns(
+        {"_file": F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).cast("int"), "_at": F.col("_metadata.row_index")}
+    )
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # a row per file
+    w = Window.partitionBy(F.lit(0)).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_file", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    return rows.join(before, "_file").withColumn("position", F.col("_before") + F.col("_at") + 1).drop("_file", "_at", "_before")
+
+
 # S10 / C11 -----------------------------------------------------------------------------
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -127,7 +153,9 @@ def publish(
     The new rows are written first, by a dynamic overwrite that commits at its
     end, so a job that fails leaves the published days as they were.  Only
     then are those of ``dates`` cleared that the new data has no rows for."""
-    out = df if dates is None else df.where(F.col(key).isin(list(dates)))
+    dates = None if dates is None else list(dates)
+    out = df if dates is None else df.where(F.col(key).isin(dates))
+    before = _partition_files(df.sparkSession, path, key, dates or ())
     (
         out.hint("rebalance", key)
         .sortWithinPartitions(key, *(F.col(c).desc() if c.endswith("count") or c == "measure_value" else F.col(c) for c in sort_cols))
@@ -136,9 +164,52 @@ def publish(
         .partitionBy(key)
         .parquet(path)
     )
-    if dates is not None:
-        written = {r[key] for r in out.select(key).distinct().collect()}  # days, a few
-        drop_partitions(df.sparkSession, path, key, [d for d in dates if d not in written])
+    # a day that still has its old files was not written: it has no rows now
+    after = _partition_files(df.sparkSession, path, key, dates or ())
+    drop_partitions(df.sparkSession, path, key, [d for d, files in before.items() if files and files == after[d]])
+
+
+def _partition_files(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> dict[str, set[str]]:
+    """File names in each ``column=value`` folder (every write gives new ones)."""
+    fs, root, jvm = _hadoop_fs(spark, path)
+    out = {}
+    for v in values:
+        p = jvm.org.apache.hadoop.fs.Path(root, f"{column}={v}")
+        out[v] = {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+    return out
+
+
+def upsert(df: DataFrame, path: str, keys: Iterable[str], partition: str = "insight_date") -> None:
+    """S10 by primary key (the partition column and ``keys``): rows of ``df``
+    replace the rows that have their keys and join the others.  Only partitions
+    that ``df`` touches are read, and one dynamic overwrite, which commits at its
+    end, replaces them.  A NULL in a key is a value; of rows of ``df`` with
+    equal keys the one with the greatest other columns stays."""
+    spark = df.sparkSession
+    by = [partition, *keys]
+    rest = [c for c in df.columns if c not in by]
+    one = df.groupBy(*by).agg(F.max(F.struct(*rest)).alias("row")).select(*by, "row.*") if rest else df.select(*by).distinct()
+    # stored first: it is read three times, and the target must not change while it is read
+    new = _staged(one.select(*df.columns), "upsert")
+    touched = [r[0] for r in new.select(partition).distinct().collect()]  # partitions, a few
+    if not touched:
+        return
+    fs, root, _ = _hadoop_fs(spark, path)
+    if fs.exists(root):
+        old = spark.read.schema(new.schema).option("basePath", path).parquet(path)
+        same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in by]
+        old = old.where(F.col(partition).isin(touched)).select(*df.columns).alias("old")
+        met = same[0]
+        for c in same[1:]:
+            met = met & c
+        new = _staged(old.join(new.alias("new"), met, "left_anti").unionByName(new), "upsert")
+    write_partitioned(new, path, [partition], sort_cols=list(keys))
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def publish_insights(
@@ -202,3 +273,56 @@ def land_new_days(spark: SparkSession, src_root: str, dst_root: str, column: str
         for d in fresh:
             fs.create(jvm.org.apache.hadoop.fs.Path(p, d), True).close()
     return fresh
+
+
+MANIFEST = "_manifest"  # one row for each landed file, written after its rows
+_MANIFEST_SCHEMA = "name string, length bigint, modified timestamp, batch string"
+
+
+def _source_files(spark: SparkSession, root: str, column: str) -> DataFrame:
+    """Files under the day folders of ``root``, from a listing (no content)."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return found.select(
+        F.regexp_extract("path", f"({column}=[^/]*/[^/]+)$", 1).alias("name"), "length", F.col("modificationTime").alias("modified")
+    ).where("name != ''")
+
+
+def _manifest(spark: SparkSession, dst_root: str) -> DataFrame:
+    fs, p, _ = _hadoop_fs(spark, f"{dst_root}/{MANIFEST}")
+    if not fs.exists(p):
+        return spark.createDataFrame([], _MANIFEST_SCHEMA)
+    return spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{dst_root}/{MANIFEST}")
+
+
+def land_new_files(spark: SparkSession, src_root: str, dst_root: str, column: str = "day") -> list[str]:
+    """C12 by file: lands the files of ``src_root/day=.../`` that the manifest
+    does not list with their length and time, so a file that arrives late in a
+    landed day is landed too, alone.  The rows of a run are one batch folder; the
+    manifest rows, written after them, commit it.  What a failed run left has no
+    manifest row: it is not read, and the next run removes it.  A file that has
+    changed is landed again and replaces its old rows.  Returns the names."""
+    keys = ["name", "length", "modified"]
+    done = _manifest(spark, dst_root)
+    fresh = _source_files(spark, src_root, column).join(done, keys, "left_anti").orderBy("name").collect()  # names, as a scan lists them
+    fs, root, jvm = _hadoop_fs(spark, dst_root)
+    committed = {r[0] for r in done.select("batch").distinct().collect()}
+    for s in fs.listStatus(root) if fs.exists(root) else []:
+        name = s.getPath().getName()
+        if name.startswith("batch=") and name[6:] not in committed:
+            fs.delete(s.getPath(), True)
+    if fresh:
+        batch = uuid.uuid4().hex[:12]
+        reader = spark.read.schema(f"value string, {column} string").option("basePath", src_root)
+        rows = reader.text([f"{src_root}/{r['name']}" for r in fresh])
+        rows.withColumn("file", F.col("_metadata.file_name")).write.partitionBy(column).parquet(f"{dst_root}/batch={batch}")
+        listed = [(r["name"], r["length"], r["modified"], batch) for r in fresh]
+        spark.createDataFrame(listed, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{dst_root}/{MANIFEST}")
+    return [r["name"] for r in fresh]
+
+
+def read_landed_files(spark: SparkSession, dst_root: str, column: str = "day") -> DataFrame:
+    """(value, day) of all committed files, each in its newest version."""
+    newest = _manifest(spark, dst_root).groupBy("name").agg(F.max_by("batch", "modified").alias("batch"))
+    rows = spark.read.schema(f"value string, file string, batch string, {column} string").parquet(dst_root)
+    rows = rows.withColumn("name", F.concat(F.lit(f"{column}="), F.col(column), F.lit("/"), F.col("file")))
+    return rows.join(newest, ["name", "batch"], "left_semi").select("value", column)
