@@ -1,0 +1,81 @@
+"""Class words on layout elements, deep pages, and containers as ranges."""
+
+from __future__ import annotations
+
+import time
+
+import pytest
+
+from hitscope.llm import html_extract
+from hitscope.llm.html_extract import page_blocks, page_parts
+
+
+def text(html: str) -> str:
+    return "\n".join(t for t, _ in page_blocks(html))
+
+
+MAIN = "<p>Main text of the page, some words long</p>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<body><div class="layout with-sidebar"><article>{MAIN}</article></div></body>',
+        f'<body><article class="post no-sidebar">{MAIN}</article></body>',
+        f'<body><div class="has-comments has-related"><article>{MAIN}</article></div></body>',
+        f'<body class="has-cookie-banner"><div class="page sidebar-right"><main>{MAIN}</main></div></body>',
+        f'<body><div id="comments-page"><article>{MAIN}</article></div></body>',
+        f'<body><form id="aspnetForm"><div class="content sidebar">{MAIN}</div></form></body>',
+        f'<body><div class="topbar-layout"><div class="menu"><a>Home</a></div><div>{MAIN}</div></div></body>',
+        f'<body><article><div class="social-body">{MAIN}</div><div class="share">Share</div></article></body>',
+    ],
+)
+def test_layout_words_do_not_empty_a_page(html):
+    assert text(html) == "Main text of the page, some words long"
+
+
+def test_signs_still_cut():
+    side = "<div class='sidebar'><p>links</p></div><div class='newsletter-box'>join us</div><form>search</form>"
+    assert text(f"<body>{side}<article>{MAIN}{side}</article>{side}</body>") == "Main text of the page, some words long"
+    comments = "<div class=comments><article class=comment-body><p>" + "a reader says a lot " * 30 + "</p></article></div>"
+    assert text(f"<body><article>{MAIN}</article>{comments}</body>") == "Main text of the page, some words long"
+    assert text(f"<body><article>{MAIN}{comments.replace('30', '1')[:60]}</div></article></body>").startswith("Main text")
+    cards = "<section class=related><article><p>other story</p></article><article><p>third</p></article></section>"
+    assert text(f"<body><article>{MAIN}</article>{cards}</body>") == "Main text of the page, some words long"
+    assert text("<p>See <span class='share'>Share this</span> more</p>") == "See more"
+
+
+def test_an_article_is_never_lost():
+    """Whatever the class words, a page with text in an article has a text."""
+    for a in ("", "related", "comment", "with-sidebar", "ad"):
+        for b in ("", "sidebar", "comments", "no-comments", "cookie"):
+            for c in ("", "menu", "reply"):
+                assert text(f"<body><div class='{a}'><article class='{b}'><div class='{c}'>words</div></article></div></body>") == "words"
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<div>t" * 150_000, "<div><p>t</p></div>" * 50_000, "<b>" * 100_000 + "</i>" * 100_000, "<span class=share>" * 50_000 + "x", "<div class=sidebar>t" * 40_000],
+)
+def test_long_and_deep_pages(html):
+    """About 1 MB in seconds, with parts in proportion to the page."""
+    began = time.time()
+    blocks, parts = page_parts(html)
+    assert len(blocks) + len(parts) <= len(html) / 3
+    assert time.time() - began < 40
+
+
+def test_ranges_cover_the_blocks():
+    html = "<body><div class=a><p>one</p><div class=b><p>two</p><p>three</p></div></div><div class=b><p>two</p><p>three</p></div><p>four</p></body>"
+    blocks, parts = page_parts(html)
+    assert blocks == [("one", 0), ("two", 1), ("three", 2), ("two", 3), ("three", 4), ("four", 5)]
+    assert sorted((lo, hi) for _, lo, hi in parts) == [(0, 3), (1, 3), (3, 5)]
+    same = {lo: m for m, lo, hi in parts}
+    assert same[1] == same[3] != same[0]
+
+
+def test_template_removal_by_ranges(spark):
+    box = "<div class=w><div>Always <p>the same</p></div><p>box</p></div>"
+    rows = [(i, f"https://h.org/{i}", f"<body><article><p>Text {i}</p>{box}<div><p>own {i}</p></div></article></body>") for i in range(8)]
+    got = html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {i: f"Text {i}\nown {i}" for i in range(8)}
