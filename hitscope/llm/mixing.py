@@ -3,72 +3,90 @@
 Each source's documents are cut into blocks of ``block_rows`` documents in a
 hashed order.  A source of weight w owns a share w of the slots of a clock:
 its k-th block is released at ``floor(k / w)`` and due at ``ceil((k + 1) / w)``,
-and every slot goes to the released block with the earliest deadline.  So, at
-any time up to the end of a source, the blocks it has had differ from
-``w * time`` by less than one.  A source that runs out leaves its slots empty;
-no document is repeated or dropped.
-
-Weights are rounded to multiples of 1 / ``frame`` (each source at least one),
-so the schedule repeats every ``frame`` slots, and only one frame is computed
-(on the driver, up to ``MAX_SOURCES`` sources).  More sources are dealt into
-``GROUPS`` groups: the clock schedules the groups by the sums of their weights,
-and each group, in a task, the slots that it gets among its own sources.  Then
-a source is less than two blocks from its target (less than one from its share
-of the group's slots), and its windows run between slots of its group.  Placing a block is
-then arithmetic on a broadcast table of ``frame`` rows.  Documents are numbered
-in small hashed buckets with bucket offsets, so a source with a third of all
-documents is spread over many tasks.
+and every slot goes to the released block with the earliest deadline.  All
+weights together are 1, so every deadline is met, and at any time up to the end
+of a source the blocks it has had differ from ``w * time`` by less than one.
+Windows come from the weights as given, in whole numbers of any length, so this
+holds for any weights and any number of sources: a source of small weight just
+has a late deadline.  A source that runs out leaves its slots empty; no document
+is repeated or dropped.
+
+The schedule holds blocks, not documents.  It is made in one task from one row
+per source, with a heap of the sources' next blocks, and written as a table of
+one row per block, which the documents then join.  So that this task stays small
+at any size of the corpus, blocks grow beyond ``SLOTS * block_rows`` documents:
+there are at most ``SLOTS`` blocks, and one more for each source.  Documents are
+numbered in small hashed buckets with bucket offsets, so a source with a third
+of all documents is spread over many tasks.
 
 Defined cases: a null source counts as the empty name; a source without a
 target weight takes the smallest weight given; weights must be positive;
 null ids and repeated rows are numbered like any other; an empty table gives
-an empty schedule.
+an empty schedule; weights so far apart that a slot passes 2^63 are an error.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
-from math import ceil
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitscope.llm.runtime import prepare, stored
 
 BLOCK_ROWS = 16
-FRAME = 4096
-MAX_SOURCES = 20_000
-GROUPS = 1024
+SLOTS = 1 << 20
 BUCKET_ROWS = 2048  # documents numbered together
 
-
-def shares(weights: Mapping[str, float], frame: int) -> dict[str, int]:
-    """Slots of a frame for each source: at least one each, largest remainders
-    first, in sum the frame."""
-    total = sum(weights.values())
-    exact = {s: w / total * (frame - len(weights)) for s, w in weights.items()}
-    out = {s: 1 + int(x) for s, x in exact.items()}
-    for s in sorted(weights, key=lambda s: (int(exact[s]) - exact[s], s))[: frame - sum(out.values())]:
-        out[s] += 1
-    return out
-
-
-def schedule(slots: Mapping[str, int], frame: int) -> list[tuple[str, int, int, int, int]]:
-    """One frame by earliest deadline first: (source, k, slot, release, due)."""
-    waiting = sorted((k * frame // c, -(-(k + 1) * frame // c), s, k) for s, c in slots.items() for k in range(c))
-    ready: list[tuple[int, str, int, int]] = []
-    out, i = [], 0
-    for t in range(frame):
-        while i < len(waiting) and waiting[i][0] <= t:
-            release, due, s, k = waiting[i]
-            heapq.heappush(ready, (due, s, k, release))
-            i += 1
-        due, s, k, release = heapq.heappop(ready)
+_PLAN = "name string, block long, slot long, release long, due long"
+
+
+def schedule(sources: list[tuple[str, float, int]]) -> Iterator[tuple[str, int, int, int, int]]:
+    """Earliest deadline first over sources given as (name, weight, number of
+    blocks): (name, block, slot, release, due), by slot.  Weights are taken as
+    written (0.05 is a twentieth), as shares of their sum."""
+    exact = [Fraction(str(w)) for _, w, _ in sources]
+    scale = lcm(*(x.denominator for x in exact))
+    part = [int(x * scale) for x in exact]
+    whole = sum(part)
+    later = [(0, i, 0) for i, (_, _, n) in enumerate(sources) if n]  # release, source, block
+    heapq.heapify(later)
+    ready: list[tuple[int, int, int, int]] = []  # due, source, block, release
+    t = 0
+    while later or ready:
+        if not ready:
+            t = max(t, later[0][0])
+        while later and later[0][0] <= t:
+            release, i, k = later[0]
+            heapq.heappush(ready, (-(-(k + 1) * whole // part[i]), i, k, release))
+            if k + 1 < sources[i][2]:
+                heapq.heapreplace(later, ((k + 1) * whole // part[i], i, k + 1))
+            else:
+                heapq.heappop(later)
+        due, i, k, release = heapq.heappop(ready)
         if due <= t:
             raise AssertionError("a deadline was missed")
-        out.append((s, k, t, release, due))
-    return out
+        if due >= 1 << 63:
+            raise ValueError("the weights are too far apart")
+        yield sources[i][0], k, t, release, due
+        t += 1
+
+
+def _plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sources = sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("name", "w", "blocks"))))
+    held: list[tuple] = []
+    names = ["name", "block", "slot", "release", "due"]
+    for row in schedule(sources):
+        held.append(row)
+        if len(held) == 1 << 15:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=names)
 
 
 def _numbered(docs: DataFrame, sources: DataFrame, ident: Column, name: Column, id_col: str) -> DataFrame:
@@ -85,55 +103,6 @@ def _numbered(docs: DataFrame, sources: DataFrame, ident: Column, name: Column,
     return keyed.withColumn("at", at).join(before, ["name", "bucket"]).withColumn("at", F.col("at") + F.col("before"))
 
 
-def _mix_groups(docs, weights, temperature, ident, name, id_col, block_rows, frame) -> DataFrame:
-    """``mix`` of any number of sources, of which no list reaches the driver."""
-    spark = docs.sparkSession
-    sizes = docs.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    if weights is None:
-        sizes = sizes.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(float(temperature))))
-    else:
-        given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "name string, w double")
-        sizes = sizes.join(given, "name", "left").withColumn("w", F.coalesce("w", F.lit(float(min(weights.values())))))
-    sizes = stored(sizes.withColumn("g", F.pmod(F.xxhash64("name"), F.lit(GROUPS)).cast("int")), "sources")
-    total = {r["g"]: r["w"] for r in sizes.groupBy("g").agg(F.sum("w").alias("w")).collect()}  # GROUPS rows at most
-    outer = max(frame, 4 * len(total))
-    turns = shares(total, outer)
-    clock = spark.createDataFrame([(g, turns[g], k, t) for g, k, t, _, _ in schedule(turns, outer)], "g int, per_group int, k int, t int")
-
-    def within(group):
-        target = dict(zip(group["name"], group["w"]))
-        inner = max(frame, 4 * len(target))
-        slots = shares(target, inner)
-        plan = [(s, slots[s], inner, *x) for s, *x in schedule(slots, inner)]
-        return type(group)(plan, columns=["name", "per_frame", "inner", "k", "t", "release_t", "due_t"])
-
-    kinds = "name string, per_frame int, inner int, k int, t int, release_t int, due_t int"
-    one = stored(sizes.groupBy("g").applyInPandas(within, kinds), "frames")
-    sources = stored(
-        sizes.join(one.groupBy("name").agg(F.first("per_frame").alias("per_frame"), F.first("inner").alias("inner")), "name")
-        .select("name", "g", "per_frame", "inner", F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("buckets")),
-        "sources",
-    )
-    numbered = _numbered(docs, sources, ident, name, id_col)
-    turn = F.floor(F.col("block") / F.col("per_frame")) * F.col("inner")
-    placed = (
-        numbered.withColumn("block", F.floor(F.col("at") / block_rows))
-        .withColumn("place", (F.col("at") % block_rows).cast("int"))
-        .withColumn("k", (F.col("block") % F.col("per_frame")).cast("int"))
-        .join(one.drop("per_frame", "inner"), ["name", "k"])
-        .select("row", "g", "block", "place", *((turn + F.col(c) - less).alias(c) for c, less in (("t", 0), ("release_t", 0), ("due_t", 1))))
-    )
-    per = clock.select("g", F.col("per_group").alias("per")).distinct()
-    for c in ("t", "release_t", "due_t"):  # places among the group's slots to slots of the clock
-        at = clock.select("g", F.col("k").alias("gk"), F.col("t").alias("gt"))
-        placed = (
-            placed.join(F.broadcast(per), "g").withColumn("gk", (F.col(c) % F.col("per")).cast("int"))
-            .join(F.broadcast(at), ["g", "gk"])
-            .withColumn(c, (F.floor(F.col(c) / F.col("per")) * outer + F.col("gt")).cast("long")).drop("per", "gk", "gt")
-        )
-    return placed.select("row", "block", F.col("t").alias("slot"), "place", F.col("release_t").alias("release"), (F.col("due_t") + 1).alias("due"))
-
-
 def mix(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
@@ -141,42 +110,32 @@ def mix(
     id_col: str = "doc_id",
     source_col: str = "source",
     block_rows: int = BLOCK_ROWS,
-    frame: int = FRAME,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Every row as (row: struct of all columns, block, slot, place, release,
     due).  Read by (slot, place), the sources come at their target weights;
     without ``weights`` these are the sources' sizes to the power
     ``temperature``."""
     spark = prepare(docs.sparkSession)
-    ident, name = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))
-    counts = docs.groupBy(name.alias("name")).count().limit(MAX_SOURCES + 1).collect()
     if weights is not None and (not weights or min(weights.values()) <= 0):
         raise ValueError("weights must be positive")
-    if len(counts) > MAX_SOURCES:
-        return _mix_groups(docs, weights, temperature, ident, name, id_col, block_rows, frame)
-    size = {r["name"]: r["count"] for r in counts}
+    ident, name = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))
+    sizes = docs.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
-        target = {s: n**temperature for s, n in size.items()}
+        sizes = sizes.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(float(temperature))))
     else:
-        target = {s: weights.get(s, min(weights.values())) for s in size}
-    frame = max(frame, 4 * len(size))
-    slots = shares(target, frame) if size else {}
-    plan = schedule(slots, frame) if size else []
-    sources = spark.createDataFrame(
-        [(s, slots[s], max(1, ceil(size[s] / BUCKET_ROWS))) for s in sorted(size)], "name string, per_frame int, buckets int"
-    )
-    one_frame = spark.createDataFrame(plan, "name string, k int, t int, release_t int, due_t int")
-
-    numbered = _numbered(docs, F.broadcast(sources), ident, name, id_col)
-    turn = F.floor(F.col("block") / F.col("per_frame"))
-    placed = (
-        numbered.withColumn("block", F.floor(F.col("at") / block_rows))
+        given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "name string, w double")
+        sizes = sizes.join(given, "name", "left").withColumn("w", F.coalesce("w", F.lit(float(min(weights.values())))))
+    sizes = stored(sizes, "sources")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    block_rows = max(block_rows, -(-total // slots))
+    counted = sizes.select("name", "w", F.ceil(F.col("n") / block_rows).alias("blocks"))
+    plan = stored(counted.coalesce(1).mapInArrow(_plan, _PLAN), "schedule")
+    sources = sizes.select("name", F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("buckets"))
+    return (
+        _numbered(docs, sources, ident, name, id_col)
+        .withColumn("block", F.floor(F.col("at") / block_rows))
         .withColumn("place", (F.col("at") % block_rows).cast("int"))
-        .withColumn("k", (F.col("block") % F.col("per_frame")).cast("int"))
-        .withColumn("start", turn * frame)
-        .join(F.broadcast(one_frame), ["name", "k"])
-    )
-    return placed.select(
-        "row", "block", (F.col("start") + F.col("t")).alias("slot"), "place",
-        (F.col("start") + F.col("release_t")).alias("release"), (F.col("start") + F.col("due_t")).alias("due"),
+        .join(plan, ["name", "block"])
+        .select("row", "block", "slot", "place", "release", "due")
     )

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from hitscope.llm import mixing, oracles, quality, queries, token_count
-from tests.llm.test_small_cases import counts_brute, near_brute
+from tests.llm.test_small_cases import counts_brute, lags, near_brute
 from tests.test_oracle import SF, TABLES, _norm
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared test tables not present")
@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_one_query_for_each_operator():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names[:10]] == [f"op{i}" for i in range(1, 11)] and names[10:] == ["pipeline"]
+    assert [n.split("_")[0] for n in names[:13]] == [f"op{i}" for i in range(1, 14)] and names[13:] == ["pipeline"]
 
 
 def test_html_text_is_the_article(spark):
@@ -60,12 +60,10 @@ def test_mix_covers_all_documents(spark, documents):
     got = queries.op5_mix_sources(spark, SF).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in documents)
     sizes = collections.Counter(r["source"] for r in documents)
-    frame = max(mixing.FRAME, 4 * len(sizes))
-    slots = mixing.shares({s: n**0.5 for s, n in sizes.items()}, frame)
-    for s, n in sizes.items():
-        mine = sorted({r["slot"] for r in got if r["source"] == s})
-        assert len(mine) == -(-n // mixing.BLOCK_ROWS)
-        assert all(abs(i + 1 - slots[s] * (t + 1) / frame) < 1 for i, t in enumerate(mine))
+    target = {s: n**0.5 for s, n in sizes.items()}
+    slots = {s: {r["slot"] for r in got if r["source"] == s} for s in sizes}
+    assert {s: len(x) for s, x in slots.items()} == {s: -(-n // mixing.BLOCK_ROWS) for s, n in sizes.items()}
+    assert lags(slots, target, sum(target.values())) < 1
 
 
 def test_quality_counts_and_held_out_accuracy(spark, documents):

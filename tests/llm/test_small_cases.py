@@ -305,21 +305,37 @@ def test_wrapped_licenses(spark):
 # --- op 5 ---
 
 
+def lags(slots_of, weight, total):
+    """Largest distance of a source's blocks from its target, at every slot up
+    to its end; no code of the operator."""
+    from fractions import Fraction
+
+    total = Fraction(str(total)) if isinstance(total, float) else total
+    weight = {s: Fraction(str(w)) for s, w in weight.items()}
+    if abs(sum(weight.values()) - total) < 1e-9:
+        total = sum(weight.values())
+    worst = 0
+    for s, mine in slots_of.items():
+        w = weight[s] / total
+        for i, t in enumerate(sorted(mine)):
+            worst = max(worst, abs(i - w * t), abs(i + 1 - w * (t + 1)))
+    return worst
+
+
 def test_mix_keeps_the_shares(spark):
     rows = [(i, "t", s) for s, n in (("hot", 900), ("b", 300), ("c", 120), ("d", 7)) for i in range(n)]
     rows += [(None, None, None), (5, "t", "b"), (5, "t", "b")]
     weights = {"hot": 0.2, "b": 0.5, "c": 0.25, "d": 0.05}
     docs = clashing(documents(spark, rows))
-    placed = mixing.mix(docs, weights, block_rows=4, frame=200).select("row.doc_id", "row.source", "block", "slot", "place", "release", "due").collect()
+    placed = mixing.mix(docs, weights, block_rows=4).select("row.doc_id", "row.source", "block", "slot", "place", "release", "due").collect()
     assert len(placed) == len(rows)
     assert len({(p["slot"], p["place"]) for p in placed}) == len(rows)
-    names = {p["slot"]: p["source"] for p in placed}
     assert all(p["release"] <= p["slot"] < p["due"] for p in placed)
-    slots = mixing.shares({"hot": 0.2, "b": 0.5, "c": 0.25, "d": 0.05, "": 0.05}, 200)
-    for s in ("hot", "b", "c"):
-        mine = sorted(t for t, x in names.items() if x == s)
-        w = slots[s] / 200
-        assert all(abs((i + 1) - w * (t + 1)) < 1 and abs(i - w * t) < 1 for i, t in enumerate(mine))
+    target = weights | {None: 0.05}
+    slots = {}
+    for p in placed:
+        slots.setdefault(p["source"], set()).add(p["slot"])
+    assert lags(slots, target, sum(target.values())) < 1
     blocks = {}
     for p in placed:
         blocks.setdefault((p["source"], p["block"]), []).append(p["place"])
@@ -331,34 +347,48 @@ def test_mix_keeps_the_shares(spark):
 
 
 @pytest.mark.parametrize("weights", [None, {"hot": 5.0, "s1": 1.0}])
-def test_mix_of_more_sources_than_the_driver_schedules(spark, monkeypatch, weights):
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 20)
-    monkeypatch.setattr(mixing, "GROUPS", 7)
+def test_mix_with_larger_blocks(spark, weights):
+    """Few slots: blocks grow, and the shares hold in the larger blocks."""
     rows = [(i, "t", "hot") for i in range(400)] + [(1000 + i, "t", f"s{i % 60}") for i in range(700)] + [(None, None, None), (5, "t", "s1"), (5, "t", "s1")]
-    placed = mixing.mix(clashing(documents(spark, rows)), weights, block_rows=4, frame=256).select("row.doc_id", "row.source", "block", "slot", "place", "release", "due").collect()
+    placed = mixing.mix(clashing(documents(spark, rows)), weights, block_rows=4, slots=100).select("row.doc_id", "row.source", "block", "slot", "place", "release", "due").collect()
     assert sorted(str((p["doc_id"], p["source"])) for p in placed) == sorted(str((i, s)) for i, _, s in rows)
-    assert len({(p["slot"], p["place"]) for p in placed}) == len(rows)
-    assert all(p["release"] <= p["slot"] < p["due"] for p in placed)
-    names = {}
+    assert len({(p["slot"], p["place"]) for p in placed}) == len(rows) and max(p["place"] for p in placed) == 11
+    slots = {}
     for p in placed:
-        assert names.setdefault(p["slot"], p["source"]) == p["source"]
+        slots.setdefault(p["source"], set()).add(p["slot"])
     size = {s: sum(x == s for _, _, x in rows) for _, _, s in rows}
     target = {s: n**0.5 if weights is None else weights.get(s or "", 1.0) for s, n in size.items()}
-    share = target["hot"] / sum(target.values())
-    mine = sorted(t for t, s in names.items() if s == "hot")
-    assert len(mine) == 100 and all(abs(i + 1 - share * (t + 1)) < 2 + 0.05 * (t + 1) for i, t in enumerate(mine))  # weights are rounded to the frames
-
-
-def test_schedule_meets_every_deadline():
+    assert len(slots["hot"]) == 34 and lags(slots, target, sum(target.values())) < 1
+
+
+@pytest.mark.parametrize("others, skew", [(20, 0), (200, 0), (1100, 0), (25_000, 0), (1100, 2), (25_000, 3)])
+def test_schedule_meets_the_given_weights(others, skew):
+    """One source at 0.9 and many that share the rest, equally or not."""
+    r = random.Random(others)
+    rest = [r.random() ** skew + 1e-9 for _ in range(others)]
+    weight = {"hot": 0.9} | {f"s{i}": 0.1 * x / sum(rest) for i, x in enumerate(rest)}
+    total = sum(weight.values())
+    slots, taken = {}, set()
+    for s, k, t, release, due in mixing.schedule([(s, w, 9000 if s == "hot" else 2) for s, w in weight.items()]):
+        assert release <= t < due and t not in taken
+        assert k == len(slots.setdefault(s, []))
+        slots[s].append(t)
+        taken.add(t)
+    assert [len(slots[s]) for s in weight] == [9000] + [2] * others
+    assert lags(slots, weight, total) < 1
+
+
+def test_schedule_of_random_weights():
     r = random.Random(3)
     for _ in range(30):
-        weights = {f"s{i}": r.random() ** 3 + 1e-3 for i in range(r.randint(1, 40))}
-        frame = 256
-        slots = mixing.shares(weights, frame)
-        assert sum(slots.values()) == frame and min(slots.values()) >= 1
-        plan = mixing.schedule(slots, frame)
-        assert sorted(t for _, _, t, _, _ in plan) == list(range(frame))
-        assert all(a <= t < d for _, _, t, a, d in plan)
+        weight = {f"s{i}": r.random() ** 3 + 1e-3 for i in range(r.randint(1, 40))}
+        slots = {}
+        for s, _, t, _, _ in mixing.schedule([(s, w, r.randint(0, 60)) for s, w in weight.items()]):
+            slots.setdefault(s, []).append(t)
+        assert lags(slots, weight, sum(weight.values())) < 1
+    assert list(mixing.schedule([])) == [] == list(mixing.schedule([("a", 1.0, 0)]))
+    with pytest.raises(ValueError):
+        list(mixing.schedule([("a", 1e300, 3), ("b", 1e-300, 3)]))
 
 
 # --- op 6 ---
