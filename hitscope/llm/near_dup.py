@@ -14,11 +14,14 @@ Documents are linked when their sets of distinct word shingles have
    similarity reaches the threshold falls below ``miss`` (uniform prior).
    Each member's most promising survivor is verified exactly on the full
    shingle sets, and the verified links give provisional components.
-3. Bands that still join several components are searched in full, in blocks
-   of bounded size, for links across components.  Again the sequential test
-   prunes and the survivors are verified exactly, inside the block: a block
-   gives the links that span its components, never a pair list.  Pairs within
-   a component are not tested, so a hot group of near copies does not square.
+3. Bands that still join several components are searched in full for links
+   across components.  In such a band the members of its largest component are
+   never compared with each other: only the others, the outsiders, are compared
+   with all members, in blocks of bounded size, so a band of many near copies
+   costs a row each, and its outsiders a row for each block.  First the blocks
+   hold signatures: the sequential test prunes.  Then members that are left
+   meet again with their texts, and the pairs are verified exactly, inside the
+   block: a block gives the links that span its components, never a pair list.
 4. Components of all verified links.
 
 A link at the threshold is missed with probability
@@ -161,32 +164,43 @@ def _test_pairs(size: int, least: list[int], num: int, den: int):
     return run
 
 
-def _search_blocks(size: int, rows: int, least: list[int], num: int, den: int, shingle: int):
-    """Rows sorted by (key, ci, cj): the members of two blocks of a band.
-    Tests pairs of different components, each in the first band that the pair
-    shares: sequential test, then the full sets.  Gives links that span what
-    the block joins, not every link."""
+_GROUP = ("key", "c", "o")
+_MEMBER = "key long, c int, o int, id long, comp long, side int, out boolean, band int"
 
-    def group(t: pa.Table, ids, comp, n, side, band, sig, same):
-        if comp.min() == comp.max():
-            return
-        # a pair of blocks: side 0 against side 1; a block with itself: all against all, once
-        left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+
+def _search_blocks(size: int, rows: int, least: list[int], num: int, den: int, shingle: int, with_text: bool):
+    """Rows sorted by (key, c, o): block c of a band's members (side 0) and block
+    o of its outsiders (side 1).  Tests outsiders with members of other
+    components, each pair in the first band that it shares.  Without texts it
+    gives the members that some test leaves; with texts it verifies on the full
+    sets and gives links that span what the block joins, not every link."""
+
+    def pairs(i, home, ids, comp, n, out, band, sig):
+        """Members that outsider ``i`` may be linked with."""
+        j = home[~out[home] | (ids[home] > ids[i])]  # two outsiders: from the smaller id only
+        j = j[np.minimum(n[j], n[i]) * den >= np.maximum(n[j], n[i]) * num]
+        if len(j):
+            keep, _ = _promising(np.broadcast_to(sig[i], (len(j), size)), sig[j], least, BATCH)
+            j = j[keep]
+        if len(j):
+            j = j[(sig[j].reshape(len(j), -1, rows) == sig[i].reshape(-1, rows)).all(axis=2).argmax(axis=1) == band]
+        return j
+
+    def hopeful(ids, comp, n, side, out, band, sig):
+        hit, home = np.zeros(len(ids), bool), np.flatnonzero(side == 0)
+        for i in np.flatnonzero(side == 1):
+            j = pairs(i, home[comp[home] != comp[i]], ids, comp, n, out, band, sig)
+            hit[j] = True
+            hit[i] |= len(j) > 0
+        return hit
+
+    def links(t: pa.Table, ids, comp, n, side, out, band, sig):
+        home = np.flatnonzero(side == 0)
         values, comp = np.unique(comp, return_inverse=True)
-        major = np.bincount(comp).argmax()
         now = np.arange(len(values))  # what the block's links have joined so far
         places = None
-        for i in left if not same else left[comp[left] != major]:
-            j = right[now[comp[right]] != now[comp[i]]]
-            if same:  # both outside the largest component: from the smaller id only
-                j = j[(comp[j] == major) | (ids[j] > ids[i])]
-            j = j[np.minimum(n[j], n[i]) * den >= np.maximum(n[j], n[i]) * num]
-            if not len(j):
-                continue
-            keep, _ = _promising(np.broadcast_to(sig[i], (len(j), size)), sig[j], least, BATCH)
-            j = j[keep]
-            if len(j):
-                j = j[(sig[j].reshape(len(j), -1, rows) == sig[i].reshape(-1, rows)).all(axis=2).argmax(axis=1) == band]
+        for i in np.flatnonzero(side == 1):
+            j = pairs(i, home[now[comp[home]] != now[comp[i]]], ids, comp, n, out, band, sig)
             if not len(j):
                 continue
             if places is None:  # the sets of the block, as places in a common list of shingles
@@ -204,40 +218,77 @@ def _search_blocks(size: int, rows: int, least: list[int], num: int, den: int, s
                         yield (min(ids[i], ids[x]), max(ids[i], ids[x]))
             mark[mine] = False
 
+    def work(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        cols = {c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in (*_GROUP, "id", "comp", "n", "side", "out", "band")}
+        cols["out"] = cols["out"].astype(bool)
+        sig = _array(t.column("sig"), size)
+        k = np.stack([cols[c] for c in _GROUP])
+        cuts = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
+        bounds = [0, *cuts.tolist(), t.num_rows]
+        a, b, hit = [], [], np.zeros(t.num_rows, bool)
+        for s, e in zip(bounds, bounds[1:]):
+            mine = [*(cols[c][s:e] for c in ("id", "comp", "n", "side", "out")), cols["band"][s], sig[s:e]]
+            if not with_text:
+                hit[s:e] = hopeful(*mine)
+                continue
+            for x, y in links(t.slice(s, e - s), *mine):
+                a.append(x)
+                b.append(y)
+        if with_text:
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        names = [c.split()[0] for c in _MEMBER.split(", ")]
+        return t.select(names).filter(pa.array(hit)).combine_chunks().to_batches(max_chunksize=1 << 30)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def work(t: pa.Table):
-            t = t.combine_chunks()
-            cols = {c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("key", "ci", "cj", "id", "comp", "n", "side", "band")}
-            sig = _array(t.column("sig"), size)
-            k = np.stack([cols["key"], cols["ci"], cols["cj"]])
-            cuts = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
-            bounds = [0, *cuts.tolist(), t.num_rows]
-            a, b = [], []
-            for s, e in zip(bounds, bounds[1:]):
-                for x, y in group(t.slice(s, e - s), *(cols[c][s:e] for c in ("id", "comp", "n", "side")), cols["band"][s], sig[s:e], cols["ci"][s] == cols["cj"][s]):
-                    a.append(x)
-                    b.append(y)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        def out_of(t: pa.Table):
+            found = work(t)
+            yield from [found] if isinstance(found, pa.RecordBatch) else found
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
             t = pa.Table.from_batches(held)
-            last = [t.column(c)[-1].as_py() for c in ("key", "ci", "cj")]
-            k = np.stack([t.column(c).to_numpy() for c in ("key", "ci", "cj")])
-            cut = int(np.flatnonzero((k != np.array(last)[:, None]).any(axis=0))[-1] + 1) if (k != np.array(last)[:, None]).any() else 0
+            k = np.stack([t.column(c).to_numpy() for c in _GROUP])
+            other = (k != k[:, -1:]).any(axis=0)
+            cut = int(np.flatnonzero(other)[-1] + 1) if other.any() else 0
             if cut:
-                yield work(t.slice(0, cut))
+                yield from out_of(t.slice(0, cut))
             held = t.slice(cut).to_batches()
         if held:
-            yield work(pa.Table.from_batches(held))
+            yield from out_of(pa.Table.from_batches(held))
 
     return run
 
 
+def open_bands(labelled: DataFrame) -> DataFrame:
+    """Bands (rows of ``labelled``: key, comp, n) of several components: the
+    largest, and the blocks of all members and of the others."""
+    each = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("size"))
+    band = each.groupBy("key").agg(F.max(F.struct("m", "comp", "size")).alias("top"), F.sum("m").alias("m"), F.sum("size").alias("size"))
+    blocks = lambda m, size: F.ceil(F.greatest(m / F.lit(BLOCK), size / F.lit(BLOCK_SHINGLES))).cast("int")
+    return band.where("top.m < m").select(
+        "key",
+        F.col("top.comp").alias("major"),
+        blocks(F.col("m"), F.col("size")).alias("blocks"),
+        blocks(F.col("m") - F.col("top.m"), F.col("size") - F.col("top.size")).alias("outer"),
+    )
+
+
+def spread_members(labelled: DataFrame, bands: DataFrame) -> DataFrame:
+    """Members of open bands in their block, and outsiders in every block."""
+    tagged = labelled.join(bands, "key").withColumns(
+        {"c": F.pmod(F.hash("id"), F.col("blocks")), "o": F.pmod(F.hash("id", F.lit(1)), F.col("outer")), "out": F.col("comp") != F.col("major")}
+    )
+    cols = ["id", "comp", "out", "band"]
+    homes = tagged.select("key", "c", F.explode(F.sequence(F.lit(0), F.col("outer") - 1)).alias("o"), *cols, F.lit(0).alias("side"))
+    asks = tagged.where("out").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("c"), "o", *cols, F.lit(1).alias("side"))
+    return homes.unionByName(asks)
+
+
 def _verify(k: int, num: int, den: int):
     """Exact test on the full shingle sets of both texts."""
 
@@ -312,32 +363,19 @@ def near_duplicates(
     )
     roots = connected_components(first)
     labelled = members.join(roots, "id", "left").withColumn("comp", F.coalesce("root", "id")).select("id", "key", "band", "comp")
-    open_keys = stored(
-        labelled.join(heads.select("id", "n"), "id").groupBy("key")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("all_n"))
-        .where("lo < hi")
-        .select("key", F.ceil(F.greatest(F.col("m") / F.lit(BLOCK), F.col("all_n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")),
-        "open",
-    )
-    spread = stored(
-        labelled.join(open_keys, "key")
-        .withColumn("c", F.pmod(F.hash("id"), F.col("blocks")))
-        .select("id", "key", "band", "comp", "c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-        .select("id", "key", "band", "comp", F.least("c", "o").alias("ci"), F.greatest("c", "o").alias("cj"), (F.col("c") > F.col("o")).cast("int").alias("side")),
-        "spread",
+    bands = stored(open_bands(labelled.join(heads.select("id", "n"), "id")), "open")
+    spread = stored(spread_members(labelled, bands), "spread")
+    search = lambda df, with_text, shape: (
+        df.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id")
+        .mapInArrow(_search_blocks(size, rows, least, num, den, shingle, with_text), shape).distinct()
     )
+    cols = ["key", "c", "o", "id", "comp", "n", "side", "out", "band", "sig"]
+    hopeful = stored(search(spread.join(heads, "id").select(cols), False, _MEMBER), "hopeful")
     # signature and text of a member from one row, whatever its id repeats
-    searched = involved.join(spread.select("id").distinct(), "id", "left_semi").mapInArrow(
+    searched = involved.join(hopeful.select("id").distinct(), "id", "left_semi").mapInArrow(
         _signed(shingle, size, True), T.StructType([*SIGNED.fields, T.StructField("text", T.StringType())])
     )
-    second = stored(
-        spread.join(searched.where("n > 0"), "id")
-        .repartition("key", "ci", "cj")
-        .sortWithinPartitions("key", "ci", "cj", "id")
-        .select("key", "ci", "cj", "id", "comp", "n", "side", "band", "sig", "text")
-        .mapInArrow(_search_blocks(size, rows, least, num, den, shingle), "a long, b long").distinct(),
-        "links",
-    )
+    second = stored(search(hopeful.join(searched.where("n > 0"), "id").select(*cols, "text"), True, "a long, b long"), "links")
     roots = connected_components(
         roots.select(F.col("root").alias("a"), F.col("id").alias("b")).unionByName(second)
     )

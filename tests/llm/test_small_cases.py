@@ -694,3 +694,30 @@ def test_texts_that_share_an_id_stay(spark):
     texts = sorted(str(x[:2]) for x in map(eval, got[0]))
     assert texts == sorted(str(x) for x in [(1, a), (5, b), (7, c), (None, a), (8, None), (8, "")])
     assert got[0] == got[1]
+
+
+@pytest.mark.parametrize("n", [2000, 8000])
+def test_a_hot_band_is_spread_in_proportion(spark, n):
+    """Near copies and 20 outsiders in one band: a row for each member and one
+    for each outsider and block."""
+    rows = [(i, 7, 0, 0 if i < n else i, 200) for i in range(n + 20)]
+    labelled = spark.createDataFrame(rows, "id long, key long, band int, comp long, n long")
+    bands = near_dup.open_bands(labelled)
+    (band,) = bands.collect()
+    assert (band["major"], band["outer"]) == (0, 1) and band["blocks"] == -(-(n + 20) // near_dup.BLOCK)
+    spread = near_dup.spread_members(labelled, bands)
+    assert spread.count() == n + 20 + 20 * band["blocks"]
+    one = spark.createDataFrame([(i, 7, 0, 0, 200) for i in range(50)], "id long, key long, band int, comp long, n long")
+    assert near_dup.open_bands(one).count() == 0
+
+
+def test_outsiders_of_a_hot_band_are_found(spark, monkeypatch):
+    """Chains that leave the largest component are linked across blocks."""
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    base = prose(9, 60).split()
+    texts = [" ".join([*base[:-1], f"end{i}"]) for i in range(120)]
+    texts += [" ".join([*base[:k], f"mid{k}", *base[k + 1 :]]) for k in range(5, 55, 3)]
+    texts += [" ".join([f"x{j}" if i % 13 == j % 13 else w for i, w in enumerate(base)]) for j in range(12)]
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    got = {r["id"]: r["component"] for r in near_dup.near_duplicates(documents(spark, rows)).collect()}
+    assert got == near_brute(rows, 80, 100)
