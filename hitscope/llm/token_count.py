@@ -44,7 +44,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 _CUT = re.compile(r"\S(?=[ \t\r\n])")
 _PERSONAL = re.compile(
-    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+" r"|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])" r"|(?<![\w+])\+?\d[\d ()-]{7,}\d(?!\w)"
+    # a mail address is tried where its characters begin only, so that long runs of them are read once
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+" r"|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])" r"|(?<![\w+])\+?\d[\d ()-]{7,}\d(?!\w)"
 )
 
 Edit = tuple[int, int, str]
@@ -90,6 +91,8 @@ class SegmentTree:
         for i in range(self.size - 1, 0, -1):
             self.sum[i] = self.sum[2 * i] + self.sum[2 * i + 1]
         self.encoded = 0  # characters encoded by edits
+        n = len(self.leaf)
+        self.right, self.left = list(range(1, n + 1)), list(range(-1, n - 1))  # towards the next leaf that holds text
 
     @classmethod
     def build(cls, text: str, count: Callable[[str], int], leaf: int = LEAF) -> SegmentTree:
@@ -160,10 +163,21 @@ class SegmentTree:
             up = {i // 2 for i in up if i > 1}
 
     def _next(self, i: int) -> int | None:
-        return next((x for x in range(i + 1, len(self.leaf)) if self.leaf[x]), None)
+        return self._follow(i, self.right)
 
     def _previous(self, i: int) -> int | None:
-        return next((x for x in range(i - 1, -1, -1) if self.leaf[x]), None)
+        return self._follow(i, self.left)
+
+    def _follow(self, i: int, link: list[int]) -> int | None:
+        """The nearest leaf with text on one side; emptied leaves on the way are
+        passed over from now on."""
+        way, x = [i], link[i]
+        while 0 <= x < len(self.leaf) and not self.leaf[x]:
+            way.append(x)
+            x = link[x]
+        for w in way:
+            link[w] = x
+        return x if 0 <= x < len(self.leaf) else None
 
 
 _INT_LIST = pa.list_(pa.int32())

@@ -7,9 +7,13 @@ page id is the response, the others revisit it.  Spark's text writer puts the
 records into gzip files with the record separator as line end, so files land
 by its commit protocol, on any store, and survive lost executors.
 
-Reading: the text reader cuts files at the version line; a Python step takes
-Content-Length and puts pieces back together where a payload held that line
-itself.  It keeps one record at a time.
+Reading: the text reader cuts files at version lines (WARC/1.0 and 1.1); a
+Python step takes Content-Length and puts pieces back together where a payload
+held such a line itself.  It keeps one record at a time, ``MAX_RECORD`` bytes at
+most.  Nothing is lost: a record must end as its length says, and what does not
+becomes a row of type ``malformed`` with its bytes and the problem (no length,
+wrong length, cut off, too long, no version line), after which reading goes on
+at the next version line.  ``record_bytes`` of all rows add up to the files.
 
 Assembly: requests and metadata join their response through the concurrent-to
 identifier, revisits join the response that they refer to, and each capture
@@ -37,13 +41,16 @@ from hitscope.llm.runtime import prepare, stored
 MIN_BYTES = 1000
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
+LINE = "WARC/1."  # how the version line of any record begins
+MAX_RECORD = 256 << 20
+MAX_HEAD = 1 << 20
 RECORDS_PER_FILE = 30_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 RECORD = (
     "record_id string, type string, target_uri string, concurrent_to string, refers_to string, content_type string, "
-    "digest string, block_bytes long, payload_bytes long, payload_digest string, payload binary"
+    "digest string, block_bytes long, payload_bytes long, payload_digest string, payload binary, record_bytes long, problem string"
 )
 
 
@@ -115,33 +122,93 @@ def _headers(head: bytes) -> dict[str, str]:
     return out
 
 
-def _parse(with_payload: bool):
-    version, end = VERSION.encode(), END.encode()
+class _Reader:
+    """Pieces of one file, in order, to rows of ``RECORD``."""
 
-    def whole(record: bytes):
-        """Headers and block, or None while bytes are missing."""
-        cut = record.find(end)
-        if cut < 0:
-            return None
-        h = _headers(record[:cut])
-        size = int(h.get("content-length", "0"))
-        start = cut + len(end)
-        return (h, record[start : start + size]) if len(record) >= start + size else None
+    def __init__(self, with_payload: bool, most: int):
+        self.with_payload, self.most = with_payload, most
+        self.rows: list[tuple] = []
+        self.held: list[bytes] = []
+        self.clear()
 
-    def row(h: dict, block: bytes) -> tuple:
-        payload, kind = None, h.get("warc-type")
+    def clear(self):
+        self.held, self.size, self.need, self.head, self.start = [], 0, None, {}, 0
+
+    def bad(self, piece: bytes, problem: str):
+        seen = piece if self.with_payload else None
+        self.rows.append((None, "malformed", *[None] * 5, len(piece), None, None, seen, len(piece), problem))
+
+    def good(self, record: bytes):
+        h, kind = self.head, self.head.get("warc-type")
+        block = record[self.start : self.need]
+        payload = None
         if h.get("content-type", "").startswith("application/http"):
-            head, _, payload = block.partition(end)
+            payload = block.partition(END.encode())[2]
         elif kind != "warcinfo":
             payload = block
         seen = payload if kind != "revisit" else None
-        return (
+        self.rows.append((
             h.get("warc-record-id"), kind, h.get("warc-target-uri"), h.get("warc-concurrent-to"), h.get("warc-refers-to"),
             h.get("content-type"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, len(block),
             None if seen is None else len(seen), None if seen is None else hashlib.sha1(seen).hexdigest(),
-            seen if with_payload or kind == "metadata" else None,
-        )
-
+            seen if self.with_payload or kind == "metadata" else None, len(record), None,
+        ))
+
+    def again(self, problem: str):
+        """The first held piece is malformed; the others are read anew."""
+        first, *rest = self.held
+        self.clear()
+        self.bad(LINE.encode() + first, problem)
+        for piece in rest:
+            self.push(piece)
+
+    def push(self, piece: bytes):
+        """The next piece, without the ``LINE`` before it."""
+        if not self.held and piece[:3] not in (b"0\r\n", b"1\r\n"):
+            self.bad(LINE.encode() + piece, "no version line")
+            return
+        self.held.append(piece)
+        self.size += len(LINE) + len(piece)
+        if self.need is None:
+            record = self.record()
+            cut = record.find(END.encode())
+            if cut < 0:
+                if len(record) > MAX_HEAD:
+                    self.again("no end of headers")
+                return
+            self.head, self.start = _headers(record[:cut]), cut + len(END)
+            length = self.head.get("content-length", "")
+            if not (length.isascii() and length.isdigit()):
+                self.again("no length")
+                return
+            self.need = self.start + int(length)
+        if self.need > self.most:
+            self.again("too long")
+        elif self.size >= self.need + len(END):
+            self.end()
+
+    def record(self) -> bytes:
+        return b"".join(LINE.encode() + p for p in self.held)
+
+    def end(self):
+        """All bytes that the length asks for are there."""
+        record = self.record()
+        if record[self.need :].strip(b"\r\n"):
+            self.again("wrong length")
+        else:
+            self.good(record)
+            self.clear()
+
+    def finish(self):
+        """The file ends."""
+        while self.held:
+            if self.need is not None and self.size >= self.need:
+                self.end()
+            else:
+                self.again("cut off")
+
+
+def _parse(with_payload: bool, most: int = MAX_RECORD):
     names = [f.split()[0] for f in RECORD.split(", ")]
     kinds = [{"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[f.split()[1]] for f in RECORD.split(", ")]
 
@@ -149,17 +216,22 @@ def _parse(with_payload: bool):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, file, rows = b"", None, []
+        reader, file = _Reader(with_payload, most), None
         for b in batches:
             for name, piece in zip(b.column("file").to_pylist(), b.column("value").to_pylist()):
-                held = held + version + piece if held and name == file else piece
-                file = name
-                if held and (found := whole(held)):
-                    rows.append(row(*found))
-                    held = b""
-            if rows:
-                yield batch(rows)
-                rows = []
+                if name != file:  # what stands before the first version line is usually empty
+                    reader.finish()
+                    file = name
+                    if piece:
+                        reader.bad(piece, "no version line")
+                else:
+                    reader.push(piece)
+            if reader.rows:
+                yield batch(reader.rows)
+                reader.rows = []
+        reader.finish()
+        if reader.rows:
+            yield batch(reader.rows)
 
     return run
 
@@ -168,7 +240,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     """One row per record (see ``RECORD``); digests and lengths are taken from
     the bytes read.  Gzip files only: they are not split within a record."""
     prepare(spark)
-    raw = spark.read.option("lineSep", VERSION).text(path)
+    raw = spark.read.option("lineSep", LINE).text(path)
     pieces = raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
     return pieces.mapInArrow(_parse(with_payload), RECORD)
 
