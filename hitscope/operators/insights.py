@@ -215,9 +215,14 @@ def daily_insights_all_days(
     """C6 for every day present in ``sessions`` (history defaults to the
     sessions themselves)."""
     r = session_day_rollup(sessions, duration_gap, tie_break, exits=False)
-    m = r.groupBy("insight_date").agg(*_site_metrics(r))
     nv = own_new_visitors_by_day(r, lookback_days) if history is None else new_visitors_by_day(sessions, history, lookback_days)
-    j = m.join(nv, "insight_date", "left")
+    return daily_from_rollup(r, nv)
+
+
+def daily_from_rollup(rollup: DataFrame, new_visitors: DataFrame) -> DataFrame:
+    """C6 for the days of a session-day rollup, with their new visitors."""
+    r = rollup
+    j = r.groupBy("insight_date").agg(*_site_metrics(r)).join(new_visitors, "insight_date", "left")
     d = F.col("insight_date")
     return j.select(
         *_date_parts(d),

@@ -356,6 +356,8 @@ WHERE rn = 1""",
     q["daily_insights"] = _daily(GAP_30M, LOOKBACK_DAYS)
     q["daily_insights_6h"] = _daily(GAP_6H, LOOKBACK_DAYS)
     q["country_insights"] = q["country_traffic"]
+    for table in ("daily_insights", "page_insights", "country_insights"):
+        q[f"{table}_refreshed"] = q[table]
     q["country_rank"] = _sess_query(
         GAP_30M,
         f"""SELECT {DAY} AS insight_date, country AS country_name, n AS page_request_count,

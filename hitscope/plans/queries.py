@@ -24,7 +24,7 @@ from hitscope.functions import patterns as P
 from hitscope.operators import geo, insights, routing
 from hitscope.operators.sessions import session_rollup
 from hitscope.operators.timecols import add_time_columns
-from hitscope.plans import daily, jobs
+from hitscope.plans import daily, jobs, refresh
 from hitscope.plans.oracles import GAP_6H, GAP_30M, LOOKBACK_DAYS, RERUN_DAY, TOP_K, WINDOW_DAYS
 from hitscope.sinks import tables
 from hitscope.sources import testdata
@@ -549,6 +549,38 @@ def sql_functions(spark, sf):
         FROM sessions_{tag}({GAP_30M})""")
 
 
+# --- after a day has changed ---------------------------------------------------------------
+def _refreshed(spark, sf) -> str:
+    """The log lands with half of one day; the insight tables are built; then
+    the whole day lands and only what it touches is computed again."""
+    path, store = scratch_path(spark, "refresh-log"), scratch_path(spark, "refresh-store")
+    hits = jobs.materialize(_ordered_hits(spark, sf), "enriched")
+    half = (F.to_date("datetime") == F.lit(RERUN_DAY).cast("date")) & (F.col(TB) % 2 == 0)
+    tables.write_partitioned(hits.where(~F.coalesce(half, F.lit(False))), path)
+    run = lambda: refresh.refresh(spark, path, store, LOOKBACK_DAYS, TOP_K, TOP_K, gap=GAP_30M, tie_break=HIT)
+    run()
+    tables.write_partitioned(insights.day_slice(hits, RERUN_DAY), path)
+    done = run()
+    if done["changed"] not in ([], [RERUN_DAY]) or len(done["read"]) > 3 or run()["changed"]:
+        raise AssertionError(f"days that did not change were read: {done}")
+    return store
+
+
+def daily_insights_refreshed(spark, sf):
+    """C6 after one day has landed again: that day, the next and the lookback."""
+    return tables.read_published(spark, _refreshed(spark, sf), "daily_insights").select(*schemas.DAILY_INSIGHTS_FIELDS)
+
+
+def page_insights_refreshed(spark, sf):
+    """C7 after one day has landed again."""
+    return tables.read_published(spark, _refreshed(spark, sf), "page_insights").select(*schemas.PAGE_INSIGHTS_FIELDS)
+
+
+def country_insights_refreshed(spark, sf):
+    """C8 after one day has landed again."""
+    return tables.read_published(spark, _refreshed(spark, sf), "country_insights").select(*schemas.COUNTRY_INSIGHTS_FIELDS)
+
+
 def land_late_files(spark, sf):
     """C12 by file: a week lands, then the rest of the month together with late
     files of landed days, then nothing; lines per day."""
@@ -628,6 +660,9 @@ _QUERIES: dict[str, Query] = {
     "land_late_files": land_late_files,
     "session_hits_incremental": session_hits_incremental,
     "new_visitors_incremental": new_visitors_incremental,
+    "daily_insights_refreshed": daily_insights_refreshed,
+    "page_insights_refreshed": page_insights_refreshed,
+    "country_insights_refreshed": country_insights_refreshed,
     "window_visitors": window_visitors,
     "country_upsert": country_upsert,
     "ordered_sessions": ordered_sessions,
