@@ -323,6 +323,18 @@ def tag_country(
     return out
 
 
+def tag_country_bucketed(hits: DataFrame, ranges: DataFrame, keys: tuple[str, ...], overlap: str = "all", host: str = "host") -> DataFrame:
+    """C2 over a log that is stored in buckets of ``keys``, which fix the host
+    and are never NULL (host key and time chunk): same rows as
+    :func:`tag_country`, and no hit is exchanged.  The host map goes to the
+    distinct keys, one row per host and chunk, and these meet the hits in their
+    buckets; a hot host's hits stay spread over its chunks."""
+    m = host_country_map(hits, ranges, overlap, host).withColumnRenamed("host", "_map_host")
+    chunks = hits.select(F.col(host).alias("_host"), *keys).distinct()
+    found = chunks.join(m, F.col("_host") == F.col("_map_host"), "left").select(*keys, "country")
+    return hits.join(found, list(keys), "left").select(*hits.columns, "country")
+
+
 def ambiguous_hosts(country_map: DataFrame) -> DataFrame:
     """Hosts mapped to more than one country (they multiply their hits)."""
     return (

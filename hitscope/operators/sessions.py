@@ -41,6 +41,9 @@ same rows, for reading and comparison:
 (its last epoch, session number, entry page and hits of its open session).  A
 host's state takes part in the carry as one more chunk, before all others, so
 a new day is sessionised from its own hits and the state alone.
+
+:func:`sessionize_bucketed` reads a log whose table is bucketed by host and
+chunk; the windows and the join then work inside the buckets.
 """
 
 from __future__ import annotations
@@ -147,13 +150,14 @@ def sessionize_from(
 
 def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state=None) -> DataFrame:
     keyed, carry = _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state)
-    carry = carry.select("_key", "_chunk", "_head_gap", "_sess_no", "_entry", (F.col("_cum") - F.col("_n") - F.col("_start")).alias("_before"))
+    return _joined(_chunk_rows(keyed, time, epoch, url, tie_break), carry, gap, host, hits.columns)
+
 
-    # Hits: running values inside each (key, chunk) -- the only shuffle of
-    # the hits -- then the carry joined on that same key.
+def _chunk_rows(keyed, time, epoch, url, tie_break) -> DataFrame:
+    """Running values inside each (key, chunk): the only shuffle of the hits."""
     in_chunk = Window.partitionBy("_key", "_chunk").orderBy(*_order(time, tie_break))
     running = _running(in_chunk, tie_break)
-    rows = keyed.withColumns(
+    return keyed.withColumns(
         {
             "_rn": F.row_number().over(in_chunk),
             "_lag_gap": F.col(epoch) - F.lag(epoch).over(in_chunk),
@@ -161,6 +165,11 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
             "_last_url": F.last(url).over(running),
         }
     )
+
+
+def _joined(rows, carry, gap, host, columns) -> DataFrame:
+    """The carry joined on the key that the rows are partitioned by."""
+    carry = carry.select("_key", "_chunk", "_head_gap", "_sess_no", "_entry", (F.col("_cum") - F.col("_n") - F.col("_start")).alias("_before"))
     j = rows.join(carry, ["_key", "_chunk"], "left")
     td = F.when(F.col("_rn") == 1, F.col("_head_gap")).otherwise(F.col("_lag_gap"))
     out = j.withColumn("session_time_difference", td).withColumns(
@@ -172,7 +181,36 @@ def _sessionize_chunked(hits, gap, host, time, epoch, url, tie_break, chunk_seco
             "page_count": F.col("_before") + F.col("_cnt"),
         }
     )
-    return out.select(*hits.columns, *SESSION_COLUMNS)
+    return out.select(*columns, *SESSION_COLUMNS)
+
+
+def sessionize_bucketed(
+    log: DataFrame,
+    width: int,
+    gap: int = P.SESSION_GAP_SECONDS,
+    host: str = "encrypted_host",
+    time: str = "datetime",
+    epoch: str = "epoch",
+    url: str = "request_url",
+    tie_break: str | None = None,
+) -> DataFrame:
+    """The rows of :func:`sessionize` over a log that is stored by (host, chunk)
+    buckets (``sinks.tables.save_bucketed_log``, chunks of ``width`` seconds):
+    no hit is exchanged.  A chunk's summary is its first row, with the chunk's
+    last time and number of urls; only these rows meet across buckets."""
+    if not 1 <= width <= gap:
+        raise ValueError(f"chunks of {width} seconds are wider than the gap")
+    columns = [c for c in log.columns if c not in LAYOUT]
+    rows = _chunk_rows(log.withColumnsRenamed(dict(zip(LAYOUT, ("_key", "_chunk")))), time, epoch, url, tie_break)
+    whole = Window.partitionBy("_key", "_chunk").orderBy(*_order(time, tie_break)).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    heads = rows.withColumns({"_tail_e": F.max(epoch).over(whole), "_n": F.count(url).over(whole)}).where("_rn = 1")
+    summary = heads.select(
+        "_key", "_chunk", F.col(epoch).alias("_head_e"), "_tail_e", "_n", F.struct(F.col(url).alias("u")).alias("_head"),
+        F.lit(1).alias("_later"), F.lit(0).cast("bigint").alias("_no"),
+    )
+    return _joined(rows, _carry(summary, gap), gap, host, columns)
 
 
 def _next_state(hits, state, gap, host, time, epoch, url, tie_break, chunk_seconds) -> DataFrame:
@@ -189,15 +227,15 @@ def _next_state(hits, state, gap, host, time, epoch, url, tie_break, chunk_secon
     )
 
 
-def _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state) -> tuple[DataFrame, DataFrame]:
-    """The hits with their key and chunk, and one row per key and chunk (and per
-    row of ``state``) with what comes before it."""
-    if gap < 1:
-        raise ValueError("gap must be at least 1 second")
-    # Chunks are never wider than the gap: two hits of one chunk are less
-    # than ``gap`` apart, so a session can only start at a chunk's first hit
-    # and the per-chunk summary needs no ordering inside the chunk.
-    width = min(int(gap), int(chunk_seconds))
+#: Columns of a log that is stored by (host, chunk) buckets.
+LAYOUT = ("host_key", "time_chunk")
+
+
+def with_chunks(
+    hits: DataFrame, width: int, host: str = "encrypted_host", epoch: str = "epoch", tie_break: str | None = None,
+    key: str = LAYOUT[0], chunk: str = LAYOUT[1],
+) -> DataFrame:
+    """Every hit with its host's key (never NULL) and its chunk of ``width`` seconds."""
     no_time = F.lit(_NO_TIME_CHUNK)
     if tie_break and isinstance(hits.schema[tie_break].dataType, _INTEGRAL):
         # Hits without a time sort first, in tie-break order; spread them over
@@ -206,11 +244,22 @@ def _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state)
         no_time = no_time + F.coalesce(
             F.floor(F.greatest(F.col(tie_break), F.lit(0)) / F.lit(_NO_TIME_ROWS_PER_CHUNK)), F.lit(0)
         )
-    chunk = F.coalesce(F.floor(F.col(epoch) / F.lit(width)), no_time)
     # A key that is never NULL: hits without a host are a group like any other,
     # and the carry meets them by plain equality on the hits' own partitioning.
-    key = F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit(""))
-    keyed = hits.withColumn("_chunk", chunk).withColumn("_key", key)
+    chunks = F.coalesce(F.floor(F.col(epoch) / F.lit(width)), no_time)
+    return hits.withColumn(chunk, chunks).withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit("")))
+
+
+def _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state) -> tuple[DataFrame, DataFrame]:
+    """The hits with their key and chunk, and one row per key and chunk (and per
+    row of ``state``) with what comes before it."""
+    if gap < 1:
+        raise ValueError("gap must be at least 1 second")
+    # Chunks are never wider than the gap: two hits of one chunk are less
+    # than ``gap`` apart, so a session can only start at a chunk's first hit
+    # and the per-chunk summary needs no ordering inside the chunk.
+    width = min(int(gap), int(chunk_seconds))
+    keyed = with_chunks(hits, width, host, epoch, tie_break, "_key", "_chunk")
     order = F.struct(F.col(time), F.col(tie_break)) if tie_break else F.struct(F.col(time))
 
     # Summary: one row per (host, chunk), combined map-side straight from the
@@ -237,11 +286,15 @@ def _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state)
             )
         )
 
-    # Carry across chunks, per host in chunk order: at most one row per
-    # chunk, so even the busiest host is a small group here.
+    return keyed, _carry(summary, gap)
+
+
+def _carry(summary: DataFrame, gap: int) -> DataFrame:
+    """What comes before each chunk, per host in chunk order: at most one row
+    per chunk, so even the busiest host is a small group here."""
     by_chunk = Window.partitionBy("_key").orderBy("_later", "_chunk")
     upto = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carry = (
+    return (
         summary.withColumn("_head_gap", F.col("_head_e") - F.lag("_tail_e").over(by_chunk))
         .withColumn("_head_flag", F.when(F.col("_head_gap") >= gap, 1).otherwise(0))
         .withColumn("_resets", (F.row_number().over(by_chunk) == 1) | (F.col("_head_flag") == 1))
@@ -258,7 +311,6 @@ def _carried(hits, gap, host, time, epoch, url, tie_break, chunk_seconds, state)
             }
         )
     )
-    return keyed, carry
 
 
 def session_rollup(

@@ -285,6 +285,7 @@ FROM hosts"""
     q["host_suffix_country"] = base + "SELECT host, country FROM name_country"
     q["country_tagged_hits"] = base + "SELECT event_id, encrypted_host, request_url, country FROM tagged"
     q["country_tagged_hits_direct"] = q["country_tagged_hits"]
+    q["country_tagged_hits_bucketed"] = q["country_tagged_hits"]
     q["country_tagged_hits_shuffle"] = q["country_tagged_hits"]
     q["time_columns"] = base + """
 SELECT encrypted_host, datetime, epoch, request, http_response_code, bytes, request_url, country,
@@ -303,6 +304,7 @@ FROM (
     )
     q["session_hits_30m"] = _sess_query(GAP_30M, f"SELECT {SESSION_COLS} FROM sess")
     q["session_hits_30m_window"] = q["session_hits_30m"]
+    q["session_hits_bucketed"] = q["session_hits_30m"]
     q["session_hits_30m_chunked"] = q["session_hits_30m"]
     q["session_hits_6h_chunked"] = _sess_query(GAP_6H, f"SELECT {SESSION_COLS} FROM sess")
     q["session_hits_6h"] = _sess_query(GAP_6H, f"SELECT {SESSION_COLS} FROM sess")

@@ -22,7 +22,7 @@ from hitscope.config import apply_runtime_conf, scratch_path
 from hitscope.functions import depseudonymize, pseudonymize, timestamp_date_prefix
 from hitscope.functions import patterns as P
 from hitscope.operators import geo, insights, routing
-from hitscope.operators.sessions import session_rollup
+from hitscope.operators.sessions import LAYOUT, session_rollup, sessionize_bucketed
 from hitscope.operators.timecols import add_time_columns
 from hitscope.plans import daily, jobs, refresh
 from hitscope.plans.oracles import GAP_6H, GAP_30M, LOOKBACK_DAYS, RERUN_DAY, TOP_K, WINDOW_DAYS
@@ -405,6 +405,30 @@ def managed_table(spark, sf):
     return read_table(spark, f"{db}.log").select(*schemas.ENRICHED_FIELDS, TB)
 
 
+#: Buckets of the stored log; a cluster takes about one for each 200 MB of hits.
+BUCKETS = 16
+
+
+def _bucketed(spark, hits: DataFrame, tie: str):
+    db = f"hitscope_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    tables.save_bucketed_log(hits, f"{db}.log", BUCKETS, sort_cols=["datetime", tie], tie_break=tie)
+    return tables.read_bucketed_log(spark, f"{db}.log")
+
+
+def session_hits_bucketed(spark, sf):
+    """C5 over a log stored by (host, chunk) buckets: no exchange of hits."""
+    log, width = _bucketed(spark, _ordered_hits(spark, sf), HIT)
+    return sessionize_bucketed(log, width, gap=GAP_30M, tie_break=HIT).select(*schemas.SESSION_FIELDS, TB)
+
+
+def country_tagged_hits_bucketed(spark, sf):
+    """J3, C2 over a log stored by (host, chunk) buckets: no exchange of hits."""
+    pages = add_time_columns(_routes(spark, sf)["page"]).select("host", "encrypted_host", "datetime", "epoch", "request_url", TB)
+    log, _ = _bucketed(spark, pages, TB)
+    return geo.tag_country_bucketed(log, _ranges(spark, sf), LAYOUT).select(TB, "encrypted_host", "request_url", "country")
+
+
 def external_tables(spark, sf):
     """A table with a declared schema over the partitioned log folder."""
     path, db = scratch_path(spark, "external"), f"hitscope_{uuid.uuid4().hex[:10]}"
@@ -655,6 +679,8 @@ _QUERIES: dict[str, Query] = {
     "session_history": session_history,
     "session_csv_scan": session_csv_scan,
     "managed_table": managed_table,
+    "session_hits_bucketed": session_hits_bucketed,
+    "country_tagged_hits_bucketed": country_tagged_hits_bucketed,
     "external_tables": external_tables,
     "land_new_days": land_new_days,
     "land_late_files": land_late_files,

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from hitscope import schemas
 from hitscope.config import scratch_path
+from hitscope.operators.sessions import DEFAULT_CHUNK_SECONDS, LAYOUT, with_chunks
 
 LOG_PARTITIONS = ["year", "month", "day"]
 
@@ -88,6 +89,31 @@ def save_partitioned_table(df: DataFrame, name: str, partition_cols: list[str] =
         df.write.partitionBy(*partition_cols).format("parquet").saveAsTable(name)
 
 
+_CHUNK_PROPERTY = "hitscope.chunk_seconds"
+
+
+def save_bucketed_log(
+    df: DataFrame, name: str, buckets: int, chunk_seconds: int = DEFAULT_CHUNK_SECONDS, sort_cols: Iterable[str] = ("datetime",),
+    host: str = "encrypted_host", epoch: str = "epoch", tie_break: str | None = None,
+) -> None:
+    """S9 in a layout for sessions and country tags: a managed table bucketed
+    and sorted by the host's key and its chunk of ``chunk_seconds``.  A bucket
+    is one file, written by one task; a host with a third of all hits lies in
+    as many buckets as it has chunks.  The chunk width goes with the table."""
+    keyed = with_chunks(df, chunk_seconds, host, epoch, tie_break)
+    writer = keyed.repartition(buckets, *LAYOUT).write.bucketBy(buckets, *LAYOUT).sortBy(*LAYOUT, *sort_cols)
+    writer.format("parquet").mode("overwrite").saveAsTable(name)
+    df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_CHUNK_PROPERTY}' = '{int(chunk_seconds)}')")
+
+
+def read_bucketed_log(spark: SparkSession, name: str) -> tuple[DataFrame, int]:
+    """A table of :func:`save_bucketed_log` and its chunk width."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if _CHUNK_PROPERTY not in found:
+        raise ValueError(f"{name} is not stored by host and chunk")
+    return spark.table(name), int(found[_CHUNK_PROPERTY])
+
+
 def create_external_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType, partition_cols: list[str] | None = None
 ) -> DataFrame:
