@@ -8,9 +8,14 @@ lines decides whether the document is kept.
 
 The field is fitted here, by gradient ascent on the likelihood, on at most
 ``SAMPLE`` labelled documents of each quality, of at most ``SAMPLE_LINES``
-lines each (chosen by a hash of the id); their lines take the quality of the
-document as label.  Only this bounded sample reaches the driver.  Everything
-else is one pass over the documents without a shuffle.
+lines each (chosen by a hash of the id).  Labels are given for documents, so
+those of lines are hidden: they start as the document's, and in up to
+``ROUNDS`` rounds each line takes the label that the field, fitted to the last
+ones, finds more probable, but at least half of a document's word characters
+keep the document's label (the lines surest of it).  The first round's field
+has no chain, so that a line is judged by itself before its neighbours count;
+from then on both switches are seen.  Only this bounded sample reaches the
+driver.  Everything else is one pass over the documents without a shuffle.
 
 Defined cases: null or empty text, or text without words, has zero counts,
 fails the base rule and is not kept.  Without labelled rows of both qualities
@@ -37,6 +42,7 @@ SAMPLE = 600
 SAMPLE_LINES = 200
 STEPS = 120
 RIDGE = 1.0
+ROUNDS = 6  # settles in two or three
 
 _CLASSES = {}
 for _name, _chars in {"symbol": b"#*$%&|<>", "upper": bytes(range(65, 91)), "digit": b"0123456789", "loud": b"!?", "bracket": b"{}[]=;_\\/"}.items():
@@ -157,11 +163,10 @@ def viterbi(scores: np.ndarray, step: np.ndarray, first: np.ndarray) -> np.ndarr
     return label
 
 
-def _likelihood(x, y, first, w, step):
-    """Log likelihood of the labels, and its gradients."""
+def _passes(s, step, first):
+    """Forward and backward sums of the scores, and each line's total."""
     order, reach = _by_position(first)
     begin = first[:-1][order]
-    s = np.stack([np.zeros(len(x)), x @ w], axis=1)
     fwd, bwd = np.zeros_like(s), np.zeros_like(s)
     add = lambda v, axis: np.logaddexp(v.take(0, axis), v.take(1, axis))
     for t, k in enumerate(reach):
@@ -173,6 +178,14 @@ def _likelihood(x, y, first, w, step):
     z_of = np.zeros(len(first) - 1)
     some = np.diff(first) > 0
     z_of[some] = add((fwd + bwd)[first[:-1][some]], 1)
+    return fwd, bwd, z_of
+
+
+def _likelihood(x, y, first, w, step):
+    """Log likelihood of the labels, and its gradients."""
+    s = np.stack([np.zeros(len(x)), x @ w], axis=1)
+    fwd, bwd, z_of = _passes(s, step, first)
+    some = np.diff(first) > 0
     z = np.repeat(z_of, np.diff(first))
     p = np.exp(fwd + bwd - z[:, None])
     inner = np.ones(len(x), bool)
@@ -203,12 +216,40 @@ def fit_field(x: np.ndarray, y: np.ndarray, first: np.ndarray, steps: int = STEP
     return {"w": w.tolist(), "step": step.tolist()}
 
 
+def line_labels(sure: np.ndarray, weight: np.ndarray, first: np.ndarray, quality: np.ndarray) -> np.ndarray:
+    """A label for each line: by the sign of ``sure`` (log odds of content), but
+    in each document lines of at least half the ``weight`` have its quality."""
+    y = (sure > 0).astype(np.int64)
+    for a, b, q in zip(first[:-1], first[1:], quality):
+        w = weight[a:b]
+        if 2 * w[y[a:b] == q].sum() < w.sum():
+            surest = np.argsort(-sure[a:b] if q else sure[a:b], kind="stable")
+            half = np.searchsorted(2 * np.cumsum(w[surest]), w.sum()) + 1
+            y[a + surest[:half]] = q
+    return y
+
+
+def learn(x: np.ndarray, weight: np.ndarray, first: np.ndarray, quality: np.ndarray, steps: int = STEPS, rounds: int = ROUNDS) -> dict:
+    """The field from lines whose documents only have labels."""
+    y = np.repeat(quality, np.diff(first))
+    chains = np.arange(len(x) + 1)  # a line each, in the first round
+    for _ in range(rounds):
+        field = fit_field(x, y, chains, steps)
+        fwd, bwd, _ = _passes(np.stack([np.zeros(len(x)), x @ np.array(field["w"])], axis=1), np.array(field["step"]), chains)
+        now = line_labels((fwd + bwd) @ np.array([-1.0, 1.0]), weight, first, quality)
+        if chains is first and (now == y).all():
+            return field
+        y, chains = now, first
+    return fit_field(x, y, first, steps)
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in X.pieces(whole, "text"):
             lines = Lines(b.column("text"))
             cut = [lines.x[s:e].astype("<f4").tobytes() for s, e in zip(lines.first, lines.first[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("quality"), pa.array(cut, pa.binary())], names=["quality", "x"])
+            size = [lines.weight[s:e].astype("<f4").tobytes() for s, e in zip(lines.first, lines.first[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("quality"), pa.array(cut, pa.binary()), pa.array(size, pa.binary())], names=["quality", "x", "size"])
 
 
 def fit(
@@ -225,16 +266,17 @@ def fit(
         .join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
         .where(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) < sample_lines)
         .select("quality", "text")
-        .mapInArrow(_features, "quality int, x binary")
+        .mapInArrow(_features, "quality int, x binary, size binary")
         .limit(4 * sample)  # ids may repeat; the sample stays bounded
         .collect()
     )
-    rows = sorted((r["quality"], bytes(r["x"])) for r in rows if r["x"])
-    if len({q for q, _ in rows}) < 2:
+    rows = sorted((r["quality"], bytes(r["x"]), bytes(r["size"])) for r in rows if r["x"])
+    if len({r[0] for r in rows}) < 2:
         return None
-    x = [np.frombuffer(v, "<f4").reshape(-1, N_FEATURES).astype(np.float64) for _, v in rows]
-    y = np.repeat([q for q, _ in rows], [len(v) for v in x])
-    return fit_field(np.concatenate(x), y, np.concatenate([[0], np.cumsum([len(v) for v in x])]), steps)
+    read = lambda v: np.frombuffer(v, "<f4").astype(np.float64)
+    x = np.concatenate([read(r[1]) for r in rows]).reshape(-1, N_FEATURES)
+    first = np.concatenate([[0], np.cumsum([len(r[2]) // 4 for r in rows])])
+    return learn(x, np.concatenate([read(r[2]) for r in rows]), first, np.array([r[0] for r in rows]), steps)
 
 
 def _judge(field: dict | None, share: float):

@@ -79,6 +79,25 @@ def test_quality_counts_and_held_out_accuracy(spark, documents):
     assert sum(r["kept"] == bool(r["quality"]) for r in rest) >= 0.95 * len(rest) > 0
 
 
+def test_mixed_documents_get_their_share(spark, documents):
+    """Half prose, half junk of other documents, by blocks of lines: the share
+    of content is near the true one, and a chain that cannot switch is not."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    field = quality.fit(docs, labels)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    several = [d for d in documents if (d["text"] or "").count("\n") >= 3]
+    good = [d["text"] for d in several if known.get(d["doc_id"]) == 1]
+    junk = [d["text"] for d in several if known.get(d["doc_id"]) == 0]
+    pairs = list(zip(good, junk))
+    texts = [f"{a}\n{b}" for a, b in pairs] + [f"{b}\n{a}\n{b}" for a, b in pairs]
+    chars = lambda t: sum(map(len, re.findall(r"[^\x20\x09-\x0D]+", t)))
+    true = [chars(a) / (chars(a) + chars(b)) for a, b in pairs] + [chars(a) / (chars(a) + 2 * chars(b)) for a, b in pairs]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: r[1] for r in quality.judge(given, field, with_text=False).select("row.doc_id", "content_share").collect()}
+    off = sorted(abs(got[i] - t) for i, t in enumerate(true))
+    assert len(off) >= 4 and off[len(off) // 2] <= 0.05 and sum(o <= 0.15 for o in off) >= 0.75 * len(off)
+
+
 def test_token_counts_are_exact(spark, documents):
     with open(token_count.VOCABULARY, "rb") as f:
         code = token_count.encoder(f.read())

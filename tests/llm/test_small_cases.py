@@ -436,6 +436,44 @@ def test_field_gradient_is_the_likelihood_slope():
             assert abs(slope - gs[i, j]) < 1e-4
 
 
+def test_line_labels_keep_half_of_a_document():
+    import numpy as np
+
+    sure = np.array([2.0, -1.0, -3.0, 1.0, -0.5, 4.0, 5.0])
+    weight = np.array([10.0, 30.0, 60.0, 5.0, 5.0, 1.0, 1.0])
+    first = np.array([0, 3, 3, 5, 7])
+    # a good document mostly like junk keeps its surest half; one that fits is left; junk that all looks good too
+    got = quality.line_labels(sure, weight, first, np.array([1, 0, 1, 0]))
+    assert got.tolist() == [1, 1, 1, 1, 0, 0, 1]
+    assert quality.line_labels(sure[:3], np.array([50.0, 30.0, 20.0]), first[:2], np.array([1])).tolist() == [1, 0, 0]
+
+
+def test_field_sees_both_switches_from_document_labels():
+    """Documents of 12 lines, of good quality with 3 boilerplate lines in a run,
+    or junk with 3 content lines in a run: the true line labels come back."""
+    import numpy as np
+
+    r = np.random.default_rng(9)
+    docs, truth, q = 80, [], np.arange(80) % 2
+    for k in range(docs):
+        y = np.full(12, q[k])
+        at = r.integers(0, 10)
+        y[at : at + 3] = 1 - q[k]
+        truth.append(y)
+    truth = np.concatenate(truth)
+    x = np.stack([np.ones(len(truth)), truth * 2.0 - 1 + r.normal(size=len(truth)) * 0.6], axis=1)
+    first = np.arange(docs + 1) * 12
+
+    def decoded(field):
+        return quality.viterbi(np.stack([np.zeros(len(x)), x @ np.array(field["w"])], axis=1), np.array(field["step"]), first)
+
+    label = decoded(quality.learn(x, np.ones(len(x)), first, q))
+    told = decoded(quality.fit_field(x, truth, first))  # as good as with the true labels of all lines
+    assert (label == truth).mean() >= (told == truth).mean() - 0.005 > 0.95
+    share = label.reshape(docs, 12).mean(axis=1)
+    assert np.abs(share - truth.reshape(docs, 12).mean(axis=1)).max() <= 3 / 12 and ((share > 0) & (share < 1)).mean() > 0.9
+
+
 def counts_brute(t):
     import collections
 
