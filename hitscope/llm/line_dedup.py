@@ -14,10 +14,10 @@ standard errors of the sketch) get exact distinct counts.  Sketches and
 distinct counts are combined map-side, so a line that a third of all documents
 hold costs each task one row.
 
-That rule (``by="contexts"``, the one that the SQL of ``op2_line_dedup`` says)
-keeps the later lines of a fixed footer, whose neighbours never change, and
-lets one large group of copies shield a line.  ``by="bodies"``, the rule of
-the pipeline, has neither fault: a line on ``sites`` sites is spread; a
+That rule (``by="contexts"``) keeps the later lines of a fixed footer, whose
+neighbours never change, and lets one large group of copies shield a line.
+``by="bodies"``, the rule of ``op2_line_dedup`` and of the pipeline, has
+neither fault: a line on ``sites`` sites is spread; a
 document's body is what is left of it without its spread lines; a document
 has a say if its body is at least ``OWN`` of its text, which copies of a
 document, exact or near, do not have, as nearly all of their lines are spread.
@@ -52,15 +52,15 @@ def _keys(line: Column) -> list[Column]:
 
 
 def _lines(docs: DataFrame, text: Column, site: Column, *more: Column) -> DataFrame:
-    """One row per line that is not blank: key, site, context."""
+    """One row per line that is not blank: key, site, context, place."""
     arr = F.col("lines")
     # the neighbours of line i are lines i and i + 2 of the array with an end mark on both sides
     mark = F.array(F.lit(None).cast("string"))
     split = docs.select(F.transform(F.split(text, "\n"), _trimmed).alias("lines"), site.cast("string").alias("site"), *more)
     names = split.columns[1:]
-    pos = split.select(*names, F.inline(F.arrays_zip(arr.alias("line"), F.concat(mark, arr).alias("before"), F.slice(F.concat(arr, mark), 2, F.size(arr)).alias("after"))))
-    return pos.where("line is not null and line != ''").select(
-        *names, *_keys(F.col("line")), F.xxhash64("before", "after").alias("context")
+    pos = split.select(*names, F.posexplode(F.arrays_zip(arr.alias("line"), F.concat(mark, arr).alias("before"), F.slice(F.concat(arr, mark), 2, F.size(arr)).alias("after"))).alias("place", "at"))
+    return pos.where("at.line is not null and at.line != ''").select(
+        *names, *_keys(F.col("at.line")), F.xxhash64("at.before", "at.after").alias("context"), "place"
     )
 
 
@@ -105,25 +105,38 @@ def _spread_lines(lines: DataFrame, sites: int, lg_k: int, margin: float) -> Dat
     return estimated.where(sure).select("k1", "k2").unionByName(exact.select("k1", "k2"))
 
 
+def _places(docs: DataFrame, text: Column, ident: Column, keys: DataFrame, *more: Column) -> DataFrame:
+    """For each document (id and hash of the text) with lines of ``keys``: their
+    places, from 0."""
+    return (
+        _lines(docs, text, F.lit(None), ident.alias("at_id"), F.xxhash64(text).alias("at_key"))
+        .join(keys, ["k1", "k2"], "left_semi")
+        .groupBy("at_id", "at_key").agg(F.collect_set("place").alias("at"), *more)
+    )
+
+
+def _others(lines: Column, at: Column) -> Column:
+    """The column ``lines`` without those at the places ``at``; linear, as sets
+    of places are hashed."""
+    return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at), lambda i: F.get(lines, i))
+
+
+def _once(c: Column) -> Column:
+    """A generated column, which no later filter can put back into a function
+    over places, where it would be computed anew for each place."""
+    return F.explode(F.array(c))
+
+
 def body_boilerplate(docs: DataFrame, text: Column, site: Column, ident: Column, sites: int = SITES, lg_k: int = LG_K, margin: float = MARGIN) -> DataFrame:
     """Keys (k1, k2) of the spread lines that unlike documents share."""
     spread = stored(_spread_lines(_lines(docs, text, site), sites, lg_k, margin), "spread-keys")
-    held = (
-        _lines(docs, text, site, ident.alias("id")).select("id", "k1", "k2").distinct()
-        .join(spread, ["k1", "k2"], "left_semi")
-        .groupBy("id").agg(F.collect_set(F.struct("k1", "k2")).alias("held"))
-        .withColumnRenamed("id", "held_id")
-    )
-    length = lambda ls: F.aggregate(ls, F.lit(0).cast("long"), lambda n, x: n + x["n"])
-    full = F.filter(F.transform(F.split("text", "\n"), _trimmed), lambda x: x != "")
-    keyed = F.transform(full, lambda x: F.struct(*_keys(x), F.length(x).alias("n")))
-    spread_in = lambda x: F.array_contains(F.col("held.k1"), x["k1"])
+    held = _places(docs, text, ident, spread, F.collect_set(F.struct("k1", "k2")).alias("held"))
+    length = lambda ls: F.aggregate(ls, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
     voters = (
-        docs.select(ident.alias("id"), site.cast("string").alias("site"), text.alias("text")).where("text is not null")
-        .join(held, F.col("id").eqNullSafe(F.col("held_id")))
-        .select("site", "held", keyed.alias("lines"))
-        # rows that repeat an id share ``held``: each row has its own lines only
-        .select("site", "lines", F.filter("lines", lambda x: ~spread_in(x)).alias("own"), F.filter("lines", spread_in).alias("held"))
+        docs.select(ident.alias("id"), F.xxhash64(text).alias("key"), site.cast("string").alias("site"), text.alias("text"))
+        .join(held, F.col("id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key")))
+        .select("site", "held", "at", _once(F.transform(F.split("text", "\n"), _trimmed)).alias("lines"))
+        .select("site", "held", "lines", F.filter(_others(F.col("lines"), F.col("at")), lambda x: x != "").alias("own"))
         .where(length(F.col("own")) >= OWN * length(F.col("lines")))
         .select("site", F.xxhash64("own").alias("body"), "held")
     )
@@ -153,19 +166,14 @@ def clean_lines(
     keys = boilerplate_lines(docs, text, site, sites, lg_k, margin) if by == "contexts" else body_boilerplate(docs, text, site, ident, sites, lg_k, margin)
     common = stored(keys, "boilerplate")
     # which documents lose which lines; the texts themselves meet only this list
-    lost = (
-        _lines(docs, text, site, ident.alias("id")).select("id", "k1", "k2").distinct()
-        .join(common, ["k1", "k2"], "left_semi")
-        .groupBy("id").agg(F.collect_set("k1").alias("gone"))  # within a document 64 bits tell lines apart
-    )
+    lost = _places(docs, text, ident, common)
     rest = [c for c in docs.columns if c != text_col]
-    row = docs.select(ident.alias("id"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("row"), text.alias("text"))
-    joined = row.join(lost.withColumnRenamed("id", "lost_id"), F.col("id").eqNullSafe(F.col("lost_id")), "left")
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("gone"), _keys(_trimmed(x))[0]))
-    return joined.select(
+    row = docs.select(ident.alias("id"), F.xxhash64(text).alias("key"), F.struct(*(F.col(f"`{c}`") for c in rest)).alias("row"), text.alias("text"))
+    joined = row.join(lost, F.col("id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key")), "left")
+    lines = F.col("lines")
+    return joined.select("row", "text", "at", _once(F.split("text", "\n")).alias("lines")).select(
         "row",
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull() | F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_removed"),
+        F.when(F.col("at").isNull(), F.col("text")).otherwise(F.array_join(_others(lines, F.col("at")), "\n")).alias("text"),
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("at"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -42,11 +42,16 @@ FROM j""",
     "op2_line_dedup": """
 WITH a AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS raw FROM documents),
 d AS (SELECT *, list_transform(raw, lambda x : trim(x, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))) AS ls FROM a),
-l AS (SELECT r, source, i, raw[i] AS raw_line, ls[i] AS line, CASE WHEN i > 1 THEN ls[i - 1] END AS p, CASE WHEN i < len(ls) THEN ls[i + 1] END AS nx
-      FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+l AS (SELECT r, source, i, raw[i] AS raw_line, ls[i] AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+spread AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 5),
+body AS (
+  SELECT r, source, list(line ORDER BY i) FILTER (WHERE spread.line IS NULL) AS own
+  FROM l LEFT JOIN spread USING (line) WHERE line <> '' GROUP BY r, source
+  HAVING 5 * coalesce(sum(length(line)) FILTER (WHERE spread.line IS NULL), 0) >= sum(length(line))
+),
 b AS (
-  SELECT line FROM l WHERE line <> '' GROUP BY line
-  HAVING count(DISTINCT source) >= 5 AND count(DISTINCT {'p': p, 'n': nx}) >= greatest(5, count(*) / 2.0)
+  SELECT line FROM l JOIN spread USING (line) JOIN body USING (r)
+  GROUP BY line HAVING count(DISTINCT body.source) >= 5 AND count(DISTINCT own) >= 5
 ),
 k AS (
   SELECT r, string_agg(raw_line, chr(10) ORDER BY i) FILTER (WHERE b.line IS NULL) AS text, count(b.line) AS gone
@@ -72,12 +77,18 @@ tp(label, sentence) AS (VALUES
   ('mit', 'released under the mit license'),
   ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
   ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0')),
-t AS (SELECT label, list_distinct(string_split(sentence, ' ')) AS ws FROM tp),
+t AS (SELECT label, list_distinct(string_split(sentence, ' ')) AS ws, len(string_split(sentence, ' ')) AS n FROM tp),
 bl AS (SELECT r, {_PLAIN} AS bw FROM (SELECT r, unnest(string_split(text, chr(10))) AS text FROM d)),
-met AS (
-  SELECT r, label, len(list_intersect(ws, bw)) / len(ws) AS share FROM bl, t
-  WHERE list_has_any(bw, ws) AND len(list_intersect(ws, bw)) >= ceil(0.8 * len(ws) - 1e-9)
+spans AS (
+  SELECT r, label, ws, w[j : j + n - 1] AS bw
+  FROM (SELECT r, label, ws, n, w, unnest(range(1, greatest(len(w) - n + 1, 1) + 1)) AS j
+        FROM d, t WHERE len(list_intersect(ws, w)) >= ceil(0.8 * len(ws) - 1e-9))
+),
+held AS (
+  SELECT r, label, len(ws) AS size, len(list_intersect(ws, bw)) AS n FROM bl, t WHERE list_has_any(bw, ws)
+  UNION ALL SELECT r, label, len(ws), len(list_intersect(ws, bw)) FROM spans
 ),
+met AS (SELECT r, label, n / size AS share FROM held WHERE n >= ceil(0.8 * size - 1e-9)),
 m AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS best FROM met GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
   coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

@@ -40,9 +40,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that recur on five sources or more."""
+    """Every document without the lines that unlike documents of five sources
+    or more share."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return line_dedup.clean_lines(docs).select("row.doc_id", "text", "n_lines", "n_removed")
+    return line_dedup.clean_lines(docs, by="bodies").select("row.doc_id", "text", "n_lines", "n_removed")
 
 
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
