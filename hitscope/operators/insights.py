@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from hitscope import schemas
 from hitscope.functions import distinct_with_null, percent
 from hitscope.functions import patterns as P
+from hitscope.operators.sessions import order_number
 
 HOST = "encrypted_host"
 
@@ -268,25 +269,25 @@ def page_hits_by_day(sessions: DataFrame) -> DataFrame:
 
 
 def page_days(sessions: DataFrame, tie_break: str | None = None) -> DataFrame:
-    """A4 and A6 in one pass: per day and page, its hits and the session-days
-    that end on it.  The hits shuffle once, grouped by (day, session, page);
-    that grouping's rows then give both sums."""
-    # time and tie-break as one number: a buffer that hash aggregation can hold
-    micros = F.unix_micros("datetime").cast("decimal(38,0)")
-    shift = F.lit("100000000000000000000").cast("decimal(21,0)")  # 10^20, over twice the range of a bigint
-    key = micros * shift + F.coalesce(F.col(tie_break).cast("decimal(20,0)"), F.lit(-(2**63)).cast("decimal(20,0)")) if tie_break else micros
-    per_page = (
-        with_day(sessions)
-        .groupBy("insight_date", "session_id", "request_url")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last"))
-    )
-    # the page of a session-day's latest hit; equal times without a tie-break go to the larger page
-    latest = F.max(F.struct("last", "request_url")).over(Window.partitionBy("insight_date", "session_id"))
-    ends = (F.col("latest.last") == F.col("last")) & F.col("latest.request_url").eqNullSafe(F.col("request_url"))
+    """Per day and page, its hits and the session-days that end on
+    it.  The hits are grouped by (day, session, page) and meet the time of
+    their session-day's latest hit, which a hash aggregate gives.  Only the
+    pages of that very time are gathered to settle ties (to the larger page),
+    so a crawler's session-day with very many pages is spread over tasks."""
+    days = with_day(sessions).withColumn("last", order_number("datetime", tie_break))
+    per_page = days.groupBy("insight_date", "session_id", "request_url").agg(F.count(F.lit(1)).alias("n"), F.max("last").alias("last"))
+    latest = days.groupBy("insight_date", F.col("session_id").alias("of")).agg(F.max("last").alias("latest"))
+    met = per_page.join(
+        latest.withColumnRenamed("insight_date", "on_date"),
+        (F.col("insight_date") == F.col("on_date")) & F.col("session_id").eqNullSafe(F.col("of")),
+    ).withColumn("ends", F.col("last") == F.col("latest"))
+    # the other pages stand alone: their own page is part of the key
+    alone = F.when(~F.col("ends"), F.struct("request_url"))
+    rank = F.row_number().over(Window.partitionBy("insight_date", "session_id", alone).orderBy(F.col("request_url").desc_nulls_last()))
     return (
-        per_page.withColumn("latest", latest)
+        met.withColumn("rank", rank)
         .groupBy("insight_date", "request_url")
-        .agg(F.sum("n").alias("page_request_count"), F.count_if(ends).alias("count_last_visit"))
+        .agg(F.sum("n").alias("page_request_count"), F.count_if(F.col("ends") & (F.col("rank") == 1)).alias("count_last_visit"))
     )
 
 
@@ -378,9 +379,11 @@ def site_page_hits(sessions: DataFrame) -> DataFrame:
 
 
 def site_last_pages(sessions: DataFrame, tie_break: str | None = None) -> DataFrame:
-    """W6 as an aggregate: each session's latest hit and its last page."""
-    return sessions.groupBy("session_id").agg(
-        F.max_by("last_visited_page", _order_key(tie_break)).alias("last_visited_page")
+    """W6 as an aggregate: each session's latest hit and its last page.  The
+    hits are aggregated by hash, to one number for each page of a session."""
+    pages = sessions.groupBy("session_id", "last_visited_page").agg(F.max(order_number("datetime", tie_break)).alias("last"))
+    return pages.groupBy("session_id").agg(
+        F.max(F.struct("last", "last_visited_page")).getField("last_visited_page").alias("last_visited_page")
     )
 
 

@@ -75,6 +75,16 @@ def _order(time: str, tie_break: str | None) -> list[Column]:
     return [F.col(time).asc()] + ([F.col(tie_break).asc()] if tie_break else [])
 
 
+def order_number(time: str, tie_break: str | None) -> Column:
+    """Time and whole-number tie-break as one number, a buffer that hash
+    aggregation can hold; hits without a time come first."""
+    micros = F.coalesce(F.unix_micros(time), F.lit(-9 * 10**17)).cast("decimal(38,0)")
+    if not tie_break:
+        return micros
+    shift = F.lit("100000000000000000000").cast("decimal(21,0)")  # 10^20, over twice the range of a bigint
+    return micros * shift + F.coalesce(F.col(tie_break).cast("decimal(20,0)"), F.lit(-(2**63)).cast("decimal(20,0)"))
+
+
 def _running(w: Window, tie_break: str | None) -> Window:
     if tie_break:
         return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -323,16 +333,23 @@ def session_rollup(
     """One row per session: totals that sit on its last hit.
 
     ``duration`` sums the gaps ``<= duration_gap`` (NULL when the session has
-    none, A7).  All aggregates combine map-side, so a huge session is never
-    gathered in one place; the exit page is ``max_by`` over the time order
-    rather than a per-session window."""
-    order = F.struct(F.col(time), F.col(tie_break)) if tie_break else F.col(time)
+    none, A7).  The hits are aggregated by hash, one number for the latest hit
+    of each page of a session; text is compared over those rows only.  Both
+    steps combine map-side, so a huge session is never gathered in one place.
+    Equal times without a tie-break go to the larger page."""
     td = F.col("session_time_difference")
-    return sessions.groupBy("session_id", host).agg(
-        F.min(time).alias("session_start"),
-        F.max(time).alias("session_end"),
-        F.count(F.lit(1)).alias("hits"),
-        F.sum(F.when(td <= duration_gap, td)).alias("duration"),
+    pages = sessions.groupBy("session_id", host, "first_visited_page", "last_visited_page").agg(
+        F.min(time).alias("_start"),
+        F.max(time).alias("_end"),
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.when(td <= duration_gap, td)).alias("_duration"),
+        F.max(order_number(time, tie_break)).alias("_last"),
+    )
+    return pages.groupBy("session_id", host).agg(
+        F.min("_start").alias("session_start"),
+        F.max("_end").alias("session_end"),
+        F.sum("_n").alias("hits"),
+        F.sum("_duration").alias("duration"),
         F.first("first_visited_page").alias("entry_page"),
-        F.max_by("last_visited_page", order).alias("exit_page"),
+        F.max(F.struct("_last", "last_visited_page")).getField("last_visited_page").alias("exit_page"),
     )

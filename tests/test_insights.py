@@ -144,3 +144,34 @@ def test_plan_shapes(spark):
     pages = insights.page_insights_by_day(s, 3, 3, tie_break="event_id")
     pages.collect()
     assert "SortAggregate" not in pages._jdf.queryExecution().executedPlan().toString()
+
+
+def test_crawler_day_and_equal_times(spark):
+    # one session-day with many pages, and latest hits of the very same time
+    rows = [("bot", i, f"/p{i % 300}", i) for i in range(900)]
+    rows += [("tie", 100, "/a", 1000), ("tie", 100, "/c", 1001), ("tie", 100, "/b", 1002), ("tie", 50, "/c", 1003)]
+    s = _sessions(spark, rows)
+    ends = {r["request_url"]: (r["page_request_count"], r["count_last_visit"]) for r in insights.page_days(s, "event_id").collect()}
+    assert len(ends) == 303 and sum(n for n, _ in ends.values()) == 904
+    assert {u for u, (_, k) in ends.items() if k} == {"/p299", "/b"}
+    larger = {r["request_url"] for r in insights.page_days(s).collect() if r["count_last_visit"]}
+    assert larger == {"/p299", "/c"}
+    days = insights.page_days(s, "event_id")
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct(request_url" in plan  # the window's third key keeps other pages apart
+
+
+def test_last_pages_and_rollup_aggregate_hits_by_hash(spark):
+    from hitscope.operators.sessions import session_rollup
+
+    rows = [("a", 0, "/1", 1), ("a", 100, "/2", 2), ("a", 100, "/0", 3), ("b", None, "/x", 5), ("b", None, "/y", 4), (None, 7, "/n", 6)]
+    s = _sessions(spark, rows)
+    last = {r[0]: r[1] for r in insights.site_last_pages(s, "event_id").collect()}
+    rolled = {r["session_id"]: (r["hits"], r["entry_page"], r["exit_page"]) for r in session_rollup(s, tie_break="event_id").collect()}
+    assert {k: v[2] for k, v in rolled.items()} == last
+    assert rolled["a_0"] == (3, "/1", "/0") and rolled["b_0"] == (2, "/y", "/x")
+    for df in (insights.site_last_pages(s, "event_id"), session_rollup(s, tie_break="event_id")):
+        plan = [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Aggregate(" in x]
+        # from the top: text of pages, at last hits (and the summary of the sessioniser below them)
+        over_pages = [x for x in plan if "last_visited_page" in x]
+        assert "HashAggregate" in over_pages[-1] and "HashAggregate" in over_pages[-2]
