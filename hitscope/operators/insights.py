@@ -291,6 +291,46 @@ def page_days(sessions: DataFrame, tie_break: str | None = None) -> DataFrame:
     )
 
 
+def session_pages(sessions: DataFrame, duration_gap: int = P.DURATION_GAP_SECONDS, tie_break: str | None = None) -> DataFrame:
+    """One row per ``(insight_date, session_id, request_url)``: host, hits,
+    duration and the time of the latest hit as a number, all by hash.  What C6
+    and C7 need of the hits, so a table of it stands in for them."""
+    td = F.col("session_time_difference")
+    return (
+        with_day(sessions)
+        .groupBy("insight_date", "session_id", HOST, "request_url")
+        .agg(
+            F.count(F.lit(1)).alias("hits"),
+            F.sum(F.when(td <= duration_gap, td)).alias("duration"),
+            F.max(order_number("datetime", tie_break)).alias("last"),
+        )
+    )
+
+
+def rollup_of_pages(pages: DataFrame) -> DataFrame:
+    """The session-day rollup from :func:`session_pages`, with the page of the
+    latest hit (ties to the larger page).  The text is compared over a row for
+    each page and combined map-side, so a crawler's session-day with very many
+    pages is spread over tasks."""
+    return pages.groupBy("insight_date", "session_id", HOST).agg(
+        F.sum("hits").alias("hits"),
+        F.sum("duration").alias("duration"),
+        F.max(F.struct("last", "request_url")).getField("request_url").alias("exit_page"),
+    )
+
+
+def page_days_of_pages(pages: DataFrame, rollup: DataFrame) -> DataFrame:
+    """The rows of :func:`page_days` from a table of :func:`session_pages` and
+    its rollup: two small counts side by side, no join."""
+    none = F.lit(0).cast("bigint")
+    hits = pages.groupBy("insight_date", "request_url").agg(F.sum("hits").alias("page_request_count"))
+    ends = rollup.groupBy("insight_date", F.col("exit_page").alias("request_url")).agg(F.count(F.lit(1)).alias("count_last_visit"))
+    both = hits.withColumn("count_last_visit", none).unionByName(ends.withColumn("page_request_count", none))
+    return both.groupBy("insight_date", "request_url").agg(
+        F.sum("page_request_count").alias("page_request_count"), F.sum("count_last_visit").alias("count_last_visit")
+    )
+
+
 def exit_rates_by_day(sessions: DataFrame, tie_break: str | None = None) -> DataFrame:
     """A6 + J4 + A13 per day: sessions whose latest hit of the day is on the
     page, over the page's hits that day, in percent (2 decimals)."""
@@ -314,23 +354,24 @@ def top_k_by(df: DataFrame, part: list[str], measure: str, k: int, tie: str = "r
 
 def page_insights_by_day(sessions: DataFrame, k_hits: int, k_exit: int, tie_break: str | None = None) -> DataFrame:
     """C7 + U2 + P12: Page_Hits and Exit_Rate top-K per day in one table."""
-    pages = page_days(sessions, tie_break)
-    hits = top_k_by(pages, ["insight_date"], "page_request_count", k_hits).select(
-        "insight_date",
-        F.lit(P.PAGE_HITS_LABEL).alias("query_type"),
-        "request_url",
-        F.col("page_request_count").cast("double").alias("measure_value"),
-    )
-    exits = top_k_by(_exit_rates(pages), ["insight_date"], "exit_rate", k_exit).select(
-        "insight_date",
-        F.lit(P.EXIT_RATE_LABEL).alias("query_type"),
-        "request_url",
-        F.col("exit_rate").cast("double").alias("measure_value"),
-    )
-    u = hits.unionByName(exits)
-    return u.withColumn("insight_date", F.date_format("insight_date", "yyyy-MM-dd")).select(
-        *schemas.PAGE_INSIGHTS_FIELDS
+    return page_insights(page_days(sessions, tie_break), k_hits, k_exit)
+
+
+def page_insights(pages: DataFrame, k_hits: int, k_exit: int) -> DataFrame:
+    """C7 from :func:`page_days`.  Both measures of a page come from one row, so
+    ``pages`` is computed once; the limits differ by type, hence two filters
+    (the first, a number, becomes the limit before the shuffle)."""
+    exits = (F.col("count_last_visit") > 0) & F.col("request_url").isNotNull()
+    measure = lambda label, value: F.struct(F.lit(label).alias("query_type"), value.cast("double").alias("measure_value"))
+    measures = F.array(
+        measure(P.PAGE_HITS_LABEL, F.col("page_request_count")),
+        measure(P.EXIT_RATE_LABEL, F.when(exits, percent("count_last_visit", "page_request_count"))),
     )
+    each = pages.select("insight_date", "request_url", F.inline(measures)).where("measure_value is not null")
+    w = Window.partitionBy("insight_date", "query_type").orderBy(F.col("measure_value").desc(), F.col("request_url").asc())
+    k = F.when(F.col("query_type") == P.PAGE_HITS_LABEL, k_hits).otherwise(k_exit)
+    top = each.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= max(k_hits, k_exit)).where(F.col("_rank") <= k)
+    return top.withColumn("insight_date", F.date_format("insight_date", "yyyy-MM-dd")).select(*schemas.PAGE_INSIGHTS_FIELDS)
 
 
 # --- country insights (C8) -----------------------------------------------------------

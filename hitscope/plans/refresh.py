@@ -105,14 +105,17 @@ def refresh(
     read = around(list(again), reach, 0) & now.keys()
     daily = around(changed, 0, max(reach, lookback_days)) & kept
 
-    hits = materialize(hits_of(spark.read.parquet(log_path), read), "refresh-hits")
-    sessions = sessionize(hits, gap=gap, tie_break=tie_break)
-    sessions = materialize(sessions.where(_on(F.col("datetime").cast("date"), again)), "refresh-sessions")
-    rollup = insights.session_day_rollup(sessions, duration_gap, tie_break, exits=False).drop("session_id")
-    tables.publish(rollup.withColumn("insight_date", F.date_format("insight_date", "yyyy-MM-dd")), f"{store}/session_days", again)
-    pages = insights.page_insights_by_day(sessions, k_hits, k_exit, tie_break)
-    tables.publish(pages, f"{store}/page_insights", again, sort_cols=["query_type", "measure_value", "request_url"])
-    countries = insights.country_insights_by_day(sessions)
+    hits = hits_of(spark.read.parquet(log_path), read)  # stored by day: read again, not copied
+    timed = hits.select(insights.HOST, "datetime", "epoch", "request_url", *([tie_break] if tie_break else []))
+    in_days = _on(F.col("datetime").cast("date"), again)
+    sessions = sessionize(timed, gap=gap, tie_break=tie_break).where(in_days)
+    pages = materialize(insights.session_pages(sessions, duration_gap, tie_break), "refresh-session-pages")
+    rollup = materialize(insights.rollup_of_pages(pages), "refresh-session-days")
+    stored = rollup.drop("session_id", "exit_page")
+    tables.publish(stored.withColumn("insight_date", F.date_format("insight_date", "yyyy-MM-dd")), f"{store}/session_days", again)
+    top = insights.page_insights(insights.page_days_of_pages(pages, rollup), k_hits, k_exit)
+    tables.publish(top, f"{store}/page_insights", again, sort_cols=["query_type", "measure_value", "request_url"])
+    countries = insights.country_insights_by_day(hits.where(in_days))
     tables.publish(countries, f"{store}/country_insights", again, sort_cols=["page_request_count", "country_name"])
     tables.publish(daily_from_store(spark, store, daily, lookback_days), f"{store}/daily_insights", daily)
 

@@ -175,3 +175,29 @@ def test_last_pages_and_rollup_aggregate_hits_by_hash(spark):
         # from the top: text of pages, at last hits (and the summary of the sessioniser below them)
         over_pages = [x for x in plan if "last_visited_page" in x]
         assert "HashAggregate" in over_pages[-1] and "HashAggregate" in over_pages[-2]
+
+
+def test_page_insights_read_the_hits_once_for_both_measures(spark):
+    s = _sessions(spark, [("a", i * 50, f"/p{i % 7}", i) for i in range(100)] + [("b", 9, None, 500), ("b", 5, "/p1", 499)])
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+    top = insights.page_insights_by_day(s, 3, 2, tie_break="event_id")
+    assert scans(top) == scans(insights.page_days(s, "event_id")) > 0
+    got = {k: [(r["request_url"], r["measure_value"]) for r in top.collect() if r["query_type"] == k] for k in ("Page_Hits", "Exit_Rate")}
+    # 15 hits of /p0 and /p1 each (and one more of b), 14 of the others; a ends on /p1, b on no page
+    assert sorted(got["Page_Hits"]) == [("/p0", 15.0), ("/p1", 16.0), ("/p2", 14.0)]
+    assert got["Exit_Rate"] == [("/p1", 6.25)]
+
+
+def test_page_days_from_session_pages(spark):
+    rows = [("bot", i * 97, f"/p{i % 300}", i) for i in range(2000)]
+    rows += [("tie", 100, "/a", 3000), ("tie", 100, "/c", 3001), ("tie", 100, "/b", 3002), ("tie", 50, "/c", 3003)]
+    rows += [("nul", 7, None, 4000), ("nul", 7, "/x", 3999), (None, 8, "/x", 4001), (None, None, "/y", 4002), ("end", DAY - 5, None, 5000), ("end", DAY + 5, None, 5001)]
+    s = _sessions(spark, rows)
+    text = lambda df: sorted(str(r.asDict()) for r in df.collect())
+    for tie in ("event_id", None):
+        pages = insights.session_pages(s, tie_break=tie)
+        rollup = insights.rollup_of_pages(pages)
+        days = insights.page_days(s, tie)
+        assert text(insights.page_days_of_pages(pages, rollup).select(days.columns)) == text(days)
+        plain = insights.session_day_rollup(s, exits=False)
+        assert text(rollup.select(plain.columns)) == text(plain)

@@ -11,6 +11,7 @@ from hitscope import schemas
 from hitscope.operators import insights
 from hitscope.operators.sessions import sessionize
 from hitscope.plans import refresh as R
+from hitscope.plans.jobs import materialize
 from hitscope.sinks import tables
 
 from .test_incremental import DAY, _frame, _random_hits
@@ -126,3 +127,20 @@ def test_the_store_reads_only_the_lookback(spark, tmp_out):
     scan = out._jdf.queryExecution().executedPlan().collectLeaves().head()
     assert scan.selectedPartitions().partitionCount() == LOOKBACK + 1
     assert out.select(F.min("insight_date").cast("string")).first()[0] == "2024-01-05"
+
+
+def test_a_refresh_hands_over_pages_of_sessions_and_no_hits(spark, tmp_out, monkeypatch):
+    log, store = os.path.join(tmp_out, "log"), os.path.join(tmp_out, "store")
+    # 3 hosts, 400 hits on 2 pages, in one long session a day
+    _put(spark, log, [(f"h{i % 3}", 1000 + i * 60, f"/{i % 2}", i) for i in range(400)])
+    handed = {}
+
+    def kept(df, name="stage"):
+        out = materialize(df, name)
+        handed[name] = out.count()
+        return out
+
+    monkeypatch.setattr(R, "materialize", kept)
+    _refresh(spark, log, store)
+    assert _stored(spark, store) == _full(spark, log)
+    assert handed and max(handed.values()) <= 3 * 2  # a row for each page of a session-day
